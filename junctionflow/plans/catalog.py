@@ -369,7 +369,8 @@ def _stream_tables(spark: SparkSession, sf_dir: str, tables: list[str], name: st
     readings = ev.readings(ev.stream_events(spark, sf_dir))
     frames = speed_layer_frames(readings, alerted_at=F.col("event_time"))
     frames = {k: v for k, v in frames.items() if k in tables}
-    queries = start_tables(frames, f"{base}/tables", f"{base}/checkpoints", available_now=True)
+    suffix = "_" + base.rsplit("/", 1)[-1]
+    queries = start_tables(frames, f"{base}/tables", f"{base}/checkpoints", available_now=True, name_suffix=suffix)
     for q in queries.values():
         q.awaitTermination()
         if q.exception() is not None:

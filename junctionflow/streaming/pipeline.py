@@ -48,8 +48,13 @@ def start_tables(
     available_now: bool = False,
     jdbc: dict | None = None,
     on_batch=None,
+    name_suffix: str = "",
 ) -> dict[str, StreamingQuery]:
-    """Start one query per table frame; each has its own checkpoint folder."""
+    """Start one query per table frame; each has its own checkpoint folder.
+
+    Query names must be unique among active queries of a session; pass
+    ``name_suffix`` when several pipelines run side by side.
+    """
     trig = {"traffic_events": triggers.raw, "critical_traffic": triggers.alerts, "congestion_index": triggers.windows}
     queries = {}
     for table, df in frames.items():
@@ -63,7 +68,7 @@ def start_tables(
         queries[table] = start(
             df,
             fn,
-            name=table,
+            name=table + name_suffix,
             checkpoint=f"{checkpoint_base.rstrip('/')}/{table}",
             trigger=trig.get(table),
             available_now=available_now,

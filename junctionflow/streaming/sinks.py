@@ -85,7 +85,7 @@ def table_writer(
 def start(
     df: DataFrame,
     batch_fn: BatchFn,
-    name: str,
+    name: str | None,
     checkpoint: str,
     trigger: str | None = None,
     available_now: bool = False,
@@ -97,11 +97,12 @@ def start(
     ``available_now`` processes everything present, then stops (tests, backfills).
     """
     w = (
-        df.writeStream.queryName(name)
-        .outputMode(mode)
+        df.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(batch_fn)
     )
+    if name:
+        w = w.queryName(name)
     if available_now:
         w = w.trigger(availableNow=True)
     elif trigger:
