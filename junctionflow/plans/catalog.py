@@ -13,6 +13,7 @@ the data. Output conventions, shared with :mod:`junctionflow.plans.oracle`:
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,12 +100,30 @@ class EventTables:
 
     def __init__(self, spark: SparkSession, sf_dir: str, sensor: str = "event_type"):
         self.spark = spark
-        self.events = ev.load_events(spark, sf_dir)
-        self.readings = ev.readings(self.events, sensor)
-        frames = speed_layer_frames(self.readings, alerted_at=F.col("event_time"))
-        self.traffic_events = frames["traffic_events"]
-        self.critical_traffic = frames["critical_traffic"]
-        self.congestion_index = congestion_windows(self.readings, watermark=None)
+        self.sf_dir = sf_dir
+        self.sensor = sensor
+
+    # Built on first use only: every DataFrame call is analysed eagerly, so a
+    # query should not pay for tables it never reads.
+    @cached_property
+    def events(self) -> DataFrame:
+        return ev.load_events(self.spark, self.sf_dir)
+
+    @cached_property
+    def readings(self) -> DataFrame:
+        return ev.readings(self.events, self.sensor)
+
+    @cached_property
+    def traffic_events(self) -> DataFrame:
+        return raw_events(self.readings)
+
+    @cached_property
+    def critical_traffic(self) -> DataFrame:
+        return critical_alerts(self.readings, at=F.col("event_time"))
+
+    @cached_property
+    def congestion_index(self) -> DataFrame:
+        return congestion_windows(self.readings, watermark=None)
 
     # nightly building blocks
     def hourly_24h(self, as_of=AS_OF) -> DataFrame:

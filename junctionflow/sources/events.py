@@ -23,7 +23,8 @@ def events_path(sf_dir: str) -> str:
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(events_path(sf_dir))
+    """Scan with the declared schema (no footer sampling to infer one)."""
+    return spark.read.schema(schema.EVENTS).parquet(events_path(sf_dir))
 
 
 def sensor_column(sensor: str = "event_type"):

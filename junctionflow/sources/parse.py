@@ -19,11 +19,17 @@ REQUIRED = ("event_time", "vehicle_count", "avg_speed")
 
 
 def decode(payload: DataFrame, value_col: str = "value", ingested_at: Column | None = None) -> DataFrame:
-    """``value`` (binary or string) -> reading columns + ``event_time`` + ``ingested_at``."""
+    """``value`` (binary or string) -> reading columns + ``event_time`` + ``ingested_at``.
+
+    The parsed struct is emitted through ``inline(array(...))``. A plain
+    ``select(from_json(...).alias("d")).select("d.*")`` lets the optimizer push
+    every later filter below the parse and prune ``from_json`` per field, so each
+    message would be parsed once per referenced field (five times here). A
+    generator is a boundary filters are not pushed through: one parse per message.
+    """
     d = F.from_json(F.col(value_col).cast("string"), schema.READING)
     return (
-        payload.select(d.alias("d"))
-        .select("d.*")
+        payload.select(F.inline(F.array(d)))
         .withColumn("event_time", F.try_to_timestamp(F.col("timestamp")))
         .withColumn("ingested_at", ingested_at if ingested_at is not None else F.current_timestamp())
         .filter(F.col("sensor_id").isNotNull())
