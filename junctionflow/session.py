@@ -27,6 +27,39 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(
+    executors: int,
+    cores_per_executor: int,
+    advisory_partition_bytes: str = "256m",
+    state_store: str = "rocksdb",
+) -> dict[str, str]:
+    """Settings for a large batch/stream deployment (pass as ``conf=`` to :func:`get_spark`).
+
+    * the initial shuffle width is a generous multiple of the cores and AQE
+      coalesces it to ``advisory_partition_bytes`` per task at run time, so the
+      same job fits a 100 GB and a 100 TB night;
+    * file splits of 512 MB keep scan tasks few and long enough to amortise start-up;
+    * AQE skew-join splitting stays on for hot sensors;
+    * stateful streams keep window state in RocksDB (off-heap, spills to disk)
+      instead of the JVM heap; their shuffle width is fixed at the first
+      checkpoint, so it is set explicitly here.
+    """
+    cores = max(1, executors * cores_per_executor)
+    conf = {
+        "spark.sql.shuffle.partitions": str(cores * 4),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": advisory_partition_bytes,
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+        "spark.sql.files.maxPartitionBytes": "512m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    }
+    if state_store == "rocksdb":
+        conf["spark.sql.streaming.stateStore.providerClass"] = (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        )
+    return conf
+
+
 def get_spark(
     master: str | None = None,
     shuffle_partitions: int | None = None,
@@ -55,6 +88,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises on some versions
             root = None
     if not root:
+        master = sc.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; on a cluster it must name a shared folder "
+                "(executors and a restarted driver must all reach it)"
+            )
         # Local/test session only: nothing names a shared folder, so make one.
         root = tempfile.mkdtemp(prefix="junctionflow-cp-")
     if not sc.getCheckpointDir():
