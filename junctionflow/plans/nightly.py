@@ -88,8 +88,11 @@ def run_nightly(
     original skips report and save on an empty result.
     """
     n = nightly_frames(traffic_events, critical_traffic, congestion_index, as_of, report_date, variant, **kwargs)
-    # Small (sensors x 24) and read by every output below: keep it once.
+    # Both are small (sensors x 24 and sensors rows) and read by several outputs
+    # below; keep them once instead of re-scanning the night for each output.
+    # A lost cached block is recomputed from lineage.
     n.hourly.persist(StorageLevel.MEMORY_AND_DISK)
+    n.decisions.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if n.decisions.isEmpty():
             return None
@@ -102,4 +105,5 @@ def run_nightly(
         rows.write.mode("append").partitionBy("report_date").parquet(f"{out}/daily_peak_report")
         return n
     finally:
+        n.decisions.unpersist()
         n.hourly.unpersist()

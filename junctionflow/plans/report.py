@@ -62,9 +62,20 @@ def _fixed_lines(decisions: DataFrame, section: int, lines: list[str]) -> DataFr
     )
 
 
-def _block(decisions: DataFrame, variant: str) -> DataFrame:
+def _line(section: int, sort_key: Column, line_no: int, text: Column) -> Column:
+    return F.struct(
+        F.lit(section).alias("section"),
+        sort_key.cast("bigint").alias("sort_key"),
+        F.lit(line_no).alias("line_no"),
+        text.alias("line"),
+    )
+
+
+def _sensor_lines(decisions: DataFrame, variant: str) -> DataFrame:
+    """Each junction's summary block and (if flagged) its plan line, in one pass over the decisions."""
     vehicles: Column = thousands("peak_vehicles") if variant == "all" else F.col("peak_vehicles").cast("string")
-    lines = F.array(
+    by_vehicles = -F.col("peak_vehicles")
+    texts = [
         F.concat(F.lit("Junction  : "), F.col("sensor_id")),
         F.format_string("Peak Hour : %02d:00 - %02d:00", F.col("peak_hour"), F.col("peak_hour") + 1),
         F.concat(F.lit("Vehicles  : "), vehicles),
@@ -75,27 +86,14 @@ def _block(decisions: DataFrame, variant: str) -> DataFrame:
             F.when(F.col("needs_police"), F.lit(STATUS_YES)).otherwise(F.lit(STATUS_NO)),
         ),
         F.lit("-" * RULE_WIDTH),
-    )
-    return decisions.select(
-        F.lit(SECTION_BLOCKS).alias("section"),
-        (-F.col("peak_vehicles")).cast("bigint").alias("sort_key"),
-        "sensor_id",
-        F.posexplode(lines).alias("line_no", "line"),
-    )
-
-
-def _plan(decisions: DataFrame, variant: str) -> DataFrame:
+    ]
+    block = [_line(SECTION_BLOCKS, by_vehicles, i, t) for i, t in enumerate(texts)]
     # The rule variant lists flagged junctions in sensor order, the manual one by vehicles descending.
-    key = (-F.col("peak_vehicles")).cast("bigint") if variant == "all" else F.lit(0).cast("bigint")
-    return decisions.filter(F.col("needs_police")).select(
-        F.lit(SECTION_PLAN).alias("section"),
-        key.alias("sort_key"),
-        "sensor_id",
-        F.lit(0).alias("line_no"),
-        F.format_string(f"  {ARROW[variant]} Deploy to %s by %02d:00", F.col("sensor_id"), F.col("peak_hour")).alias(
-            "line"
-        ),
-    )
+    plan_key = by_vehicles if variant == "all" else F.lit(0)
+    plan_text = F.format_string(f"  {ARROW[variant]} Deploy to %s by %02d:00", F.col("sensor_id"), F.col("peak_hour"))
+    plan = F.when(F.col("needs_police"), _line(SECTION_PLAN, plan_key, 0, plan_text))
+    lines = F.array_compact(F.array(*block, plan))  # the plan entry is NULL (dropped) when not flagged
+    return decisions.select("sensor_id", F.inline(lines)).select(*REPORT_KEYS, "line")
 
 
 def _fallback(decisions: DataFrame, variant: str) -> DataFrame:
@@ -133,13 +131,12 @@ def deployment_report_lines(
     header = ["=" * RULE_WIDTH, f"  {title}", f"  Generated: {generated}", "=" * RULE_WIDTH, "", SUMMARY_HEADING, "-" * RULE_WIDTH]
     parts = [
         _fixed_lines(decisions, SECTION_HEADER, header),
-        _block(decisions, variant),
+        _sensor_lines(decisions, variant),
         _fixed_lines(decisions, SECTION_PLAN_HEAD, ["", PLAN_HEADING, "=" * RULE_WIDTH]),
-        _plan(decisions, variant),
         _fixed_lines(decisions, SECTION_FOOTER, ["", "=" * RULE_WIDTH]),
     ]
     if variant == "rule":
-        parts.insert(4, _fallback(decisions, variant))
+        parts.append(_fallback(decisions, variant))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
