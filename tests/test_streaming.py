@@ -144,3 +144,26 @@ def test_pipeline_matches_batch_twin(spark, tmp_dir):
     assert expected.select(cols).exceptAll(wins.select(cols)).count() == 0
     assert "event_date" in raw.columns and "window_date" in wins.columns  # date-partitioned sinks
     assert not os.path.exists(f"{tmp_dir}/tables/quarantine") or read_sink(spark, f"{tmp_dir}/tables/quarantine").count() == 0
+
+
+def test_late_data_semantics_with_rocksdb_state(spark, tmp_dir):
+    """Same outcome with the RocksDB state store that cluster_conf() selects."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        _write_files(
+            f"{tmp_dir}/src",
+            [
+                [("10:01:00", 1), ("10:04:00", 2)],
+                [("10:16:00", 4)],
+                [("10:17:00", 8)],
+                [("10:03:00", 16), ("10:05:30", 32), ("10:07:00", 64)],
+                [("10:40:00", 128)],
+            ],
+        )
+        got, dropped = _run_windows(spark, f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/cp")
+    finally:
+        spark.conf.set(key, old)
+    assert got == {"10:00": 3, "10:05": 96, "10:15": 12}
+    assert dropped == 1
