@@ -115,8 +115,6 @@ def test_peak_ties_go_to_lowest_hour_and_hour_23_label(spark):
 
 
 def test_speed_exactly_ten_is_no_alert(spark):
-    from junctionflow.schema import READING  # noqa: F401
-
     r = spark.createDataFrame(
         [("A", T(2024, 1, 30), 1, 10.0, T(2024, 1, 30)), ("A", T(2024, 1, 30), 1, 9.99, T(2024, 1, 30))],
         "sensor_id string, event_time timestamp, vehicle_count int, avg_speed double, ingested_at timestamp",
