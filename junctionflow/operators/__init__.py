@@ -29,9 +29,11 @@ from .monitor import (
     first_n_alerts,
     junction_count,
     latest_alerts,
+    latest_tally,
     profile_summary,
     retain,
     sensor_profile_check,
+    sensor_tally,
     table_row_counts,
     top_congestion_windows,
 )

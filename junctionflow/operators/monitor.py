@@ -49,6 +49,20 @@ def alert_tally(readings: DataFrame, max_speed: float = params.CRITICAL_SPEED) -
     )
 
 
+def sensor_tally(readings: DataFrame, max_speed: float = params.CRITICAL_SPEED) -> DataFrame:
+    """Running messages / alerts per sensor; a streaming frame runs it in update mode."""
+    return readings.groupBy("sensor_id").agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(critical_filter(max_speed)).alias("alerts"),
+    )
+
+
+def latest_tally(updates: DataFrame) -> DataFrame:
+    """Current tally from update-mode output: per sensor, the row of the newest batch."""
+    newest = F.max_by(F.struct("messages", "alerts"), F.col("batch_id"))
+    return updates.groupBy("sensor_id").agg(newest.alias("t")).select("sensor_id", "t.messages", "t.alerts")
+
+
 def latest_alerts(critical_traffic: DataFrame, n: int = 5) -> DataFrame:
     """Newest ``n`` alerts (top-n: per-task candidates, then one merge of n x tasks rows)."""
     return (

@@ -401,6 +401,27 @@ def _stream_tables(spark: SparkSession, sf_dir: str, tables: list[str], name: st
     return out
 
 
+def q_alert_tally_stream(spark, sf_dir):
+    """Running per-sensor tally as a stateful stream in update mode, read back as its latest state."""
+    from ..operators import latest_tally, sensor_tally
+    from ..streaming.sinks import start, table_writer
+
+    base = scratch_path(spark, "alert_tally_stream")
+    readings = ev.readings(ev.stream_events(spark, sf_dir))
+    q = start(
+        sensor_tally(readings),
+        table_writer(f"{base}/tally", "sensor_tally"),
+        name="alert_tally_" + base.rsplit("/", 1)[-1],
+        checkpoint=f"{base}/checkpoint",
+        available_now=True,
+        mode="update",
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
+    return latest_tally(read_sink(spark, f"{base}/tally"))
+
+
 def q_raw_stream(spark, sf_dir):
     return _stream_tables(spark, sf_dir, ["traffic_events"], "raw_stream")["traffic_events"]
 

@@ -307,6 +307,9 @@ SELECT sensor_id, COUNT(*) AS messages,
        GROUPING(sensor_id) = 1 AS is_total,
        COUNT(*) FILTER (WHERE avg_speed < {params.CRITICAL_SPEED}) > 0 AS has_alert
 FROM readings GROUP BY ROLLUP (sensor_id)"""
+    q["alert_tally_stream"] = with_(b) + f"""
+SELECT sensor_id, COUNT(*) AS messages, COUNT(*) FILTER (WHERE avg_speed < {params.CRITICAL_SPEED}) AS alerts
+FROM readings GROUP BY 1"""
     q["latest_alerts"] = with_(b) + """
 SELECT sensor_id, avg_speed, alerted_at FROM alerts
 ORDER BY alerted_at DESC, sensor_id, event_timestamp DESC LIMIT 5"""

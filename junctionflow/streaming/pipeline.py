@@ -89,7 +89,8 @@ def run_pipeline(
 ) -> dict[str, StreamingQuery]:
     """Decode ``payload`` (a stream with a ``value`` column) and start every query.
 
-    With ``wait`` the call blocks until any query ends (and re-raises its error).
+    With ``wait`` the call blocks until any query ends (and re-raises its error),
+    or, for ``available_now`` runs, until all of them have drained their input.
     """
     accepted, rejected = parse(payload)
     queries = start_tables(
@@ -105,7 +106,10 @@ def run_pipeline(
             available_now=available_now,
         )
     if wait:
-        spark.streams.awaitAnyTermination()
+        if available_now:
+            await_all(queries)  # bounded run: every query drains its input, then stops
+        else:
+            spark.streams.awaitAnyTermination()  # live: return (or raise) when any query ends
     return queries
 
 

@@ -88,3 +88,19 @@ def test_run_nightly_skips_when_no_traffic(spark, tmp_dir):
     n = run_nightly(t.traffic_events, t.critical_traffic, t.congestion_index, f"{tmp_dir}/x", "2030-01-01 00:00:00", "2030-01-01")
     assert n is None
     assert not glob.glob(f"{tmp_dir}/x/*")
+
+
+def test_cli_stream_nightly_charts(spark, tmp_dir):
+    """End to end through the command line: JSON files -> tables -> nightly -> charts."""
+    from junctionflow import cli
+    from junctionflow.sources.events import load_events, payloads
+
+    payloads(load_events(spark, SF_SMALL)).select("value").write.text(f"{tmp_dir}/json")
+    assert cli.main(["--master", "local[4]", "stream", "--json-dir", f"{tmp_dir}/json", "--out", f"{tmp_dir}/t",
+                     "--checkpoint", f"{tmp_dir}/cp", "--available-now"]) == 0
+    assert cli.main(["nightly", "--tables", f"{tmp_dir}/t", "--out", f"{tmp_dir}/r",
+                     "--as-of", "2024-01-31 00:00:00", "--history-mode", "idempotent"]) == 0
+    assert spark.read.parquet(f"{tmp_dir}/r/daily_peak_report").count() == 5
+    assert cli.main(["charts", "--tables", f"{tmp_dir}/t", "--out", f"{tmp_dir}/c"]) == 0
+    vol = spark.read.parquet(f"{tmp_dir}/c/volume_by_hour")
+    assert vol.count() == 5 * 24 and vol.filter("is_peak").count() == 5
