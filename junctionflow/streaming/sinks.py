@@ -1,9 +1,10 @@
 """Micro-batch sinks and query start-up.
 
 ``foreachBatch`` is at-least-once: after a failure the last batch is replayed.
-Each batch is written to its own ``batch_id=N`` folder in overwrite mode, so a
-replay replaces its first attempt instead of appending it twice. Tables are
-also partitioned by a date column so nightly reads prune to recent folders.
+Tables are laid out ``<date>=D/batch_id=N`` and each batch is written with
+dynamic partition overwrite, so a replay replaces exactly the folders of its
+first attempt instead of appending twice, and a nightly read prunes to the date
+folders of its range before listing any batch folder.
 """
 
 from __future__ import annotations
@@ -65,12 +66,19 @@ def table_writer(
             if jdbc is not None:
                 write_jdbc(out, jdbc["url"], jdbc.get("table", table), jdbc.get("props"), mode="append")
             else:
-                out = with_partition_date(out, table)
-                writer = out.write.mode("overwrite").format(fmt)
+                out = with_partition_date(out, table).withColumn("batch_id", F.lit(batch_id))
                 part = PARTITION_COLUMN.get(table)
-                if part and part in out.columns:
-                    writer = writer.partitionBy(part)
-                writer.save(f"{path.rstrip('/')}/batch_id={batch_id}")
+                keys = [part, "batch_id"] if part and part in out.columns else ["batch_id"]
+                # Date first: a nightly read lists only the date folders it needs.
+                # Dynamic overwrite replaces just the (date, batch) folders this
+                # batch writes, so a replayed batch replaces its first attempt.
+                (
+                    out.write.mode("overwrite")
+                    .option("partitionOverwriteMode", "dynamic")
+                    .partitionBy(*keys)
+                    .format(fmt)
+                    .save(path)
+                )
             rows = int(obs.get.get("rows", 0))
             log.info("[%s] batch %d -> %d rows", table, batch_id, rows)
             if on_batch is not None:

@@ -104,3 +104,22 @@ def test_cli_stream_nightly_charts(spark, tmp_dir):
     assert cli.main(["charts", "--tables", f"{tmp_dir}/t", "--out", f"{tmp_dir}/c"]) == 0
     vol = spark.read.parquet(f"{tmp_dir}/c/volume_by_hour")
     assert vol.count() == 5 * 24 and vol.filter("is_peak").count() == 5
+
+
+def test_nightly_read_prunes_date_partitions(spark, tmp_dir):
+    """Stream tables are laid out date-first; the 24 h range becomes a partition filter."""
+    import os
+
+    from junctionflow.operators import hourly_traffic
+    from junctionflow.sources import read_table, text_source
+    from junctionflow.sources.events import load_events, payloads
+    from junctionflow.streaming import run_pipeline
+
+    payloads(load_events(spark, SF_SMALL)).select("value").write.text(f"{tmp_dir}/json")
+    run_pipeline(spark, text_source(spark, f"{tmp_dir}/json"), f"{tmp_dir}/t", f"{tmp_dir}/cp",
+                 available_now=True, wait=True, quarantine=False)
+    assert all(d.startswith("event_date=") for d in os.listdir(f"{tmp_dir}/t/traffic_events") if not d.startswith("_"))
+    h = hourly_traffic(read_table(spark, "traffic_events", f"{tmp_dir}/t"), AS_OF)
+    plan = h._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "(event_date" in plan
+    assert h.count() > 0
