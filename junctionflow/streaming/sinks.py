@@ -45,13 +45,15 @@ def table_writer(
     jdbc: dict | None = None,
     persist_batch: bool = False,
     on_batch: Callable[[str, int, int], None] | None = None,
+    rows_per_file: int = 1_000_000,
 ) -> BatchFn:
     """A ``foreachBatch`` function that appends one micro-batch to ``table``.
 
     * empty batches write nothing (no-data batches of a stateful query are common);
     * the row count comes from an ``Observation`` on the write itself, not a second scan;
     * ``persist_batch`` caches the batch when the emptiness check would otherwise
-      recompute an expensive (stateful) plan;
+      recompute an expensive (stateful) plan, and sizes its output files from
+      the cached row count (``rows_per_file``);
     * ``jdbc`` = ``{"url":..., "props": {...}}`` appends through JDBC instead of files.
     """
 
@@ -59,7 +61,15 @@ def table_writer(
         if persist_batch:
             df = df.persist()
         try:
-            if df.isEmpty():
+            if persist_batch:
+                # The count fills the cache; sizing the output from it keeps a
+                # micro-batch to about one file per `rows_per_file` rows per date
+                # instead of one per task per date (round-robin, so no skew).
+                n = df.count()
+                if n == 0:
+                    return
+                df = df.repartition(max(1, -(-n // rows_per_file)))
+            elif df.isEmpty():
                 return
             obs = Observation(f"{table}_{batch_id}")
             out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
