@@ -37,6 +37,6 @@ from .monitor import (
     table_row_counts,
     top_congestion_windows,
 )
-from .windows import congestion_windows
+from .windows import congestion_windows, readings_for_windows_since
 
 __all__ = [name for name in dir() if not name.startswith("_")]

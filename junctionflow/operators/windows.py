@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import params
-from ..functions import round_half_up, safe_div
+from ..functions import cutoff, round_half_up, safe_div
 
 
 def congestion_windows(
@@ -39,3 +39,30 @@ def congestion_windows(
             round_half_up(safe_div(F.col("total_vehicles"), speed), 2).alias("congestion_idx"),
         )
     )
+
+
+def window_micros(window: str) -> int:
+    """Length of a ``"<n> <unit>"`` window in microseconds (seconds/minutes/hours/days)."""
+    n, unit = window.split()
+    scale = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+    return int(n) * scale * 1_000_000
+
+
+def readings_for_windows_since(
+    readings: DataFrame,
+    as_of,
+    lookback: str,
+    window: str = params.WINDOW_SIZE,
+    time_col: str = "event_time",
+) -> DataFrame:
+    """Readings that fall in tumbling windows starting at or after ``as_of - lookback``.
+
+    For epoch-aligned tumbling windows ``window_start >= c`` holds exactly when
+    ``t >= ceil_to_window(c)``, so the window-start range becomes a plain time
+    filter that Catalyst folds to a literal and pushes into the scan, instead
+    of windowing all history and filtering afterwards. Kept windows are whole.
+    """
+    w = window_micros(window)
+    start = F.unix_micros(cutoff(as_of, lookback))
+    aligned = F.timestamp_micros(((start + F.lit(w - 1)) / F.lit(w)).cast("bigint") * F.lit(w))
+    return readings.filter(F.col(time_col) >= aligned)

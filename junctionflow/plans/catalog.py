@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from .. import params
 from ..functions import round_half_up
 from ..operators import (
+    readings_for_windows_since,
     alert_counts,
     alert_hour_map,
     alert_lines,
@@ -138,10 +139,17 @@ class EventTables:
     def congestion_hourly(self) -> DataFrame:
         return congestion_avg(self.congestion_index, lookback=None, by_hour=True)
 
+    def windows_since(self, as_of=AS_OF, lookback: str = params.LOOKBACK) -> DataFrame:
+        """Windows starting inside the range, computed from only the readings they contain."""
+        return congestion_windows(readings_for_windows_since(self.readings, as_of, lookback), watermark=None)
+
     def decisions(self, variant: str = "rule", as_of=AS_OF) -> DataFrame:
         peaks = peak_hour(self.hourly_24h(as_of))
         alerts = alert_counts(self.critical_traffic, as_of)
-        cong = congestion_avg(self.congestion_index, as_of, params.LOOKBACK if variant == "rule" else None)
+        if variant == "rule":
+            cong = congestion_avg(self.windows_since(as_of), as_of, params.LOOKBACK)
+        else:
+            cong = congestion_avg(self.congestion_index, lookback=None)
         return police_decision(peaks, alerts, cong, variant=variant)
 
 
@@ -217,7 +225,7 @@ def q_alert_counts_by_hour(spark, sf_dir):
 
 
 def q_congestion_avg_24h(spark, sf_dir):
-    c = congestion_avg(EventTables(spark, sf_dir).congestion_index, AS_OF)
+    c = congestion_avg(EventTables(spark, sf_dir).windows_since(AS_OF), AS_OF)
     return c.select("sensor_id", r6("avg_congestion").alias("avg_congestion"))
 
 
