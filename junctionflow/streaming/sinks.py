@@ -128,6 +128,19 @@ def start(
     return w.start()
 
 
+def late_rows_dropped(query: StreamingQuery) -> int:
+    """Rows the watermark dropped as too late for their window (the only place late data is lost).
+
+    Summed from the query's progress reports, which Spark keeps for the last
+    ``spark.sql.streaming.numRecentProgressUpdates`` micro-batches.
+    """
+    return sum(
+        int(op.get("numRowsDroppedByWatermark", 0))
+        for progress in query.recentProgress
+        for op in progress.get("stateOperators", [])
+    )
+
+
 def read_sink(spark, path: str, fmt: str = "parquet") -> DataFrame:
     """Read a sink folder back (partition columns batch_id and the date are discovered)."""
     return spark.read.format(fmt).load(path)

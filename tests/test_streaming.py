@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from junctionflow.operators import congestion_windows, critical_alerts, raw_events
 from junctionflow.sources import parse, text_source
 from junctionflow.sources.events import load_events, payloads
-from junctionflow.streaming import await_all, read_sink, run_pipeline, start, table_writer
+from junctionflow.streaming import await_all, late_rows_dropped, read_sink, run_pipeline, start, table_writer
 
 from .conftest import SF_SMALL
 
@@ -42,9 +42,7 @@ def _run_windows(spark, src, out, cp):
     )
     q.awaitTermination()
     assert q.exception() is None
-    dropped = sum(
-        op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in p.get("stateOperators", [])
-    )
+    dropped = late_rows_dropped(q)
     got = {}
     if os.path.exists(out):
         got = {
