@@ -52,22 +52,23 @@ def peek(
 ) -> DataFrame:
     """Bounded look at the first ``n`` messages of a topic, folder or frame.
 
-    The limit is the feature here (the console-consumer ``--max-messages``);
-    with ``order_by`` it becomes a top-n so the answer is deterministic.
+    The limit is the feature here (the console-consumer ``--max-messages``).
+    On a topic the limit comes first: each partition task stops reading after
+    ``n`` records, so a peek costs a few polls however large the topic is; only
+    those ``n`` rows are then ordered by (partition, offset) for display. On a
+    folder or frame, ``order_by`` makes it a deterministic top-n (each task keeps
+    its ``n`` smallest rows, so only ``n`` rows per task are shuffled).
     """
-    if isinstance(source, DataFrame):
-        df = source
-    elif kafka is not None:
-        df = (
+    if kafka is not None and not isinstance(source, DataFrame):
+        topic = (
             spark.read.format("kafka")
             .options(**kafka)
             .option("subscribe", source)
             .option("startingOffsets", "earliest")
             .load()
         )
-        order_by = order_by or "offset"
-    else:
-        df = spark.read.text(source)
+        return topic.limit(n).orderBy("partition", "offset")
+    df = source if isinstance(source, DataFrame) else spark.read.text(source)
     if order_by:
         df = df.orderBy(F.col(order_by))
     return df.limit(n)
