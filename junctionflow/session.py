@@ -21,6 +21,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot sensor's join partition even when the split costs one more
+    # shuffle (e.g. a per-sensor aggregate right after the join): that shuffle
+    # carries partial aggregates, while an unsplit partition is one task holding
+    # a third of all rows.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

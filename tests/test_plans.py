@@ -192,3 +192,40 @@ def test_hot_sensor_top_n_ships_at_most_n_per_task(spark, hot_readings):
     counts = dict(alert_counts(alerts, lookback=None).collect())
     got = dict(capped.groupBy("sensor_id").count().collect())
     assert got == {s: min(3, c) for s, c in counts.items()}
+
+
+def test_hot_sensor_profile_join_without_a_size_is_split_not_dropped(spark, hot_readings):
+    """No vouched profile size: no broadcast hint; with broadcasts off, AQE splits the hot partition.
+
+    The per-sensor aggregate right after the join would normally stop AQE from
+    splitting (the split needs one more shuffle); the session default
+    ``forceOptimizeSkewedJoin`` makes it split anyway.
+    """
+    from junctionflow.operators import default_profile, sensor_profile_check
+    from junctionflow.plans.catalog import PROFILE
+
+    readings, _, n_rows = hot_readings
+    profile = default_profile(spark, PROFILE + [("hot", 10, 50, 20, 80)])
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+        checked = sensor_profile_check(readings, profile).groupBy("sensor_id").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if("speed_ok").alias("speed_ok")
+        )
+        got = {r.sensor_id: r.n for r in checked.collect()}
+        plan = checked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert got["hot"] * 2 == n_rows and sum(got.values()) == n_rows
