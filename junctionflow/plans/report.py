@@ -43,12 +43,13 @@ def hourly_csv_rows(hourly_report: DataFrame, report_date) -> DataFrame:
     )
 
 
-def write_csv(rows: DataFrame, path: str, single_file: bool = False) -> None:
-    """Sorted by (sensor_id, hour) with a header; one file only when asked."""
-    out = rows.orderBy("sensor_id", "hour")
-    if single_file:
-        out = out.coalesce(1)
-    out.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(rows: DataFrame, path: str) -> None:
+    """Sorted by (sensor_id, hour) with a header per part file.
+
+    A distributed sort writes range-partitioned part files whose names order the
+    rows globally; nothing funnels the report through a single task.
+    """
+    rows.orderBy("sensor_id", "hour").write.mode("overwrite").option("header", True).csv(path)
 
 
 def _fixed_lines(decisions: DataFrame, section: int, lines: list[str]) -> DataFrame:
@@ -147,8 +148,6 @@ def ordered_lines(lines: DataFrame) -> DataFrame:
     return lines.orderBy(*REPORT_KEYS)
 
 
-def write_report_text(lines: DataFrame, path: str, single_file: bool = False) -> None:
-    out = ordered_lines(lines).select("line")
-    if single_file:
-        out = out.coalesce(1)
-    out.write.mode("overwrite").text(path)
+def write_report_text(lines: DataFrame, path: str) -> None:
+    """Report lines in report order, as range-partitioned part files (read in name order)."""
+    ordered_lines(lines).select("line").write.mode("overwrite").text(path)
