@@ -36,6 +36,11 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--available-now", action="store_true")
+    s.add_argument(
+        "--separate-queries",
+        action="store_true",
+        help="one query per table with its own trigger (reads the topic once per query)",
+    )
 
     n = sub.add_parser("nightly", help="peak hours, police decision, reports, history")
     n.add_argument("--tables", required=True, help="folder holding the three stream tables")
@@ -58,7 +63,10 @@ def main(argv: list[str] | None = None) -> int:
             if args.json_dir
             else kafka_source(spark, args.servers, args.topic, max_offsets_per_trigger=None)
         )
-        run_pipeline(spark, source, args.out, args.checkpoint, Triggers(), available_now=args.available_now, wait=True)
+        run_pipeline(
+            spark, source, args.out, args.checkpoint, Triggers(),
+            available_now=args.available_now, wait=True, fan_out=not args.separate_queries,
+        )
         return 0
 
     t = {name: read_table(spark, name, args.tables) for name in TABLES}

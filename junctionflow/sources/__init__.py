@@ -1,7 +1,7 @@
 """Sources: topic/file streams, stored tables, the payload decoder and the events adapter."""
 
 from .events import load_events, payloads, readings, stream_events
-from .parse import decode, parse
+from .parse import decode, parse, split
 from .streams import kafka_source, peek, text_source
 from .tables import jdbc_table, read_table, table_path, write_jdbc
 
@@ -15,6 +15,7 @@ __all__ = [
     "peek",
     "read_table",
     "readings",
+    "split",
     "stream_events",
     "table_path",
     "text_source",

@@ -52,9 +52,13 @@ def quarantine_reason() -> Column:
     )
 
 
-def parse(payload: DataFrame, value_col: str = "value", ingested_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Return ``(accepted, quarantined)``; both keep the decoded columns."""
-    decoded = decode(payload, value_col, ingested_at)
+def split(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(accepted, quarantined)`` rows of an already decoded frame."""
     accepted = decoded.filter(_complete())
     quarantined = decoded.filter(~_complete()).withColumn("reason", quarantine_reason())
     return accepted, quarantined
+
+
+def parse(payload: DataFrame, value_col: str = "value", ingested_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Return ``(accepted, quarantined)``; both keep the decoded columns."""
+    return split(decode(payload, value_col, ingested_at))

@@ -1,6 +1,9 @@
-"""The speed layer: one decoded stream, three (plus quarantine) concurrent queries.
+"""The speed layer: one decoded stream feeding the raw, alert, window and quarantine tables.
 
-All transforms are the batch operators; only the sink and trigger differ.
+All transforms are the batch operators; only the sink and trigger differ. By
+default the stateless tables share one query (one read and one decode of each
+message per micro-batch) and the stateful window table has its own; the
+original's layout of one query per table is ``fan_out=False``.
 """
 
 from __future__ import annotations
@@ -13,9 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import params
 from ..operators import congestion_windows, critical_alerts, raw_events
-from ..sources.parse import parse
+from ..sources.parse import decode, parse, split
 from ..sources.tables import table_path
-from .sinks import start, table_writer
+from .sinks import fan_out_writer, start, table_writer
 
 
 @dataclass
@@ -76,6 +79,45 @@ def start_tables(
     return queries
 
 
+def stateless_outputs(
+    out_base: str,
+    max_speed: float = params.CRITICAL_SPEED,
+    quarantine: bool = True,
+    jdbc: dict | None = None,
+    on_batch=None,
+) -> dict:
+    """Raw, alert (and quarantine) rows of one decoded micro-batch, with their writers.
+
+    Processing-time columns all take the batch's ``ingested_at`` (the micro-batch
+    timestamp, kept in the offset log), so a replayed batch rewrites the same values.
+    """
+
+    def writer(table: str, use_jdbc: bool = True):
+        return table_writer(
+            table_path(out_base, table),
+            table,
+            jdbc=dict(jdbc, table=table) if (jdbc and use_jdbc) else None,
+            on_batch=on_batch,
+        )
+
+    def accepted(batch: DataFrame) -> DataFrame:
+        return split(batch)[0]
+
+    outputs = {
+        "traffic_events": (lambda b: raw_events(accepted(b)), writer("traffic_events")),
+        "critical_traffic": (
+            lambda b: critical_alerts(accepted(b), max_speed=max_speed, at=F.col("ingested_at")),
+            writer("critical_traffic"),
+        ),
+    }
+    if quarantine:
+        outputs["quarantine"] = (
+            lambda b: split(b)[1].withColumn("rejected_at", F.col("ingested_at")),
+            writer("quarantine", use_jdbc=False),
+        )
+    return outputs
+
+
 def run_pipeline(
     spark: SparkSession,
     payload: DataFrame,
@@ -86,25 +128,48 @@ def run_pipeline(
     quarantine: bool = True,
     jdbc: dict | None = None,
     wait: bool = False,
+    fan_out: bool = True,
 ) -> dict[str, StreamingQuery]:
-    """Decode ``payload`` (a stream with a ``value`` column) and start every query.
+    """Decode ``payload`` (a stream with a ``value`` column) and start the queries.
+
+    ``fan_out=True``: query ``stateless`` writes raw readings, alerts and the
+    quarantine from one read of the topic (alert trigger, the tightest of the
+    two); query ``congestion_index`` keeps the windows. ``fan_out=False``: one
+    query per table with its own trigger, as the original runs them (the topic is
+    then read and decoded once per query).
 
     With ``wait`` the call blocks until any query ends (and re-raises its error),
     or, for ``available_now`` runs, until all of them have drained their input.
     """
-    accepted, rejected = parse(payload)
-    queries = start_tables(
-        speed_layer_frames(accepted), out_base, checkpoint_base, triggers, available_now, jdbc=jdbc
-    )
-    if quarantine:
-        queries["quarantine"] = start(
-            rejected.withColumn("rejected_at", F.current_timestamp()),
-            table_writer(table_path(out_base, "quarantine"), "quarantine"),
-            name="quarantine",
-            checkpoint=f"{checkpoint_base.rstrip('/')}/quarantine",
-            trigger=triggers.raw,
-            available_now=available_now,
+    cp = checkpoint_base.rstrip("/")
+    if fan_out:
+        decoded = decode(payload)
+        queries = {
+            "stateless": start(
+                decoded,
+                fan_out_writer(stateless_outputs(out_base, quarantine=quarantine, jdbc=jdbc)),
+                name="stateless",
+                checkpoint=f"{cp}/stateless",
+                trigger=triggers.alerts,
+                available_now=available_now,
+            )
+        }
+        windows = {"congestion_index": congestion_windows(split(decoded)[0])}
+        queries.update(start_tables(windows, out_base, checkpoint_base, triggers, available_now, jdbc=jdbc))
+    else:
+        accepted, rejected = parse(payload)
+        queries = start_tables(
+            speed_layer_frames(accepted), out_base, checkpoint_base, triggers, available_now, jdbc=jdbc
         )
+        if quarantine:
+            queries["quarantine"] = start(
+                rejected.withColumn("rejected_at", F.current_timestamp()),
+                table_writer(table_path(out_base, "quarantine"), "quarantine"),
+                name="quarantine",
+                checkpoint=f"{cp}/quarantine",
+                trigger=triggers.raw,
+                available_now=available_now,
+            )
     if wait:
         if available_now:
             await_all(queries)  # bounded run: every query drains its input, then stops

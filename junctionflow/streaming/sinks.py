@@ -10,7 +10,7 @@ folders of its range before listing any batch folder.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -100,6 +100,26 @@ def table_writer(
     return write
 
 
+def fan_out_writer(outputs: Mapping[str, tuple[Callable[[DataFrame], DataFrame], BatchFn]]) -> BatchFn:
+    """One ``foreachBatch`` function that fills several tables from one micro-batch.
+
+    ``outputs`` maps a table to ``(rows_of(batch), writer)``. The batch is read
+    from the source and decoded once, cached, and every table's rows are derived
+    from the cache; each writer keeps its own replay-safe ``(date, batch_id)``
+    overwrite, so a replayed batch still replaces all of its tables.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        try:
+            for rows_of, writer in outputs.values():
+                writer(rows_of(df), batch_id)
+        finally:
+            df.unpersist()
+
+    return write
+
+
 def start(
     df: DataFrame,
     batch_fn: BatchFn,

@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from junctionflow.operators import congestion_windows, critical_alerts, raw_events
@@ -117,13 +119,17 @@ def test_replayed_batch_overwrites_instead_of_duplicating(spark, tmp_dir):
     assert sorted(r.batch_id for r in read_sink(spark, out).select("batch_id").distinct().collect()) == [7]
 
 
-def test_pipeline_matches_batch_twin(spark, tmp_dir):
-    """Three concurrent queries over one decoded file stream equal the batch operators."""
+@pytest.mark.parametrize("fan_out", [True, False])
+def test_pipeline_matches_batch_twin(spark, tmp_dir, fan_out):
+    """Both layouts (stateless tables from one query, or one query per table) equal the batch operators."""
     events = load_events(spark, SF_SMALL)
     src = f"{tmp_dir}/payload"
     payloads(events).select("value").write.text(src)
     queries = run_pipeline(
-        spark, text_source(spark, src), f"{tmp_dir}/tables", f"{tmp_dir}/cp", available_now=True
+        spark, text_source(spark, src), f"{tmp_dir}/tables", f"{tmp_dir}/cp", available_now=True, fan_out=fan_out
+    )
+    assert set(queries) == (
+        {"stateless", "congestion_index"} if fan_out else {"traffic_events", "critical_traffic", "congestion_index", "quarantine"}
     )
     await_all(queries)
     accepted, _ = parse(payloads(events))
@@ -165,3 +171,27 @@ def test_late_data_semantics_with_rocksdb_state(spark, tmp_dir):
         spark.conf.set(key, old)
     assert got == {"10:00": 3, "10:05": 96, "10:15": 12}
     assert dropped == 1
+
+
+def test_fan_out_batch_fills_every_table_once_even_when_replayed(spark, tmp_dir):
+    from junctionflow.sources import decode
+    from junctionflow.streaming import fan_out_writer, stateless_outputs
+
+    lines = [
+        {"sensor_id": "A", "timestamp": "2026-05-09T10:00:00", "vehicle_count": 40, "avg_speed": 30.0},
+        {"sensor_id": "A", "timestamp": "2026-05-09T10:00:05", "vehicle_count": 90, "avg_speed": 4.5},
+        {"sensor_id": "B", "timestamp": "not a time", "vehicle_count": 10, "avg_speed": 20.0},
+    ]
+    payload = spark.createDataFrame([(json.dumps(x),) for x in lines], "value string")
+    batch = decode(payload, ingested_at=F.lit("2026-05-09 10:00:10").cast("timestamp"))
+    base = f"{tmp_dir}/tables"
+    write = fan_out_writer(stateless_outputs(base))
+    write(batch, 3)
+    write(batch, 3)  # replay of the same micro-batch
+    raw = read_sink(spark, f"{base}/traffic_events")
+    alerts = read_sink(spark, f"{base}/critical_traffic")
+    bad = read_sink(spark, f"{base}/quarantine")
+    assert raw.count() == 2 and alerts.count() == 1 and bad.count() == 1
+    alert = alerts.first()
+    assert (alert.vehicle_count, alert.alerted_at.strftime("%H:%M:%S")) == (90, "10:00:10")
+    assert bad.first().reason == "bad or missing timestamp"
