@@ -98,6 +98,7 @@ def stateless_outputs(
             table,
             jdbc=dict(jdbc, table=table) if (jdbc and use_jdbc) else None,
             on_batch=on_batch,
+            size_files=True,  # the decoded batch is cached by fan_out_writer
         )
 
     def accepted(batch: DataFrame) -> DataFrame:

@@ -46,29 +46,37 @@ def table_writer(
     persist_batch: bool = False,
     on_batch: Callable[[str, int, int], None] | None = None,
     rows_per_file: int = 1_000_000,
+    size_files: bool = False,
 ) -> BatchFn:
     """A ``foreachBatch`` function that appends one micro-batch to ``table``.
 
     * empty batches write nothing (no-data batches of a stateful query are common);
     * the row count comes from an ``Observation`` on the write itself, not a second scan;
     * ``persist_batch`` caches the batch when the emptiness check would otherwise
-      recompute an expensive (stateful) plan, and sizes its output files from
-      the cached row count (``rows_per_file``);
+      recompute an expensive (stateful) plan;
+    * ``size_files`` (implied by ``persist_batch``; use it when the batch is already
+      cached upstream, as in :func:`fan_out_writer`) counts the batch and merges its
+      partitions to about one file per ``rows_per_file`` rows per date. AQE is off
+      inside micro-batches, so without this every source partition (e.g. each
+      topic partition) would write its own small file per date and batch;
     * ``jdbc`` = ``{"url":..., "props": {...}}`` appends through JDBC instead of files.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
-        if persist_batch:
-            df = df.persist()
+        # Keep the cached frame itself: `df` is rebound below, and unpersisting a
+        # derived frame would leave this batch in the cache for good.
+        cached = df.persist() if persist_batch else None
+        if cached is not None:
+            df = cached
         try:
-            if persist_batch:
-                # The count fills the cache; sizing the output from it keeps a
-                # micro-batch to about one file per `rows_per_file` rows per date
-                # instead of one per task per date (round-robin, so no skew).
+            if persist_batch or size_files:
                 n = df.count()
                 if n == 0:
                     return
-                df = df.repartition(max(1, -(-n // rows_per_file)))
+                if jdbc is None:
+                    # The rows are cached, so merging partitions reads the cache
+                    # in fewer tasks: no shuffle, and no recomputation upstream.
+                    df = df.coalesce(max(1, -(-n // rows_per_file)))
             elif df.isEmpty():
                 return
             obs = Observation(f"{table}_{batch_id}")
@@ -94,8 +102,8 @@ def table_writer(
             if on_batch is not None:
                 on_batch(table, batch_id, rows)
         finally:
-            if persist_batch:
-                df.unpersist()
+            if cached is not None:
+                cached.unpersist()
 
     return write
 

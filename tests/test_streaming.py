@@ -195,3 +195,25 @@ def test_fan_out_batch_fills_every_table_once_even_when_replayed(spark, tmp_dir)
     alert = alerts.first()
     assert (alert.vehicle_count, alert.alerted_at.strftime("%H:%M:%S")) == (90, "10:00:10")
     assert bad.first().reason == "bad or missing timestamp"
+
+
+def test_sized_batches_write_one_file_per_date_and_release_the_cache(spark, tmp_dir):
+    import glob
+
+    df = (
+        spark.range(0, 400, numPartitions=16)
+        .select(
+            F.lit("A").alias("sensor_id"),
+            F.timestamp_seconds(F.lit(1_778_400_000) + F.col("id") * 600).alias("window_start"),
+            F.col("id").cast("bigint").alias("total_vehicles"),
+        )
+        .withColumn("window_end", F.col("window_start") + F.expr("INTERVAL 5 MINUTES"))
+    )
+    out = f"{tmp_dir}/windows"
+    table_writer(out, "congestion_index", persist_batch=True)(df, 0)
+    dates = glob.glob(f"{out}/window_date=*")
+    assert len(dates) >= 2
+    for d in dates:  # 16 input partitions, but one file per date for a small batch
+        assert len(glob.glob(f"{d}/batch_id=0/*.parquet")) == 1
+    assert read_sink(spark, out).count() == 400
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
