@@ -48,7 +48,12 @@ def main(argv: list[str] | None = None) -> int:
     n.add_argument("--as-of", help="end of the night (default: now)")
     n.add_argument("--report-date", help="default: date of --as-of")
     n.add_argument("--variant", choices=["rule", "all"], default="rule")
-    n.add_argument("--history-mode", choices=["append", "idempotent"], default="append")
+    n.add_argument(
+        "--history-mode",
+        choices=["append", "idempotent"],
+        default="idempotent",
+        help="idempotent: a re-run or retried night adds no duplicate rows; append: the original's behaviour",
+    )
 
     c = sub.add_parser("charts", help="chart-ready frames over all history")
     c.add_argument("--tables", required=True)
