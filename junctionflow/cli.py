@@ -11,7 +11,7 @@ import datetime as dt
 
 from . import params
 from .session import cluster_conf, get_spark
-from .sources import kafka_source, read_table, text_source
+from .sources import kafka_source, read_range, read_table, text_source
 from .streaming import Triggers, run_pipeline
 
 TABLES = ("traffic_events", "critical_traffic", "congestion_index")
@@ -74,12 +74,16 @@ def main(argv: list[str] | None = None) -> int:
         )
         return 0
 
-    t = {name: read_table(spark, name, args.tables) for name in TABLES}
     if args.cmd == "nightly":
         from .plans import run_nightly
 
         as_of = args.as_of or dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
         report_date = args.report_date or as_of[:10]
+        # Only the date folders of the night's range are listed and read; the
+        # manual variant averages congestion over all history.
+        t = {name: read_range(spark, name, args.tables, as_of, params.LOOKBACK) for name in TABLES}
+        if args.variant == "all":
+            t["congestion_index"] = read_table(spark, "congestion_index", args.tables)
         history = None
         if args.history_mode == "idempotent":
             try:
@@ -95,6 +99,7 @@ def main(argv: list[str] | None = None) -> int:
 
     from .plans.charts import chart_frames, write_charts
 
+    t = {name: read_table(spark, name, args.tables) for name in TABLES}
     write_charts(chart_frames(t["traffic_events"], t["critical_traffic"], t["congestion_index"]), args.out)
     return 0
 

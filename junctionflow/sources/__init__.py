@@ -3,7 +3,7 @@
 from .events import load_events, payloads, readings, stream_events
 from .parse import decode, parse, split
 from .streams import kafka_source, peek, text_source
-from .tables import jdbc_table, read_table, table_path, write_jdbc
+from .tables import jdbc_table, partition_days, range_start_day, read_range, read_table, table_path, write_jdbc
 
 __all__ = [
     "decode",
@@ -14,6 +14,9 @@ __all__ = [
     "payloads",
     "peek",
     "read_table",
+    "partition_days",
+    "range_start_day",
+    "read_range",
     "readings",
     "split",
     "stream_events",

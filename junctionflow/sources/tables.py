@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .. import params, schema
+from ..functions import cutoff, ts_literal
 
 # Partition column each stored table is written with (see streaming.sinks).
 PARTITION_COLUMN = {
@@ -24,6 +29,67 @@ def read_table(spark: SparkSession, name: str, base: str | None = None, fmt: str
     return spark.read.format(fmt).load(table_path(base, name))
 
 
+TABLE_SCHEMA = {
+    "traffic_events": schema.TRAFFIC_EVENTS,
+    "critical_traffic": schema.CRITICAL_TRAFFIC,
+    "congestion_index": schema.CONGESTION_INDEX,
+    "daily_peak_report": schema.DAILY_PEAK_REPORT,
+}
+
+
+def range_start_day(spark: SparkSession, as_of, lookback: str) -> str:
+    """First day (``yyyy-MM-dd``, session time zone) of ``as_of - lookback``.
+
+    One constant expression evaluated by Spark, so it uses the same zone and
+    interval syntax as the row filter of the range.
+    """
+    return spark.range(1).select(F.date_format(F.to_date(cutoff(as_of, lookback)), "yyyy-MM-dd")).first()[0]
+
+
+def partition_days(spark: SparkSession, root: str, part: str) -> list[str]:
+    """Values of the top-level date partition folders of a table (one directory listing)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    prefix = part + "="
+    names = [st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory()]
+    return sorted(n[len(prefix):] for n in names if n.startswith(prefix))
+
+
+def read_range(
+    spark: SparkSession,
+    name: str,
+    base: str,
+    as_of,
+    lookback: str = params.LOOKBACK,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Scan only the date folders a trailing range can touch.
+
+    Stream tables are laid out ``<date>=D/batch_id=N``. Reading the table root
+    makes Spark list every batch folder of every day before it prunes partitions
+    (a 10 s trigger leaves 8,640 folders a day). Here the root's date folders are
+    listed once (one level) and only days from the range's first day on are
+    handed to the reader (with ``basePath``, so the date stays a column). The
+    range keeps the nightly's lower-bound-only meaning: later days are read too.
+    Without a metastore this is the pruning a catalog table gets from its
+    partition list.
+    """
+    root = table_path(base, name)
+    part = PARTITION_COLUMN[name]
+    first = range_start_day(spark, as_of, lookback)
+    days = [d for d in partition_days(spark, root, part) if d >= first]
+    if not days:
+        fields = TABLE_SCHEMA[name].fields + [
+            T.StructField(part, T.DateType()),
+            T.StructField("batch_id", T.IntegerType()),
+        ]
+        return spark.createDataFrame([], T.StructType(fields))
+    return spark.read.format(fmt).option("basePath", root).load([f"{root}/{part}={d}" for d in days])
+
+
 def jdbc_table(
     spark: SparkSession,
     url: str,
