@@ -37,21 +37,30 @@ def cluster_conf(
     cores_per_executor: int,
     advisory_partition_bytes: str = "256m",
     state_store: str = "rocksdb",
+    state_partitions: int | None = None,
 ) -> dict[str, str]:
     """Settings for a large batch/stream deployment (pass as ``conf=`` to :func:`get_spark`).
 
-    * the initial shuffle width is a generous multiple of the cores and AQE
-      coalesces it to ``advisory_partition_bytes`` per task at run time, so the
-      same job fits a 100 GB and a 100 TB night;
+    * batch shuffles start at a generous multiple of the cores
+      (``coalescePartitions.initialPartitionNum``) and AQE coalesces them to
+      ``advisory_partition_bytes`` per task at run time, so the same job fits a
+      100 GB and a 100 TB night;
+    * streams ignore AQE and a stateful query keeps the shuffle width of its first
+      checkpoint for good, so ``spark.sql.shuffle.partitions`` is sized for the
+      window state instead (default: the cores, at most 400). Input is
+      pre-aggregated per task before that shuffle, so the state stage handles
+      (sensors x open windows) rows, not readings, and one wave of tasks per
+      micro-batch is enough; 32,000 state partitions would each load a state
+      store every 30 s;
     * file splits of 512 MB keep scan tasks few and long enough to amortise start-up;
     * AQE skew-join splitting stays on for hot sensors;
     * stateful streams keep window state in RocksDB (off-heap, spills to disk)
-      instead of the JVM heap; their shuffle width is fixed at the first
-      checkpoint, so it is set explicitly here.
+      instead of the JVM heap.
     """
     cores = max(1, executors * cores_per_executor)
     conf = {
-        "spark.sql.shuffle.partitions": str(cores * 4),
+        "spark.sql.shuffle.partitions": str(state_partitions or min(cores, 400)),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(cores * 4),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": advisory_partition_bytes,
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
         "spark.sql.files.maxPartitionBytes": "512m",

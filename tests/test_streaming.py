@@ -217,3 +217,34 @@ def test_sized_batches_write_one_file_per_date_and_release_the_cache(spark, tmp_
         assert len(glob.glob(f"{d}/batch_id=0/*.parquet")) == 1
     assert read_sink(spark, out).count() == 400
     assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
+
+
+def test_batch_and_stream_shuffle_widths_are_separate(spark, tmp_dir):
+    """cluster_conf: batch shuffles start wide (AQE coalesces); window state keeps its own width."""
+    from junctionflow.session import cluster_conf
+
+    conf = cluster_conf(executors=4, cores_per_executor=1)
+    assert conf["spark.sql.shuffle.partitions"] == "4"
+    assert conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "16"
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, conf[k])
+        batch = load_events(spark, SF_SMALL).groupBy("event_type").count()
+        assert ", 16), ENSURE_REQUIREMENTS" in batch._jdf.queryExecution().executedPlan().toString()
+        _write_files(f"{tmp_dir}/src", [[("10:01:00", 1)], [("10:20:00", 2)]])
+        accepted, _ = parse(text_source(spark, f"{tmp_dir}/src"))
+        q = start(
+            congestion_windows(accepted),
+            table_writer(f"{tmp_dir}/out", "congestion_index", persist_batch=True),
+            name=None,
+            checkpoint=f"{tmp_dir}/cp",
+            available_now=True,
+        )
+        q.awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    widths = {op["numShufflePartitions"] for p in q.recentProgress for op in p["stateOperators"]}
+    assert widths == {4}
