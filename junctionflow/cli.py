@@ -36,6 +36,11 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--available-now", action="store_true")
+    s.add_argument(
+        "--max-offsets-per-trigger",
+        type=int,
+        help="cap one micro-batch (e.g. the backlog after a restart) at this many messages",
+    )
     s.add_argument(
         "--separate-queries",
         action="store_true",
@@ -66,7 +71,7 @@ def main(argv: list[str] | None = None) -> int:
         source = (
             text_source(spark, args.json_dir)
             if args.json_dir
-            else kafka_source(spark, args.servers, args.topic, max_offsets_per_trigger=None)
+            else kafka_source(spark, args.servers, args.topic, max_offsets_per_trigger=args.max_offsets_per_trigger)
         )
         run_pipeline(
             spark, source, args.out, args.checkpoint, Triggers(),
