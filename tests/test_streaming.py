@@ -248,3 +248,35 @@ def test_batch_and_stream_shuffle_widths_are_separate(spark, tmp_dir):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     widths = {op["numShufflePartitions"] for p in q.recentProgress for op in p["stateOperators"]}
     assert widths == {4}
+
+
+def test_stateful_streams_aggregate_each_batch_before_the_state_shuffle(spark, tmp_dir):
+    """Window and tally state see pre-aggregated rows: a hot sensor adds one row per task and key."""
+    import contextlib
+    import io
+
+    from junctionflow.operators import sensor_tally
+    from junctionflow.sources.events import readings, stream_events
+
+    frames = {
+        "congestion_index": (congestion_windows(readings(stream_events(spark, SF_SMALL))), "append"),
+        "sensor_tally": (sensor_tally(readings(stream_events(spark, SF_SMALL))), "update"),
+    }
+    for table, (df, mode) in frames.items():
+        q = start(
+            df,
+            table_writer(f"{tmp_dir}/{table}", table, persist_batch=True),
+            name=None,
+            checkpoint=f"{tmp_dir}/cp_{table}",
+            available_now=True,
+            mode=mode,
+        )
+        q.awaitTermination()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            q.explain()
+        lines = buf.getvalue().splitlines()
+        i = next(k for k, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+        assert "REQUIRED_BY_STATEFUL_OPERATOR" in lines[i]
+        assert "HashAggregate" in lines[i + 1] and "partial_" in lines[i + 1], lines[i + 1]
+        assert any("StateStoreSave" in line for line in lines[:i])
