@@ -39,7 +39,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument(
         "--max-offsets-per-trigger",
         type=int,
-        help="cap one micro-batch (e.g. the backlog after a restart) at this many messages",
+        help="cap one micro-batch (e.g. the backlog after a restart) at this many topic messages (Kafka only)",
     )
     s.add_argument(
         "--separate-queries",
