@@ -38,13 +38,17 @@ def cluster_conf(
     advisory_partition_bytes: str = "256m",
     state_store: str = "rocksdb",
     state_partitions: int | None = None,
+    batch_partitions: int | None = None,
 ) -> dict[str, str]:
     """Settings for a large batch/stream deployment (pass as ``conf=`` to :func:`get_spark`).
 
-    * batch shuffles start at a generous multiple of the cores
-      (``coalescePartitions.initialPartitionNum``) and AQE coalesces them to
+    * batch shuffles start at ``batch_partitions`` (default 4x the cores,
+      ``coalescePartitions.initialPartitionNum``) and AQE coalesces them to
       ``advisory_partition_bytes`` per task at run time, so the same job fits a
-      100 GB and a 100 TB night;
+      100 GB and a 100 TB night. AQE merges partitions but only splits skewed
+      join sides, so a job that shuffles raw readings rather than partial
+      aggregates (e.g. the profile join without a broadcast) wants about
+      shuffled bytes / advisory size here;
     * streams ignore AQE and a stateful query keeps the shuffle width of its first
       checkpoint for good, so ``spark.sql.shuffle.partitions`` is sized for the
       window state instead (default: the cores, at most 400). Input is
@@ -60,7 +64,7 @@ def cluster_conf(
     cores = max(1, executors * cores_per_executor)
     conf = {
         "spark.sql.shuffle.partitions": str(state_partitions or min(cores, 400)),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(cores * 4),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(batch_partitions or cores * 4),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": advisory_partition_bytes,
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
         "spark.sql.files.maxPartitionBytes": "512m",
