@@ -35,16 +35,19 @@ def junction_count(hourly: DataFrame) -> DataFrame:
 def alert_tally(readings: DataFrame, max_speed: float = params.CRITICAL_SPEED) -> DataFrame:
     """Messages and alerts per sensor plus a grand-total row (``is_total``).
 
-    A ROLLUP over partial aggregates: each task pre-counts per sensor, so the
-    shuffle carries at most one row per sensor per task.
+    The same rows as ``ROLLUP(sensor_id)``, built from the per-sensor counts: a
+    rollup runs an Expand that emits every reading once per grouping set before
+    aggregating, while here each task pre-counts per sensor and the total is
+    summed from the (one row per sensor) result, whose shuffle Spark reuses.
     """
+    per = sensor_tally(readings, max_speed)
+    total = per.agg(
+        F.coalesce(F.sum("messages"), F.lit(0)).alias("messages"),
+        F.coalesce(F.sum("alerts"), F.lit(0)).alias("alerts"),
+    ).select(F.lit(None).cast("string").alias("sensor_id"), "messages", "alerts", F.lit(True).alias("is_total"))
     return (
-        readings.rollup("sensor_id")
-        .agg(
-            F.count(F.lit(1)).alias("messages"),
-            F.count_if(critical_filter(max_speed)).alias("alerts"),
-            F.grouping("sensor_id").cast("boolean").alias("is_total"),
-        )
+        per.withColumn("is_total", F.lit(False))
+        .unionByName(total)
         .withColumn("has_alert", F.col("alerts") > 0)
     )
 

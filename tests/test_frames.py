@@ -123,3 +123,15 @@ def test_invariants_on_driver_data(spark):
     assert tally[None].alerts == t.critical_traffic.count()
     counts = {r.tbl: r.row_count for r in table_row_counts({"r": t.traffic_events, "a": t.critical_traffic}).collect()}
     assert counts["r"] == t.readings.count()
+
+
+def test_alert_tally_total_row_like_rollup(spark):
+    """Per-sensor rows plus one total row; on empty input only the total, with zero counts (as ROLLUP)."""
+    from junctionflow.operators import alert_tally
+
+    rows = [("A", 5.0), ("A", 20.0), ("B", 30.0)]
+    df = spark.createDataFrame(rows, "sensor_id string, avg_speed double")
+    got = {(r.sensor_id, r.is_total): (r.messages, r.alerts, r.has_alert) for r in alert_tally(df).collect()}
+    assert got == {("A", False): (2, 1, True), ("B", False): (1, 0, False), (None, True): (3, 1, True)}
+    empty = alert_tally(df.limit(0)).collect()
+    assert [(r.sensor_id, r.messages, r.alerts, r.is_total, r.has_alert) for r in empty] == [(None, 0, 0, True, False)]
