@@ -18,7 +18,16 @@ TABLES = ("traffic_events", "critical_traffic", "congestion_index")
 
 
 def _spark(args):
-    conf = cluster_conf(args.executors, args.cores) if args.executors else None
+    conf = (
+        cluster_conf(
+            args.executors,
+            args.cores,
+            state_partitions=args.state_partitions,
+            batch_partitions=args.batch_partitions,
+        )
+        if args.executors
+        else None
+    )
     return get_spark(master=args.master, conf=conf)
 
 
@@ -27,6 +36,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--master")
     p.add_argument("--executors", type=int, default=0, help="size settings for this many executors")
     p.add_argument("--cores", type=int, default=8, help="cores per executor")
+    p.add_argument("--state-partitions", type=int, help="shuffle width of the window state (fixed at its first checkpoint)")
+    p.add_argument("--batch-partitions", type=int, help="initial batch shuffle width before AQE coalesces")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     s = sub.add_parser("stream", help="speed layer: topic (or JSON folder) -> three tables")
