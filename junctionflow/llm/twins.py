@@ -42,7 +42,27 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS
 FROM j GROUP BY rid, doc_id
 """
 
+GROUPS = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM {docs}),
+g AS (
+  SELECT DISTINCT rid, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+                                   WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS gram
+  FROM d),
+n AS (SELECT rid, count(*) AS n FROM g GROUP BY rid),
+pairs AS (SELECT x.rid AS a, y.rid AS b, count(*) AS c FROM g x JOIN g y ON x.gram = y.gram AND x.rid < y.rid GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n na ON na.rid = a JOIN n nb ON nb.rid = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT rid AS a, rid AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON l.a = r.b)
+SELECT x.doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(y.doc_id) AS component_id
+FROM d x JOIN reach r ON r.a = x.rid JOIN d y ON y.rid = r.b LEFT JOIN n ON n.rid = x.rid
+GROUP BY x.rid, x.doc_id
+"""
+
 SQL: dict[str, str] = {
+    "op1_ngram_join": GROUPS.replace("{docs}", "documents"),
     "op2_mix_sources": MIX.replace("{docs}", "documents"),
     "op4_line_dedup": LINES.replace("{docs}", "documents"),
 }
