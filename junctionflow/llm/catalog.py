@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, mixing, ngram_join
+from . import decontam, linededup, mixing, ngram_join
 from ._store import load
 from .twins import SQL
 
@@ -31,10 +31,23 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mix_sources": op2_mix_sources,
     "op4_line_dedup": op4_line_dedup,
+    "op6_decontamination": op6_decontamination,
 }
 
 ORACLE: dict[str, str] = {k: SQL[k] for k in QUERIES if k in SQL}

@@ -61,7 +61,31 @@ FROM d x JOIN reach r ON r.a = x.rid JOIN d y ON y.rid = r.b LEFT JOIN n ON n.ri
 GROUP BY x.rid, x.doc_id
 """
 
+LEAKS = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM {docs}),
+b AS (
+  SELECT item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM {items} WHERE item_id IS NOT NULL),
+win AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS width, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS w
+  FROM (SELECT *, unnest(range(1, greatest(len(ws) - 8, 2))) AS i FROM b WHERE len(ws) > 0)),
+dw AS (
+  SELECT rid, width, i, array_to_string(ws[i:i + width - 1], ' ') AS w
+  FROM (SELECT *, unnest(range(1, len(ws) - width + 2)) AS i FROM d, (SELECT DISTINCT width FROM win))),
+hit AS (SELECT DISTINCT rid, i, width, item_id FROM dw JOIN win USING (w, width)),
+cover AS (SELECT rid, count(DISTINCT i + k) AS n FROM (SELECT rid, i, unnest(range(width)) AS k FROM hit) GROUP BY rid),
+found AS (SELECT rid, count(DISTINCT item_id) AS n, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY rid)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(cover.n, 0)::BIGINT AS n_hit, coalesce(found.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(found.ids, '')) AS items_sha256, coalesce(cover.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN cover USING (rid) LEFT JOIN found USING (rid)
+"""
+
 SQL: dict[str, str] = {
+    "op6_decontamination": LEAKS.replace("{docs}", "documents").replace("{items}", "benchmark"),
     "op1_ngram_join": GROUPS.replace("{docs}", "documents"),
     "op2_mix_sources": MIX.replace("{docs}", "documents"),
     "op4_line_dedup": LINES.replace("{docs}", "documents"),
