@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linededup, mixing, ngram_join
+from . import decontam, linededup, mixing, ngram_join, substring
 from ._store import load
 from .twins import SQL
 
@@ -43,11 +43,23 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.dedup_substrings(load(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mix_sources": op2_mix_sources,
     "op4_line_dedup": op4_line_dedup,
     "op6_decontamination": op6_decontamination,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
 }
 
 ORACLE: dict[str, str] = {k: SQL[k] for k in QUERIES if k in SQL}
