@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linededup, mixing, ngram_join, substring
+from . import decontam, linededup, mixing, ngram_join, substring, units
 from ._store import load
 from .twins import SQL
 
@@ -54,12 +54,24 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = units.dedup_units(load(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_units",
+        F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(F.transform("removed", lambda s: F.concat_ws("-", s["start"], s["end"])), ",").alias("removed"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mix_sources": op2_mix_sources,
     "op4_line_dedup": op4_line_dedup,
     "op6_decontamination": op6_decontamination,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op9_line_hashing": op9_line_hashing,
 }
 
 ORACLE: dict[str, str] = {k: SQL[k] for k in QUERIES if k in SQL}

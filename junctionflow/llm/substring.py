@@ -102,7 +102,7 @@ def _spans_of(rows: DataFrame, classes: DataFrame) -> DataFrame:
 def _fetched(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """(h, doc_id, s, off, n, k, body): wanted segments with their bytes."""
     lists = wanted.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("h", "g", "s", "off", "n", "k")).alias("wants"))
-    rows = _packed(docs).join(lists, F.col("doc_id") == F.col("id")).select("doc_id", "body", "wants")
+    rows = packed_texts(docs).join(lists, F.col("doc_id") == F.col("id")).select("doc_id", "body", "wants")
     schema = "h long, doc_id long, s int, off int, n int, k long, body binary"
 
     def cut(batches):
@@ -126,7 +126,7 @@ def _fetched(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(cut, schema).dropDuplicates(["h", "doc_id", "s", "off", "n"])
 
 
-def _packed(docs: DataFrame) -> DataFrame:
+def packed_texts(docs: DataFrame) -> DataFrame:
     """(doc_id, body): texts compressed for the shuffle."""
 
     def pack(batches):
@@ -262,9 +262,10 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, **params) -> DataFra
     Removes each byte covered by a string of ``length`` bytes that also starts
     earlier: in a document with a smaller id, or earlier in the same document.
     """
-    spans = repeated_spans(docs, length, **params)
+    # Dealt by document right after the joins, so that a hot segment's join partition can be split.
+    spans = repeated_spans(docs, length, **params).repartition("doc_id")
     lists = spans.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("lo", "hi")).alias("cuts"))
-    rows = _packed(docs).join(lists, F.col("doc_id") == F.col("id"), "left").select("doc_id", "body", "cuts")
+    rows = packed_texts(docs).join(lists, F.col("doc_id") == F.col("id"), "left").select("doc_id", "body", "cuts")
     schema = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 

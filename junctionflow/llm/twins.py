@@ -84,7 +84,25 @@ SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(cover.n, 0)::BIGINT AS n
 FROM d LEFT JOIN cover USING (rid) LEFT JOIN found USING (rid)
 """
 
+UNITS = r"""
+WITH l AS (
+  SELECT rid, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos
+  FROM (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM {docs})),
+o AS (
+  SELECT *, (sum(length(line) + 1) OVER (PARTITION BY rid ORDER BY pos) - length(line) - 1)::BIGINT AS st,
+         regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM l),
+k AS (SELECT *, CASE WHEN len(ws) >= 8 AND doc_id IS NOT NULL THEN array_to_string(ws, ' ') END AS key FROM o),
+f AS (SELECT key, min((doc_id, st)) AS first FROM k WHERE key IS NOT NULL GROUP BY key),
+j AS (SELECT k.*, (f.first IS NOT NULL AND (k.doc_id, k.st) > f.first) IS TRUE AS gone FROM k LEFT JOIN f USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_units, (count(*) FILTER (gone))::BIGINT AS n_removed,
+       coalesce(string_agg(st || '-' || (st + length(line)), ',' ORDER BY st) FILTER (gone), '') AS removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY rid, doc_id
+"""
+
 SQL: dict[str, str] = {
+    "op9_line_hashing": UNITS.replace("{docs}", "documents"),
     "op6_decontamination": LEAKS.replace("{docs}", "documents").replace("{items}", "benchmark"),
     "op1_ngram_join": GROUPS.replace("{docs}", "documents"),
     "op2_mix_sources": MIX.replace("{docs}", "documents"),
