@@ -76,7 +76,9 @@ def line_decisions(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
     pairs = written(found.distinct(), "line-suspects")
     exact = pairs.groupBy("line").agg(F.count("*").alias("docs"), F.max("doc_id").alias("holder")).filter(F.col("docs") >= min_docs)
     lost = pairs.alias("p").join(exact.alias("e"), "line").filter("p.doc_id <> e.holder")
-    return levels, lost.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list("line").alias("__drop"))
+    # Dealt by document right after the join, so that a hot line's join partition can be split.
+    lost = lost.select(F.col("doc_id").alias("__id"), "line").repartition("__id")
+    return levels, lost.groupBy("__id").agg(F.collect_list("line").alias("__drop"))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, log2: int = 28) -> DataFrame:
