@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linededup, mixing, ngram_join, substring, units
+from . import decontam, linededup, lm, mixing, ngram_join, substring, units
 from ._store import load
 from .twins import SQL
 
@@ -31,6 +31,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(load(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
     return found.select(
@@ -69,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mix_sources": op2_mix_sources,
     "op4_line_dedup": op4_line_dedup,
+    "op5_lattice_lm": op5_lattice_lm,
     "op6_decontamination": op6_decontamination,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_line_hashing": op9_line_hashing,
