@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -33,6 +34,14 @@ class Levels:
     def __init__(self, packed: np.ndarray, log2: int, probes: int):
         self.packed, self.log2, self.probes = packed, log2, probes
 
+    def __getstate__(self):
+        # Compressed where it is sent or stored: a sparse sketch is mostly zeros.
+        return zstandard.ZstdCompressor(level=1).compress(self.packed.tobytes()), self.log2, self.probes
+
+    def __setstate__(self, state):
+        self.packed = np.frombuffer(zstandard.ZstdDecompressor().decompress(state[0]), np.uint8)
+        self.log2, self.probes = state[1:]
+
     def of(self, h: np.ndarray) -> np.ndarray:
         out = None
         for k in range(self.probes):
