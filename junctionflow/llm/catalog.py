@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linededup, lm, mixing, ngram_join, substring, units
+from . import decontam, linededup, lm, mixing, ngram_join, quality, substring, toxicity, units
 from ._store import load
 from .twins import SQL
 
@@ -22,6 +22,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(load(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(load(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -69,14 +73,20 @@ def op9_line_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mix_sources": op2_mix_sources,
+    "op3_toxicity": op3_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op5_lattice_lm": op5_lattice_lm,
     "op6_decontamination": op6_decontamination,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_line_hashing": op9_line_hashing,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {k: SQL[k] for k in QUERIES if k in SQL}
