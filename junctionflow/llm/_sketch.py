@@ -29,20 +29,26 @@ _ROW = pa.schema([("part", pa.int32()), ("fan", pa.int32()), ("dense", pa.bool_(
 
 
 class Levels:
-    """Packed levels: 0 for at most 1 occurrence, 1 for 2 to 3, 2 for 4 to 14, 3 for more."""
+    """Packed levels: 0 for at most 1 occurrence, 1 for 2 to 3, 2 for 4 to 14, 3 for more.
 
-    def __init__(self, packed: np.ndarray, log2: int, probes: int):
-        self.packed, self.log2, self.probes = packed, log2, probes
+    Parts stay compressed (a sparse sketch is mostly zeros) until a worker first
+    asks; the driver only passes them on.
+    """
 
-    def __getstate__(self):
-        # Compressed where it is sent or stored: a sparse sketch is mostly zeros.
-        return zstandard.ZstdCompressor(level=1).compress(self.packed.tobytes()), self.log2, self.probes
+    def __init__(self, parts: dict[int, bytes], log2: int, probes: int):
+        self.parts, self.log2, self.probes = parts, log2, probes
+        self.packed: np.ndarray | None = None
 
-    def __setstate__(self, state):
-        self.packed = np.frombuffer(zstandard.ZstdDecompressor().decompress(state[0]), np.uint8)
-        self.log2, self.probes = state[1:]
+    def _unpack(self) -> None:
+        self.packed = np.zeros(1 << (self.log2 - 2), np.uint8)
+        size, unzip = len(self.packed) // RANGES, zstandard.ZstdDecompressor()
+        for part, body in self.parts.items():
+            self.packed[part * size :][:size] = np.frombuffer(unzip.decompress(body), np.uint8)
+        self.parts = {}
 
     def of(self, h: np.ndarray) -> np.ndarray:
+        if self.packed is None:
+            self._unpack()
         out = None
         for k in range(self.probes):
             slot = _slots(h, k, self.log2)
@@ -136,7 +142,8 @@ def count_levels(
             for (r, f), c in counts.items():
                 if last:
                     lv = ((c > 1).astype(np.uint8) + (c > 3) + (c >= FULL)).reshape(-1, 4)
-                    row = True, (lv[:, 0] | (lv[:, 1] << 2) | (lv[:, 2] << 4) | (lv[:, 3] << 6)).tobytes()
+                    packed = (lv[:, 0] | (lv[:, 1] << 2) | (lv[:, 2] << 4) | (lv[:, 3] << 6)).tobytes()
+                    row = True, zstandard.ZstdCompressor(level=1).compress(packed)
                 else:
                     row = _dump(c)
                 yield pa.record_batch([pa.array([x], t.type) for x, t in zip((r, f, *row), _ROW)], schema=_ROW)
@@ -145,10 +152,8 @@ def count_levels(
 
     parts = df.mapInArrow(sow, ROW).repartition(RANGES, "part", "fan").mapInArrow(reap(False), ROW)
     whole = parts.repartition(RANGES, "part").mapInArrow(reap(True), ROW).select("part", "payload")
-    packed = np.zeros(1 << (log2 - 2), np.uint8)
-    for row in whole.collect():  # RANGES rows, 2**(log2 - 2) bytes together
-        packed[row.part * width // 4 :][: width // 4] = np.frombuffer(row.payload, np.uint8)
-    return Levels(packed, log2, probes)
+    # RANGES rows, at most 2**(log2 - 2) bytes together.
+    return Levels({row.part: bytes(row.payload) for row in whole.collect()}, log2, probes)
 
 
 def broadcast(df: DataFrame, levels: Levels):
