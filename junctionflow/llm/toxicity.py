@@ -40,7 +40,7 @@ TERMS, LEXICONS = 512, 24
 LEAST_DOCS, LEAST_Z = 4, 4.0
 #: How often the labels of the sample, a voter like the others, are taken to be wrong.
 LABEL_NOISE = 0.02
-BEGINNINGS = (3, 4, 5, 6)
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
 EDGES = b".,;:!?\"'()[]{}<>|*#$%&-_"
 #: Words that a task remembers the terms of; a full memory starts anew.
 REMEMBERED = 300_000
