@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linededup, lm, mixing, ngram_join, quality, substring, toxicity, units
+from . import ann, decontam, linededup, lm, mixing, ngram_join, quality, substring, toxicity, units
 from ._store import load
 from .twins import SQL
 
@@ -51,6 +52,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(load(spark, sf_dir, "embeddings"))
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.dedup_substrings(load(spark, sf_dir, "documents"))
     return found.select(
@@ -84,9 +89,13 @@ QUERIES: dict[str, Query] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_lattice_lm": op5_lattice_lm,
     "op6_decontamination": op6_decontamination,
+    "op7_multi_index": op7_multi_index,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_line_hashing": op9_line_hashing,
     "op10_quality": op10_quality,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {k: SQL[k] for k in QUERIES if k in SQL}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
