@@ -75,6 +75,8 @@ def line_decisions(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
     # Rows that share an id count once: first one row an (line, id), then one a line.
     pairs = written(found.distinct(), "line-suspects")
     exact = pairs.groupBy("line").agg(F.count("*").alias("docs"), F.max("doc_id").alias("holder")).filter(F.col("docs") >= min_docs)
+    # Written, so that the join has a plain shuffle on both sides and a hot line's partition can be split.
+    exact = written(exact, "repeated-lines")
     lost = pairs.alias("p").join(exact.alias("e"), "line").filter("p.doc_id <> e.holder")
     # Dealt by document right after the join, so that a hot line's join partition can be split.
     lost = lost.select(F.col("doc_id").alias("__id"), "line").repartition("__id")
