@@ -51,7 +51,9 @@ def repeated_units(docs: DataFrame, separator: str = "\n", min_words: int = MIN_
     slim = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     units = written(slim.mapInArrow(hashed, "unit binary, doc_id long, start long, end long"), "units")
     first = units.groupBy(F.col("unit").alias("u")).agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("times"))
-    later = units.join(first.filter("times > 1"), F.col("unit") == F.col("u")).filter(F.struct("doc_id", "start") > F.col("first"))
+    # Written, so that the join has a plain shuffle on both sides and a hot unit's partition can be split.
+    first = written(first.filter("times > 1"), "first-units")
+    later = units.join(first, F.col("unit") == F.col("u")).filter(F.struct("doc_id", "start") > F.col("first"))
     return later.select("doc_id", "start", "end")
 
 
