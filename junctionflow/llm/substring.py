@@ -94,7 +94,8 @@ def segments(col, length: int) -> Iterator[tuple[np.ndarray, ...]]:
 
 def _spans_of(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Intervals (doc_id, lo, hi) of windows of repeated segments: all but the first of each class."""
-    c = classes.filter("times > 1").select(F.col("h").alias("ch"), F.col("g").alias("cg"), "first")
+    # Written, so that the join has a plain shuffle on both sides and a hot segment's partition can be split.
+    c = written(classes.filter("times > 1").select(F.col("h").alias("ch"), F.col("g").alias("cg"), "first"), "repeated-segments")
     later = rows.join(c, (F.col("h") == F.col("ch")) & (F.col("g") == F.col("cg"))).filter(F.struct("doc_id", "s") > F.col("first"))
     return later.select("doc_id", F.col("s").alias("lo"), (F.col("s") + F.col("n")).alias("hi"))
 
@@ -223,7 +224,7 @@ def _grouped_spans(fetched: DataFrame, length: int) -> DataFrame:
 
     windows = written(fetched.mapInArrow(explode, "a long, b long, doc_id long, p int"), "windows")
     first = windows.groupBy("a", "b").agg(F.min(F.struct("doc_id", "p")).alias("first"), F.count("*").alias("times")).filter("times > 1")
-    f = first.toDF("fa", "fb", "first", "times")
+    f = written(first.toDF("fa", "fb", "first", "times"), "repeated-windows")
     late = windows.join(f, (F.col("a") == F.col("fa")) & (F.col("b") == F.col("fb"))).filter(F.struct("doc_id", "p") > F.col("first"))
     return late.select("doc_id", F.col("p").alias("lo"), (F.col("p") + 1).alias("hi"))
 
