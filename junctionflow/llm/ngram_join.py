@@ -146,7 +146,8 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         .filter("members > 1")
         .select("gram", "hub.*")
     )
-    i, h = index.alias("i"), hubs.alias("h")
+    # Written, so that the join has a plain shuffle on both sides and a hot shingle's partition can be split.
+    i, h = index.alias("i"), written(hubs, "shingle-hubs").alias("h")
     star = i.join(h, F.col("i.gram") == F.col("h.gram")).filter((F.col("i.set") != F.col("h.set")) & _may_link("i", "h", percent))
     star = written(star.select(*_ordered("i", "h")).distinct(), "star-pairs")
     links = written(_verified(star, classes, percent), "star-links")
@@ -158,7 +159,8 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     labelled = written(labelled, "labelled-index")
     parts = labelled.groupBy("gram", "part").agg(F.count("*").alias("c"))
     open_ = parts.groupBy("gram").agg(F.max(F.struct("c", "part")).alias("top"), F.count("*").alias("k")).filter("k > 1")
-    left = written(labelled.join(open_.select("gram", F.col("top.part").alias("main")), "gram"), "open-index")
+    open_ = written(open_.select("gram", F.col("top.part").alias("main")), "open-shingles")
+    left = written(labelled.join(open_, "gram"), "open-index")
     x, y = left.filter("part <> main").alias("x"), left.alias("y")
     rest = x.join(y, F.col("x.gram") == F.col("y.gram")).filter(
         (F.col("x.part") != F.col("y.part"))
