@@ -72,22 +72,29 @@ class Lattice:
         self.pieces, self.log_end = pieces, math.log(end)
         self.logs = np.log(weights / weights.sum() * (1 - end))
         self.longest = max(map(len, pieces), default=1)
-        keys = self._hash(pieces)
-        size = 1 << max(4, (8 * len(pieces)).bit_length())
+        self._place(self._hash(pieces).tolist())
+
+    def _place(self, hashes: list[int]) -> None:
+        """A cuckoo table: every hash stands in one of its two slots; a new one may push others to their second slot."""
+        size = 1 << max(4, (4 * len(hashes)).bit_length())
         while True:
-            self.keys, self.ids = np.zeros(size, U64), np.full(size, -1, np.int32)
-            for k, h in enumerate(keys.tolist()):
-                at = next((x for x in self._slots(h, size) if self.ids[x] < 0), None)
-                if at is None:
+            slots: dict[int, int] = {}
+            for k in range(len(hashes)):
+                at = hashes[k] & (size - 1)
+                for _ in range(200):
+                    k, slots[at] = slots.get(at, -1), k
+                    if k < 0:
+                        break
+                    one, two = hashes[k] & (size - 1), (hashes[k] >> 32) & (size - 1)
+                    at = two if at == one else one
+                else:
                     break
-                self.keys[at], self.ids[at] = h, 256 + k
             else:
-                return
+                break
             size *= 2
-
-    @staticmethod
-    def _slots(h, size: int):
-        return h & (size - 1), (h >> 32) & (size - 1)
+        self.keys, self.ids = np.zeros(size, U64), np.full(size, -1, np.int32)
+        for at, k in slots.items():
+            self.keys[at], self.ids[at] = hashes[k], 256 + k
 
     @staticmethod
     def _hash(words: list[bytes]) -> np.ndarray:
