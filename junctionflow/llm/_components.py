@@ -28,13 +28,11 @@ def components(links: DataFrame) -> DataFrame:
 
     Nodes may be of any ordered type; self links and repeats are allowed, null nodes are not.
     """
-    now = written(
-        links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "links"
-    )
+    now = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     state = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     mark = state(now)
     while True:
-        now = written(_star(_star(now, True), False), "stars")
+        now = written(_star(_star(now, True), False), "stars", mark[0])
         new = state(now)
         if new == mark:
             break

@@ -7,9 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from junctionflow.session import scratch_path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a parquet table in the shared folder and read it back: cuts lineage, survives lost executors."""
+#: Rows of narrow tables (ids, hashes) that one task writes to one file.
+ROWS_PER_FILE = 500_000
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write df as a parquet table in the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``rows``, where the caller knows about how many narrow rows there are, sets
+    the number of files; else there is one a task.
+    """
     path = scratch_path(df.sparkSession, "llm", name)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

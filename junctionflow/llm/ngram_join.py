@@ -140,6 +140,7 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         ),
         "shingle-index",
     )
+    size = index.count()
     hubs = (
         index.groupBy("gram")
         .agg(F.min(F.struct("set", "n", "pos")).alias("hub"), F.count("*").alias("members"))
@@ -147,20 +148,20 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         .select("gram", "hub.*")
     )
     # Written, so that the join has a plain shuffle on both sides and a hot shingle's partition can be split.
-    i, h = index.alias("i"), written(hubs, "shingle-hubs").alias("h")
+    i, h = index.alias("i"), written(hubs, "shingle-hubs", size // 2).alias("h")
     star = i.join(h, F.col("i.gram") == F.col("h.gram")).filter((F.col("i.set") != F.col("h.set")) & _may_link("i", "h", percent))
-    star = written(star.select(*_ordered("i", "h")).distinct(), "star-pairs")
-    links = written(_verified(star, classes, percent), "star-links")
+    star = written(star.select(*_ordered("i", "h")).distinct(), "star-pairs", size)
+    links = written(_verified(star, classes, percent), "star-links", size)
     label = components(links)
 
     # Shingles whose members are still in several components: all of them but the
     # largest component's meet the whole list.
     labelled = index.join(label, index["set"] == label["node"], "left").select("gram", "set", "n", "pos", F.coalesce("component", "set").alias("part"))
-    labelled = written(labelled, "labelled-index")
+    labelled = written(labelled, "labelled-index", size)
     parts = labelled.groupBy("gram", "part").agg(F.count("*").alias("c"))
     open_ = parts.groupBy("gram").agg(F.max(F.struct("c", "part")).alias("top"), F.count("*").alias("k")).filter("k > 1")
-    open_ = written(open_.select("gram", F.col("top.part").alias("main")), "open-shingles")
-    left = written(labelled.join(open_, "gram"), "open-index")
+    open_ = written(open_.select("gram", F.col("top.part").alias("main")), "open-shingles", size // 2)
+    left = written(labelled.join(open_, "gram"), "open-index", size)
     x, y = left.filter("part <> main").alias("x"), left.alias("y")
     rest = x.join(y, F.col("x.gram") == F.col("y.gram")).filter(
         (F.col("x.part") != F.col("y.part"))
@@ -168,7 +169,7 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         & _may_link("x", "y", percent)
     )
     rest = rest.select(*_ordered("x", "y")).distinct().join(star, ["a", "b"], "left_anti")
-    more = written(_verified(rest, classes, percent), "more-links")
+    more = written(_verified(rest, classes, percent), "more-links", size)
     label = components(links.unionByName(more))
 
     named = classes.select("set", "rep").join(label, F.col("set") == F.col("node"), "left")
