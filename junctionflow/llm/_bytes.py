@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Bytes hashed at a time; only a longer word makes a piece longer.
-PIECE = 1 << 20
+PIECE = 1 << 19
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

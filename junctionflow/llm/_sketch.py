@@ -63,7 +63,7 @@ def _slots(h: np.ndarray, probe: int, log2: int) -> np.ndarray:
 
 def _gaps(slots: np.ndarray) -> bytes:
     """Sorted slots as gaps in base 255; byte 255 carries on."""
-    d = np.diff(slots.astype(np.int64), prepend=0)
+    d = np.diff(slots, prepend=0)
     over = d // 255
     out = np.full(int(over.sum()) + len(d), 255, np.uint8)
     out[np.cumsum(over + 1) - 1] = d % 255
@@ -111,18 +111,19 @@ def count_levels(
         held: list[np.ndarray] = []
 
         def flush():
-            slots = np.sort(np.concatenate(held))
+            slots = np.concatenate(held)
+            slots.sort()
             at = np.searchsorted(slots, np.arange(RANGES + 1, dtype=np.int64) * width)
             parts = [r for r in range(RANGES) if at[r] < at[r + 1]]
             held.clear()
-            cols = [parts, [mine] * len(parts), [False] * len(parts), [_gaps(slots[at[r] : at[r + 1]] - r * width) for r in parts]]
+            cols = [parts, [mine] * len(parts), [False] * len(parts), [_gaps(slots[at[r] : at[r + 1]].astype(np.int64) - r * width) for r in parts]]
             return pa.record_batch([pa.array(c, f.type) for c, f in zip(cols, _ROW)], schema=_ROW)
 
         n = 0
         for batch in batches:
             for h in hashes_of(batch):
                 for k in range(probes):
-                    held.append(_slots(h, k, log2).astype(np.int64))
+                    held.append(_slots(h, k, log2).astype(np.uint32))
                 n += len(h) * probes
                 if n >= HELD:
                     yield flush()
@@ -132,26 +133,33 @@ def count_levels(
 
     def reap(last: bool):
         def run(batches):
-            counts: dict[tuple[int, int], np.ndarray] = {}
-            for batch in batches:
-                for r, f, dense, payload in zip(*(batch.column(i) for i in range(4))):
-                    key = (r.as_py(), -1 if last else f.as_py())
-                    if key not in counts:
-                        counts[key] = np.zeros(width, np.uint8)
-                    _add(counts[key], dense.as_py(), payload.as_buffer())
-            for (r, f), c in counts.items():
+            key, c = None, np.zeros(width, np.uint8)
+
+            def out():
+                r, f = key
                 if last:
                     lv = ((c > 1).astype(np.uint8) + (c > 3) + (c >= FULL)).reshape(-1, 4)
                     packed = (lv[:, 0] | (lv[:, 1] << 2) | (lv[:, 2] << 4) | (lv[:, 3] << 6)).tobytes()
                     row = True, zstandard.ZstdCompressor(level=1).compress(packed)
                 else:
                     row = _dump(c)
-                yield pa.record_batch([pa.array([x], t.type) for x, t in zip((r, f, *row), _ROW)], schema=_ROW)
+                return pa.record_batch([pa.array([x], t.type) for x, t in zip((r, f, *row), _ROW)], schema=_ROW)
+
+            for batch in batches:  # sorted: one range is counted at a time
+                for r, f, dense, payload in zip(*(batch.column(i) for i in range(4))):
+                    now = (r.as_py(), -1 if last else f.as_py())
+                    if now != key:
+                        if key is not None:
+                            yield out()
+                        key, c[:] = now, 0
+                    _add(c, dense.as_py(), payload.as_buffer())
+            if key is not None:
+                yield out()
 
         return run
 
-    parts = df.mapInArrow(sow, ROW).repartition(RANGES, "part", "fan").mapInArrow(reap(False), ROW)
-    whole = parts.repartition(RANGES, "part").mapInArrow(reap(True), ROW).select("part", "payload")
+    parts = df.mapInArrow(sow, ROW).repartition(RANGES, "part", "fan").sortWithinPartitions("part", "fan").mapInArrow(reap(False), ROW)
+    whole = parts.repartition(RANGES, "part").sortWithinPartitions("part").mapInArrow(reap(True), ROW).select("part", "payload")
     # RANGES rows, at most 2**(log2 - 2) bytes together.
     return Levels({row.part: bytes(row.payload) for row in whole.collect()}, log2, probes)
 

@@ -24,6 +24,8 @@ from ._sketch import broadcast, count_levels
 from ._store import written
 
 MIN_CHARS, MIN_DOCS = 40, 5
+#: Slots of the sketch, as a power of 2.
+LOG2 = 26
 
 
 def _text(value) -> bytes:
@@ -44,7 +46,7 @@ def _hash(digests) -> np.ndarray:
     return np.frombuffer(b"".join(digests), np.uint64)[::2].copy()
 
 
-def line_decisions(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, log2: int = 28):
+def line_decisions(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, log2: int = LOG2):
     """(levels, decisions): decisions are rows (__id, __drop: digests of the lines that this document loses)."""
     slim = docs.select("doc_id", "text")
 
@@ -83,7 +85,7 @@ def line_decisions(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
     return levels, lost.groupBy("__id").agg(F.collect_list("line").alias("__drop"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, log2: int = 28) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, log2: int = LOG2) -> DataFrame:
     """docs with their kept text, plus ``__n_lines`` (before) and ``__n_dropped``.
 
     Lines of which the key (ASCII white space stripped at both ends, A-Z

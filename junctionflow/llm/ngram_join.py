@@ -38,6 +38,8 @@ WIDTH = 5
 PERCENT = 75
 #: Buckets of the suffix filter.
 BUCKETS = 32
+#: Documents of one batch of a task's output.
+TOGETHER = 1000
 ROW = "doc_id long, n long, set binary, free int, grams array<long>, counts array<short>"
 
 
@@ -60,7 +62,7 @@ def _sets(docs: DataFrame, width: int, percent: int, log2: int) -> DataFrame:
 
     def rows(batches):
         seen = levels.value
-        for batch in batches:
+        for batch in (b.slice(k, TOGETHER) for b in batches for k in range(0, b.num_rows, TOGETHER)):
             n, key, free, grams, counts = [], [], [], [], []
             for s in shingle_sets(batch.column(1), width):
                 n.append(len(s))

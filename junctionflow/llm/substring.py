@@ -39,6 +39,8 @@ from ._sketch import broadcast, count_levels
 from ._store import written
 
 LENGTH, SEED = 100, 32
+#: Slots of the sketch, as a power of 2.
+LOG2 = 27
 #: Different segments of one anchor from which on its windows are grouped instead of sorted.
 MANY = 4096
 #: Segments that a task orders together (always whole anchors).
@@ -229,7 +231,7 @@ def _grouped_spans(fetched: DataFrame, length: int) -> DataFrame:
     return late.select("doc_id", F.col("p").alias("lo"), (F.col("p") + 1).alias("hi"))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, log2: int = 28, many: int = MANY) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, log2: int = LOG2, many: int = MANY) -> DataFrame:
     """(doc_id, lo, hi): starts lo <= p < hi of windows that also start earlier; not merged."""
     slim = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     levels = broadcast(docs, count_levels(slim, lambda b: (x[4] for x in segments(b.column(1), length)), log2=log2, probes=2))

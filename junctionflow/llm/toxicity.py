@@ -43,7 +43,9 @@ LABEL_NOISE = 0.02
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 EDGES = b".,;:!?\"'()[]{}<>|*#$%&-_"
 #: Words that a task remembers the terms of; a full memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
+#: Terms that a task counts before it passes them on.
+HELD = 200_000
 PATTERNS = ("capitals", "exclamations", "questions", "digits", "symbols", "short")
 
 
@@ -72,16 +74,23 @@ def mined_terms(sample: DataFrame, terms: int = TERMS) -> list[tuple[str, int, i
     """(term, toxic documents, other documents) of the terms that tell most about the label."""
 
     def count(batches):
+        seen = (Counter(), Counter())
+
+        def flush():
+            words = [*(seen[0].keys() | seen[1].keys())]
+            cols = [pa.array(words, pa.string()), *(pa.array([s[w] for w in words], pa.int64()) for s in (seen[1], seen[0]))]
+            seen[0].clear(), seen[1].clear()
+            return pa.record_batch(cols, names=["term", "p", "n"])
+
         for batch in batches:
-            seen = (Counter(), Counter())
             for text, y in zip(batch.column(0), batch.column(1).to_pylist()):
                 found: set[str] = set()
                 for token in tokens_of(text):
                     found.update(terms_of(token))
                 seen[y > 0].update(found)
-            words = [*(seen[0] | seen[1])]
-            cols = [pa.array(words, pa.string()), *(pa.array([s[w] for w in words], pa.int64()) for s in (seen[1], seen[0]))]
-            yield pa.record_batch(cols, names=["term", "p", "n"])
+                if len(seen[0]) + len(seen[1]) > HELD:
+                    yield flush()
+        yield flush()
 
     total = sample.agg(F.sum("y"), F.count("*")).first()
     pos, neg = int(total[0] or 0), int(total[1]) - int(total[0] or 0)
