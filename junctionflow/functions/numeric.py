@@ -17,15 +17,16 @@ SNAP = "decimal(38,10)"
 
 
 def round_half_up(col: Column | str, scale: int) -> Column:
-    """Decimal-snapped half-up rounding; NULL for NULL, NaN or infinity."""
-    return F.round(as_col(col).try_cast(SNAP), scale).cast("double")
+    """Decimal-snapped half-up rounding; NULL for NULL, NaN or infinity.
+
+    From 2**53 on a double has no fraction to round and is returned as it is
+    (the decimal would overflow from 1e28 on).
+    """
+    x = as_col(col).cast("double")
+    whole = (F.abs(x) >= F.lit(2.0**53)) & (F.abs(x) < F.lit(float("inf")))
+    return F.when(whole, x).otherwise(F.round(as_col(col).try_cast(SNAP), scale).cast("double"))
 
 
 def safe_div(num: Column | str, den: Column | str) -> Column:
     """Division that yields NULL (not an ANSI error, not infinity) on a zero divisor."""
     return F.try_divide(as_col(num).cast("double"), as_col(den).cast("double"))
-
-
-def round_sql(expr: str, scale: int) -> str:
-    """SQL text of :func:`round_half_up` for oracle queries."""
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,10)), {scale}) AS DOUBLE)"

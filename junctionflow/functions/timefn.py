@@ -30,6 +30,11 @@ def ts_literal(value) -> Column:
     return F.lit(str(value)).cast("timestamp")
 
 
+def now_text(spark) -> str:
+    """The session's clock as text in the session time zone (never the Python process zone)."""
+    return spark.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")).first()[0]
+
+
 def date_literal(value) -> Column:
     if value is None:
         return F.current_date()

@@ -29,7 +29,6 @@ from .monitor import (
     first_n_alerts,
     junction_count,
     latest_alerts,
-    latest_tally,
     profile_summary,
     retain,
     sensor_profile_check,
@@ -37,6 +36,7 @@ from .monitor import (
     table_row_counts,
     top_congestion_windows,
 )
+from .rollup import day_rollup, night_rollup, rollup_alerts, rollup_congestion, rollup_hourly
 from .windows import congestion_windows, readings_for_windows_since
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -1,5 +1,5 @@
 """Monitoring and housekeeping operators (row counts, top-k checks, retention,
-the simulator's profile check, alert cap and tally)."""
+the profile check, first alerts and tally)."""
 
 from __future__ import annotations
 
@@ -12,10 +12,6 @@ from .. import params, schema
 from ..functions import since
 from .ingest import critical_filter
 
-# Largest profile table we broadcast without measuring it (a dimension of sensors).
-PROFILE_BROADCAST_ROWS = 100_000
-
-
 def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """UNION ALL of (tbl, row_count) for each named table; each count is one global aggregate."""
     out = None
@@ -60,16 +56,12 @@ def sensor_tally(readings: DataFrame, max_speed: float = params.CRITICAL_SPEED)
     )
 
 
-def latest_tally(updates: DataFrame) -> DataFrame:
-    """Current tally from update-mode output: per sensor, the row of the newest batch."""
-    newest = F.max_by(F.struct("messages", "alerts"), F.col("batch_id"))
-    return updates.groupBy("sensor_id").agg(newest.alias("t")).select("sensor_id", "t.messages", "t.alerts")
-
-
 def latest_alerts(critical_traffic: DataFrame, n: int = 5) -> DataFrame:
     """Newest ``n`` alerts (top-n: per-task candidates, then one merge of n x tasks rows)."""
     return (
-        critical_traffic.orderBy(F.col("alerted_at").desc(), F.col("sensor_id").asc(), F.col("event_timestamp").desc())
+        critical_traffic.orderBy(
+            F.col("alerted_at").desc(), F.col("sensor_id").asc(), F.col("event_timestamp").desc(), F.col("avg_speed").asc()
+        )
         .limit(n)
         .select("sensor_id", "avg_speed", "alerted_at")
     )
@@ -100,20 +92,14 @@ def default_profile(spark: SparkSession, rows: list[tuple] | None = None) -> Dat
     return spark.createDataFrame(rows or [], schema.SENSOR_PROFILE)
 
 
-def sensor_profile_check(
-    readings: DataFrame,
-    profile: DataFrame,
-    profile_rows: int | None = None,
-) -> DataFrame:
+def sensor_profile_check(readings: DataFrame, profile: DataFrame) -> DataFrame:
     """Flag each reading as inside/outside its sensor's normal speed and count range.
 
     Sensors missing from the profile get ``profile = 'unknown'`` and NULL flags.
-    The profile is broadcast only when the caller vouches for its size
-    (``profile_rows``); otherwise AQE decides from the measured size.
+    No hint: AQE broadcasts the profile if its measured size allows, and splits a
+    hot sensor's join partition otherwise.
     """
     prof = profile.withColumn("_known", F.lit(True))
-    if profile_rows is not None and profile_rows <= PROFILE_BROADCAST_ROWS:
-        prof = F.broadcast(prof)
     return readings.join(prof, "sensor_id", "left").select(
         "sensor_id",
         "event_time",
@@ -135,13 +121,13 @@ def profile_summary(checked: DataFrame) -> DataFrame:
     )
 
 
-def first_n_alerts(critical_traffic: DataFrame, n: int = params.MAX_ALERTS_PER_SENSOR) -> DataFrame:
-    """At most ``n`` critical readings per sensor, earliest first.
+def first_n_alerts(critical_traffic: DataFrame, n: int) -> DataFrame:
+    """A report of each sensor's ``n`` earliest critical readings (ties: fewer vehicles, then lower speed).
 
     ``row_number() <= n`` is planned with a partial WindowGroupLimit before the
     shuffle, so a sensor with a third of all alerts still ships only n rows per task.
     """
-    w = Window.partitionBy("sensor_id").orderBy(F.col("event_timestamp").asc(), F.col("vehicle_count").asc())
+    w = Window.partitionBy("sensor_id").orderBy(F.col("event_timestamp").asc(), F.col("vehicle_count").asc(), F.col("avg_speed").asc())
     return (
         critical_traffic.withColumn("alert_rank", F.row_number().over(w))
         .filter(F.col("alert_rank") <= n)

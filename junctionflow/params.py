@@ -23,7 +23,6 @@ LABEL_PREFIX = "Junction_"       # stripped for short chart labels
 TRIGGER_RAW = "10 seconds"
 TRIGGER_ALERTS = "5 seconds"
 TRIGGER_WINDOWS = "30 seconds"
-MAX_ALERTS_PER_SENSOR = 3        # cap used by first_n_alerts
 # ---------------------------------------------------------------------------
 
 

@@ -36,6 +36,7 @@ from ..operators import (
     congestion_windows,
     critical_alerts,
     daily_peak_rows,
+    day_rollup,
     dense_hour_grid,
     dense_peak_hour,
     first_n_alerts,
@@ -51,6 +52,9 @@ from ..operators import (
     profile_summary,
     raw_events,
     retain,
+    rollup_alerts,
+    rollup_congestion,
+    rollup_hourly,
     sensor_profile_check,
     table_row_counts,
     top_congestion_windows,
@@ -60,7 +64,9 @@ from ..session import scratch_path
 from ..sources import events as ev
 from ..sources.parse import parse
 from ..streaming.pipeline import speed_layer_frames, start_tables
-from ..streaming.sinks import read_sink
+from ..sources.tables import read_range, read_table, table_path
+from ..streaming.sinks import read_sink, read_state, start, state_writer, table_writer
+from .nightly import nightly_frames
 from .report import deployment_report_lines, hourly_csv_rows
 
 # --- fixed values: the replay instant of the test data ---------------------
@@ -69,13 +75,20 @@ REPORT_DATE = "2024-01-31"
 PREVIOUS_AS_OF = "2024-01-30 00:00:00"
 PREVIOUS_REPORT_DATE = "2024-01-30"
 GENERATED = "2024-01-31 00:00:00"
-# Normal ranges per sensor (speed lo/hi, count lo/hi); `error` has none.
+# Instants at which part of the stored rows is older than the retention periods.
+RAW_RETENTION_AS_OF = "2024-04-15 00:00:00"
+AGGREGATE_RETENTION_AS_OF = "2026-01-15 00:00:00"
+# Ranges of our own for `events` (speed lo/hi, count lo/hi); `error` has none.
 PROFILE = [
-    ("click", 15, 55, 20, 80),
-    ("view", 20, 60, 15, 70),
-    ("purchase", 10, 50, 25, 90),
-    ("signup", 15, 45, 30, 100),
+    ("click", 0, 40, 0, 50),
+    ("view", 25, 75, 10, 90),
+    ("purchase", 5, 95, 40, 100),
+    ("signup", 50, 100, 0, 60),
 ]
+# Alerts per sensor in the report of first alerts.
+FIRST_ALERTS = 5
+# Thresholds that no junction reaches: a night without any deployment.
+QUIET_RULE = params.PoliceRule(index_gt=1e12, alerts_ge=10**12, speed_lt=-1.0)
 # A partial earlier run saved tonight's rows of sensors peaking before noon.
 PARTIAL_RUN_BEFORE_HOUR = 12
 # ---------------------------------------------------------------------------
@@ -143,14 +156,14 @@ class EventTables:
         """Windows starting inside the range, computed from only the readings they contain."""
         return congestion_windows(readings_for_windows_since(self.readings, as_of, lookback), watermark=None)
 
-    def decisions(self, variant: str = "rule", as_of=AS_OF) -> DataFrame:
+    def decisions(self, variant: str = "rule", as_of=AS_OF, rule=params.PoliceRule()) -> DataFrame:
         peaks = peak_hour(self.hourly_24h(as_of))
         alerts = alert_counts(self.critical_traffic, as_of)
         if variant == "rule":
             cong = congestion_avg(self.windows_since(as_of), as_of, params.LOOKBACK)
         else:
             cong = congestion_avg(self.congestion_index, lookback=None)
-        return police_decision(peaks, alerts, cong, variant=variant)
+        return police_decision(peaks, alerts, cong, rule=rule, variant=variant)
 
 
 def _decision_out(d: DataFrame) -> DataFrame:
@@ -270,14 +283,25 @@ def q_police_plan(spark, sf_dir):
     return police_plan(EventTables(spark, sf_dir).decisions("rule"))
 
 
+def q_police_plan_users(spark, sf_dir):
+    return police_plan(EventTables(spark, sf_dir, sensor="user_id").decisions("rule"))
+
+
 def q_daily_peak_rows(spark, sf_dir):
     return _history_out(daily_peak_rows(EventTables(spark, sf_dir).decisions("rule"), REPORT_DATE))
 
 
 def q_daily_peak_idempotent(spark, sf_dir):
     t = EventTables(spark, sf_dir)
-    tonight = daily_peak_rows(t.decisions("rule", AS_OF), REPORT_DATE)
-    previous = daily_peak_rows(t.decisions("rule", PREVIOUS_AS_OF), PREVIOUS_REPORT_DATE)
+    # Each night is derived once and written, as the nightly job does; tonight's rows are read three times below.
+    base = scratch_path(spark, "daily_peak_idempotent")
+    nights = daily_peak_rows(t.decisions("rule", AS_OF), REPORT_DATE).unionByName(
+        daily_peak_rows(t.decisions("rule", PREVIOUS_AS_OF), PREVIOUS_REPORT_DATE)
+    )
+    nights.write.parquet(base)
+    nights = spark.read.schema(nights.schema).parquet(base)
+    tonight = nights.filter(F.col("report_date") == F.lit(REPORT_DATE).cast("date"))
+    previous = nights.filter(F.col("report_date") == F.lit(PREVIOUS_REPORT_DATE).cast("date"))
     history = previous.unionByName(tonight.filter(F.col("peak_hour") < PARTIAL_RUN_BEFORE_HOUR))
     return _history_out(append_history(tonight, history, mode="idempotent", report_date=REPORT_DATE))
 
@@ -297,6 +321,16 @@ def q_deployment_report_all(spark, sf_dir):
     return deployment_report_lines(EventTables(spark, sf_dir).decisions("all"), GENERATED, "all")
 
 
+def q_deployment_report_users(spark, sf_dir):
+    """Flagged and unflagged junctions in one report."""
+    return deployment_report_lines(EventTables(spark, sf_dir, sensor="user_id").decisions("rule"), GENERATED, "rule")
+
+
+def q_deployment_report_quiet(spark, sf_dir):
+    """A night on which no junction is flagged: the fallback line."""
+    return deployment_report_lines(EventTables(spark, sf_dir).decisions("rule", rule=QUIET_RULE), GENERATED, "rule")
+
+
 def q_alert_lines(spark, sf_dir):
     return ntz(alert_lines(EventTables(spark, sf_dir).critical_traffic))
 
@@ -313,9 +347,46 @@ def q_peak_log_lines(spark, sf_dir):
     return peak_lines(EventTables(spark, sf_dir).decisions("rule"), style="log")
 
 
+def q_peak_log_lines_users(spark, sf_dir):
+    return peak_lines(EventTables(spark, sf_dir, sensor="user_id").decisions("rule"), style="log")
+
+
+def q_nightly_from_tables(spark, sf_dir):
+    """The decision from stored tables: the sinks' folders, read back over the night's date folders."""
+    base = scratch_path(spark, "nightly_from_tables")
+    t = EventTables(spark, sf_dir)
+    for name in ("traffic_events", "critical_traffic", "congestion_index"):
+        table_writer(table_path(base, name), name)(getattr(t, name), 0)
+    s = {name: read_range(spark, name, base, AS_OF) for name in ("traffic_events", "critical_traffic", "congestion_index")}
+    n = nightly_frames(s["traffic_events"], s["critical_traffic"], s["congestion_index"], AS_OF, REPORT_DATE)
+    return _decision_out(n.decisions)
+
+
 # ------------------------------------------------------------ chart frames
 
 
+def _rollup(spark, sf_dir, sensor: str = "event_type") -> DataFrame:
+    """The rollup of all days, written and read back."""
+    t = EventTables(spark, sf_dir, sensor)
+    base = scratch_path(spark, "rollup")
+    day_rollup(t.traffic_events, t.critical_traffic, t.congestion_index).write.parquet(table_path(base, "night_rollup"))
+    return read_table(spark, "night_rollup", base)
+
+
+def q_hourly_all_time_rollup(spark, sf_dir):
+    return hourly_report(rollup_hourly(_rollup(spark, sf_dir)))
+
+
+def q_chart_volume_rollup(spark, sf_dir):
+    r = _rollup(spark, sf_dir, sensor="junction")
+    return chart_volume(hourly_report(rollup_hourly(r)), rollup_alerts(r))
+
+
+def q_congestion_by_hour_rollup(spark, sf_dir):
+    by_hour = rollup_congestion(_rollup(spark, sf_dir)).withColumn("avg_idx", r6("avg_idx"))
+    return congestion_by_hour(by_hour)
+
+
 def q_dense_hour_grid(spark, sf_dir):
     return dense_hour_grid(EventTables(spark, sf_dir).hourly_all())
 
@@ -374,23 +445,23 @@ def q_top_congestion_windows(spark, sf_dir):
 
 
 def q_retention_raw(spark, sf_dir):
-    return ntz(retain(EventTables(spark, sf_dir).traffic_events, "event_timestamp", AS_OF, params.RAW_RETENTION))
+    return ntz(retain(EventTables(spark, sf_dir).traffic_events, "event_timestamp", RAW_RETENTION_AS_OF, params.RAW_RETENTION))
 
 
 def q_retention_aggregates(spark, sf_dir):
-    return ntz(retain(EventTables(spark, sf_dir).congestion_index, "window_start", AS_OF, params.AGGREGATE_RETENTION))
+    return ntz(retain(EventTables(spark, sf_dir).congestion_index, "window_start", AGGREGATE_RETENTION_AS_OF, params.AGGREGATE_RETENTION))
 
 
 def q_sensor_profile_check(spark, sf_dir):
     from ..operators import default_profile
 
     profile = default_profile(spark, PROFILE)
-    checked = sensor_profile_check(EventTables(spark, sf_dir).readings, profile, profile_rows=len(PROFILE))
+    checked = sensor_profile_check(EventTables(spark, sf_dir).readings, profile)
     return profile_summary(checked)
 
 
 def q_first_n_alerts(spark, sf_dir):
-    return ntz(first_n_alerts(EventTables(spark, sf_dir).critical_traffic, n=params.MAX_ALERTS_PER_SENSOR))
+    return ntz(first_n_alerts(EventTables(spark, sf_dir).critical_traffic, n=FIRST_ALERTS))
 
 
 # --------------------------------------------------------------- streaming
@@ -410,21 +481,20 @@ def _stream_tables(spark: SparkSession, sf_dir: str, tables: list[str], name: st
             raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
     out = {}
     for table in tables:
-        df = read_sink(spark, f"{base}/tables/{table}")
-        out[table] = ntz(df.drop("batch_id", "event_date", "alert_date", "window_date"))
+        df = read_sink(spark, f"{base}/tables/{table}", table=table)
+        out[table] = ntz(df.drop("run", "batch_id", "event_date", "alert_date", "window_date", "created_at"))
     return out
 
 
 def q_alert_tally_stream(spark, sf_dir):
     """Running per-sensor tally as a stateful stream in update mode, read back as its latest state."""
-    from ..operators import latest_tally, sensor_tally
-    from ..streaming.sinks import start, table_writer
+    from ..operators import sensor_tally
 
     base = scratch_path(spark, "alert_tally_stream")
     readings = ev.readings(ev.stream_events(spark, sf_dir))
     q = start(
         sensor_tally(readings),
-        table_writer(f"{base}/tally", "sensor_tally"),
+        state_writer(f"{base}/tally", ["sensor_id"]),
         name="alert_tally_" + base.rsplit("/", 1)[-1],
         checkpoint=f"{base}/checkpoint",
         available_now=True,
@@ -433,7 +503,7 @@ def q_alert_tally_stream(spark, sf_dir):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
-    return latest_tally(read_sink(spark, f"{base}/tally"))
+    return read_state(spark, f"{base}/tally", str(q.id))
 
 
 def q_raw_stream(spark, sf_dir):

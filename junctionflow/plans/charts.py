@@ -13,6 +13,9 @@ from ..operators import (
     dense_hour_grid,
     hourly_report,
     hourly_traffic,
+    rollup_alerts,
+    rollup_congestion,
+    rollup_hourly,
 )
 
 
@@ -33,6 +36,16 @@ def chart_frames(
     }
 
 
+def chart_frames_from_rollup(rollup: DataFrame, threshold: float = params.CONGESTION_THRESHOLD) -> dict[str, DataFrame]:
+    """The same frames folded from the nightly rollup: no reading is read again."""
+    hourly = hourly_report(rollup_hourly(rollup))
+    return {
+        "volume_by_hour": chart_volume(hourly, rollup_alerts(rollup)),
+        "comparison": dense_hour_grid(hourly),
+        "congestion_index": congestion_by_hour(rollup_congestion(rollup), threshold),
+    }
+
+
 def write_charts(frames: dict[str, DataFrame], out: str) -> None:
     """One parquet folder per chart; skipped entirely when there is no traffic."""
     if frames["comparison"].isEmpty():

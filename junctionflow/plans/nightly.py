@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .. import params
 from ..operators import (
@@ -20,11 +21,14 @@ from ..operators import (
     daily_peak_rows,
     hourly_report,
     hourly_traffic,
+    night_rollup,
     peak_hour,
+    peak_lines,
     police_decision,
     police_plan,
     rows_to_append,
 )
+from ..sources.tables import write_jdbc
 from .report import deployment_report_lines, hourly_csv_rows, write_csv, write_report_text
 
 
@@ -33,6 +37,8 @@ class Nightly:
     hourly: DataFrame
     decisions: DataFrame
     plan: DataFrame
+    summary: DataFrame
+    rollup: DataFrame
     history_rows: DataFrame
     csv_rows: DataFrame
     report_lines: DataFrame
@@ -62,6 +68,8 @@ def nightly_frames(
         hourly=hourly,
         decisions=decisions,
         plan=police_plan(decisions),
+        summary=peak_lines(decisions, style="log" if variant == "rule" else "summary"),
+        rollup=night_rollup(traffic_events, critical_traffic, congestion_index, as_of, report_date, lookback),
         history_rows=daily_peak_rows(decisions, report_date),
         csv_rows=hourly_csv_rows(hourly_report(hourly), report_date),
         report_lines=deployment_report_lines(
@@ -80,9 +88,15 @@ def run_nightly(
     history: DataFrame | None = None,
     history_mode: str = "append",
     variant: str = "rule",
+    jdbc: dict | None = None,
     **kwargs,
 ) -> Nightly | None:
-    """Write the CSV, the text report and the history rows under ``out``.
+    """Write the CSV, the text report, the police list, the peak listing, the rollup and the history rows under ``out``.
+
+    The police list (``police_plan_<day>.csv``: sensor, peak hour, vehicles, time
+    to deploy by) and the peak listing (``peak_summary_<day>.txt``) are what the
+    original hands to its next task and prints. The rollup's night is replaced
+    when the night is run again.
 
     Returns None (and writes nothing) when no junction had traffic, as the
     original skips report and save on an empty result.
@@ -99,10 +113,23 @@ def run_nightly(
         day = str(report_date)
         write_csv(n.csv_rows, f"{out}/traffic_report_{day}.csv")
         write_report_text(n.report_lines, f"{out}/police_deployment_{day}.txt")
+        n.plan.orderBy("sensor_id").write.mode("overwrite").option("header", True).csv(f"{out}/police_plan_{day}.csv")
+        listing = n.summary.orderBy(F.col("peak_vehicles").desc(), "sensor_id").select("line")
+        listing.write.mode("overwrite").text(f"{out}/peak_summary_{day}.txt")
+        (
+            n.rollup.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("report_date")
+            .parquet(f"{out}/night_rollup")
+        )
         rows = n.history_rows
         if history is not None:
             rows = rows_to_append(rows, history, history_mode, report_date)
-        rows.write.mode("append").partitionBy("report_date").parquet(f"{out}/daily_peak_report")
+        rows = rows.withColumn("created_at", F.current_timestamp())
+        if jdbc is not None:
+            write_jdbc(rows, jdbc["url"], "daily_peak_report", jdbc.get("props"))
+        else:
+            rows.write.mode("append").partitionBy("report_date").parquet(f"{out}/daily_peak_report")
         return n
     finally:
         n.decisions.unpersist()

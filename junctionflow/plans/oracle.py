@@ -25,7 +25,7 @@ PROFILE_VALUES = ", ".join(f"('{s}', {a}, {b}, {c}, {d})" for s, a, b, c, d in C
 
 def base(sensor: str = "event_type") -> str:
     """readings / traffic / alerts / windows as CTEs (no WITH keyword)."""
-    sid = "CAST(user_id AS VARCHAR)" if sensor == "user_id" else "event_type"
+    sid = {"user_id": "CAST(user_id AS VARCHAR)", "junction": "'Junction_' || event_type"}.get(sensor, "event_type")
     return f"""
 readings AS (
   SELECT {sid} AS sensor_id, ts AS event_time,
@@ -60,7 +60,7 @@ def hourly_cte(name: str, as_of: str | None) -> str:
   FROM traffic {where} GROUP BY 1, 2)"""
 
 
-def decisions_cte(name: str, variant: str = "rule", as_of: str = AS_OF) -> str:
+def decisions_cte(name: str, variant: str = "rule", as_of: str = AS_OF, quiet: bool = False) -> str:
     cong_where = f"WHERE window_start >= {as_of} - INTERVAL 24 HOUR" if variant == "rule" else ""
     if variant == "rule":
         flag = (
@@ -70,6 +70,8 @@ def decisions_cte(name: str, variant: str = "rule", as_of: str = AS_OF) -> str:
         )
     else:
         flag = "TRUE"
+    if quiet:
+        flag = "FALSE"
     return f"""{hourly_cte(name + '_hourly', as_of)},
 {name}_peaks AS (
   SELECT sensor_id, hour AS peak_hour, total_vehicles AS peak_vehicles, avg_speed, reading_count
@@ -134,7 +136,7 @@ def _lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def report_sql(variant: str) -> str:
+def report_sql(variant: str, sensor: str = "event_type", quiet: bool = False) -> str:
     eq = "=" * R.RULE_WIDTH
     dash = "-" * R.RULE_WIDTH
     header = [eq, f"  {R.DEFAULT_TITLE}", f"  Generated: {C.GENERATED}", eq, "", R.SUMMARY_HEADING, dash]
@@ -178,7 +180,7 @@ def report_sql(variant: str) -> str:
             f"{_lit('  ' + R.ARROW[variant] + ' ' + R.NO_PLAN)} AS line "
             "FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE needs_police) AS f FROM d) WHERE n > 0 AND f = 0"
         )
-    return with_(base(), decisions_cte("d", variant)) + "\nUNION ALL\n".join(parts)
+    return with_(base(sensor), decisions_cte("d", variant, quiet=quiet)) + "\nUNION ALL\n".join(parts)
 
 
 def sql_queries() -> dict[str, str]:
@@ -228,6 +230,9 @@ SELECT sensor_id, peak_hour, peak_vehicles, {rnd('avg_speed', 6)} AS avg_speed,
     q["police_decision_users"] = with_(base("user_id"), decisions_cte("d")) + f"SELECT {DECISION_COLS} FROM d"
     q["police_plan"] = with_(b, decisions_cte("d")) + """
 SELECT sensor_id, peak_hour, peak_vehicles, printf('%02d:00', peak_hour) AS deploy_by FROM d WHERE needs_police"""
+    q["police_plan_users"] = with_(base("user_id"), decisions_cte("d")) + """
+SELECT sensor_id, peak_hour, peak_vehicles, printf('%02d:00', peak_hour) AS deploy_by FROM d WHERE needs_police"""
+    q["nightly_from_tables"] = q["police_decision"]
     q["daily_peak_rows"] = with_(b, decisions_cte("d")) + f"""
 SELECT DATE '{C.REPORT_DATE}' AS report_date, sensor_id, peak_hour, peak_vehicles,
        {rnd('avg_congestion', 6)} AS avg_congestion, needs_police FROM d"""
@@ -252,6 +257,8 @@ SELECT sensor_id, printf('%02d:00', hour) AS hour, total_vehicles, {rnd('avg_spe
        '{C.REPORT_DATE}' AS report_date FROM h"""
     q["deployment_report_lines"] = report_sql("rule")
     q["deployment_report_all"] = report_sql("all")
+    q["deployment_report_users"] = report_sql("rule", sensor="user_id")
+    q["deployment_report_quiet"] = report_sql("rule", quiet=True)
 
     q["alert_lines"] = with_(b) + f"""
 SELECT sensor_id, event_timestamp,
@@ -266,7 +273,8 @@ FROM windows"""
 SELECT sensor_id, peak_vehicles,
        printf({_lit(L.PEAK_SUMMARY_LINE)}, sensor_id, peak_hour, format('{{:,}}', peak_vehicles), alert_count) AS line
 FROM d"""
-    q["peak_log_lines"] = with_(b, decisions_cte("d")) + f"""
+    for name, sensor in (("peak_log_lines", "event_type"), ("peak_log_lines_users", "user_id")):
+        q[name] = with_(base(sensor), decisions_cte("d")) + f"""
 SELECT sensor_id, peak_vehicles,
        printf({_lit(L.PEAK_LOG_LINE)}, sensor_id, peak_hour, peak_vehicles, alert_count,
               CASE WHEN needs_police THEN {_lit(L.STATUS_POLICE)} ELSE {_lit(L.STATUS_NORMAL)} END) AS line
@@ -279,7 +287,8 @@ SELECT a.sensor_id, a.hour, a.alert_count, COALESCE(h.total_vehicles, 0) AS heig
 FROM alert_hours a
 LEFT JOIN hourly_all h ON h.sensor_id = a.sensor_id AND h.hour = a.hour
 WHERE a.hour < 24 AND a.sensor_id IN (SELECT sensor_id FROM hourly_all)"""
-    q["chart_volume"] = with_(b, HOURLY_ALL, ALERT_HOURS, GRID) + """
+    for name, sensor in (("chart_volume", "event_type"), ("chart_volume_rollup", "junction")):
+        q[name] = with_(base(sensor), HOURLY_ALL, ALERT_HOURS, GRID) + """
 SELECT g.sensor_id, g.label, g.hour, g.vehicles, COALESCE(a.alert_count, 0) AS alert_count,
        g.hour = p.peak_hour AS is_peak
 FROM grid g
@@ -312,13 +321,13 @@ SELECT sensor_id, COUNT(*) AS messages, COUNT(*) FILTER (WHERE avg_speed < {para
 FROM readings GROUP BY 1"""
     q["latest_alerts"] = with_(b) + """
 SELECT sensor_id, avg_speed, alerted_at FROM alerts
-ORDER BY alerted_at DESC, sensor_id, event_timestamp DESC LIMIT 5"""
+ORDER BY alerted_at DESC, sensor_id, event_timestamp DESC, avg_speed LIMIT 5"""
     q["top_congestion_windows"] = with_(b) + """
 SELECT sensor_id, window_start, window_end, congestion_idx FROM windows
 WHERE congestion_idx IS NOT NULL
 ORDER BY congestion_idx DESC, sensor_id, window_start LIMIT 4"""
-    q["retention_raw"] = with_(b) + f"SELECT * FROM traffic WHERE event_timestamp >= {AS_OF} - INTERVAL 90 DAY"
-    q["retention_aggregates"] = with_(b) + f"SELECT * FROM windows WHERE window_start >= {AS_OF} - INTERVAL 2 YEAR"
+    q["retention_raw"] = with_(b) + f"SELECT * FROM traffic WHERE event_timestamp >= TIMESTAMP '{C.RAW_RETENTION_AS_OF}' - INTERVAL 90 DAY"
+    q["retention_aggregates"] = with_(b) + f"SELECT * FROM windows WHERE window_start >= TIMESTAMP '{C.AGGREGATE_RETENTION_AS_OF}' - INTERVAL 2 YEAR"
     q["sensor_profile_check"] = with_(
         b, f"profile(sensor_id, speed_lo, speed_hi, count_lo, count_hi) AS (VALUES {PROFILE_VALUES})"
     ) + """
@@ -332,11 +341,13 @@ FROM readings r LEFT JOIN profile p ON p.sensor_id = r.sensor_id
 GROUP BY 1, 2"""
     q["first_n_alerts"] = with_(b) + f"""
 SELECT sensor_id, event_timestamp, vehicle_count, avg_speed, alert_rank FROM (
-  SELECT *, CAST(row_number() OVER (PARTITION BY sensor_id ORDER BY event_timestamp, vehicle_count) AS INTEGER) AS alert_rank
-  FROM alerts) WHERE alert_rank <= {params.MAX_ALERTS_PER_SENSOR}"""
+  SELECT *, CAST(row_number() OVER (PARTITION BY sensor_id ORDER BY event_timestamp, vehicle_count, avg_speed) AS INTEGER) AS alert_rank
+  FROM alerts) WHERE alert_rank <= {C.FIRST_ALERTS}"""
 
     # Streams: raw and alerts keep every row; windows are emitted once the
     # watermark (max event time - 10 min) has passed their end.
+    q["hourly_all_time_rollup"] = q["hourly_all_time"]
+    q["congestion_by_hour_rollup"] = q["congestion_by_hour"]
     q["raw_stream"] = q["raw_events"]
     q["critical_stream"] = q["critical_alerts"]
     q["congestion_stream"] = with_(b) + """

@@ -23,6 +23,15 @@ STATUS_YES = "POLICE DEPLOYMENT RECOMMENDED"
 STATUS_NO = "No intervention needed"
 NO_PLAN = "No police deployment needed tomorrow"
 ARROW = {"rule": "→", "all": "->"}
+JUNCTION_LABEL = "Junction  : "
+PEAK_LINE = "Peak Hour : %02d:00 - %02d:00"
+VEHICLES_LABEL = "Vehicles  : "
+SPEED_LABEL = "Avg Speed : "
+SPEED_UNIT = " km/h"
+ALERTS_LINE = "Alerts    : %d critical alerts"
+STATUS_LABEL = "Status    : "
+DEPLOY_LINE = "  {arrow} Deploy to %s by %02d:00"
+GENERATED_LABEL = "  Generated: "
 CSV_HEADER = ["sensor_id", "hour", "total_vehicles", "avg_speed_kmh", "report_date"]
 # ---------------------------------------------------------------------------
 DEFAULT_TITLE = "NIGHTLY TRAFFIC REPORT"
@@ -77,13 +86,13 @@ def _sensor_lines(decisions: DataFrame, variant: str) -> DataFrame:
     vehicles: Column = thousands("peak_vehicles") if variant == "all" else F.col("peak_vehicles").cast("string")
     by_vehicles = -F.col("peak_vehicles")
     texts = [
-        F.concat(F.lit("Junction  : "), F.col("sensor_id")),
-        F.format_string("Peak Hour : %02d:00 - %02d:00", F.col("peak_hour"), F.col("peak_hour") + 1),
-        F.concat(F.lit("Vehicles  : "), vehicles),
-        F.concat(F.lit("Avg Speed : "), fixed("avg_speed", 1), F.lit(" km/h")),
-        F.format_string("Alerts    : %d critical alerts", F.col("alert_count")),
+        F.concat(F.lit(JUNCTION_LABEL), F.col("sensor_id")),
+        F.format_string(PEAK_LINE, F.col("peak_hour"), F.col("peak_hour") + 1),
+        F.concat(F.lit(VEHICLES_LABEL), vehicles),
+        F.concat(F.lit(SPEED_LABEL), fixed("avg_speed", 1), F.lit(SPEED_UNIT)),
+        F.format_string(ALERTS_LINE, F.col("alert_count")),
         F.concat(
-            F.lit("Status    : "),
+            F.lit(STATUS_LABEL),
             F.when(F.col("needs_police"), F.lit(STATUS_YES)).otherwise(F.lit(STATUS_NO)),
         ),
         F.lit("-" * RULE_WIDTH),
@@ -91,7 +100,7 @@ def _sensor_lines(decisions: DataFrame, variant: str) -> DataFrame:
     block = [_line(SECTION_BLOCKS, by_vehicles, i, t) for i, t in enumerate(texts)]
     # The rule variant lists flagged junctions in sensor order, the manual one by vehicles descending.
     plan_key = by_vehicles if variant == "all" else F.lit(0)
-    plan_text = F.format_string(f"  {ARROW[variant]} Deploy to %s by %02d:00", F.col("sensor_id"), F.col("peak_hour"))
+    plan_text = F.format_string(DEPLOY_LINE.format(arrow=ARROW[variant]), F.col("sensor_id"), F.col("peak_hour"))
     plan = F.when(F.col("needs_police"), _line(SECTION_PLAN, plan_key, 0, plan_text))
     lines = F.array_compact(F.array(*block, plan))  # the plan entry is NULL (dropped) when not flagged
     return decisions.select("sensor_id", F.inline(lines)).select(*REPORT_KEYS, "line")
@@ -129,7 +138,7 @@ def deployment_report_lines(
     """
     if isinstance(generated, _dt.datetime):
         generated = generated.strftime("%Y-%m-%d %H:%M:%S")
-    header = ["=" * RULE_WIDTH, f"  {title}", f"  Generated: {generated}", "=" * RULE_WIDTH, "", SUMMARY_HEADING, "-" * RULE_WIDTH]
+    header = ["=" * RULE_WIDTH, f"  {title}", f"{GENERATED_LABEL}{generated}", "=" * RULE_WIDTH, "", SUMMARY_HEADING, "-" * RULE_WIDTH]
     parts = [
         _fixed_lines(decisions, SECTION_HEADER, header),
         _sensor_lines(decisions, variant),

@@ -15,6 +15,17 @@ READING = T.StructType(
     ]
 )
 
+# Rejected messages: what could be decoded, and why they were rejected.
+QUARANTINE = T.StructType(
+    [
+        *READING.fields,
+        T.StructField("event_time", T.TimestampType(), True),
+        T.StructField("ingested_at", T.TimestampType(), True),
+        T.StructField("reason", T.StringType(), True),
+        T.StructField("rejected_at", T.TimestampType(), True),
+    ]
+)
+
 TRAFFIC_EVENTS = T.StructType(
     [
         T.StructField("sensor_id", T.StringType(), False),
@@ -44,6 +55,7 @@ CONGESTION_INDEX = T.StructType(
         T.StructField("total_vehicles", T.LongType(), False),
         T.StructField("avg_speed", T.DoubleType(), True),
         T.StructField("congestion_idx", T.DoubleType(), True),
+        T.StructField("created_at", T.TimestampType(), True),
     ]
 )
 
@@ -55,6 +67,22 @@ DAILY_PEAK_REPORT = T.StructType(
         T.StructField("peak_vehicles", T.LongType(), False),
         T.StructField("avg_congestion", T.DoubleType(), False),
         T.StructField("needs_police", T.BooleanType(), True),
+        T.StructField("created_at", T.TimestampType(), True),
+    ]
+)
+
+# What the history charts fold: one row a (night, sensor, hour).
+NIGHT_ROLLUP = T.StructType(
+    [
+        T.StructField("report_date", T.DateType(), False),
+        T.StructField("sensor_id", T.StringType(), True),
+        T.StructField("hour", T.IntegerType(), True),
+        T.StructField("vehicles", T.LongType(), True),
+        T.StructField("speed_sum", T.DoubleType(), True),
+        T.StructField("readings", T.LongType(), True),
+        T.StructField("alerts", T.LongType(), True),
+        T.StructField("idx_sum", T.DoubleType(), True),
+        T.StructField("idx_windows", T.LongType(), True),
     ]
 )
 

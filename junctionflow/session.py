@@ -7,7 +7,6 @@ local test session) is a private folder created and registered.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -51,7 +50,7 @@ def cluster_conf(
       shuffled bytes / advisory size here;
     * streams ignore AQE and a stateful query keeps the shuffle width of its first
       checkpoint for good, so ``spark.sql.shuffle.partitions`` is sized for the
-      window state instead (default: the cores, at most 400). Input is
+      window state instead (default: the cores). Input is
       pre-aggregated per task before that shuffle, so the state stage handles
       (sensors x open windows) rows, not readings, and one wave of tasks per
       micro-batch is enough; 32,000 state partitions would each load a state
@@ -63,7 +62,7 @@ def cluster_conf(
     """
     cores = max(1, executors * cores_per_executor)
     conf = {
-        "spark.sql.shuffle.partitions": str(state_partitions or min(cores, 400)),
+        "spark.sql.shuffle.partitions": str(state_partitions or cores),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(batch_partitions or cores * 4),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": advisory_partition_bytes,
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
@@ -125,15 +124,3 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         leaf.append(uuid.uuid4().hex[:12])
     return "/".join([checkpoint_root(spark), "junctionflow", *leaf])
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def ensure_local_dir(path: str) -> None:
-    """Only for local paths used by tests; cluster paths are created by the writers."""
-    if path.startswith("file:"):
-        path = path[5:]
-    if path.startswith("/"):
-        os.makedirs(path, exist_ok=True)

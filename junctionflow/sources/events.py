@@ -1,7 +1,8 @@
 """Adapter from the generic ``events`` table to sensor readings.
 
 Mapping (fixed for comparability with the SQL oracle):
-  sensor_id     <- event_type  (or user_id as text: many sensors, for scale)
+  sensor_id     <- event_type  (or user_id as text: many sensors, for scale; or
+                    event_type behind the label prefix, for the chart labels)
   event_time    <- ts, cast from TIMESTAMP_NTZ to TIMESTAMP (a watermark needs TIMESTAMP)
   vehicle_count <- props.k as INT
   avg_speed     <- value
@@ -13,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schema
+from .. import params, schema
+from .tables import is_folder
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -30,6 +32,8 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sensor_column(sensor: str = "event_type"):
     if sensor == "user_id":
         return F.col("user_id").cast("string")
+    if sensor == "junction":
+        return F.concat(F.lit(params.LABEL_PREFIX), F.col("event_type"))
     return F.col(sensor)
 
 
@@ -57,8 +61,15 @@ def payloads(events: DataFrame, sensor: str = "event_type") -> DataFrame:
 
 
 def stream_events(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The ``events`` parquet file as a streaming source (declared schema, no inference)."""
-    reader = spark.readStream.schema(schema.EVENTS).option("pathGlobFilter", "events.parquet")
+    """The ``events`` table as a streaming source (declared schema, no inference).
+
+    A table stored as a folder is streamed from that folder, part file by part
+    file; a table stored as one file from its parent folder, by its name.
+    """
+    reader = spark.readStream.schema(schema.EVENTS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(sf_dir)
+    path = events_path(sf_dir)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)

@@ -18,7 +18,9 @@ from .. import schema
 REQUIRED = ("event_time", "vehicle_count", "avg_speed")
 
 
-def decode(payload: DataFrame, value_col: str = "value", ingested_at: Column | None = None) -> DataFrame:
+def decode(
+    payload: DataFrame, value_col: str = "value", ingested_at: Column | None = None, source_zone: str | None = None
+) -> DataFrame:
     """``value`` (binary or string) -> reading columns + ``event_time`` + ``ingested_at``.
 
     The parsed struct is emitted through ``inline(array(...))``. A plain
@@ -26,11 +28,21 @@ def decode(payload: DataFrame, value_col: str = "value", ingested_at: Column | N
     every later filter below the parse and prune ``from_json`` per field, so each
     message would be parsed once per referenced field (five times here). A
     generator is a boundary filters are not pushed through: one parse per message.
+
+    A time text without an offset is read in the session time zone, or in
+    ``source_zone`` where the sensors' clocks run in another one; a text with an
+    offset names its instant itself.
     """
+    when = F.try_to_timestamp(F.col("timestamp"))
+    if source_zone is not None:
+        naive = F.expr("try_cast(timestamp AS timestamp_ntz)")
+        shifted = F.convert_timezone(F.lit(source_zone), F.current_timezone(), naive).cast("timestamp")
+        has_offset = F.col("timestamp").rlike(r"(Z|[+-]\d{2}(:?\d{2})?|\[[^\]]+\])\s*$") & F.col("timestamp").rlike(r"[T ]\d{2}:")
+        when = F.when(has_offset, when).otherwise(shifted)
     d = F.from_json(F.col(value_col).cast("string"), schema.READING)
     return (
         payload.select(F.inline(F.array(d)))
-        .withColumn("event_time", F.try_to_timestamp(F.col("timestamp")))
+        .withColumn("event_time", when)
         .withColumn("ingested_at", ingested_at if ingested_at is not None else F.current_timestamp())
         .filter(F.col("sensor_id").isNotNull())
     )
@@ -59,6 +71,8 @@ def split(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     return accepted, quarantined
 
 
-def parse(payload: DataFrame, value_col: str = "value", ingested_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
+def parse(
+    payload: DataFrame, value_col: str = "value", ingested_at: Column | None = None, source_zone: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Return ``(accepted, quarantined)``; both keep the decoded columns."""
-    return split(decode(payload, value_col, ingested_at))
+    return split(decode(payload, value_col, ingested_at, source_zone))

@@ -15,6 +15,7 @@ PARTITION_COLUMN = {
     "critical_traffic": "alert_date",
     "congestion_index": "window_date",
     "daily_peak_report": "report_date",
+    "night_rollup": "report_date",
 }
 
 
@@ -22,21 +23,60 @@ def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
-def read_table(spark: SparkSession, name: str, base: str | None = None, fmt: str = "parquet") -> DataFrame:
-    """Scan ``name`` under ``base`` (a folder of ``fmt`` files), or from the catalog when ``base`` is None."""
-    if base is None:
-        return spark.read.table(name)
-    return spark.read.format(fmt).load(table_path(base, name))
-
+STREAM_TABLES = ("traffic_events", "critical_traffic", "congestion_index", "quarantine")
 
 TABLE_SCHEMA = {
     "traffic_events": schema.TRAFFIC_EVENTS,
     "critical_traffic": schema.CRITICAL_TRAFFIC,
     "congestion_index": schema.CONGESTION_INDEX,
+    "quarantine": schema.QUARANTINE,
     "daily_peak_report": schema.DAILY_PEAK_REPORT,
+    "night_rollup": schema.NIGHT_ROLLUP,
 }
 
 
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of a path, whatever store it names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return fs.exists(p)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
+def stored_schema(name: str) -> T.StructType:
+    """Declared columns of a stored table and those of its folders."""
+    part = PARTITION_COLUMN.get(name)
+    fields = [f for f in TABLE_SCHEMA[name].fields if f.name != part] + ([T.StructField(part, T.DateType())] if part else [])
+    if name in STREAM_TABLES:
+        fields += [T.StructField("run", T.StringType()), T.StructField("batch_id", T.IntegerType())]
+    return T.StructType(fields)
+
+
+def read_files(spark: SparkSession, path: str, fmt: str = "parquet", name: str | None = None) -> DataFrame:
+    """Scan a folder; a known table's schema is declared, and its absent folder is an empty table."""
+    reader = spark.read.format(fmt)
+    if name not in TABLE_SCHEMA:
+        return reader.load(path)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], stored_schema(name))
+    return reader.schema(stored_schema(name)).load(path)
+
+
+def read_table(spark: SparkSession, name: str, base: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """Scan ``name`` under ``base`` (a folder of ``fmt`` files), or from the catalog when ``base`` is None."""
+    if base is None:
+        return spark.read.table(name)
+    return read_files(spark, table_path(base, name), fmt, name)
+
+
 def range_start_day(spark: SparkSession, as_of, lookback: str) -> str:
     """First day (``yyyy-MM-dd``, session time zone) of ``as_of - lookback``.
 
@@ -48,9 +88,7 @@ def range_start_day(spark: SparkSession, as_of, lookback: str) -> str:
 
 def partition_days(spark: SparkSession, root: str, part: str) -> list[str]:
     """Values of the top-level date partition folders of a table (one directory listing)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, path = file_system(spark, root)
     if not fs.exists(path):
         return []
     prefix = part + "="
@@ -68,9 +106,10 @@ def read_range(
 ) -> DataFrame:
     """Scan only the date folders a trailing range can touch.
 
-    Stream tables are laid out ``<date>=D/batch_id=N``. Reading the table root
-    makes Spark list every batch folder of every day before it prunes partitions
-    (a 10 s trigger leaves 8,640 folders a day). Here the root's date folders are
+    Stream tables are laid out ``<date>=D/run=R/batch_id=N``. Reading the table
+    root makes Spark list every batch folder of every day before it prunes
+    partitions (a 5 s trigger leaves 17,280 folders a day until the day is
+    compacted). Here the root's date folders are
     listed once (one level) and only days from the range's first day on are
     handed to the reader (with ``basePath``, so the date stays a column). The
     range keeps the nightly's lower-bound-only meaning: later days are read too.
@@ -82,12 +121,9 @@ def read_range(
     first = range_start_day(spark, as_of, lookback)
     days = [d for d in partition_days(spark, root, part) if d >= first]
     if not days:
-        fields = TABLE_SCHEMA[name].fields + [
-            T.StructField(part, T.DateType()),
-            T.StructField("batch_id", T.IntegerType()),
-        ]
-        return spark.createDataFrame([], T.StructType(fields))
-    return spark.read.format(fmt).option("basePath", root).load([f"{root}/{part}={d}" for d in days])
+        return spark.createDataFrame([], stored_schema(name))
+    reader = spark.read.format(fmt).schema(stored_schema(name)).option("basePath", root)
+    return reader.load([f"{root}/{part}={d}" for d in days])
 
 
 def jdbc_table(

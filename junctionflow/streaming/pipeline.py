@@ -15,12 +15,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import params
-from ..operators import congestion_windows, critical_alerts, raw_events
+from ..operators import alert_lines, congestion_windows, critical_alerts, raw_events, window_lines
 from ..sources.parse import decode, parse, split
 from ..sources.tables import table_path
 from .sinks import fan_out_writer, start, table_writer
 
 
+# Formatted lines that a stream can write next to these tables.
+LINES = {"critical_traffic": alert_lines, "congestion_index": window_lines}
+
+
 @dataclass
 class Triggers:
     raw: str = params.TRIGGER_RAW
@@ -28,6 +32,12 @@ class Triggers:
     windows: str = params.TRIGGER_WINDOWS
 
 
+def shorter(spark: SparkSession, a: str, b: str) -> str:
+    """The shorter of two trigger intervals, in Spark's own interval syntax."""
+    row = spark.range(1).selectExpr(f"INTERVAL '{a}' <= INTERVAL '{b}' AS first").first()
+    return a if row["first"] else b
+
+
 def speed_layer_frames(
     readings: DataFrame,
     max_speed: float = params.CRITICAL_SPEED,
@@ -52,6 +62,7 @@ def start_tables(
     jdbc: dict | None = None,
     on_batch=None,
     name_suffix: str = "",
+    with_lines: bool = False,
 ) -> dict[str, StreamingQuery]:
     """Start one query per table frame; each has its own checkpoint folder.
 
@@ -65,8 +76,8 @@ def start_tables(
             table_path(out_base, table),
             table,
             jdbc=dict(jdbc, table=table) if jdbc else None,
-            persist_batch=(table == "congestion_index"),
             on_batch=on_batch,
+            lines=LINES.get(table) if with_lines else None,
         )
         queries[table] = start(
             df,
@@ -85,6 +96,7 @@ def stateless_outputs(
     quarantine: bool = True,
     jdbc: dict | None = None,
     on_batch=None,
+    with_lines: bool = False,
 ) -> dict:
     """Raw, alert (and quarantine) rows of one decoded micro-batch, with their writers.
 
@@ -98,7 +110,7 @@ def stateless_outputs(
             table,
             jdbc=dict(jdbc, table=table) if (jdbc and use_jdbc) else None,
             on_batch=on_batch,
-            size_files=True,  # the decoded batch is cached by fan_out_writer
+            lines=LINES.get(table) if with_lines else None,
         )
 
     def accepted(batch: DataFrame) -> DataFrame:
@@ -130,37 +142,41 @@ def run_pipeline(
     jdbc: dict | None = None,
     wait: bool = False,
     fan_out: bool = True,
+    with_lines: bool = False,
+    source_zone: str | None = None,
 ) -> dict[str, StreamingQuery]:
     """Decode ``payload`` (a stream with a ``value`` column) and start the queries.
 
     ``fan_out=True``: query ``stateless`` writes raw readings, alerts and the
-    quarantine from one read of the topic (alert trigger, the tightest of the
-    two); query ``congestion_index`` keeps the windows. ``fan_out=False``: one
+    quarantine from one read of the topic (at the shorter of the raw and the alert
+    trigger); query ``congestion_index`` keeps the windows. ``fan_out=False``: one
     query per table with its own trigger, as the original runs them (the topic is
     then read and decoded once per query).
 
+    ``source_zone``: see :func:`..sources.parse.decode`.
+    ``with_lines`` also writes alert and window lines as text (``<table>_lines``).
     With ``wait`` the call blocks until any query ends (and re-raises its error),
     or, for ``available_now`` runs, until all of them have drained their input.
     """
     cp = checkpoint_base.rstrip("/")
     if fan_out:
-        decoded = decode(payload)
+        decoded = decode(payload, source_zone=source_zone)
         queries = {
             "stateless": start(
                 decoded,
-                fan_out_writer(stateless_outputs(out_base, quarantine=quarantine, jdbc=jdbc)),
+                fan_out_writer(stateless_outputs(out_base, quarantine=quarantine, jdbc=jdbc, with_lines=with_lines)),
                 name="stateless",
                 checkpoint=f"{cp}/stateless",
-                trigger=triggers.alerts,
+                trigger=shorter(spark, triggers.raw, triggers.alerts),
                 available_now=available_now,
             )
         }
         windows = {"congestion_index": congestion_windows(split(decoded)[0])}
-        queries.update(start_tables(windows, out_base, checkpoint_base, triggers, available_now, jdbc=jdbc))
+        queries.update(start_tables(windows, out_base, checkpoint_base, triggers, available_now, jdbc=jdbc, with_lines=with_lines))
     else:
-        accepted, rejected = parse(payload)
+        accepted, rejected = parse(payload, source_zone=source_zone)
         queries = start_tables(
-            speed_layer_frames(accepted), out_base, checkpoint_base, triggers, available_now, jdbc=jdbc
+            speed_layer_frames(accepted), out_base, checkpoint_base, triggers, available_now, jdbc=jdbc, with_lines=with_lines
         )
         if quarantine:
             queries["quarantine"] = start(

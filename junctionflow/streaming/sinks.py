@@ -1,10 +1,12 @@
 """Micro-batch sinks and query start-up.
 
 ``foreachBatch`` is at-least-once: after a failure the last batch is replayed.
-Tables are laid out ``<date>=D/batch_id=N`` and each batch is written with
+Tables are laid out ``<date>=D/run=R/batch_id=N`` and each batch is written with
 dynamic partition overwrite, so a replay replaces exactly the folders of its
-first attempt instead of appending twice, and a nightly read prunes to the date
-folders of its range before listing any batch folder.
+first attempt instead of appending twice. R is the id of the streaming query,
+which its checkpoint keeps: a new checkpoint counts batches from 0 again, but
+under another R, so it never touches rows that are stored. A nightly read prunes
+to the date folders of its range before listing any batch folder.
 """
 
 from __future__ import annotations
@@ -12,11 +14,12 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from ..sources.tables import PARTITION_COLUMN, write_jdbc
+from ..sources.tables import PARTITION_COLUMN, file_system, read_files, write_jdbc
 
 log = logging.getLogger("junctionflow.sinks")
 
@@ -38,82 +41,124 @@ def with_partition_date(df: DataFrame, table: str) -> DataFrame:
     return df
 
 
+def stamped(df: DataFrame, table: str) -> DataFrame:
+    """Rows with the time they are stored, for the table that keeps it (windows have no ingest time of their own)."""
+    if table == "congestion_index" and "created_at" not in df.columns:
+        return df.withColumn("created_at", F.current_timestamp())
+    return df
+
+
+def run_key(spark: SparkSession) -> str:
+    """Id of the streaming query that runs this micro-batch (kept in its checkpoint); "batch" outside of one."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
 def table_writer(
     path: str,
     table: str,
     fmt: str = "parquet",
     jdbc: dict | None = None,
-    persist_batch: bool = False,
     on_batch: Callable[[str, int, int], None] | None = None,
-    rows_per_file: int = 1_000_000,
-    size_files: bool = False,
+    rows_per_file: int = 5_000_000,
+    lines: Callable[[DataFrame], DataFrame] | None = None,
 ) -> BatchFn:
     """A ``foreachBatch`` function that appends one micro-batch to ``table``.
 
-    * empty batches write nothing (no-data batches of a stateful query are common);
-    * the row count comes from an ``Observation`` on the write itself, not a second scan;
-    * ``persist_batch`` caches the batch when the emptiness check would otherwise
-      recompute an expensive (stateful) plan;
-    * ``size_files`` (implied by ``persist_batch``; use it when the batch is already
-      cached upstream, as in :func:`fan_out_writer`) counts the batch and merges its
-      partitions to about one file per ``rows_per_file`` rows per date. AQE is off
-      inside micro-batches, so without this every source partition (e.g. each
-      topic partition) would write its own small file per date and batch;
-    * ``jdbc`` = ``{"url":..., "props": {...}}`` appends through JDBC instead of files.
+    * one job a batch: the tasks that made the rows write them, and the row count
+      comes from an ``Observation`` on that write. An empty batch writes no rows;
+    * no file holds more than ``rows_per_file`` rows; the small files of many
+      batches are merged when their day is closed (:func:`..plans.housekeeping.compact_day`);
+    * ``jdbc`` = ``{"url":..., "props": {...}}`` appends through JDBC instead of files;
+    * ``lines`` also writes the batch's formatted lines, as text next to the table
+      (``<path>_lines``); the batch is cached for the two writes.
     """
 
+    def save(df: DataFrame, batch_id: int, target: str, kind: str) -> None:
+        df = with_partition_date(df, table).withColumns({"run": F.lit(run_key(df.sparkSession)), "batch_id": F.lit(batch_id)})
+        part = PARTITION_COLUMN.get(table)
+        # Date first: a nightly read lists only the date folders it needs.
+        keys = [part, "run", "batch_id"] if part and part in df.columns else ["run", "batch_id"]
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", rows_per_file)
+            .partitionBy(*keys)
+            .format(kind)
+            .save(target)
+        )
+
     def write(df: DataFrame, batch_id: int) -> None:
-        # Keep the cached frame itself: `df` is rebound below, and unpersisting a
-        # derived frame would leave this batch in the cache for good.
-        cached = df.persist() if persist_batch else None
-        if cached is not None:
-            df = cached
+        df = df.persist() if lines is not None else df
         try:
-            if persist_batch or size_files:
-                n = df.count()
-                if n == 0:
-                    return
-                if jdbc is None:
-                    # The rows are cached, so merging partitions reads the cache
-                    # in fewer tasks: no shuffle, and no recomputation upstream.
-                    df = df.coalesce(max(1, -(-n // rows_per_file)))
-            elif df.isEmpty():
-                return
             obs = Observation(f"{table}_{batch_id}")
-            out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+            out = stamped(df, table).observe(obs, F.count(F.lit(1)).alias("rows"))
             if jdbc is not None:
                 write_jdbc(out, jdbc["url"], jdbc.get("table", table), jdbc.get("props"), mode="append")
             else:
-                out = with_partition_date(out, table).withColumn("batch_id", F.lit(batch_id))
-                part = PARTITION_COLUMN.get(table)
-                keys = [part, "batch_id"] if part and part in out.columns else ["batch_id"]
-                # Date first: a nightly read lists only the date folders it needs.
-                # Dynamic overwrite replaces just the (date, batch) folders this
-                # batch writes, so a replayed batch replaces its first attempt.
-                (
-                    out.write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy(*keys)
-                    .format(fmt)
-                    .save(path)
-                )
+                save(out, batch_id, path, fmt)
+            if lines is not None:
+                save(lines(df).select("line"), batch_id, f"{path}_lines", "text")
             rows = int(obs.get.get("rows", 0))
             log.info("[%s] batch %d -> %d rows", table, batch_id, rows)
-            if on_batch is not None:
+            if on_batch is not None and rows:
                 on_batch(table, batch_id, rows)
         finally:
-            if cached is not None:
-                cached.unpersist()
+            if lines is not None:
+                df.unpersist()
+
+    return write
+
+
+def state_writer(path: str, keys: list[str]) -> BatchFn:
+    """A ``foreachBatch`` function that keeps only the newest row of each key of an update-mode stream.
+
+    Each batch writes the whole state as a new version (the one before it, with
+    this batch's keys replaced), so a replayed batch starts from the same version
+    again; versions before the last two are dropped. Size: one row a key, not one
+    row a key and batch.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        root = f"{path}/run={run_key(spark)}"
+        before = [v for v in state_versions(spark, root) if v < batch_id]
+        df = df.persist()
+        try:
+            new = df
+            if before:
+                old = spark.read.schema(df.schema).parquet(f"{root}/version={before[-1]}")
+                new = old.join(df.select(*keys), keys, "left_anti").unionByName(df)
+            new.write.mode("overwrite").parquet(f"{root}/version={batch_id}")
+        finally:
+            df.unpersist()
+        for v in before[:-1]:
+            fs, p = file_system(spark, f"{root}/version={v}")
+            fs.delete(p, True)
 
     return write
 
 
+def state_versions(spark: SparkSession, root: str) -> list[int]:
+    fs, p = file_system(spark, root)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath() for st in fs.listStatus(p) if st.isDirectory()]
+    done = [n.getName() for n in names if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(n, "_SUCCESS"))]
+    return sorted(int(n.partition("=")[2]) for n in done if n.startswith("version="))
+
+
+def read_state(spark: SparkSession, path: str, run: str) -> DataFrame:
+    """The newest finished version of a :func:`state_writer` folder for one streaming query."""
+    root = f"{path}/run={run}"
+    return spark.read.parquet(f"{root}/version={state_versions(spark, root)[-1]}")
+
+
 def fan_out_writer(outputs: Mapping[str, tuple[Callable[[DataFrame], DataFrame], BatchFn]]) -> BatchFn:
     """One ``foreachBatch`` function that fills several tables from one micro-batch.
 
     ``outputs`` maps a table to ``(rows_of(batch), writer)``. The batch is read
     from the source and decoded once, cached, and every table's rows are derived
-    from the cache; each writer keeps its own replay-safe ``(date, batch_id)``
+    from the cache; each writer keeps its own replay-safe ``(date, run, batch_id)``
     overwrite, so a replayed batch still replaces all of its tables.
     """
 
@@ -142,6 +187,7 @@ def start(
     ``trigger`` is a processing-time interval (e.g. "10 seconds");
     ``available_now`` processes everything present, then stops (tests, backfills).
     """
+    late_rows(df.sparkSession)
     w = (
         df.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
@@ -156,22 +202,53 @@ def start(
     return w.start()
 
 
-def late_rows_dropped(query: StreamingQuery) -> int:
-    """Rows the watermark dropped as too late for their window (the only place late data is lost).
+class LateRows(StreamingQueryListener):
+    """Adds up, over a query's whole run, the rows that the watermark dropped as too late."""
 
-    Summed from the query's progress reports, which Spark keeps for the last
-    ``spark.sql.streaming.numRecentProgressUpdates`` micro-batches.
-    """
-    return sum(
-        int(op.get("numRowsDroppedByWatermark", 0))
-        for progress in query.recentProgress
-        for op in progress.get("stateOperators", [])
-    )
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        key = str(event.progress.id)
+        self.dropped[key] = self.dropped.get(key, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
 
+    def onQueryTerminated(self, event) -> None:
+        pass
 
-def read_sink(spark, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a sink folder back (partition columns batch_id and the date are discovered)."""
-    return spark.read.format(fmt).load(path)
+
+_listeners: dict[str, LateRows] = {}
+
+
+def late_rows(spark: SparkSession) -> LateRows:
+    """The session's counter of late rows; registered once, before the first query that it should see."""
+    key = f"{spark.sparkContext.applicationId}/{id(spark._jsparkSession)}"
+    if key not in _listeners:
+        _listeners[key] = LateRows()
+        spark.streams.addListener(_listeners[key])
+    return _listeners[key]
+
+
+def late_rows_dropped(query: StreamingQuery, spark: SparkSession | None = None) -> int:
+    """Rows the watermark dropped as too late for their window (the only place late data is lost), over the whole run."""
+    spark = spark or SparkSession.active()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return late_rows(spark).dropped.get(str(query.id), 0)
+
+
+def read_sink(spark: SparkSession, path: str, fmt: str = "parquet", table: str | None = None) -> DataFrame:
+    """Read a sink folder back (the date, run and batch_id of the folders are columns).
+
+    With ``table`` the declared schema is used and a folder that no batch has
+    made yet is an empty table.
+    """
+    return read_files(spark, path, fmt, table)
 
 
 def expired_partitions(partitions: DataFrame, part_col: str, as_of, keep: str) -> DataFrame:

@@ -84,7 +84,7 @@ def test_profile_check_unknown_sensor(spark):
         "sensor_id string, event_time timestamp, vehicle_count int, avg_speed double",
     )
     prof = default_profile(spark, [("click", 15, 55, 20, 80)])
-    got = sorted((x.sensor_id, x.profile, x.speed_ok, x.count_ok) for x in sensor_profile_check(r, prof, 1).collect())
+    got = sorted((x.sensor_id, x.profile, x.speed_ok, x.count_ok) for x in sensor_profile_check(r, prof).collect())
     assert got == [("click", "known", False, False), ("click", "known", True, True), ("error", "unknown", None, None)]
 
 

@@ -37,7 +37,7 @@ def _run_windows(spark, src, out, cp):
     accepted, _ = parse(text_source(spark, src, max_files_per_trigger=1))
     q = start(
         congestion_windows(accepted),
-        table_writer(out, "congestion_index", persist_batch=True),
+        table_writer(out, "congestion_index"),
         name=None or f"w{abs(hash(out)) % 10**8}",
         checkpoint=cp,
         available_now=True,
@@ -147,7 +147,7 @@ def test_pipeline_matches_batch_twin(spark, tmp_dir, fan_out):
     assert wins.select(cols).exceptAll(expected.select(cols)).count() == 0
     assert expected.select(cols).exceptAll(wins.select(cols)).count() == 0
     assert "event_date" in raw.columns and "window_date" in wins.columns  # date-partitioned sinks
-    assert not os.path.exists(f"{tmp_dir}/tables/quarantine") or read_sink(spark, f"{tmp_dir}/tables/quarantine").count() == 0
+    assert read_sink(spark, f"{tmp_dir}/tables/quarantine", table="quarantine").count() == 0
 
 
 def test_late_data_semantics_with_rocksdb_state(spark, tmp_dir):
@@ -197,28 +197,116 @@ def test_fan_out_batch_fills_every_table_once_even_when_replayed(spark, tmp_dir)
     assert bad.first().reason == "bad or missing timestamp"
 
 
-def test_sized_batches_write_one_file_per_date_and_release_the_cache(spark, tmp_dir):
+def test_batch_is_written_by_the_tasks_that_made_it(spark, tmp_dir):
+    """No task count by size: each of the 16 tasks writes its rows; no file is longer than asked; nothing stays cached."""
     import glob
 
+    import pyarrow.parquet as pq
+
     df = (
         spark.range(0, 400, numPartitions=16)
         .select(
             F.lit("A").alias("sensor_id"),
-            F.timestamp_seconds(F.lit(1_778_400_000) + F.col("id") * 600).alias("window_start"),
+            F.timestamp_seconds(F.lit(1_778_400_000) + F.col("id")).alias("window_start"),
             F.col("id").cast("bigint").alias("total_vehicles"),
         )
         .withColumn("window_end", F.col("window_start") + F.expr("INTERVAL 5 MINUTES"))
     )
     out = f"{tmp_dir}/windows"
-    table_writer(out, "congestion_index", persist_batch=True)(df, 0)
-    dates = glob.glob(f"{out}/window_date=*")
-    assert len(dates) >= 2
-    for d in dates:  # 16 input partitions, but one file per date for a small batch
-        assert len(glob.glob(f"{d}/batch_id=0/*.parquet")) == 1
+    table_writer(out, "congestion_index", rows_per_file=10)(df, 0)
+    files = glob.glob(f"{out}/window_date=*/run=batch/batch_id=0/*.parquet")
+    assert len(files) == 48 and max(pq.read_metadata(f).num_rows for f in files) == 10
     assert read_sink(spark, out).count() == 400
     assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
 
 
+@pytest.mark.parametrize("again", ["new checkpoint", "other mode"])
+def test_a_new_checkpoint_never_overwrites_stored_rows(spark, tmp_dir, again):
+    """Batch numbers start at 0 again with a new checkpoint; the rows of the first run stay."""
+    for k, fan_out in enumerate([True, again == "new checkpoint"]):
+        _write_files(f"{tmp_dir}/src{k}", [[(f"10:0{i}:{k}0", 1 + i) for i in range(5)]])
+        cp = f"{tmp_dir}/cp{k}" if again == "new checkpoint" else f"{tmp_dir}/cp"
+        source = text_source(spark, f"{tmp_dir}/src{k}")
+        await_all(run_pipeline(spark, source, f"{tmp_dir}/t", cp, available_now=True, fan_out=fan_out))
+        assert read_sink(spark, f"{tmp_dir}/t/traffic_events").count() == 5 * (k + 1)
+
+
+@pytest.mark.parametrize("name", ["raw_stream", "critical_stream", "congestion_stream", "alert_tally_stream"])
+def test_streams_read_a_table_of_several_files(spark, tmp_dir, name):
+    from junctionflow.plans.catalog import QUERIES
+
+    load_events(spark, SF_SMALL).repartition(4).write.parquet(f"{tmp_dir}/events.parquet")
+    got, want = QUERIES[name](spark, tmp_dir), QUERIES[name](spark, SF_SMALL)
+    assert want.count() > 0
+    assert got.exceptAll(want.select(*got.columns)).count() == 0 == want.select(*got.columns).exceptAll(got).count()
+
+
+def test_stream_reads_its_source_once_a_batch(spark, tmp_dir):
+    """No count or emptiness job beside the write: each file's rows are read once."""
+    _write_files(f"{tmp_dir}/src", [[("10:00:00", 1)], [("10:01:00", 2)]])
+    reads = spark.sparkContext.accumulator(0)
+    source = text_source(spark, f"{tmp_dir}/src", max_files_per_trigger=1)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    accepted, _ = parse(source.select("value").mapInArrow(counted, "value string"))
+    q = start(raw_events(accepted), table_writer(f"{tmp_dir}/out", "traffic_events"), None, f"{tmp_dir}/cp", available_now=True)
+    q.awaitTermination()
+    assert read_sink(spark, f"{tmp_dir}/out").count() == 2 and reads.value == 2
+
+
+def test_state_writer_keeps_one_row_a_key_and_survives_a_replay(spark, tmp_dir):
+    from junctionflow.streaming import read_state, state_writer
+
+    write = state_writer(f"{tmp_dir}/s", ["k"])
+    frame = lambda rows: spark.createDataFrame(rows, "k string, n long")
+    write(frame([("a", 1), ("b", 1)]), 0)
+    write(frame([("a", 2)]), 1)
+    write(frame([("c", 1)]), 2)
+    write(frame([("c", 1)]), 2)
+    got = read_state(spark, f"{tmp_dir}/s", "batch")
+    assert sorted(map(tuple, got.collect())) == [("a", 2), ("b", 1), ("c", 1)]
+    assert sorted(x for x in os.listdir(f"{tmp_dir}/s/run=batch") if x.startswith("version")) == ["version=1", "version=2"]
+
+
+def test_streams_write_their_lines(spark, tmp_dir):
+    """Literal lines, as the original prints them."""
+    rows = [("10:00:00", 90, 4.5), ("10:01:00", 30, 25.5), ("10:30:00", 1, 50.0)]
+    os.makedirs(f"{tmp_dir}/src")
+    with open(f"{tmp_dir}/src/a.json", "w") as f:
+        for t, n, v in rows:
+            f.write(json.dumps({"sensor_id": "Junction_A", "timestamp": f"2026-05-09T{t}", "vehicle_count": n, "avg_speed": v}) + "\n")
+    source = text_source(spark, f"{tmp_dir}/src")
+    await_all(run_pipeline(spark, source, f"{tmp_dir}/t", f"{tmp_dir}/cp", available_now=True, with_lines=True))
+    alert = spark.read.text(f"{tmp_dir}/t/critical_traffic_lines").select("value").collect()
+    window = spark.read.text(f"{tmp_dir}/t/congestion_index_lines").select("value").collect()
+    assert [r.value for r in alert] == ["🚨 ALERT | Junction_A                   | vehicles:  90 | speed: 4.5 km/h ← CRITICAL"]
+    assert [r.value for r in window] == ["[Window] 10:00→10:05 | Junction_A                   | vehicles:  120 | speed:  15.0 | idx: 8.00"]
+
+
+def test_default_mode_runs_at_the_shorter_trigger(spark):
+    from junctionflow.streaming.pipeline import shorter
+
+    assert shorter(spark, "10 seconds", "5 seconds") == "5 seconds"
+    assert shorter(spark, "2 seconds", "1 minute") == "2 seconds"
+
+
+def test_source_zone_reads_naive_times_of_another_clock(spark):
+    payload = spark.createDataFrame(
+        [(json.dumps({"sensor_id": k, "timestamp": t, "vehicle_count": 1, "avg_speed": 1.0}),) for k, t in
+         (("a", "2026-05-09T10:00:00"), ("b", "2026-05-09T10:00:00Z"), ("c", "nonsense"))],
+        "value string",
+    )
+    from junctionflow.sources import decode
+
+    show = lambda zone: {r.sensor_id: r.t for r in decode(payload, source_zone=zone).selectExpr("sensor_id", "date_format(event_time, 'HH:mm') t").collect()}
+    assert show(None) == {"a": "10:00", "b": "10:00", "c": None}
+    assert show("Asia/Colombo") == {"a": "04:30", "b": "10:00", "c": None}
+
+
 def test_batch_and_stream_shuffle_widths_are_separate(spark, tmp_dir):
     """cluster_conf: batch shuffles start wide (AQE coalesces); window state keeps its own width."""
     from junctionflow.session import cluster_conf
@@ -237,7 +325,7 @@ def test_batch_and_stream_shuffle_widths_are_separate(spark, tmp_dir):
         accepted, _ = parse(text_source(spark, f"{tmp_dir}/src"))
         q = start(
             congestion_windows(accepted),
-            table_writer(f"{tmp_dir}/out", "congestion_index", persist_batch=True),
+            table_writer(f"{tmp_dir}/out", "congestion_index"),
             name=None,
             checkpoint=f"{tmp_dir}/cp",
             available_now=True,
@@ -265,7 +353,7 @@ def test_stateful_streams_aggregate_each_batch_before_the_state_shuffle(spark, t
     for table, (df, mode) in frames.items():
         q = start(
             df,
-            table_writer(f"{tmp_dir}/{table}", table, persist_batch=True),
+            table_writer(f"{tmp_dir}/{table}", table),
             name=None,
             checkpoint=f"{tmp_dir}/cp_{table}",
             available_now=True,
