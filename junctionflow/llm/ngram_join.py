@@ -8,12 +8,17 @@ of each. Shingles that the sketch proves unique can be shared with nobody and
 are not indexed; most documents therefore index nothing.
 
 Pairs come from joins on indexed shingles, in two rounds. First every class
-meets the least class of each of its shingles: as many pairs as index rows.
+meets one class of each of its shingles, the one with most shingles that others
+may share (in a group of near copies, one close to their origin): as many pairs
+as index rows.
 Then only classes of the same shingle that the first round's links left in
 different components meet, so a large group of near copies is joined through a
-few members and its pairs are never all emitted. Length and positional filters
-are part of the join condition, the suffix filter compares bucket counts of the
-sets, and what is left is verified once by the exact intersection.
+few members and its pairs are never all emitted. The join condition holds the
+length filter, the positional filter (only shingles not proven unique can match
+before a position), a bound by levels of the sketch (a shingle has one level in
+all sets), and in the second round the suffix filter, which bounds the overlap
+bucket by bucket of the hash. What is left is verified once by the exact
+intersection.
 
 Cases: null, empty or wordless texts have an empty set and link with nothing;
 rows without an id take part (their component is the least id of the group, null
@@ -37,10 +42,12 @@ WIDTH = 5
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Buckets of the suffix filter.
-BUCKETS = 32
+BUCKETS = 64
 #: Documents of one batch of a task's output.
 TOGETHER = 1000
-ROW = "doc_id long, n long, set binary, free int, grams array<long>, counts array<short>"
+ROW = "doc_id long, n long, set binary, free int, l1 int, l2 int, grams array<long>, counts array<short>"
+#: What a posting says of its set: size, shingles proven unique, shingles of levels 1 and 2.
+SHAPE = ("n", "free", "l1", "l2")
 
 
 def shingle_sets(col, width: int = WIDTH):
@@ -63,27 +70,28 @@ def _sets(docs: DataFrame, width: int, percent: int, log2: int) -> DataFrame:
     def rows(batches):
         seen = levels.value
         for batch in (b.slice(k, TOGETHER) for b in batches for k in range(0, b.num_rows, TOGETHER)):
-            n, key, free, grams, counts = [], [], [], [], []
+            n, key, levels_of, grams, counts = [], [], [], [], []
             for s in shingle_sets(batch.column(1), width):
                 n.append(len(s))
                 marks = np.array([np.sum(s), np.sum(mix(s ^ MULT[40]))], U64)
                 key.append(marks.tobytes())
                 lv = seen.of(s) if len(s) else s
-                alone = int(np.sum(lv == 0))
+                by_level = np.bincount(lv, minlength=4).tolist() if len(s) else [0] * 4
+                alone = by_level[0]
+                levels_of.append(by_level)
                 if alone >= len(s) - -(-percent * len(s) // 100) + 1 or not len(s):
-                    free.append(alone)
                     grams.append(None)
                     counts.append(None)
                     continue
-                free.append(alone)
                 grams.append(s[np.argsort(lv, kind="stable")].view(np.int64))
-                counts.append(np.minimum(np.bincount((s & U64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS), 32767).astype(np.int16))
+                counts.append(np.minimum(np.bincount((s[lv > 0] & U64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS), 32767).astype(np.int16))
             yield pa.record_batch(
                 [
-                    batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(free, pa.int32()),
+                    batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()),
+                    *(pa.array([x[k] for x in levels_of], pa.int32()) for k in range(3)),
                     pa.array(grams, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int16())),
                 ],
-                names=["doc_id", "n", "set", "free", "grams", "counts"],
+                names=["doc_id", "n", "set", "free", "l1", "l2", "grams", "counts"],
             )
 
     return written(slim.mapInArrow(rows, ROW), "shingle-sets")
@@ -95,10 +103,22 @@ def _need(na: Column, nb: Column, percent: int) -> Column:
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
-    """Length filter, and positional filter for two postings of the same shingle."""
+    """Length, positional and level filters for two postings of the same shingle."""
+
+    def both(f) -> Column:
+        return F.least(f(lambda c: F.col(f"{a}.{c}")), f(lambda c: F.col(f"{b}.{c}")))
+
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    rest = F.least(na - F.col(f"{a}.pos"), nb - F.col(f"{b}.pos"))
-    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (rest + F.least(f"{a}.pos", f"{b}.pos") >= _need(na, nb, percent))
+    need = _need(na, nb, percent)
+    here = both(lambda c: c("n") - c("pos")) + both(lambda c: c("pos") - c("free"))
+    levels = both(lambda c: c("l1")) + both(lambda c: c("l2")) + both(lambda c: c("n") - c("free") - c("l1") - c("l2"))
+    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (here >= need) & (levels >= need)
+
+
+def _buckets_allow(na: Column, nb: Column, ca: Column, cb: Column, percent: int) -> Column:
+    """Suffix filter: the sum over buckets of the smaller count bounds the intersection."""
+    most = F.aggregate(F.zip_with(ca, cb, lambda x, y: F.least(x, y).cast("int")), F.lit(0), lambda s, x: s + x)
+    return (F.greatest(na, nb) > 32767) | (most >= _need(na, nb, percent))  # counts are cut at 32767
 
 
 def _ordered(a: str, b: str) -> list[Column]:
@@ -111,10 +131,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     near = (
         pairs.join(small.toDF("a", "na", "ca"), "a")
         .join(small.toDF("b", "nb", "cb"), "b")
-        .filter(
-            F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.least(x, y).cast("int")), F.lit(0), lambda s, x: s + x)
-            >= F.when(F.greatest("na", "nb") > 32767, F.lit(0)).otherwise(_need(F.col("na"), F.col("nb"), percent))
-        )
+        .filter(_buckets_allow(F.col("na"), F.col("nb"), F.col("ca"), F.col("cb"), percent))
         .select("a", "b", "na", "nb")
     )
     grams = classes.select("set", "grams")
@@ -129,23 +146,22 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     shared = sets.filter("grams is not null")
     classes = written(
         shared.groupBy("set").agg(
-            F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("free").alias("free"),
-            F.first("grams").alias("grams"), F.first("counts").alias("counts"),
+            F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in (*SHAPE, "grams", "counts"))
         ),
         "shingle-classes",
     )
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     rows = classes.withColumn("part", F.slice("grams", F.col("free") + 1, (prefix - F.col("free")).cast("int")))
     index = written(
-        rows.select("set", "n", F.posexplode("part").alias("k", "gram"), "free").select(
-            "gram", "set", "n", (F.col("k") + F.col("free")).cast("long").alias("pos")
+        rows.select("set", *SHAPE, F.posexplode("part").alias("k", "gram")).select(
+            "gram", "set", *SHAPE, (F.col("k") + F.col("free")).alias("pos")
         ),
         "shingle-index",
     )
     size = index.count()
     hubs = (
         index.groupBy("gram")
-        .agg(F.min(F.struct("set", "n", "pos")).alias("hub"), F.count("*").alias("members"))
+        .agg(F.max(F.struct((F.col("n") - F.col("free")).alias("shared"), "set", *SHAPE, "pos")).alias("hub"), F.count("*").alias("members"))
         .filter("members > 1")
         .select("gram", "hub.*")
     )
@@ -158,17 +174,19 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
 
     # Shingles whose members are still in several components: all of them but the
     # largest component's meet the whole list.
-    labelled = index.join(label, index["set"] == label["node"], "left").select("gram", "set", "n", "pos", F.coalesce("component", "set").alias("part"))
+    labelled = index.join(label, index["set"] == label["node"], "left").select("gram", "set", *SHAPE, "pos", F.coalesce("component", "set").alias("part"))
     labelled = written(labelled, "labelled-index", size)
     parts = labelled.groupBy("gram", "part").agg(F.count("*").alias("c"))
     open_ = parts.groupBy("gram").agg(F.max(F.struct("c", "part")).alias("top"), F.count("*").alias("k")).filter("k > 1")
     open_ = written(open_.select("gram", F.col("top.part").alias("main")), "open-shingles", size // 2)
-    left = written(labelled.join(open_, "gram"), "open-index", size)
+    left = labelled.join(open_, "gram").join(classes.select(F.col("set").alias("key"), "counts"), F.col("set") == F.col("key"))
+    left = written(left.drop("key"), "open-index", size)
     x, y = left.filter("part <> main").alias("x"), left.alias("y")
     rest = x.join(y, F.col("x.gram") == F.col("y.gram")).filter(
         (F.col("x.part") != F.col("y.part"))
         & ((F.col("y.part") == F.col("y.main")) | (F.col("x.set") < F.col("y.set")))
         & _may_link("x", "y", percent)
+        & _buckets_allow(F.col("x.n"), F.col("y.n"), F.col("x.counts"), F.col("y.counts"), percent)
     )
     rest = rest.select(*_ordered("x", "y")).distinct().join(star, ["a", "b"], "left_anti")
     more = written(_verified(rest, classes, percent), "more-links", size)
