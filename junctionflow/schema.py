@@ -55,7 +55,6 @@ CONGESTION_INDEX = T.StructType(
         T.StructField("total_vehicles", T.LongType(), False),
         T.StructField("avg_speed", T.DoubleType(), True),
         T.StructField("congestion_idx", T.DoubleType(), True),
-        T.StructField("created_at", T.TimestampType(), True),
     ]
 )
 
@@ -67,10 +66,12 @@ DAILY_PEAK_REPORT = T.StructType(
         T.StructField("peak_vehicles", T.LongType(), False),
         T.StructField("avg_congestion", T.DoubleType(), False),
         T.StructField("needs_police", T.BooleanType(), True),
-        T.StructField("created_at", T.TimestampType(), True),
     ]
 )
 
+# Set when a row is stored (tables without an ingest or alert time of their own).
+CREATED_AT = T.StructField("created_at", T.TimestampType(), True)
+
 # What the history charts fold: one row a (night, sensor, hour).
 NIGHT_ROLLUP = T.StructType(
     [

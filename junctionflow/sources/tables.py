@@ -23,6 +23,8 @@ def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
+#: Tables whose rows get the time they are stored.
+STAMPED = ("congestion_index", "daily_peak_report")
 STREAM_TABLES = ("traffic_events", "critical_traffic", "congestion_index", "quarantine")
 
 TABLE_SCHEMA = {
@@ -54,7 +56,8 @@ def is_folder(spark: SparkSession, path: str) -> bool:
 def stored_schema(name: str) -> T.StructType:
     """Declared columns of a stored table and those of its folders."""
     part = PARTITION_COLUMN.get(name)
-    fields = [f for f in TABLE_SCHEMA[name].fields if f.name != part] + ([T.StructField(part, T.DateType())] if part else [])
+    own = TABLE_SCHEMA[name].fields + ([schema.CREATED_AT] if name in STAMPED else [])
+    fields = [f for f in own if f.name != part] + ([T.StructField(part, T.DateType())] if part else [])
     if name in STREAM_TABLES:
         fields += [T.StructField("run", T.StringType()), T.StructField("batch_id", T.IntegerType())]
     return T.StructType(fields)

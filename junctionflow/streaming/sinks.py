@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from ..sources.tables import PARTITION_COLUMN, file_system, read_files, write_jdbc
+from ..sources.tables import PARTITION_COLUMN, STAMPED, file_system, read_files, write_jdbc
 
 log = logging.getLogger("junctionflow.sinks")
 
@@ -43,7 +43,7 @@ def with_partition_date(df: DataFrame, table: str) -> DataFrame:
 
 def stamped(df: DataFrame, table: str) -> DataFrame:
     """Rows with the time they are stored, for the table that keeps it (windows have no ingest time of their own)."""
-    if table == "congestion_index" and "created_at" not in df.columns:
+    if table in STAMPED and "created_at" not in df.columns:
         return df.withColumn("created_at", F.current_timestamp())
     return df
 
