@@ -41,6 +41,8 @@ from ._store import written
 WIDTH = 5
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 75
+#: Slots of the sketch, as a power of 2.
+LOG2 = 29
 #: Buckets of the suffix filter.
 BUCKETS = 64
 #: Documents of one batch of a task's output.
@@ -140,7 +142,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * F.col("same") >= percent * (F.col("na") + F.col("nb") - F.col("same"))).select("a", "b")
 
 
-def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, log2: int = 28) -> DataFrame:
+def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, log2: int = LOG2) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs."""
     sets = _sets(docs, width, percent, log2)
     shared = sets.filter("grams is not null")
