@@ -31,8 +31,9 @@ _ROW = pa.schema([("part", pa.int32()), ("fan", pa.int32()), ("dense", pa.bool_(
 class Levels:
     """Packed levels: 0 for at most 1 occurrence, 1 for 2 to 3, 2 for 4 to 14, 3 for more.
 
-    Parts stay compressed (a sparse sketch is mostly zeros) until a worker first
-    asks; the driver only passes them on.
+    Parts stay compressed (a sparse sketch is mostly zeros) until a task asks, and
+    the unpacked slots go when it ends (:func:`using`): idle workers hold little.
+    The driver only passes the parts on.
     """
 
     def __init__(self, parts: dict[int, bytes], log2: int, probes: int):
@@ -44,7 +45,6 @@ class Levels:
         size, unzip = len(self.packed) // RANGES, zstandard.ZstdDecompressor()
         for part, body in self.parts.items():
             self.packed[part * size :][:size] = np.frombuffer(unzip.decompress(body), np.uint8)
-        self.parts = {}
 
     def of(self, h: np.ndarray) -> np.ndarray:
         if self.packed is None:
@@ -164,6 +164,20 @@ def count_levels(
     return Levels({row.part: bytes(row.payload) for row in whole.collect()}, log2, probes)
 
 
+def using(sent, fn):
+    """The mapInArrow function ``fn(levels, batches)`` with a broadcast sketch, freed when the task ends."""
+
+    def run(batches):
+        levels = sent.value
+        try:
+            yield from fn(levels, batches)
+        finally:
+            levels.packed = None
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def broadcast(df: DataFrame, levels: Levels):
     """2**(log2 - 2) bytes to each Python worker."""
     return df.sparkSession.sparkContext.broadcast(levels)

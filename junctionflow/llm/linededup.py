@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._bytes import digest16, line_key
-from ._sketch import broadcast, count_levels
+from ._sketch import broadcast, count_levels, using
 from ._store import written
 
 MIN_CHARS, MIN_DOCS = 40, 5
@@ -62,8 +62,7 @@ def line_decisions(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
 
     levels = broadcast(docs, count_levels(slim, hashes, log2=log2, probes=2))
 
-    def suspects(batches):
-        seen = levels.value
+    def suspects(seen, batches):
         for batch in batches:
             ids, out = [], []
             for i, t in zip(batch.column(0), batch.column(1)):
@@ -73,7 +72,7 @@ def line_decisions(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
                     out += hit
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["doc_id", "line"])
 
-    found = slim.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(suspects, "doc_id long, line binary")
+    found = slim.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(using(levels, suspects), "doc_id long, line binary")
     # Rows that share an id count once: first one row an (line, id), then one a line.
     pairs = written(found.distinct(), "line-suspects")
     exact = pairs.groupBy("line").agg(F.count("*").alias("docs"), F.max("doc_id").alias("holder")).filter(F.col("docs") >= min_docs)
@@ -96,9 +95,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     at, of_id = docs.columns.index("text"), docs.columns.index("doc_id")
     names = docs.columns
 
-    def split(batches):
+    def split(seen, batches):
         """Marks documents with a suspect line; the others are finished here."""
-        seen = levels.value
         for batch in batches:
             n, flag = [], []
             for i, t in zip(batch.column(of_id), batch.column(at)):
@@ -126,7 +124,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
             yield pa.record_batch(cols, names=[*names, "__n_lines", "__n_dropped"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    marked = docs.mapInArrow(split, f"{kinds}, __n long, __s boolean")
+    marked = docs.mapInArrow(using(levels, split), f"{kinds}, __n long, __s boolean")
     moved = marked.filter("__s").join(lost, F.col("doc_id") == F.col("__id"), "left").drop("__id")
     rows = marked.filter("not __s").withColumn("__drop", F.lit(None).cast("array<binary>")).unionByName(moved)
     return rows.drop("__s").mapInArrow(finish, f"{kinds}, __n_lines long, __n_dropped long")

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ._bytes import MULT, NOT_SPACE, U64, combine, mix, word_hashes
 from ._components import components
-from ._sketch import broadcast, count_levels
+from ._sketch import broadcast, count_levels, using
 from ._store import written
 
 WIDTH = 5
@@ -69,8 +69,7 @@ def _sets(docs: DataFrame, width: int, percent: int, log2: int) -> DataFrame:
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     levels = broadcast(docs, count_levels(slim, lambda b: shingle_sets(b.column(1), width), log2=log2))
 
-    def rows(batches):
-        seen = levels.value
+    def rows(seen, batches):
         for batch in (b.slice(k, TOGETHER) for b in batches for k in range(0, b.num_rows, TOGETHER)):
             n, key, levels_of, grams, counts = [], [], [], [], []
             for s in shingle_sets(batch.column(1), width):
@@ -96,7 +95,7 @@ def _sets(docs: DataFrame, width: int, percent: int, log2: int) -> DataFrame:
                 names=["doc_id", "n", "set", "free", "l1", "l2", "grams", "counts"],
             )
 
-    return written(slim.mapInArrow(rows, ROW), "shingle-sets")
+    return written(slim.mapInArrow(using(levels, rows), ROW), "shingle-sets")
 
 
 def _need(na: Column, nb: Column, percent: int) -> Column:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ._bytes import MULT, PIECE, U64, column_bytes, doc_groups, mix, prefix_hash, range_hash
 from ._deepshallow import common_prefix, deep_shallow_order
-from ._sketch import broadcast, count_levels
+from ._sketch import broadcast, count_levels, using
 from ._store import written
 
 LENGTH, SEED = 100, 32
@@ -236,8 +236,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, log2: int = LOG2, many
     slim = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     levels = broadcast(docs, count_levels(slim, lambda b: (x[4] for x in segments(b.column(1), length)), log2=log2, probes=2))
 
-    def suspects(batches):
-        seen = levels.value
+    def suspects(seen, batches):
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for doc, first, last, a, h, g in segments(batch.column(1), length):
@@ -248,7 +247,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, log2: int = LOG2, many
                 )
                 yield pa.record_batch([pa.array(c) for c in cols], names=["h", "g", "doc_id", "s", "off", "n"])
 
-    rows = written(slim.mapInArrow(suspects, SEGMENT), "segments")
+    rows = written(slim.mapInArrow(using(levels, suspects), SEGMENT), "segments")
     classes = rows.groupBy("h", "g").agg(
         F.min(F.struct("doc_id", "s")).alias("first"), F.first("off").alias("off"), F.first("n").alias("n"), F.count("*").alias("times")
     )
