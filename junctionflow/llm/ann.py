@@ -9,8 +9,9 @@ distance on the original vectors.
 The codebooks are fitted on a bounded sample, on which the share of vectors to
 visit is chosen too: the least of SHARES that finds ``recall`` of the
 sample's true neighbours (1 visits every cell, an exact search). Equal vectors
-are one entry that carries its least ids, as many as a result can need. Large
-cells are cut into blocks, and queries too, so no cell needs one task.
+are one entry that carries its least ids, as many as a result can need. The
+cells of one centroid of the first half are read together, in blocks of bounded
+size, and queries come in blocks, too.
 
 Cases: vectors that are null, all zero, hold null or non-finite components or
 are not of the most frequent length take no part, nor do null ids; of rows that
@@ -37,7 +38,7 @@ SAMPLE, TRIALS = 16_384, 200
 SHARES = (1 / 64, 1 / 32, 1 / 16, 1 / 8, 1 / 4, 3 / 8, 1 / 2, 5 / 8, 3 / 4, 1.0)
 #: Centroids of a half, at most.
 CENTROIDS = 256
-#: Entries of a block of a cell, and queries of a block.
+#: Entries of a block of a row of cells (those of one centroid of the first half), and queries of a block.
 CELL_BLOCK, QUERY_BLOCK = 4096, 8192
 
 
@@ -161,26 +162,32 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, recall: float = 0
     ready = spark.sparkContext.broadcast(index)
     queries = rows.filter(F.col("vec_id") % every == 0)
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    width = len(index.second)
+    row_parts = np.maximum(1, -(-index.sizes.reshape(-1, width).sum(1) // CELL_BLOCK))
 
     def probe(batches):
         for batch in batches:
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                asked: dict[int, list[int]] = {}
                 for cell in ready.value.walk(np.frombuffer(v), enough):
-                    for part in range(-(-int(ready.value.sizes[cell]) // CELL_BLOCK)):
-                        for o, x in zip(out, (i, v, cell, part)):
+                    asked.setdefault(cell // width, []).append(cell)
+                for first, cells in asked.items():
+                    for part in range(int(row_parts[first])):
+                        for o, x in zip(out, (i, v, first, part, cells)):
                             o.append(x)
                 if len(out[0]) > 5000:
                     yield pa.record_batch([pa.array(o, t) for o, t in zip(out, kinds)], names=names)
-                    out = [[], [], [], []]
+                    out = [[], [], [], [], []]
             yield pa.record_batch([pa.array(o, t) for o, t in zip(out, kinds)], names=names)
 
-    kinds, names = (pa.int64(), pa.binary(), pa.int32(), pa.int32()), ["query_id", "v", "cell", "part"]
-    probes = queries.mapInArrow(probe, "query_id long, v binary, cell int, part int")
+    kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
+    names = ["query_id", "v", "first", "part", "cells"]
+    probes = queries.mapInArrow(probe, "query_id long, v binary, first int, part int, cells array<int>")
     probes = probes.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
-    n_parts = F.create_map(*[x for c in np.flatnonzero(index.sizes > CELL_BLOCK) for x in (F.lit(int(c)), F.lit(int(-(-index.sizes[c] // CELL_BLOCK))))])
-    parts = F.coalesce(n_parts[F.col("cell")], F.lit(1)) if (index.sizes > CELL_BLOCK).any() else F.lit(1)
-    dealt = entries.withColumn("part", F.pmod(F.xxhash64("v"), parts).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    parts = F.array(*[F.lit(int(p)) for p in row_parts])  # at most CENTROIDS numbers
+    dealt = entries.withColumn("first", F.floor(F.col("cell") / width).cast("int"))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("v"), F.element_at(parts, F.col("first") + 1)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
     def rerank(asked: pa.Table, held: pa.Table) -> pa.Table:
         out: list[list] = [[], [], []]
@@ -188,12 +195,15 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, recall: float = 0
             x = np.frombuffer(b"".join(held["v"].to_pylist())).reshape(held.num_rows, -1)
             ids = held["ids"].to_pylist()
             who, qs = asked["query_id"].to_pylist(), np.frombuffer(b"".join(asked["v"].to_pylist())).reshape(asked.num_rows, -1)
+            cell, cells = held["cell"].to_numpy(), asked["cells"].to_pylist()
             for lo in range(0, len(qs), 256):
                 d = _near(qs[lo : lo + 256], x)
+                for row, wanted in zip(d, cells[lo : lo + 256]):
+                    row[~np.isin(cell, wanted)] = np.inf
                 reach = min(k + 1, d.shape[1])  # the query itself may be one of them
                 limit = np.partition(d, reach - 1, axis=1)[:, reach - 1]
                 for n, (row, top) in enumerate(zip(d, limit), lo):
-                    near = np.flatnonzero(row <= top * (1 + 1e-9) + 1e-9)
+                    near = np.flatnonzero((row <= top * (1 + 1e-9) + 1e-9) & (row < np.inf))
                     exact = np.sqrt(((x[near] - qs[n]) ** 2).sum(1))
                     best = sorted((s, i) for s, e in zip(exact.tolist(), near.tolist()) for i in ids[e] if i != who[n])[:k]
                     out[0] += [who[n]] * len(best)
@@ -201,7 +211,7 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, recall: float = 0
                     out[2] += [s for s, _ in best]
         return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "score"])
 
-    key = ["cell", "part", "block"]
+    key = ["first", "part", "block"]
     found = probes.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInArrow(rerank, result)
     rank = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
