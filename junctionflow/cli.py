@@ -130,7 +130,7 @@ def main(argv: list[str] | None = None) -> int:
         run_nightly(
             t["traffic_events"], t["critical_traffic"], t["congestion_index"], args.out, as_of, report_date,
             history=history, history_mode=args.history_mode, variant=args.variant,
-            lookback=params.LOOKBACK, jdbc=jdbc,
+            lookback=params.LOOKBACK, jdbc=jdbc, tables=None if jdbc else args.tables,
         )
         return 0
 

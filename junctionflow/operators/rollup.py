@@ -1,23 +1,33 @@
-"""Nightly rollups: what the history charts need, one row a (night, sensor, hour).
+"""Rollups by day: what the history charts need, one row a (day, sensor, hour).
 
-A night's rows are sums and counts over ``[as_of - lookback, as_of)``, so the
-nights of a daily schedule do not overlap and any set of nights folds into the
-all-history aggregates without reading a reading again.
+A day's rows are sums and counts over all rows of that date, so days do not
+overlap whenever the nightly runs, a day that got later rows is replaced whole,
+and any set of days folds into the all-history aggregates without reading a
+reading again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params
-from ..functions import date_literal, ts_literal
-from .hourly import _in_range
+from ..functions import cutoff, ts_literal
+from .hourly import PARTITION_OF
 
 
-def _rolled(traffic_events: DataFrame, critical_traffic: DataFrame, congestion_index: DataFrame, night) -> DataFrame:
+def _day(df: DataFrame, time_col: str) -> Column:
+    """A row's own day: the date of its folder, or of its time in a table without one."""
+    part = PARTITION_OF[time_col]
+    return F.col(part) if part in df.columns else F.to_date(time_col)
+
+
+def day_rollup(traffic_events: DataFrame, critical_traffic: DataFrame, congestion_index: DataFrame) -> DataFrame:
+    """report_date, sensor_id, hour: vehicles, speed_sum, readings, alerts, idx_sum, idx_windows (null where a table has no row)
+    of all days in the tables, each row counted under its own day."""
+
     def part(df: DataFrame, time_col: str, *sums) -> DataFrame:
-        return df.groupBy(night(time_col).alias("report_date"), "sensor_id", F.hour(time_col).alias("hour")).agg(*sums)
+        return df.groupBy(_day(df, time_col).alias("report_date"), "sensor_id", F.hour(time_col).alias("hour")).agg(*sums)
 
     traffic = part(
         traffic_events,
@@ -38,25 +48,17 @@ def night_rollup(
     critical_traffic: DataFrame,
     congestion_index: DataFrame,
     as_of,
-    report_date,
     lookback: str = params.LOOKBACK,
 ) -> DataFrame:
-    """report_date, sensor_id, hour: vehicles, speed_sum, readings, alerts, idx_sum, idx_windows (null where a table has no row)."""
+    """:func:`day_rollup` of the whole days from the one of ``as_of - lookback`` to the last that ended
+    by ``as_of``; the tables must hold all rows of these days.
+    """
 
     def cut(df: DataFrame, time_col: str) -> DataFrame:
-        return _in_range(df, time_col, as_of, lookback).filter(F.col(time_col) < ts_literal(as_of))
+        day = _day(df, time_col)
+        return df.filter((day >= F.to_date(cutoff(as_of, lookback))) & (day < F.to_date(ts_literal(as_of))))
 
-    return _rolled(
-        cut(traffic_events, "event_timestamp"),
-        cut(critical_traffic, "alerted_at"),
-        cut(congestion_index, "window_start"),
-        lambda _: date_literal(report_date),
-    )
-
-
-def day_rollup(traffic_events: DataFrame, critical_traffic: DataFrame, congestion_index: DataFrame) -> DataFrame:
-    """The rollup of all days at once, each row's own day as its night (to fill in history from before the first nightly)."""
-    return _rolled(traffic_events, critical_traffic, congestion_index, F.to_date)
+    return day_rollup(cut(traffic_events, "event_timestamp"), cut(critical_traffic, "alerted_at"), cut(congestion_index, "window_start"))
 
 
 def rollup_hourly(rollup: DataFrame) -> DataFrame:

@@ -8,10 +8,12 @@ and runs the hourly grouping twice; here the hourly aggregate is computed once
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
+from collections import defaultdict
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import params
@@ -19,6 +21,7 @@ from ..operators import (
     alert_counts,
     congestion_avg,
     daily_peak_rows,
+    day_rollup,
     hourly_report,
     hourly_traffic,
     night_rollup,
@@ -28,9 +31,12 @@ from ..operators import (
     police_plan,
     rows_to_append,
 )
-from ..sources.tables import write_jdbc
+from ..sources.tables import PARTITION_COLUMN, partition_days, path_exists, range_start_day, read_days, table_path, write_jdbc
 from .report import deployment_report_lines, hourly_csv_rows, write_csv, write_report_text
 
+#: Tables that are rolled up by day.
+ROLLED = ("traffic_events", "critical_traffic", "congestion_index")
+
 
 @dataclass
 class Nightly:
@@ -69,7 +75,7 @@ def nightly_frames(
         decisions=decisions,
         plan=police_plan(decisions),
         summary=peak_lines(decisions, style="log" if variant == "rule" else "summary"),
-        rollup=night_rollup(traffic_events, critical_traffic, congestion_index, as_of, report_date, lookback),
+        rollup=night_rollup(traffic_events, critical_traffic, congestion_index, as_of, lookback),
         history_rows=daily_peak_rows(decisions, report_date),
         csv_rows=hourly_csv_rows(hourly_report(hourly), report_date),
         report_lines=deployment_report_lines(
@@ -78,6 +84,42 @@ def nightly_frames(
     )
 
 
+def _write_rollup(rollup: DataFrame, out: str) -> None:
+    (
+        rollup.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("report_date")
+        .parquet(table_path(out, "night_rollup"))
+    )
+
+
+def update_rollup(spark: SparkSession, tables: str, out: str, as_of, keep: str = params.RAW_RETENTION) -> list[str]:
+    """Roll up every day that ended by ``as_of`` and whose stored files are not those of its last rollup; returns the days.
+
+    Each such day is computed from all its rows and replaced, so rows that come
+    late (windows wait for their watermark), skipped nights and a drifting
+    ``as_of`` are made up for by the next run. The files are listed before they
+    are read: a batch stored in between makes its day differ again. Days that
+    retention may have dropped keep their rollup.
+    """
+    known = f"{table_path(out, 'night_rollup')}_files"
+    rolled = {r.day: r.files for r in spark.read.parquet(known).collect()} if path_exists(spark, known) else {}
+    end = range_start_day(spark, as_of, "0 days")
+    first = range_start_day(spark, max([end, *rolled]), keep)
+    found: dict[str, list[str]] = defaultdict(list)
+    for name in ROLLED:
+        part = PARTITION_COLUMN[name]
+        days = [d for d in partition_days(spark, table_path(tables, name), part) if first <= d < end]
+        for f in read_days(spark, name, tables, days).inputFiles():
+            found[f.rpartition(f"/{part}=")[2].partition("/")[0]].append(f"{name}/{f.rpartition(f'/{part}=')[2]}")
+    files = {d: hashlib.sha256("\n".join(sorted(f)).encode()).hexdigest() for d, f in found.items()}
+    days = sorted(d for d in files if rolled.get(d) != files[d])
+    if days:
+        _write_rollup(day_rollup(*(read_days(spark, name, tables, days) for name in ROLLED)), out)
+        spark.createDataFrame(sorted((rolled | files).items()), "day string, files string").coalesce(1).write.mode("overwrite").parquet(known)
+    return days
+
+
 def run_nightly(
     traffic_events: DataFrame,
     critical_traffic: DataFrame,
@@ -89,18 +131,25 @@ def run_nightly(
     history_mode: str = "append",
     variant: str = "rule",
     jdbc: dict | None = None,
+    tables: str | None = None,
     **kwargs,
 ) -> Nightly | None:
     """Write the CSV, the text report, the police list, the peak listing, the rollup and the history rows under ``out``.
 
     The police list (``police_plan_<day>.csv``: sensor, peak hour, vehicles, time
     to deploy by) and the peak listing (``peak_summary_<day>.txt``) are what the
-    original hands to its next task and prints. The rollup's night is replaced
-    when the night is run again.
+    original hands to its next task and prints. With ``tables``, the folder of
+    the stream tables, the rollup takes every closed day with new files
+    (:func:`update_rollup`). Without it, it takes the closed days since the one
+    of ``as_of - lookback`` from the frames; over ``jdbc``, where no files tell
+    which days have new rows, all closed days that retention keeps. A day that
+    is rolled up again replaces itself.
 
-    Returns None (and writes nothing) when no junction had traffic, as the
-    original skips report and save on an empty result.
+    Returns None (and writes nothing but the rollup of ``tables``) when no
+    junction had traffic, as the original skips report and save on an empty result.
     """
+    if tables is not None:
+        update_rollup(traffic_events.sparkSession, tables, out, as_of)
     n = nightly_frames(traffic_events, critical_traffic, congestion_index, as_of, report_date, variant, **kwargs)
     # Both are small (sensors x 24 and sensors rows) and read by several outputs
     # below; keep them once instead of re-scanning the night for each output.
@@ -116,12 +165,10 @@ def run_nightly(
         n.plan.orderBy("sensor_id").write.mode("overwrite").option("header", True).csv(f"{out}/police_plan_{day}.csv")
         listing = n.summary.orderBy(F.col("peak_vehicles").desc(), "sensor_id").select("line")
         listing.write.mode("overwrite").text(f"{out}/peak_summary_{day}.txt")
-        (
-            n.rollup.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("report_date")
-            .parquet(f"{out}/night_rollup")
-        )
+        if jdbc is not None:
+            _write_rollup(night_rollup(traffic_events, critical_traffic, congestion_index, as_of, params.RAW_RETENTION), out)
+        elif tables is None:
+            _write_rollup(n.rollup, out)
         rows = n.history_rows
         if history is not None:
             rows = rows_to_append(rows, history, history_mode, report_date)

@@ -119,14 +119,20 @@ def read_range(
     Without a metastore this is the pruning a catalog table gets from its
     partition list.
     """
+    first = range_start_day(spark, as_of, lookback)
+    days = partition_days(spark, table_path(base, name), PARTITION_COLUMN[name])
+    return read_days(spark, name, base, [d for d in days if d >= first], fmt)
+
+
+def read_days(spark: SparkSession, name: str, base: str, days: list[str], fmt: str = "parquet") -> DataFrame:
+    """Scan those of the days' date folders that there are."""
     root = table_path(base, name)
     part = PARTITION_COLUMN[name]
-    first = range_start_day(spark, as_of, lookback)
-    days = [d for d in partition_days(spark, root, part) if d >= first]
-    if not days:
+    there = sorted(set(days) & set(partition_days(spark, root, part)))
+    if not there:
         return spark.createDataFrame([], stored_schema(name))
     reader = spark.read.format(fmt).schema(stored_schema(name)).option("basePath", root)
-    return reader.load([f"{root}/{part}={d}" for d in days])
+    return reader.load([f"{root}/{part}={d}" for d in there])
 
 
 def jdbc_table(

@@ -12,6 +12,7 @@ from junctionflow.functions import now_text, round_half_up
 from junctionflow.plans import run_nightly
 from junctionflow.plans.catalog import EventTables
 from junctionflow.plans.charts import chart_frames, chart_frames_from_rollup, write_charts
+from junctionflow.plans.nightly import update_rollup
 from junctionflow.plans.housekeeping import compact_closed_days, compact_day, drop_expired
 from junctionflow.sources.tables import read_range, read_table
 from junctionflow.streaming import table_writer
@@ -76,6 +77,38 @@ def test_charts_from_the_rollup_read_no_readings(spark, stored, tmp_dir):
         assert all("night_rollup" in f for f in df.inputFiles())
 
 
+def test_rollup_takes_rows_that_come_after_a_night(spark, stored, tmp_dir, monkeypatch):
+    """Nights at drifting times, one left out; windows and readings of closed days are stored after their night."""
+    monkeypatch.setattr(cli, "_spark", lambda args: spark)
+    times = dict(zip(TABLES, ("event_timestamp", "alerted_at", "window_start")))
+    whole = {n: read_table(spark, n, stored).filter(F.col(c) < "2024-01-05 00:00:00").localCheckpoint() for n, c in times.items()}
+    late = {
+        "traffic_events": F.col("event_timestamp").between("2024-01-01 10:00:00", "2024-01-01 14:00:00"),
+        "critical_traffic": F.hour("alerted_at") == 11,
+        "congestion_index": F.hour("window_start") >= 20,
+    }
+    base, out = f"{tmp_dir}/late", f"{tmp_dir}/late_out"
+
+    def store(k, late_rows):
+        for n, df in whole.items():
+            table_writer(f"{base}/{n}", n)(df.filter(late[n] if late_rows else ~late[n]).drop("run", "batch_id"), k)
+
+    def night(as_of):
+        assert cli.main(["nightly", "--tables", base, "--out", out, "--as-of", as_of]) == 0
+
+    store(0, False)
+    night("2024-01-02 00:00:07")
+    night("2024-01-04 00:00:03")
+    store(1, True)
+    night("2024-01-05 00:00:01")
+    want, got = chart_frames(*whole.values()), chart_frames_from_rollup(read_table(spark, "night_rollup", out))
+    for name in ("volume_by_hour", "comparison"):
+        assert rows(got[name]) == rows(want[name])
+    r6 = [round_half_up("avg_idx", 6).alias("avg_idx"), "sensor_id", "hour"]
+    assert rows(got["congestion_index"].select(*r6)) == rows(want["congestion_index"].select(*r6))
+    assert update_rollup(spark, base, out, "2024-01-05 00:00:01") == []
+
+
 def test_retention_and_compaction(spark, stored):
     name = "traffic_events"
     before = read_table(spark, name, stored).drop("run", "batch_id")
