@@ -17,7 +17,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: in
     """(text, y) of at most ``most`` labelled ids whose checksum is not the held-out one, chosen by a hash of the id.
 
     An id that is labelled more than once counts as 1 if any of its labels is;
-    null labels and null ids are left out; an id on several rows gives several.
+    null labels and null ids are left out; an id on several rows gives one, with
+    its least text, so that there are at most ``most`` rows.
     """
     ids = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(column).isNotNull() & ~checksum_is(modulus, remainder))
@@ -28,5 +29,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: in
         .select(F.col("doc_id").alias("__id"), "y")
     )
     ids = written(ids, "sample-ids")  # at most ``most`` rows, hence the broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("__id")).select("text", "y")
-    return written(rows, "sample")
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("__id"))
+    # Aggregated partly before the shuffle: a task sends one text an id, however many rows have it.
+    return written(rows.groupBy("__id", "y").agg(F.min("text").alias("text")).select("text", "y"), "sample")

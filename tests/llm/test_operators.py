@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from junctionflow.llm import ann, decontam, linededup, lm, mixing, ngram_join, quality, substring, toxicity, twins, units
 from junctionflow.llm._components import components
+from junctionflow.llm._labels import labelled_sample
 from junctionflow.llm._deepshallow import deep_shallow_order
 
 from .conftest import duck, frame, plain
@@ -372,6 +373,14 @@ def test_quality_held_out(labelled):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got.collect())
 
 
+def test_labelled_sample_has_one_row_an_id(spark):
+    rows = [(1, f"text {k}", "s") for k in range(300)] + [(k, f"other {k}", "s") for k in range(2, 30)] + [(30, None, "s"), (30, "b", "s"), (31, None, "s")]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 32)], "doc_id long, toxic int")
+    got = labelled_sample(frame(spark, rows), labels, "toxic", 1, 1, 31)
+    assert plain(got) == sorted([("text 0", 1), *((f"other {k}", k % 2) for k in range(2, 30)), ("b", 0), (None, 1)], key=repr)
+    assert labelled_sample(frame(spark, rows), labels, "toxic", 1, 1, 7).count() == 7
+
+
 def test_quality_edges(spark, labelled, no_docs):
     docs, labels = labelled
     rows = score_cases(spark, lambda d: quality.score_documents(d, labels))
