@@ -1,23 +1,23 @@
 """Benchmark decontamination with a generalised suffix automaton of the test items.
 
-Items are split into blocks of a bounded number of words; one task per block
-builds the automaton of its items (a list of states, a few tens of bytes a word),
-which is then broadcast. Every document is streamed through each block's
-automaton. Two neighbouring words that follow each other in no item end every
+Items are cut into overlapping pieces and these dealt into blocks of a bounded
+number of words; one task per block builds the automaton of its pieces, which is
+written and then broadcast as bytes. Every document is streamed through each
+block's automaton; a task holds one automaton at a time, and the driver the bytes
+of one. Each executor's disk gets the bytes of all. Two neighbouring words that follow each other in no item end every
 match, so only runs of known word pairs are streamed; the longest matching
 length is tracked there, and a match of at least ``width`` words (or of a whole
 shorter item) marks its words.
 
 Cases: null texts and texts without words match nothing; an item without words
-is never reported; items of equal text are all reported; null item ids are left
-out; an empty benchmark contaminates nothing; repeated document rows are scored
+is never reported; items of equal text are all reported; items of null id are
+left out of the report and cut by :func:`decontaminated`; an empty benchmark contaminates nothing; repeated document rows are scored
 alike; other columns are ignored (:func:`decontaminated` keeps them).
 """
 
 from __future__ import annotations
 
 import pickle
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._bytes import ALNUM, U64, column_bytes, combine, word_hashes
+from ._store import written
 
 #: Words of a window.
 WIDTH = 10
-#: Words of the items of one automaton, which bounds what is broadcast at a time
-#: (a single longer item is a block of its own).
+#: Words of the pieces of one automaton, which bounds what a task holds at a time.
 BLOCK_WORDS = 500_000
+#: Documents that a task streams through one automaton after the other, where there are several.
+GATHERED_BYTES = 32 << 20
 
 
 class ItemAutomaton:
@@ -150,49 +152,107 @@ class ItemAutomaton:
         return np.cumsum(marks[:-1]) > 0, found
 
 
-def automata(benchmark: DataFrame, width: int = WIDTH, block_words: int = BLOCK_WORDS) -> list[bytes]:
-    """The pickled automata of all items, one for each block of at most about block_words words."""
-    words = F.greatest(F.ceil(F.length(F.coalesce("text", F.lit(""))) / 2), F.lit(1))  # a bound: words have a letter and a gap
-    total = benchmark.agg(F.sum(words)).first()[0] or 0
-    blocks = -(-int(total) // block_words)
-    items = benchmark.filter("item_id is not null").select(
-        F.pmod(F.xxhash64("item_id"), F.lit(max(blocks, 1))).alias("block"), F.col("item_id").cast("string").alias("item"), "text"
-    )
+def pieces(benchmark: DataFrame, width: int, most: int) -> DataFrame:
+    """(item, part, n, words) of every item with words: its word hashes in pieces of at most ``most`` words.
+
+    Neighbouring pieces share width - 1 words, so that every window lies in one.
+    """
+
+    def cut(batches):
+        for batch in batches:
+            out: list[list] = [[], [], [], []]
+            names = iter(batch.column(0).to_pylist())
+            for _, words, at in word_hashes(batch.column(1), ALNUM):
+                for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+                    name = next(names)
+                    for part, k in enumerate(range(a, max(a + 1, b - width + 1), most - width + 1) if b > a else ()):
+                        end = min(k + most, b)
+                        for o, v in zip(out, (name, part, end - k, words[k:end].tobytes())):
+                            o.append(v)
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.record_batch([pa.array(o, k) for o, k in zip(out, kinds)], names=["item", "part", "n", "words"])
+
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
+    return items.mapInArrow(cut, "item string, part long, n long, words binary")
+
+
+def automata(benchmark: DataFrame, width: int = WIDTH, block_words: int = BLOCK_WORDS) -> tuple[int, DataFrame]:
+    """(number of blocks, written table of (block, pickled automaton)).
+
+    A block is a hash bucket of pieces. With several blocks a piece has at most a
+    quarter of ``block_words`` and the mean bucket half, so that few pass it.
+    """
+    parts = written(pieces(benchmark, width, max(block_words // 4, 2 * width)), "item-pieces")
+    total = parts.agg(F.sum("n")).first()[0] or 0
+    blocks = 1 if total <= block_words else -(-2 * total // block_words)
 
     def build(group: pa.Table) -> pa.Table:
-        hashes = [words[a:b] for _, words, at in word_hashes(group["text"], ALNUM) for a, b in zip(at[:-1], at[1:])]
-        named = [(n, w) for n, w in zip(group["item"].to_pylist(), hashes) if len(w)]
-        return pa.table({"model": pa.array([pickle.dumps(ItemAutomaton(named, width).finish())], pa.binary())})
+        named = [(n, np.frombuffer(w, U64)) for n, w in zip(group["item"].to_pylist(), group["words"].to_pylist())]
+        model = pickle.dumps(ItemAutomaton(named, width).finish())
+        return pa.table({"block": group["block"][:1], "model": pa.array([model], pa.binary())})
+
+    dealt = parts.withColumn("block", F.pmod(F.xxhash64("item", "part", "words"), F.lit(blocks))).repartition(blocks, "block")
+    return blocks, written(dealt.groupBy("block").applyInArrow(build, "block long, model binary"), "automata")
+
 
-    return [bytes(r.model) for r in items.groupBy("block").applyInArrow(build, "model binary").collect()]
+def gathered(batches, most: int):
+    """Lists of batches of about ``most`` bytes together."""
+    some, held = [], 0
+    for batch in batches:
+        some.append(batch)
+        held += batch.nbytes
+        if held >= most:
+            yield some
+            some, held = [], 0
+    if some:
+        yield some
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """docs with ``__n_words``, ``__n_hit``, ``__items`` (ids, sorted) and ``__hits`` (a byte a word, 1 where hit; null if none is)."""
+def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_words: int = BLOCK_WORDS, unnamed: bool = False) -> DataFrame:
+    """docs with ``__n_words``, ``__n_hit``, ``__items`` (ids, sorted) and ``__hits`` (a byte a word, 1 where hit; null if none is).
+
+    With ``unnamed``, items of null id mark their words, too; no id is reported for them.
+    """
     sc = docs.sparkSession.sparkContext
-    models = [sc.broadcast(m) for m in automata(benchmark, width, block_words)]
+    blocks, table = automata(benchmark if unnamed else benchmark.filter("item_id is not null"), width, block_words)
+    # One at a time through the driver, which keeps them in files as the executors do.
+    found_models = (table.filter(F.col("block") == k).select("model").first() for k in range(blocks))
+    models = [sc.broadcast(bytes(r.model)) for r in found_models if r is not None]
     at = docs.columns.index("text")
     names = [*docs.columns, "__n_words", "__n_hit", "__items", "__hits"]
 
     def rows(batches):
-        autos = [pickle.loads(m.value) for m in models]
-        for batch in batches:
-            n, hits, marks, items = [], [], [], []
-            for _, words, cuts in word_hashes(batch.column(at), ALNUM):
-                for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                    results = [(a, *a.hits(words[lo:hi])) for a in autos] if hi > lo else []
-                    hit = reduce(np.logical_or, (r[1] for r in results), np.zeros(hi - lo, bool))
-                    n.append(hi - lo)
-                    hits.append(int(hit.sum()))
-                    marks.append(hit.astype(np.uint8).tobytes() if hit.any() else None)
-                    items.append(sorted({a.names[k] for a, _, found in results for k in found}))
-            yield pa.record_batch(
-                [
-                    *batch.columns, pa.array(n, pa.int64()), pa.array(hits, pa.int64()),
-                    pa.array(items, pa.list_(pa.string())), pa.array(marks, pa.binary()),
-                ],
-                names=names,
-            )
+        only = pickle.loads(models[0].value) if len(models) == 1 else None
+        for some in gathered(batches, 0 if only else GATHERED_BYTES):
+            texts = [
+                words[lo:hi]
+                for batch in some
+                for _, words, cuts in word_hashes(batch.column(at), ALNUM)
+                for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist())
+            ]
+            hits, items = [np.zeros(len(t), bool) for t in texts], [set() for _ in texts]
+            for m in models:
+                auto = only or pickle.loads(m.value)
+                if not only:
+                    del m._value  # what a broadcast keeps once it is read; the next use reads its file again
+                for k, t in enumerate(texts):
+                    if len(t):
+                        hit, found = auto.hits(t)
+                        hits[k] |= hit
+                        items[k].update(auto.names[f] for f in found)
+                del auto
+            k = 0
+            for batch in some:
+                own, named = hits[k : k + batch.num_rows], items[k : k + batch.num_rows]
+                k += batch.num_rows
+                yield pa.record_batch(
+                    [
+                        *batch.columns, pa.array([len(h) for h in own], pa.int64()), pa.array([int(h.sum()) for h in own], pa.int64()),
+                        pa.array([sorted(i - {None}) for i in named], pa.list_(pa.string())),
+                        pa.array([h.astype(np.uint8).tobytes() if h.any() else None for h in own], pa.binary()),
+                    ],
+                    names=names,
+                )
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(rows, f"{kinds}, __n_words long, __n_hit long, __items array<string>, __hits binary")
@@ -245,4 +305,4 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, max_coverage: float =
             cols[at] = pa.array(texts, pa.string())
             yield pa.record_batch(cols, names=names).filter(pa.array(keep))
 
-    return find_hits(docs, benchmark, **params).drop("__n_words", "__n_hit", "__items").mapInArrow(cut, kinds)
+    return find_hits(docs, benchmark, unnamed=True, **params).drop("__n_words", "__n_hit", "__items").mapInArrow(cut, kinds)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import pickle
 import random
 import zlib
 from collections import Counter
@@ -242,6 +243,23 @@ def test_decontaminated_texts(spark, docs, no_docs):
     assert decontam.contamination(docs, items.limit(0)).filter("contaminated").count() == 0
 
 
+def test_long_items_are_cut_and_models_held_one_at_a_time(spark):
+    """An item of many blocks' words: no automaton passes a block, each task holds one, and the result is that of one block."""
+    rng = random.Random(11)
+    words = [f"w{rng.randrange(400)}" for _ in range(1500)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, "tail " + " ".join(words[40:60])), (None, "no name but ten words of a passage to be found")], "item_id long, text string")
+    rows = [(k, "x " + " ".join(words[k * 25 : k * 25 + 9 + k % 4]) + " y", "s") for k in range(60)] + [(99, " ".join(words), "s")]
+    rows += [(100, "here no name but ten words of a passage to be found and then some more words of this document", "s")]
+    docs = frame(spark, rows)
+    blocks, table = decontam.automata(items, block_words=200)
+    models = [pickle.loads(bytes(r.model)) for r in table.collect()]
+    assert blocks >= 15 and len(models) > 8 and max(len(m.next) for m in models) < 2 * 400
+    assert plain(decontam.contamination(docs, items, block_words=200)) == plain(decontam.contamination(docs, items))
+    for block_words in (200, 500_000):
+        texts = {r.doc_id: r.text for r in decontam.decontaminated(docs, items, max_coverage=1.0, block_words=block_words).collect()}
+        assert texts[100].split()[:2] == ["here", "and"] and texts[99].strip() == ""
+
+
 # 7. nearest neighbours
 
 
