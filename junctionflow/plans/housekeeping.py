@@ -2,13 +2,17 @@
 
 Both work on whole date folders: an expired day is dropped without opening a
 file, and the batch folders of a closed day (thousands of small ones) are merged
-into one ``run=closed/batch_id=0`` folder. A stream does not write to a day any
-more once its watermark has passed it; ``settle`` says how long to wait.
+into one ``run=closed/batch_id=0`` folder. ``settle`` says how long to wait; the
+streams of readings and alerts have no watermark and may still write to a day
+after that, which the next compaction merges.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import params
 from ..sources.tables import PARTITION_COLUMN, file_system, partition_days, range_start_day, stored_schema, table_path
@@ -32,33 +36,71 @@ def _folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()) if fs.exists(p) else []
 
 
+def _write_lines(spark: SparkSession, path: str, lines: list[str]) -> None:
+    fs, p = file_system(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray("\n".join(lines).encode()))
+    finally:
+        out.close()
+
+
+def _read_lines(spark: SparkSession, path: str) -> list[str]:
+    fs, p = file_system(spark, path)
+    stream = fs.open(p)  # not by a reader of Spark, which skips a name that starts with "_"
+    try:
+        return str(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")).split("\n")
+    finally:
+        stream.close()
+
+
+def _copied(spark: SparkSession, name: str, rows: DataFrame, aside: str, columns: list[str]) -> list[str]:
+    """Batch folders whose every row is in a copy that has no list beside it (of a version that wrote none)."""
+    copy = spark.read.schema(stored_schema(name)).parquet(aside).select(*(F.col(c).alias(f"__{c}") for c in columns))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in columns))
+    batches = rows.select("run", "batch_id").distinct()
+    later = rows.join(copy, same, "left_anti").select("run", "batch_id").distinct()
+    return [f"run={r.run}/batch_id={r.batch_id}" for r in batches.join(later, ["run", "batch_id"], "left_anti").collect()]
+
+
 def compact_day(spark: SparkSession, base: str, name: str, day: str, file_bytes: int = 256 << 20) -> int:
     """Merge one day's batch folders; returns how many there were (0: nothing to do).
 
-    The merged rows are written aside first, then the old folders go and the new
-    one takes their place. A job that dies in between leaves the folder aside
-    behind (its name starts with "_", which readers skip); the next run finishes
-    the swap, so no row is lost or doubled.
+    The batch folders are listed, the list is written aside and their rows are
+    merged aside; then exactly the listed folders go and the merged one takes
+    their place. A batch that is stored meanwhile is in no list: it stays for the
+    next compaction. A job that dies in between leaves list and copy behind
+    (their names start with "_", which readers skip); the next run finishes the
+    swap by the list, so no row is lost or doubled.
     """
     part = PARTITION_COLUMN[name]
-    folder, aside = f"{table_path(base, name)}/{part}={day}", f"{table_path(base, name)}/_closing_{day}"
+    root = table_path(base, name)
+    folder, aside, listed = f"{root}/{part}={day}", f"{root}/_closing_{day}", f"{root}/_closing_{day}_batches"
     fs, done = file_system(spark, f"{aside}/_SUCCESS")
-    runs = [r for r in _folders(spark, folder) if r.startswith("run=")]
+    reader = spark.read.schema(stored_schema(name)).option("basePath", root)
+    columns = [f.name for f in stored_schema(name).fields if f.name not in (part, "run", "batch_id")]
     if not fs.exists(done):
-        batches = [f"{r}/{b}" for r in runs for b in _folders(spark, f"{folder}/{r}")]
+        batches = [f"{r}/{b}" for r in _folders(spark, folder) if r.startswith("run=") for b in _folders(spark, f"{folder}/{r}")]
         if len(batches) < 2:
             return 0
-        columns = [f.name for f in stored_schema(name).fields if f.name not in (part, "run", "batch_id")]
-        rows: DataFrame = spark.read.schema(stored_schema(name)).option("basePath", table_path(base, name)).parquet(folder).select(*columns)
-        size = fs.getContentSummary(file_system(spark, folder)[1]).getLength()
+        _write_lines(spark, listed, batches)
+        rows: DataFrame = reader.parquet(*(f"{folder}/{b}" for b in batches)).select(*columns)
+        size = sum(fs.getContentSummary(file_system(spark, f"{folder}/{b}")[1]).getLength() for b in batches)
         rows.repartition(max(1, -(-size // file_bytes))).write.mode("overwrite").parquet(aside)
+        merged = len(batches)
+    elif fs.exists(file_system(spark, listed)[1]):
+        batches = _read_lines(spark, listed)
+        merged = len(batches)
     else:
-        batches = runs
-    for r in runs:
-        fs.delete(file_system(spark, f"{folder}/{r}")[1], True)
+        batches = _copied(spark, name, reader.parquet(folder), aside, columns) if _folders(spark, folder) else []
+        merged = len({b.partition("/")[0] for b in batches})
+    for b in batches:
+        fs.delete(file_system(spark, f"{folder}/{b}")[1], True)
     fs.mkdirs(file_system(spark, f"{folder}/{CLOSED}")[1])
-    fs.rename(file_system(spark, aside)[1], file_system(spark, f"{folder}/{CLOSED}/batch_id=0")[1])
-    return len(batches)
+    if not fs.rename(file_system(spark, aside)[1], file_system(spark, f"{folder}/{CLOSED}/batch_id=0")[1]):
+        raise OSError(f"{aside} could not take its place in {folder}")
+    fs.delete(file_system(spark, listed)[1], False)
+    return merged
 
 
 def compact_closed_days(spark: SparkSession, base: str, name: str, as_of, settle: str = "1 day") -> dict[str, int]:

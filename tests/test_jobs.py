@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from junctionflow import cli
 from junctionflow.functions import now_text, round_half_up
-from junctionflow.plans import run_nightly
+from junctionflow.plans import housekeeping, run_nightly
 from junctionflow.plans.catalog import EventTables
 from junctionflow.plans.charts import chart_frames, chart_frames_from_rollup, write_charts
-from junctionflow.plans.nightly import update_rollup
 from junctionflow.plans.housekeeping import compact_closed_days, compact_day, drop_expired
+from junctionflow.plans.nightly import update_rollup
 from junctionflow.sources.tables import read_range, read_table
 from junctionflow.streaming import table_writer
 
@@ -135,6 +135,41 @@ def test_compaction_ends_a_swap_that_was_cut_short(spark, stored):
     assert not os.path.exists(f"{folder}/_closing_2024-01-10")
 
 
+@pytest.mark.parametrize("died", ["no", "after the copy", "after the copy, without a list"])
+def test_compaction_keeps_a_batch_that_comes_between_copy_and_swap(spark, tmp_dir, monkeypatch, died):
+    name, day = "traffic_events", "2024-01-10"
+    t = EventTables(spark, SF_SMALL).traffic_events.filter(f"to_date(event_timestamp) = '{day}'").localCheckpoint()
+    hour, base = F.hour("event_timestamp"), f"{tmp_dir}/t"
+    for k, part in enumerate((hour < 8, (hour >= 8) & (hour < 16))):
+        table_writer(f"{base}/{name}", name)(t.filter(part), k)
+    swaps, real = [], housekeeping.file_system
+
+    def late(s, path):  # the swap's first step is to name the listed folders for deletion
+        if path.endswith("batch_id=0") and "run=batch" in path and not swaps and os.path.exists(f"{base}/{name}/_closing_{day}/_SUCCESS"):
+            swaps.append(path)
+            table_writer(f"{base}/{name}", name)(t.filter(hour >= 16), 2)
+            if died != "no":
+                raise RuntimeError("died")
+        return real(s, path)
+
+    monkeypatch.setattr(housekeeping, "file_system", late)
+    if died == "no":
+        assert compact_day(spark, base, name, day) == 2
+    else:
+        with pytest.raises(RuntimeError, match="died"):
+            compact_day(spark, base, name, day)
+        if "without" in died:
+            os.remove(f"{base}/{name}/_closing_{day}_batches")
+        assert compact_day(spark, base, name, day) == (1 if "without" in died else 2)
+    assert swaps
+    after = read_table(spark, name, base)
+    assert rows(after.select(*t.columns)) == rows(t)
+    assert sorted(map(tuple, after.select("run", "batch_id").distinct().collect())) == [("batch", 2), ("closed", 0)]
+    assert compact_day(spark, base, name, day) == 2 and compact_day(spark, base, name, day) == 0
+    assert rows(read_table(spark, name, base).select(*t.columns)) == rows(t)
+    assert not [f for f in os.listdir(f"{base}/{name}") if f.startswith("_closing")]
+
+
 def test_session_clock_and_not_the_process_zone(spark, monkeypatch):
     import time
 
