@@ -6,9 +6,10 @@ walks the pairs in order of their summed distance with a heap until the cells
 passed hold enough vectors; all entries of these cells are reranked by the exact
 distance on the original vectors.
 
-The codebooks are fitted on a bounded sample, on which the share of vectors to
+The codebooks are fitted on a bounded sample of distinct vectors, on which the share of vectors to
 visit is chosen too: the least of SHARES that finds ``recall`` of the
-sample's true neighbours (1 visits every cell, an exact search). Equal vectors
+sample's true neighbours (1 visits every cell, an exact search), but never fewer
+than k + 1 vectors. Equal vectors
 are one entry that carries its least ids, as many as a result can need. The
 cells of one centroid of the first half are read together, in blocks of bounded
 size, and queries come in blocks, too.
@@ -92,6 +93,10 @@ class MultiIndex:
         h = x.shape[1] // 2
         return _near(x[:, :h], self.first).argmin(1) * len(self.second) + _near(x[:, h:], self.second).argmin(1)
 
+    def enough(self, entries: int, k: int) -> int:
+        """Entries to visit: the share, and no fewer than k others besides the query's own."""
+        return max(int(np.ceil(self.share * entries)), k + 1)
+
     def walk(self, q: np.ndarray, enough: int) -> list[int]:
         """Cells with entries in order of the summed distance to their centroids, until they hold ``enough`` of them."""
         h = len(q) // 2
@@ -124,7 +129,7 @@ def fit(sample: np.ndarray, total: int, k: int, recall: float) -> MultiIndex:
     for index.share in SHARES:
         if index.share == 1.0 or not true.size:
             break
-        found = [np.isin(cell[t], index.walk(q, int(np.ceil(index.share * len(sample))))).mean() for q, t in zip(trial, true)]
+        found = [np.isin(cell[t], index.walk(q, index.enough(len(sample), k))).mean() for q, t in zip(trial, true)]
         if np.mean(found) >= recall:
             break
     return index
@@ -138,7 +143,8 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, recall: float = 0
     result = "query_id long, vec_id long, score double"
     if not total:
         return spark.createDataFrame([], result).selectExpr("query_id", "1 AS rank", "vec_id", "score")
-    picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
+    firsts = rows.groupBy("v").agg(F.min("vec_id").alias("vec_id"))
+    picked = firsts.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
     index = fit(np.frombuffer(b"".join(bytes(r.v) for r in picked)).reshape(len(picked), -1), total, k, recall)
     del picked
 
@@ -158,7 +164,7 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, recall: float = 0
     index.sizes = np.zeros(len(index.first) * len(index.second), np.int64)
     for r in entries.groupBy("cell").agg(F.count("*").alias("n")).collect():  # at most CENTROIDS squared rows
         index.sizes[r.cell] = r.n
-    enough = int(np.ceil(index.share * index.sizes.sum()))
+    enough = index.enough(int(index.sizes.sum()), k)
     ready = spark.sparkContext.broadcast(index)
     queries = rows.filter(F.col("vec_id") % every == 0)
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))

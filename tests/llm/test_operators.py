@@ -286,6 +286,15 @@ def test_neighbours_edge_cases(spark):
     assert ann.nearest(df.limit(0)).count() == 0 and ann.nearest(df.filter("vec_id = 0")).count() == 0
 
 
+def test_neighbours_among_many_copies(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, [1.0] * 8 if k % 20 else rng.normal(size=8).tolist()) for k in range(1000)]
+    got = {}
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert set(got) == set(range(0, 1000, 100)) and all(len(set(ids)) == len(ids) == 10 for ids in got.values())
+
+
 def test_neighbours_recall(spark):
     import pyarrow.parquet as pq
 
