@@ -127,6 +127,14 @@ def test_toxicity_held_out(labelled):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got.collect())
 
 
+def test_toxicity_held_out_of_any_quality(labelled):
+    docs, labels = labelled
+    rows = toxicity.score_documents(docs, labels).join(labels, "doc_id").filter("held_out").collect()
+    clean, toxic = ([r.predicted for r in rows if r.toxic == t] for t in (0, 1))
+    assert len([r for r in rows if r.quality == 0 and r.toxic == 0]) >= 10 and len(toxic) > 3
+    assert np.mean(clean) <= 0.05 and np.mean(toxic) >= 0.6
+
+
 def test_toxicity_edges(spark, labelled, no_docs):
     docs, labels = labelled
     rows = score_cases(spark, lambda d: toxicity.score_documents(d.unionByName(docs.select("doc_id", "text", "source").limit(0), allowMissingColumns=True), labels))
