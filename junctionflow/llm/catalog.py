@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, linededup, lm, mixing, ngram_join, quality, substring, toxicity, units
+from . import ann, chat, decontam, linededup, lm, mixing, negatives, ngram_join, quality, substring, toxicity, units, whitening
 from ._store import load
 from .twins import SQL
 
@@ -82,6 +82,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(load(spark, sf_dir, "embeddings"), label=moved)
+
+
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.with_quoting(spark, load(spark, sf_dir, "conversations"))
+    return chat.digests(chat.format_conversations(chat.events_of_turns(turns)))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(load(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mix_sources": op2_mix_sources,
@@ -93,6 +107,9 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_line_hashing": op9_line_hashing,
     "op10_quality": op10_quality,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_chat_formatting": op12_chat_formatting,
+    "op13_whitening": op13_whitening,
     "pipeline": corpus_pipeline.run,
 }
 

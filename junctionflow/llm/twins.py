@@ -101,7 +101,50 @@ SELECT doc_id, count(*)::BIGINT AS n_units, (count(*) FILTER (gone))::BIGINT AS
 FROM j GROUP BY rid, doc_id
 """
 
+NEGATIVES = r"""
+WITH r AS (
+  SELECT vec_id, label, min(x) AS x
+  FROM (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
+        FROM {vectors}
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0)
+  GROUP BY vec_id, label QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label) = 1),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INT AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+CHATS = r"""
+WITH t AS (
+  SELECT conv_id::BIGINT AS conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM {turns}
+  UNION ALL SELECT -7, n, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) q(n, r)),
+l AS (
+  SELECT *, md5(text) AS d,
+         length(role) + length(text) + len(regexp_extract_all(role || text, '\\')) + len(regexp_extract_all(role, ':'))
+         + coalesce(list_sum(list_transform(regexp_extract_all(role, '#{3,}') || regexp_extract_all(text, '#{3,}'), lambda h: length(h) - 2)), 0)
+         + len(regexp_extract_all(role, '</turn>')) + len(regexp_extract_all(text, '</turn>'))
+         + length('### ' || ': ' || '</turn>' || chr(10)) AS size
+  FROM t)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, d)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, d) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(size)::BIGINT AS formatted_chars
+FROM l GROUP BY conv_id
+"""
+
 SQL: dict[str, str] = {
+    "op11_hard_negatives": NEGATIVES.replace("{vectors}", "embeddings"),
+    "op12_chat_formatting": CHATS.replace("{turns}", "conversations"),
     "op9_line_hashing": UNITS.replace("{docs}", "documents"),
     "op6_decontamination": LEAKS.replace("{docs}", "documents").replace("{items}", "benchmark"),
     "op1_ngram_join": GROUPS.replace("{docs}", "documents"),
