@@ -12,10 +12,10 @@ the norm of the rest, times the anchors' norm of the rest, cannot reach the
 threshold. Postings hold the remaining dimensions; the anchors' partial scores
 are accumulated over groups of dimensions, and rows and anchors none of whose
 pairs can still reach the threshold by the norms that remain are dropped after
-each group. Pairs left are scored in full. Anchors whose windows are not full go
-on at a lower threshold, down to a floor that is proven to be low enough: the
-score that enough rows of a bounded sample reach, or the window's end, or else
-no threshold at all.
+a group once they are many. Pairs left are scored in full. Anchors whose windows
+are not full go on at a lower threshold, down to a floor that is proven to be
+low enough: the score that enough rows of a bounded sample reach, or the
+window's end, or else no threshold at all.
 
 First join: rows by (label, part), anchors only meet their own label's blocks.
 Second join: rows by part, whatever their label. Parts and anchor blocks have at
@@ -46,7 +46,9 @@ from ._vectors import finite, most_frequent
 #: Rows, and anchors, of a block.
 BLOCK = 8192
 #: Anchors that are scored together, and dimensions that are accumulated together.
-TOGETHER, GROUP = 256, 8
+TOGETHER, GROUP = 64, 16
+#: The share of rows (or anchors) that can still reach the threshold under which the others are dropped.
+DROP = 0.75
 #: Rows of the sample that floors are read off.
 SAMPLE = 2048
 #: Where thresholds go between the highest possible score and the floor: shares of that distance.
@@ -108,15 +110,19 @@ class Postings:
         rows = rows[cut[rows] > 0]  # the others share no posting with an anchor and cannot reach it
         cut, x, tail = cut[rows], self.x[rows], self.rest[rows]
         anchors, score = np.arange(len(a)), np.zeros((len(a), len(rows)))
+        may = np.ones(score.shape, bool)
         for lo, hi in zip(edges, edges[1:]):
-            held = int(np.searchsorted(-cut, -lo))  # rows with postings in these dimensions come first
-            score[:, :held] += a[anchors, lo:hi] @ x[:held, lo:hi].T
-            known = np.minimum(cut, hi)  # dimensions of each row that are accumulated so far
-            may = score + rest[anchors][:, known] * tail[np.arange(len(rows)), known] >= low[anchors, None]
+            held = int(np.searchsorted(-cut, -lo))  # rows with postings in these dimensions come first; the others are settled
+            if held:
+                part = score[:, :held]
+                part += a[anchors, lo:hi] @ x[:held, lo:hi].T
+                most = np.outer(rest[anchors, hi], tail[:held, hi])
+                most += part
+                np.greater_equal(most, low[anchors, None], out=may[:, :held])
             keep, stay = may.any(axis=0), may.any(axis=1)
             if not keep.any():
                 return _NONE
-            if not (keep.all() and stay.all()):
+            if keep.mean() < DROP or stay.mean() < DROP:
                 rows, cut, x, tail = rows[keep], cut[keep], x[keep], tail[keep]
                 score, may, anchors = score[stay][:, keep], may[stay][:, keep], anchors[stay]
         full = a[anchors] @ x.T  # whole numbers below 2**53: exact
