@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import hashlib
+import uuid
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -31,7 +32,8 @@ from ..operators import (
     police_plan,
     rows_to_append,
 )
-from ..sources.tables import PARTITION_COLUMN, partition_days, path_exists, range_start_day, read_days, table_path, write_jdbc
+from ..sources.jdbc import store_missing, store_once
+from ..sources.tables import PARTITION_COLUMN, partition_days, path_exists, range_start_day, read_days, table_path
 from .report import deployment_report_lines, hourly_csv_rows, write_csv, write_report_text
 
 #: Tables that are rolled up by day.
@@ -174,7 +176,10 @@ def run_nightly(
             rows = rows_to_append(rows, history, history_mode, report_date)
         rows = rows.withColumn("created_at", F.current_timestamp())
         if jdbc is not None:
-            write_jdbc(rows, jdbc["url"], "daily_peak_report", jdbc.get("props"))
+            if history_mode == "idempotent":
+                store_missing(rows, jdbc["url"], "daily_peak_report", ["report_date", "sensor_id"], jdbc.get("props"))
+            else:  # each attempt adds its rows, whole or not at all
+                store_once(rows, jdbc["url"], "daily_peak_report", f"night-{uuid.uuid4().hex}", 0, jdbc.get("props"))
         else:
             rows.write.mode("append").partitionBy("report_date").parquet(f"{out}/daily_peak_report")
         return n

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from ..sources.tables import PARTITION_COLUMN, STAMPED, file_system, read_files, write_jdbc
+from ..sources.jdbc import store_once
+from ..sources.tables import PARTITION_COLUMN, STAMPED, file_system, read_files
 
 log = logging.getLogger("junctionflow.sinks")
 
@@ -68,7 +69,8 @@ def table_writer(
       comes from an ``Observation`` on that write. An empty batch writes no rows;
     * no file holds more than ``rows_per_file`` rows; the small files of many
       batches are merged when their day is closed (:func:`..plans.housekeeping.compact_day`);
-    * ``jdbc`` = ``{"url":..., "props": {...}}`` appends through JDBC instead of files;
+    * ``jdbc`` = ``{"url":..., "props": {...}}`` appends through JDBC instead of files, each
+      batch once (:func:`..sources.jdbc.store_once`);
     * ``lines`` also writes the batch's formatted lines, as text next to the table
       (``<path>_lines``); the batch is cached for the two writes.
     """
@@ -93,7 +95,11 @@ def table_writer(
             obs = Observation(f"{table}_{batch_id}")
             out = stamped(df, table).observe(obs, F.count(F.lit(1)).alias("rows"))
             if jdbc is not None:
-                write_jdbc(out, jdbc["url"], jdbc.get("table", table), jdbc.get("props"), mode="append")
+                if not store_once(out, jdbc["url"], jdbc.get("table", table), run_key(df.sparkSession), batch_id, jdbc.get("props")):
+                    # Stored by an attempt that was cut before the query noted it; a stateful query still has to commit its state.
+                    out.write.format("noop").mode("overwrite").save()
+                    log.info("[%s] batch %d was stored before", table, batch_id)
+                    return
             else:
                 save(out, batch_id, path, fmt)
             if lines is not None:

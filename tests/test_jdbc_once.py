@@ -1,0 +1,157 @@
+"""JDBC batches that are replayed, or were cut short, are stored once (embedded in-memory Derby, no server)."""
+
+from __future__ import annotations
+
+import datetime as dt
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+from pyspark.sql import functions as F
+
+from junctionflow import schema
+from junctionflow.plans import run_nightly
+from junctionflow.plans.catalog import AS_OF, EventTables
+from junctionflow.sources import jdbc, jdbc_table, store_missing, store_once, text_source, write_jdbc
+from junctionflow.sources.events import load_events, payloads
+from junctionflow.streaming import run_pipeline
+from junctionflow.streaming.sinks import table_writer
+
+from .conftest import SF_SMALL
+
+DERBY = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+
+
+@pytest.fixture()
+def url():
+    return f"jdbc:derby:memory:once{uuid.uuid4().hex[:8]};create=true"
+
+
+def readings(spark, n=6):
+    at = dt.datetime(2024, 1, 30, 10)
+    return spark.createDataFrame([(f"S{k}", at, k, 20.0, at) for k in range(n)], schema.TRAFFIC_EVENTS).repartition(3)
+
+
+def tables(spark, url):
+    return {r[0] for r in jdbc_table(spark, url, "SYS.SYSTABLES", DERBY).filter("TABLETYPE = 'T'").select("TABLENAME").collect()}
+
+
+def test_a_replayed_batch_is_stored_once(spark, url):
+    df = readings(spark)
+    assert store_once(df, url, "T", "run-1", 0, DERBY)
+    assert not store_once(df, url, "T", "run-1", 0, DERBY)
+    assert store_once(df, url, "T", "run-1", 1, DERBY)  # the next batch may hold the same rows
+    assert store_once(df, url, "T", "run-2", 0, DERBY)  # and so may another run
+    assert not store_once(df, url, "T", "run-1", 0, DERBY)
+    assert jdbc_table(spark, url, "T", DERBY).count() == 18
+    ledger = {(r.RUN, r.BATCH_ID, r.STORED_ROWS) for r in jdbc_table(spark, url, jdbc.LEDGER, DERBY).collect()}
+    assert ledger == {("run-1", 1, 12), ("run-2", 0, 6)}
+    assert tables(spark, url) == {"T", jdbc.LEDGER}
+
+
+def test_a_half_written_stage_is_replaced(spark, url):
+    """A driver that died while tasks were staging leaves some rows; the replay stages all of them anew and drops the rest."""
+    df = readings(spark)
+    write_jdbc(df.limit(2), url, jdbc.staging_prefix("T", "run-1", 0) + "DEAD", DERBY)
+    assert store_once(df, url, "T", "run-1", 0, DERBY)
+    assert tables(spark, url) == {"T", jdbc.LEDGER}
+    assert sorted(r.vehicle_count for r in jdbc_table(spark, url, "T", DERBY).collect()) == list(range(6))
+
+
+def test_a_cut_transaction_leaves_nothing(spark, url, monkeypatch):
+    """A failure between the move and its ledger entry takes the moved rows back."""
+    df = readings(spark)
+    move = jdbc._move
+
+    def cut(*args, **kwargs):
+        move(*args, **kwargs)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(jdbc, "_move", cut)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        store_once(df, url, "T", "run-1", 0, DERBY)
+    assert jdbc_table(spark, url, "T", DERBY).count() == 0
+    monkeypatch.undo()
+    assert store_once(df, url, "T", "run-1", 0, DERBY)
+    assert jdbc_table(spark, url, "T", DERBY).count() == 6
+
+
+def test_a_task_that_fails_while_staging_leaves_nothing(spark, url):
+    bad = readings(spark).withColumn("avg_speed", F.when(F.col("vehicle_count") == 5, F.raise_error(F.lit("bad row"))).otherwise(F.col("avg_speed")).cast("double"))
+    with pytest.raises(Exception, match="bad row"):
+        store_once(bad, url, "T", "run-1", 0, DERBY)
+    assert "T" not in tables(spark, url)
+    assert store_once(readings(spark), url, "T", "run-1", 0, DERBY)
+    assert jdbc_table(spark, url, "T", DERBY).count() == 6
+
+
+def test_two_drivers_with_one_batch(spark, url):
+    df = readings(spark)
+    store_once(df.limit(0), url, "T", "first", 0, DERBY)  # the table and the ledger are there
+    with ThreadPoolExecutor(2) as pool:
+        done = list(pool.map(lambda _: attempt(df, url), range(2)))
+    assert done.count(True) == 1
+    assert jdbc_table(spark, url, "T", DERBY).count() == 6
+
+
+def attempt(df, url):
+    """Whichever is second is refused by the ledger, or fails while it stages and would be tried again."""
+    try:
+        return store_once(df, url, "T", "run-1", 0, DERBY)
+    except Exception as e:  # noqa: BLE001
+        return type(e).__name__
+
+
+def test_missing_keys_only(spark, url):
+    df = readings(spark)
+    store_missing(df.limit(4), url, "T", ["sensor_id", "event_timestamp"], DERBY)
+    with ThreadPoolExecutor(3) as pool:  # nights that run at the same time take turns
+        list(pool.map(lambda _: store_missing(df.unionByName(df), url, "T", ["sensor_id", "event_timestamp"], DERBY), range(3)))
+    assert jdbc_table(spark, url, "T", DERBY).count() == 6
+    assert tables(spark, url) == {"T", jdbc.LEDGER}
+
+
+def test_columns_are_checked_and_matched(spark, url):
+    df = readings(spark)
+    write_jdbc(df.select(F.col("vehicle_count").alias("VEHICLE_COUNT"), F.col("sensor_id").alias("SENSOR_ID"), F.lit(None).cast("int").alias("MORE")).limit(0), url, "T", DERBY)
+    store_once(df.select("sensor_id", "vehicle_count"), url, "T", "run-1", 0, DERBY)
+    assert sorted(r.SENSOR_ID for r in jdbc_table(spark, url, "T", DERBY).collect()) == [f"S{k}" for k in range(6)]
+    with pytest.raises(ValueError, match="avg_speed"):
+        store_once(df, url, "T", "run-1", 1, DERBY)
+
+
+def test_micro_batch_sink_replays(spark, url):
+    df = readings(spark)
+    seen = []
+    write = table_writer("unused", "traffic_events", jdbc={"url": url, "table": "T", "props": DERBY}, on_batch=lambda *a: seen.append(a))
+    for batch in (0, 0, 1):
+        write(df, batch)
+    assert jdbc_table(spark, url, "T", DERBY).count() == 12
+    assert seen == [("traffic_events", 0, 6), ("traffic_events", 1, 6)]
+
+
+def test_pipeline_and_nights_over_jdbc(spark, url, tmp_dir):
+    """The stream's tables in the database, a lost commit log, and two nights: every row once."""
+    payloads(load_events(spark, SF_SMALL)).select("value").write.text(f"{tmp_dir}/json")
+
+    def stream():
+        run_pipeline(spark, text_source(spark, f"{tmp_dir}/json"), f"{tmp_dir}/t", f"{tmp_dir}/cp", available_now=True, wait=True, quarantine=False, jdbc={"url": url, "props": DERBY})
+
+    stream()
+    t = EventTables(spark, SF_SMALL)
+    want = {"traffic_events": t.traffic_events.count(), "critical_traffic": t.critical_traffic.count()}
+    stored = {name: jdbc_table(spark, url, name, DERBY) for name in ("traffic_events", "critical_traffic", "congestion_index")}
+    assert {name: stored[name].count() for name in want} == want
+    import glob
+    import os
+
+    windows = stored["congestion_index"].count()
+    for f in glob.glob(f"{tmp_dir}/cp/*/commits/*"):  # the batches were stored, but the queries died before they noted it
+        os.remove(f)
+    for f in glob.glob(f"{tmp_dir}/cp/*/commits/.*.crc"):
+        os.remove(f)
+    stream()
+    assert {name: stored[name].count() for name in want} == want and stored["congestion_index"].count() == windows
+    for _ in range(2):
+        run_nightly(*stored.values(), f"{tmp_dir}/r", AS_OF, "2024-01-31", history_mode="idempotent", jdbc={"url": url, "props": DERBY})
+    assert jdbc_table(spark, url, "daily_peak_report", DERBY).count() == 5
