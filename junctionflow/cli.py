@@ -86,7 +86,7 @@ def main(argv: list[str] | None = None) -> int:
     where.add_argument("--tables", help="scan the stream tables instead (history from before the first nightly)")
     c.add_argument("--out", required=True)
 
-    h = sub.add_parser("housekeeping", help="drop expired date folders, merge the batch folders of closed days")
+    h = sub.add_parser("housekeeping", help="correct the windows of closed days, drop expired date folders, merge the batch folders of closed days")
     h.add_argument("--tables", required=True)
     h.add_argument("--as-of", help="default: now")
 
@@ -135,9 +135,11 @@ def main(argv: list[str] | None = None) -> int:
         return 0
 
     if args.cmd == "housekeeping":
+        from .plans.corrections import close_days
         from .plans.housekeeping import compact_closed_days, drop_expired
 
         as_of = args.as_of or now_text(spark)
+        close_days(spark, args.tables, as_of)
         for name in TABLES:
             keep = params.RAW_RETENTION if name == "traffic_events" else params.AGGREGATE_RETENTION
             drop_expired(spark, args.tables, name, as_of, keep)

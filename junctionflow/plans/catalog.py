@@ -63,9 +63,10 @@ from ..operators import (
 from ..session import scratch_path
 from ..sources import events as ev
 from ..sources.parse import parse
-from ..streaming.pipeline import speed_layer_frames, start_tables
+from ..streaming.pipeline import await_all, speed_layer_frames, start_tables
 from ..sources.tables import read_range, read_table, table_path
 from ..streaming.sinks import read_sink, read_state, start, state_writer, table_writer
+from .corrections import correct_windows
 from .nightly import nightly_frames
 from .report import deployment_report_lines, hourly_csv_rows
 
@@ -518,6 +519,26 @@ def q_congestion_stream(spark, sf_dir):
     return _stream_tables(spark, sf_dir, ["congestion_index"], "congestion_stream")["congestion_index"]
 
 
+def _shuffled_stream(spark: SparkSession, sf_dir: str, name: str, copies: int = 1) -> tuple[str, DataFrame]:
+    """(scratch folder, stream of ``events`` from several files): each file holds some days, and a tenth of the rows comes three days late."""
+    base = scratch_path(spark, name)
+    sent = F.col("ts") + F.when(F.col("event_id") % 10 == 0, F.expr("INTERVAL 3 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    rows = ev.load_events(spark, sf_dir).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    rows.repartitionByRange(6, sent, "copy").drop("copy").write.parquet(f"{base}/in/events.parquet")
+    return base, ev.stream_events(spark, f"{base}/in", max_files_per_trigger=1)
+
+
+def q_congestion_corrected(spark, sf_dir):
+    """Windows of a stream with very late readings, after the stored days are corrected."""
+    base, events = _shuffled_stream(spark, sf_dir, "congestion_corrected")
+    frames = speed_layer_frames(ev.readings(events), alerted_at=F.col("event_time"))
+    frames = {k: frames[k] for k in ("traffic_events", "congestion_index")}
+    queries = start_tables(frames, f"{base}/tables", f"{base}/checkpoints", available_now=True, name_suffix="_" + base.rsplit("/", 1)[-1])
+    await_all(queries)
+    correct_windows(spark, f"{base}/tables", AS_OF, settle="0 days")
+    return ntz(read_table(spark, "congestion_index", f"{base}/tables").drop("run", "batch_id", "window_date", "created_at"))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

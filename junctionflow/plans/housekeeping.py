@@ -63,9 +63,36 @@ def _copied(spark: SparkSession, name: str, rows: DataFrame, aside: str, columns
     return [f"run={r.run}/batch_id={r.batch_id}" for r in batches.join(later, ["run", "batch_id"], "left_anti").collect()]
 
 
-def compact_day(spark: SparkSession, base: str, name: str, day: str, file_bytes: int = 256 << 20) -> int:
+def day_batches(spark: SparkSession, base: str, name: str, day: str) -> list[str]:
+    """The batch folders (``run=R/batch_id=N``) of one day."""
+    folder = f"{table_path(base, name)}/{PARTITION_COLUMN[name]}={day}"
+    return [f"{r}/{b}" for r in _folders(spark, folder) if r.startswith("run=") for b in _folders(spark, f"{folder}/{r}")]
+
+
+def swap_is_open(spark: SparkSession, base: str, name: str, day: str) -> bool:
+    """Whether a merged folder of the day waits aside for its place (:func:`compact_day` ends the swap)."""
+    fs, done = file_system(spark, f"{table_path(base, name)}/_closing_{day}/_SUCCESS")
+    return fs.exists(done)
+
+
+def put_aside(spark: SparkSession, base: str, name: str, day: str, folder: str, batches: list[str]) -> None:
+    """Hand over ``folder``, which holds what shall take the place of the day's ``batches``, to :func:`compact_day`."""
+    root = table_path(base, name)
+    aside = f"{root}/_closing_{day}"
+    _write_lines(spark, f"{aside}_batches", batches)
+    fs, p = file_system(spark, aside)
+    fs.delete(p, True)
+    if not fs.rename(file_system(spark, folder)[1], p):
+        raise OSError(f"{folder} could not be put aside as {aside}")
+    _write_lines(spark, f"{aside}/_SUCCESS", [])
+
+
+def compact_day(spark: SparkSession, base: str, name: str, day: str, file_bytes: int = 256 << 20, only: list[str] | None = None) -> int:
     """Merge one day's batch folders; returns how many there were (0: nothing to do).
 
+    ``only`` names the batch folders to merge (one is enough, if it is not the
+    merged one); else all are, if there are at least two.
+
     The batch folders are listed, the list is written aside and their rows are
     merged aside; then exactly the listed folders go and the merged one takes
     their place. A batch that is stored meanwhile is in no list: it stays for the
@@ -80,8 +107,10 @@ def compact_day(spark: SparkSession, base: str, name: str, day: str, file_bytes:
     reader = spark.read.schema(stored_schema(name)).option("basePath", root)
     columns = [f.name for f in stored_schema(name).fields if f.name not in (part, "run", "batch_id")]
     if not fs.exists(done):
-        batches = [f"{r}/{b}" for r in _folders(spark, folder) if r.startswith("run=") for b in _folders(spark, f"{folder}/{r}")]
-        if len(batches) < 2:
+        batches = day_batches(spark, base, name, day)
+        if only is not None:  # the merged folder of an earlier pass takes part, as the new one takes its place
+            batches = [b for b in batches if b in only or b.startswith(CLOSED + "/")]
+        if len(batches) < (1 if only is not None else 2) or batches == [f"{CLOSED}/batch_id=0"]:
             return 0
         _write_lines(spark, listed, batches)
         rows: DataFrame = reader.parquet(*(f"{folder}/{b}" for b in batches)).select(*columns)

@@ -203,6 +203,7 @@ FROM events ORDER BY event_id LIMIT 5"""
     q["raw_events"] = with_(b) + "SELECT * FROM traffic"
     q["critical_alerts"] = with_(b) + "SELECT * FROM alerts"
     q["congestion_windows"] = with_(b) + "SELECT * FROM windows"
+    q["congestion_corrected"] = q["congestion_windows"]
 
     q["hourly_traffic_24h"] = with_(b, hourly_cte("h", AS_OF)) + f"""
 SELECT sensor_id, hour, total_vehicles, {rnd('avg_speed', 6)} AS avg_speed, reading_count FROM h"""
