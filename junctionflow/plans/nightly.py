@@ -32,6 +32,7 @@ from ..operators import (
     police_plan,
     rows_to_append,
 )
+from ..sources.files import write_one_file
 from ..sources.jdbc import store_missing, store_once
 from ..sources.tables import PARTITION_COLUMN, partition_days, path_exists, range_start_day, read_days, table_path
 from .report import deployment_report_lines, hourly_csv_rows, write_csv, write_report_text
@@ -164,9 +165,8 @@ def run_nightly(
         day = str(report_date)
         write_csv(n.csv_rows, f"{out}/traffic_report_{day}.csv")
         write_report_text(n.report_lines, f"{out}/police_deployment_{day}.txt")
-        n.plan.orderBy("sensor_id").write.mode("overwrite").option("header", True).csv(f"{out}/police_plan_{day}.csv")
-        listing = n.summary.orderBy(F.col("peak_vehicles").desc(), "sensor_id").select("line")
-        listing.write.mode("overwrite").text(f"{out}/peak_summary_{day}.txt")
+        write_csv(n.plan, f"{out}/police_plan_{day}.csv", ["sensor_id"])
+        write_one_file(n.summary, [F.col("peak_vehicles").desc(), "sensor_id"], f"{out}/peak_summary_{day}.txt")
         if jdbc is not None:
             _write_rollup(night_rollup(traffic_events, critical_traffic, congestion_index, as_of, params.RAW_RETENTION), out)
         elif tables is None:
@@ -180,6 +180,11 @@ def run_nightly(
                 store_missing(rows, jdbc["url"], "daily_peak_report", ["report_date", "sensor_id"], jdbc.get("props"))
             else:  # each attempt adds its rows, whole or not at all
                 store_once(rows, jdbc["url"], "daily_peak_report", f"night-{uuid.uuid4().hex}", 0, jdbc.get("props"))
+        elif history is not None and history_mode == "idempotent":
+            # The day's folder is replaced by what it holds and the new rows: two nights that run at once leave one of both, not both.
+            held = read_days(rows.sparkSession, "daily_peak_report", out, [day]).select(*rows.columns)
+            whole = held.unionByName(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            whole.partitionBy("report_date").parquet(f"{out}/daily_peak_report")
         else:
             rows.write.mode("append").partitionBy("report_date").parquet(f"{out}/daily_peak_report")
         return n

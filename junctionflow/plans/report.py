@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed, hour_label, thousands
+from ..sources.files import write_one_file
 
 # --- fixed values: report layout ------------------------------------------
 RULE_WIDTH = 60
@@ -52,13 +53,17 @@ def hourly_csv_rows(hourly_report: DataFrame, report_date) -> DataFrame:
     )
 
 
-def write_csv(rows: DataFrame, path: str) -> None:
-    """Sorted by (sensor_id, hour) with a header per part file.
+def csv_line(columns: list[str]) -> Column:
+    """The columns as one CSV line; a quote inside a field is doubled."""
+    return F.to_csv(F.struct(*columns), {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
 
-    A distributed sort writes range-partitioned part files whose names order the
-    rows globally; nothing funnels the report through a single task.
-    """
-    rows.orderBy("sensor_id", "hour").write.mode("overwrite").option("header", True).csv(path)
+
+def write_csv(rows: DataFrame, path: str, keys: list[str | Column] | None = None, line_end: str = "\n") -> None:
+    """One CSV file with one header, sorted by ``keys`` (default: sensor_id, hour)."""
+    keys = keys or ["sensor_id", "hour"]
+    columns = rows.columns
+    head = ",".join(columns) + line_end
+    write_one_file(rows.withColumn("line", csv_line(columns)), keys, path, head, line_end)
 
 
 def _fixed_lines(decisions: DataFrame, section: int, lines: list[str]) -> DataFrame:
@@ -158,5 +163,5 @@ def ordered_lines(lines: DataFrame) -> DataFrame:
 
 
 def write_report_text(lines: DataFrame, path: str) -> None:
-    """Report lines in report order, as range-partitioned part files (read in name order)."""
-    ordered_lines(lines).select("line").write.mode("overwrite").text(path)
+    """Report lines in report order, as one text file."""
+    write_one_file(lines, REPORT_KEYS, path)
