@@ -71,9 +71,10 @@ def op9_line_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = units.dedup_units(load(spark, sf_dir, "documents"))
     return found.select(
         "doc_id",
-        "n_units",
         F.size("removed").cast("long").alias("n_removed"),
+        F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("removed_chars"),
         F.array_join(F.transform("removed", lambda s: F.concat_ws("-", s["start"], s["end"])), ",").alias("removed"),
+        "n_units",
         F.sha2("kept", 256).alias("kept_sha256"),
     )
 

@@ -90,15 +90,28 @@ WITH l AS (
   FROM (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM {docs})),
 o AS (
   SELECT *, (sum(length(line) + 1) OVER (PARTITION BY rid ORDER BY pos) - length(line) - 1)::BIGINT AS st,
-         regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+         regexp_extract_all(line, '[^.!?。！？]*[.!?。！？]+|[^.!?。！？]+') AS parts
   FROM l),
-k AS (SELECT *, CASE WHEN len(ws) >= 8 AND doc_id IS NOT NULL THEN array_to_string(ws, ' ') END AS key FROM o),
-f AS (SELECT key, min((doc_id, st)) AS first FROM k WHERE key IS NOT NULL GROUP BY key),
-j AS (SELECT k.*, (f.first IS NOT NULL AND (k.doc_id, k.st) > f.first) IS TRUE AS gone FROM k LEFT JOIN f USING (key))
-SELECT doc_id, count(*)::BIGINT AS n_units, (count(*) FILTER (gone))::BIGINT AS n_removed,
-       coalesce(string_agg(st || '-' || (st + length(line)), ',' ORDER BY st) FILTER (gone), '') AS removed,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
-FROM j GROUP BY rid, doc_id
+p AS (SELECT rid, doc_id, pos, st AS line_st, unnest(parts) AS part, generate_subscripts(parts, 1) AS nth FROM o),
+u AS (
+  SELECT rid, doc_id, pos, 0 AS nth, line AS unit, st, 'line' AS kind FROM o
+  UNION ALL
+  SELECT rid, doc_id, pos, nth, part, (line_st + sum(length(part)) OVER (PARTITION BY rid, pos ORDER BY nth) - length(part))::BIGINT, 'sentence' FROM p),
+k AS (
+  SELECT *, CASE WHEN doc_id IS NOT NULL AND length(key) >= CASE WHEN kind = 'line' THEN 1 ELSE 40 END THEN key END AS counted
+  FROM (SELECT *, array_to_string(regexp_extract_all(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' ') AS key FROM u)),
+f AS (SELECT kind, counted AS key, min((doc_id, st)) AS first FROM k WHERE counted IS NOT NULL GROUP BY kind, counted),
+j AS (SELECT k.*, (f.first IS NOT NULL AND (k.doc_id, k.st) > f.first) IS TRUE AS repeated FROM k LEFT JOIN f ON f.kind = k.kind AND f.key = k.counted),
+g AS (SELECT *, bool_or(repeated AND kind = 'line') OVER (PARTITION BY rid, pos) AS line_gone FROM j),
+r AS (SELECT *, CASE WHEN kind = 'line' THEN repeated ELSE repeated AND NOT line_gone END AS gone FROM g),
+kept AS (
+  SELECT rid, pos, coalesce(string_agg(unit, '' ORDER BY nth) FILTER (kind = 'sentence' AND NOT gone), '') AS line
+  FROM r WHERE NOT line_gone GROUP BY rid, pos),
+texts AS (SELECT rid, string_agg(line, chr(10) ORDER BY pos) AS kept FROM kept GROUP BY rid)
+SELECT doc_id, (count(*) FILTER (gone))::BIGINT AS n_removed, coalesce(sum(length(unit)) FILTER (gone), 0)::BIGINT AS removed_chars,
+       coalesce(string_agg(st || '-' || (st + length(unit)), ',' ORDER BY st, st + length(unit)) FILTER (gone), '') AS removed,
+       (count(*) FILTER (kind = 'line'))::BIGINT AS n_units, sha256(coalesce(any_value(kept), '')) AS kept_sha256
+FROM r LEFT JOIN texts USING (rid) GROUP BY rid, doc_id
 """
 
 NEGATIVES = r"""

@@ -376,17 +376,66 @@ def test_deep_shallow_order():
 # 9. line hashing
 
 
-def test_units_match_sql(docs, edges, no_docs):
-    found = units.dedup_units(docs)
-    got = found.select(
-        "doc_id", "n_units", F.size("removed").cast("long").alias("n_removed"),
+def digested(found):
+    return found.select(
+        "doc_id", F.size("removed").cast("long").alias("n_removed"),
+        F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("removed_chars"),
         F.array_join(F.transform("removed", lambda s: F.concat_ws("-", s["start"], s["end"])), ",").alias("removed"),
-        F.sha2("kept", 256).alias("kept_sha256"),
+        "n_units", F.sha2("kept", 256).alias("kept_sha256"),
     )
-    assert plain(got) == duck(twins.UNITS, docs=edges)
+
+
+def test_units_match_sql(docs, edges, no_docs):
+    assert plain(digested(units.dedup_units(docs))) == duck(twins.UNITS, docs=edges)
     assert units.dedup_units(no_docs).count() == 0
 
 
+def test_short_lines_and_lines_without_spaces_are_units(spark):
+    short, cjk = "Licensed under this license.", "\u4eca\u65e5\u306f\u826f\u3044\u5929\u6c17"
+    rows = [(k, f"{short}\nown line {k}\n{cjk}\n\n", "s") for k in range(4)]
+    got = {r.doc_id: r.kept for r in units.dedup_units(frame(spark, rows)).collect()}
+    assert got == {0: rows[0][1], **{k: f"own line {k}\n\n" for k in (1, 2, 3)}}
+
+
+def test_passages_are_found_wherever_they_stand(spark):
+    """Passages of over 50 words as a line, as a paragraph of lines, and inside a longer line; clean texts stay."""
+    rng = random.Random(11)
+
+    def sentence(n):
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n)).capitalize() + "."
+
+    passage = " ".join(sentence(12) for _ in range(5))
+    lines = "\n".join(sentence(15) for _ in range(4))
+
+    def text(middle):
+        return f"{sentence(9)} {sentence(9)}{middle}{sentence(9)}\n{sentence(20)}"
+
+    rows = [(k, text(f"\n{passage}\n"), "as a line") for k in range(3)] + [(10 + k, text(f"\n{lines}\n"), "as lines") for k in range(3)]
+    rows += [(20 + k, text(f" {passage} "), "inside") for k in range(3)] + [(30 + k, text(" " + sentence(60) + " "), "clean") for k in range(20)]
+    got = {r.doc_id: r for r in units.dedup_units(frame(spark, rows)).collect()}
+    source = {i: s for i, _, s in rows}
+    assert {i for i, r in got.items() if r.removed} == {1, 2, 11, 12, 20, 21, 22}
+    for i, r in got.items():
+        own = dict((k, t) for k, t, _ in rows)[i]
+        assert (passage.split(". ")[2] in r.kept) == (passage.split(". ")[2] in own and i == 0) and (source[i] != "clean" or r.kept == own)
+        gone = sum(s["end"] - s["start"] for s in r.removed)
+        assert len(r.kept) >= len(own) - gone - own.count("\n") and gone in (0, len(passage), len(passage) + 1, len(lines) - 3)
+
+
+def test_texts_that_share_an_id_are_cut_each_by_its_own_units(spark):
+    a, b, own = "a line that many hold", "another line that many hold", "a line of this text alone"
+    rows = [(1, f"{a}\n{b}", "s"), (2, f"{a}\nx", "s"), (2, f"{own}\ny", "s"), (2, f"{own}\ny", "s"), (3, f"{b}\n{own}", "s")]
+    got = sorted((r.doc_id, r.kept) for r in units.dedup_units(frame(spark, rows)).collect())
+    assert got == sorted([(1, f"{a}\n{b}"), (2, "x"), (2, f"{own}\ny"), (2, f"{own}\ny"), (3, "")])
+    assert plain(digested(units.dedup_units(frame(spark, rows)))) == duck(twins.UNITS, docs=rows)
+
+
+def test_lines_only(spark):
+    rows = [(1, "One long sentence that stands in two texts of this set. And more.", "s"), (2, "One long sentence that stands in two texts of this set. But less.", "s")]
+    assert [r.removed for r in units.dedup_units(frame(spark, rows), sentence=None).collect()] == [[], []]
+    assert sorted(len(r.removed) for r in units.dedup_units(frame(spark, rows)).collect()) == [0, 1]
+
+
 def test_paragraph_offsets(spark):
     para = "one two three four five six seven eight\nnine"
     rows = [(1, f"{para}\n\nother words that are not repeated anywhere at all", "s"), (2, f"head\n\n{para.upper()}\n\ntail", "s")]
