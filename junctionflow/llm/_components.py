@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import written
+from ._store import discard, written
 
 
 def _star(links: DataFrame, both_ways: bool) -> DataFrame:
@@ -31,9 +31,12 @@ def components(links: DataFrame) -> DataFrame:
     now = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     state = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     mark = state(now)
+    before = None
     while True:
         now = written(_star(_star(now, True), False), "stars", mark[0])
-        new = state(now)
+        if before is not None:
+            discard(before)
+        before, new = now, state(now)
         if new == mark:
             break
         mark = new

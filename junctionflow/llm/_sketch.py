@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from ._bytes import MULT, U64, mix
+from ._store import sent
 
 RANGES = 64
 #: Hashes that a map task holds before it sends them on.
@@ -164,11 +165,11 @@ def count_levels(
     return Levels({row.part: bytes(row.payload) for row in whole.collect()}, log2, probes)
 
 
-def using(sent, fn):
+def using(shared, fn):
     """The mapInArrow function ``fn(levels, batches)`` with a broadcast sketch, freed when the task ends."""
 
     def run(batches):
-        levels = sent.value
+        levels = shared.value
         try:
             yield from fn(levels, batches)
         finally:
@@ -180,5 +181,5 @@ def using(sent, fn):
 
 def broadcast(df: DataFrame, levels: Levels):
     """2**(log2 - 2) bytes to each Python worker."""
-    return df.sparkSession.sparkContext.broadcast(levels)
+    return sent(df.sparkSession, levels)
 

@@ -2,15 +2,76 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from junctionflow.session import scratch_path
+from junctionflow.sources.tables import file_system
 
 
 #: Rows of narrow tables (ids, hashes) that one task writes to one file.
 ROWS_PER_FILE = 500_000
 
 
+#: Folders and broadcasts that are recorded at the moment, one list for each open :class:`Scratch`.
+_open: list[Scratch] = []
+
+
+class Scratch:
+    """What operators leave behind while it is open: tables of the shared folder and broadcasts.
+
+    Their results read these lazily, so only a caller that has written a result,
+    or has read it to its end, may :meth:`release` them.
+    """
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+        self.sent: list = []
+
+    def __enter__(self) -> Scratch:
+        _open.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _open.remove(self)
+
+    def release(self, spark: SparkSession) -> None:
+        """Delete the tables, destroy the broadcasts, and let the driver's cleaner drop shuffles that no frame refers to."""
+        for path in self.paths:
+            _delete(spark, path)
+        for b in self.sent:
+            b.destroy()
+        self.paths, self.sent = [], []
+        _tidy(spark)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
+
+
+def sent(spark: SparkSession, value):
+    """A broadcast that the open records know."""
+    b = spark.sparkContext.broadcast(value)
+    for s in _open:
+        s.sent.append(b)
+    return b
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`written` that nothing reads any more: all that was made of them is written, too."""
+    for t in tables:
+        _delete(t.sparkSession, t._scratch)
+    _tidy(tables[0].sparkSession)
+
+
+def _tidy(spark: SparkSession) -> None:
+    """Let the driver's cleaner drop the shuffles of frames that nothing refers to (else they stay until memory is short)."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write df as a parquet table in the shared folder and read it back: cuts lineage, survives lost executors.
 
@@ -21,7 +82,11 @@ def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    for s in _open:
+        s.paths.append(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._scratch = path
+    return table
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -125,9 +125,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     marked = docs.mapInArrow(using(levels, split), f"{kinds}, __n long, __s boolean")
-    moved = marked.filter("__s").join(lost, F.col("doc_id") == F.col("__id"), "left").drop("__id")
-    rows = marked.filter("not __s").withColumn("__drop", F.lit(None).cast("array<binary>")).unionByName(moved)
-    return rows.drop("__s").mapInArrow(finish, f"{kinds}, __n_lines long, __n_dropped long")
+    moved = marked.filter("__s").drop("__s").join(lost, F.col("doc_id") == F.col("__id"), "left").drop("__id")
+    # Documents without a suspect line are done: they pass no second Python function.
+    done = marked.filter("not __s").select(*names, F.col("__n").alias("__n_lines"), F.lit(0).cast("long").alias("__n_dropped"))
+    return done.unionByName(moved.mapInArrow(finish, f"{kinds}, __n_lines long, __n_dropped long"))
 
 
 def drop_repeated_lines(docs: DataFrame, **params) -> DataFrame:

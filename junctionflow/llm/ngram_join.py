@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from ._bytes import MULT, NOT_SPACE, U64, combine, mix, word_hashes
 from ._components import components
 from ._sketch import broadcast, count_levels, using
-from ._store import written
+from ._store import discard, written
 
 WIDTH = 5
 #: Links: 100 * intersection >= PERCENT * union.
@@ -144,13 +144,15 @@ def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, log2: int = LOG2) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs."""
     sets = _sets(docs, width, percent, log2)
-    shared = sets.filter("grams is not null")
     classes = written(
-        shared.groupBy("set").agg(
+        sets.filter("grams is not null").groupBy("set").agg(
             F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in (*SHAPE, "grams", "counts"))
         ),
         "shingle-classes",
     )
+    # From here on a document is its class; the shingles of every copy need not stay.
+    members = written(sets.select("doc_id", "n", F.when(F.col("grams").isNotNull(), F.col("set")).alias("set")), "shingle-members")
+    discard(sets)
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     rows = classes.withColumn("part", F.slice("grams", F.col("free") + 1, (prefix - F.col("free")).cast("int")))
     index = written(
@@ -167,9 +169,10 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         .select("gram", "hub.*")
     )
     # Written, so that the join has a plain shuffle on both sides and a hot shingle's partition can be split.
-    i, h = index.alias("i"), written(hubs, "shingle-hubs", size // 2).alias("h")
-    star = i.join(h, F.col("i.gram") == F.col("h.gram")).filter((F.col("i.set") != F.col("h.set")) & _may_link("i", "h", percent))
+    h = written(hubs, "shingle-hubs", size // 2)
+    star = index.alias("i").join(h.alias("h"), F.col("i.gram") == F.col("h.gram")).filter((F.col("i.set") != F.col("h.set")) & _may_link("i", "h", percent))
     star = written(star.select(*_ordered("i", "h")).distinct(), "star-pairs", size)
+    discard(h)
     links = written(_verified(star, classes, percent), "star-links")
     label = components(links)
 
@@ -177,11 +180,13 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     # largest component's meet the whole list.
     labelled = index.join(label, index["set"] == label["node"], "left").select("gram", "set", *SHAPE, "pos", F.coalesce("component", "set").alias("part"))
     labelled = written(labelled, "labelled-index", size)
+    discard(index)
     parts = labelled.groupBy("gram", "part").agg(F.count("*").alias("c"))
     open_ = parts.groupBy("gram").agg(F.max(F.struct("c", "part")).alias("top"), F.count("*").alias("k")).filter("k > 1")
     open_ = written(open_.select("gram", F.col("top.part").alias("main")), "open-shingles", size // 2)
     left = labelled.join(open_, "gram").join(classes.select(F.col("set").alias("key"), "counts"), F.col("set") == F.col("key"))
     left = written(left.drop("key"), "open-index", size)
+    discard(labelled, open_)
     x, y = left.filter("part <> main").alias("x"), left.alias("y")
     rest = x.join(y, F.col("x.gram") == F.col("y.gram")).filter(
         (F.col("x.part") != F.col("y.part"))
@@ -191,14 +196,18 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     )
     rest = rest.select(*_ordered("x", "y")).distinct().join(star, ["a", "b"], "left_anti")
     more = written(_verified(rest, classes, percent), "more-links")
-    label = components(links.unionByName(more))
-
-    named = classes.select("set", "rep").join(label, F.col("set") == F.col("node"), "left")
-    named = named.select("set", "rep", F.coalesce("component", "set").alias("part"))
+    discard(left, star)
+    # The second round's links join whole components of the first: only these are nodes now.
+    first = label.select("node", F.col("component").alias("part"))
+    ends = more.join(first.toDF("a", "pa"), "a", "left").join(first.toDF("b", "pb"), "b", "left")
+    whole = components(ends.select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b")))
+    named = classes.select("set", "rep").join(first, F.col("set") == F.col("node"), "left")
+    named = named.select("set", "rep", F.coalesce("part", "set").alias("part")).join(whole, F.col("part") == F.col("node"), "left")
+    named = named.select("set", "rep", F.coalesce("component", "part").alias("part"))
     least = named.groupBy(F.col("part").alias("p")).agg(F.min("rep").alias("component_id"))
     named = named.join(least, F.col("part") == F.col("p")).select(F.col("set").alias("key"), "component_id")
-    grouped = shared.select("doc_id", "n", "set").join(named, F.col("set") == F.col("key"))
-    alone = sets.filter("grams is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    grouped = members.filter("set is not null").join(named, F.col("set") == F.col("key"))
+    alone = members.filter("set is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return grouped.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
 
 

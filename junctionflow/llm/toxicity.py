@@ -22,6 +22,7 @@ other columns are ignored.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from ._bytes import LOWER_BYTES
 from ._labels import checksum_is, labelled_sample
+from ._store import sent
 
 #: Labelled rows that the model is fitted on, at most.
 SAMPLE = 12_000
@@ -43,9 +45,9 @@ LABEL_NOISE = 0.02
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 EDGES = b".,;:!?\"'()[]{}<>|*#$%&-_"
 #: Words that a task remembers the terms of; a full memory starts anew.
-REMEMBERED = 100_000
+REMEMBERED = 30_000
 #: Terms that a task counts before it passes them on.
-HELD = 200_000
+HELD = 100_000
 PATTERNS = ("capitals", "exclamations", "questions", "digits", "symbols", "short")
 
 
@@ -125,6 +127,11 @@ class Model:
             out.update(got)
         return sorted(out)
 
+    def free(self) -> None:
+        """Forget the words: a worker that idles after its task holds the terms only."""
+        self.memory.clear()
+        pa.default_memory_pool().release_unused()
+
     def score(self, value) -> float:
         if self.bias == -np.inf:
             return 0.0
@@ -198,13 +205,16 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0
     """The classifier, learned from labelled rows whose checksum mod ``modulus`` is not ``remainder``."""
     rows = labelled_sample(docs, labels, "toxic", modulus, remainder, sample)
     best = mined_terms(rows, terms)
-    probe = rows.sparkSession.sparkContext.broadcast(Model({t: i for i, (t, _, _) in enumerate(best)}))
+    probe = sent(rows.sparkSession, Model({t: i for i, (t, _, _) in enumerate(best)}))
     k = len(best)
 
     def features(batches):
-        for batch in batches:
-            ids = [probe.value.ids(t) + [k + int(j) for j in np.flatnonzero(patterns_of(t))] for t in batch.column(0)]
-            yield pa.record_batch([pa.array(ids, pa.list_(pa.int32())), batch.column(1)], names=["ids", "y"])
+        try:
+            for batch in batches:
+                ids = [probe.value.ids(t) + [k + int(j) for j in np.flatnonzero(patterns_of(t))] for t in batch.column(0)]
+                yield pa.record_batch([pa.array(ids, pa.list_(pa.int32())), batch.column(1)], names=["ids", "y"])
+        finally:
+            probe.value.free()
 
     got = rows.mapInArrow(features, "ids array<int>, y int").collect()  # at most sample rows of at most k + len(PATTERNS) ids
     if not got:
@@ -223,25 +233,35 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0
 
 def score_documents(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0, **params) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of docs."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, modulus, remainder, **params))
+    model = sent(docs.sparkSession, fit(docs, labels, modulus, remainder, **params))
 
     def score(batches):
-        for batch in batches:
-            s = np.array([model.value.score(t) for t in batch.column(1)], float)
-            cols = [batch.column(0), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))]
-            yield pa.record_batch(cols, names=["doc_id", "score", "predicted"])
+        try:
+            for batch in batches:
+                s = np.array([model.value.score(t) for t in batch.column(1)], float)
+                cols = [batch.column(0), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))]
+                yield pa.record_batch(cols, names=["doc_id", "score", "predicted"])
+        finally:
+            model.value.free()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, "doc_id long, score double, predicted int")
     return rows.select("doc_id", checksum_is(modulus, remainder).alias("held_out"), "score", "predicted")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
-    """The documents that are not predicted toxic, same columns."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, **params))
-    at = docs.columns.index("text")
+    """The documents that are not predicted toxic, same columns.
 
-    def keep(batches):
-        for batch in batches:
-            yield batch.filter(pa.array([model.value.score(t) < 0.5 for t in batch.column(at)], pa.bool_()))
+    Only texts go to the Python workers and only decisions come back: the other
+    columns, and the texts that stay, never leave the JVM.
+    """
+    model = sent(docs.sparkSession, fit(docs, labels, **params))
+
+    @F.arrow_udf("boolean")
+    def stays(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for texts in batches:
+                yield pa.array([model.value.score(t) < 0.5 for t in texts], pa.bool_())
+        finally:
+            model.value.free()
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.filter(stays("text"))

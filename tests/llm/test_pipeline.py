@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 
 import corpus_pipeline
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from junctionflow.llm import catalog, decontam, toxicity, twins
 from junctionflow.llm._store import load, written
+from junctionflow.session import scratch_path
 
 from .conftest import duck
 
@@ -74,11 +76,20 @@ def test_mix(stages):
     assert got == sorted(want)
 
 
+def left_over(spark):
+    top = scratch_path(spark, "llm", unique=False).removeprefix("file:")
+    return {x for _, _, files in os.walk(top) for x in files if x.endswith(".parquet")}
+
+
 def test_run_is_the_stages_in_turn(spark, stages):
+    """The same rows, and of all tables made on the way only the result's files stay in the shared folder."""
     assert catalog.QUERIES["pipeline"] is corpus_pipeline.run
-    assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == sorted(map(tuple, stages[5].collect()))
+    before = left_over(spark)
+    result = corpus_pipeline.run(spark, SF)
+    assert sorted(map(tuple, result.collect())) == sorted(map(tuple, stages[5].collect()))
+    assert left_over(spark) - before == {os.path.basename(f) for f in result.inputFiles()}
 
 
 def test_every_operator_has_its_query():
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in catalog.QUERIES)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in catalog.QUERIES)] == []
     assert set(catalog.ORACLE) <= set(catalog.QUERIES)
