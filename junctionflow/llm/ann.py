@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._store import written
+from ._store import sent, written
 
 #: Vectors that codebooks and the visited share are fitted on, and trial queries for the latter.
 SAMPLE, TRIALS = 16_384, 200
@@ -86,11 +86,12 @@ def codebook(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 class MultiIndex:
     first: np.ndarray
     second: np.ndarray
+    mean: np.ndarray
     share: float = 1.0
     sizes: np.ndarray | None = None
 
     def cells(self, x: np.ndarray) -> np.ndarray:
-        h = x.shape[1] // 2
+        x, h = x - self.mean, x.shape[1] // 2
         return _near(x[:, :h], self.first).argmin(1) * len(self.second) + _near(x[:, h:], self.second).argmin(1)
 
     def enough(self, entries: int, k: int) -> int:
@@ -99,7 +100,7 @@ class MultiIndex:
 
     def walk(self, q: np.ndarray, enough: int) -> list[int]:
         """Cells with entries in order of the summed distance to their centroids, until they hold ``enough`` of them."""
-        h = len(q) // 2
+        q, h = q - self.mean, len(q) // 2
         one, two = _near(q[None, :h], self.first)[0], _near(q[None, h:], self.second)[0]
         a, b = np.argsort(one, kind="stable").tolist(), np.argsort(two, kind="stable").tolist()
         heap, out, held = [(one[a[0]] + two[b[0]], 0, 0)], [], 0
@@ -118,9 +119,10 @@ class MultiIndex:
 
 def fit(sample: np.ndarray, total: int, k: int, recall: float) -> MultiIndex:
     size = int(np.clip(2 ** round(np.log2(4 * total**0.25)), 1, min(CENTROIDS, len(sample))))
-    h = sample.shape[1] // 2
-    index = MultiIndex(codebook(sample[:, :h], size), codebook(sample[:, h:], size))
-    cell = index.cells(sample)
+    h, mean = sample.shape[1] // 2, sample.mean(axis=0)
+    original, sample = sample, sample - mean
+    index = MultiIndex(codebook(sample[:, :h], size), codebook(sample[:, h:], size), mean)
+    cell = index.cells(original)
     index.sizes = np.bincount(cell, minlength=size * size)
     trial = sample[:TRIALS]
     far = _near(trial, sample)
@@ -129,7 +131,7 @@ def fit(sample: np.ndarray, total: int, k: int, recall: float) -> MultiIndex:
     for index.share in SHARES:
         if index.share == 1.0 or not true.size:
             break
-        found = [np.isin(cell[t], index.walk(q, index.enough(len(sample), k))).mean() for q, t in zip(trial, true)]
+        found = [np.isin(cell[t], index.walk(q, index.enough(len(sample), k))).mean() for q, t in zip(original[:TRIALS], true)]
         if np.mean(found) >= recall:
             break
     return index
@@ -152,20 +154,20 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, recall: float = 0
     same = W.partitionBy("v").orderBy("vec_id")
     least = rows.withColumn("nth", F.row_number().over(same)).filter(F.col("nth") <= k + 1)
     distinct = least.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    sent = spark.sparkContext.broadcast(index)
+    first_index, mean = sent(spark, index), index.mean
 
     def place(batches):
         for batch in batches:
             if batch.num_rows:
                 x = np.frombuffer(b"".join(batch.column(0).to_pylist())).reshape(batch.num_rows, -1)
-                yield pa.record_batch([*batch.columns, pa.array(sent.value.cells(x).astype(np.int32))], names=["v", "ids", "cell"])
+                yield pa.record_batch([*batch.columns, pa.array(first_index.value.cells(x).astype(np.int32))], names=["v", "ids", "cell"])
 
     entries = written(distinct.mapInArrow(place, "v binary, ids array<long>, cell int"), "entries")
     index.sizes = np.zeros(len(index.first) * len(index.second), np.int64)
     for r in entries.groupBy("cell").agg(F.count("*").alias("n")).collect():  # at most CENTROIDS squared rows
         index.sizes[r.cell] = r.n
     enough = index.enough(int(index.sizes.sum()), k)
-    ready = spark.sparkContext.broadcast(index)
+    ready = sent(spark, index)
     queries = rows.filter(F.col("vec_id") % every == 0)
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     width = len(index.second)
@@ -202,14 +204,17 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, recall: float = 0
             ids = held["ids"].to_pylist()
             who, qs = asked["query_id"].to_pylist(), np.frombuffer(b"".join(asked["v"].to_pylist())).reshape(asked.num_rows, -1)
             cell, cells = held["cell"].to_numpy(), asked["cells"].to_pylist()
+            # Distances by the expanded square are off by rounding of this order, less so about the mean; the cut keeps all within it.
+            xc, qc = x - mean, qs - mean
+            slack = 8 * np.finfo(float).eps * x.shape[1] * ((qc * qc).sum(1) + (xc * xc).sum(1).max())
             for lo in range(0, len(qs), 256):
-                d = _near(qs[lo : lo + 256], x)
+                d = _near(qc[lo : lo + 256], xc)
                 for row, wanted in zip(d, cells[lo : lo + 256]):
                     row[~np.isin(cell, wanted)] = np.inf
                 reach = min(k + 1, d.shape[1])  # the query itself may be one of them
                 limit = np.partition(d, reach - 1, axis=1)[:, reach - 1]
                 for n, (row, top) in enumerate(zip(d, limit), lo):
-                    near = np.flatnonzero((row <= top * (1 + 1e-9) + 1e-9) & (row < np.inf))
+                    near = np.flatnonzero((row <= top + slack[n]) & (row < np.inf))
                     exact = np.sqrt(((x[near] - qs[n]) ** 2).sum(1))
                     best = sorted((s, i) for s, e in zip(exact.tolist(), near.tolist()) for i in ids[e] if i != who[n])[:k]
                     out[0] += [who[n]] * len(best)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._bytes import ALNUM, U64, column_bytes, combine, word_hashes
-from ._store import written
+from ._store import sent, written
 
 #: Words of a window.
 WIDTH = 10
@@ -208,16 +208,15 @@ def gathered(batches, most: int):
         yield some
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_words: int = BLOCK_WORDS, unnamed: bool = False) -> DataFrame:
+def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_words: int = BLOCK_WORDS) -> DataFrame:
     """docs with ``__n_words``, ``__n_hit``, ``__items`` (ids, sorted) and ``__hits`` (a byte a word, 1 where hit; null if none is).
 
-    With ``unnamed``, items of null id mark their words, too; no id is reported for them.
+    Items of null id mark their words like any other; there is no id to report for them.
     """
-    sc = docs.sparkSession.sparkContext
-    blocks, table = automata(benchmark if unnamed else benchmark.filter("item_id is not null"), width, block_words)
+    blocks, table = automata(benchmark, width, block_words)
     # One at a time through the driver, which keeps them in files as the executors do.
     found_models = (table.filter(F.col("block") == k).select("model").first() for k in range(blocks))
-    models = [sc.broadcast(bytes(r.model)) for r in found_models if r is not None]
+    models = [sent(docs.sparkSession, bytes(r.model)) for r in found_models if r is not None]
     at = docs.columns.index("text")
     names = [*docs.columns, "__n_words", "__n_hit", "__items", "__hits"]
 
@@ -305,4 +304,4 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, max_coverage: float =
             cols[at] = pa.array(texts, pa.string())
             yield pa.record_batch(cols, names=names).filter(pa.array(keep))
 
-    return find_hits(docs, benchmark, unnamed=True, **params).drop("__n_words", "__n_hit", "__items").mapInArrow(cut, kinds)
+    return find_hits(docs, benchmark, **params).drop("__n_words", "__n_hit", "__items").mapInArrow(cut, kinds)

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._store import written
+from ._store import sent, written
 from ._vectors import finite, most_frequent
 
 #: Rows, and anchors, of a block.
@@ -263,10 +263,10 @@ def hard_negatives(
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     sample = np.frombuffer(b"".join(bytes(r.x) for r in picked)).reshape(len(picked), dim)
     order = np.argsort(-(sample * sample).sum(axis=0), kind="stable")
-    sent = spark.sparkContext.broadcast((sample, np.array([r.label for r in picked]), np.array([r.vec_id for r in picked])))
+    shared = sent(spark, (sample, np.array([r.label for r in picked]), np.array([r.vec_id for r in picked])))
 
     def first_floor(batches):
-        x, labels, ids = sent.value
+        x, labels, ids = shared.value
         for batch in batches:
             if batch.num_rows:
                 scores = _pair_scores(_matrix(batch.column("x")), x)
@@ -294,7 +294,7 @@ def hard_negatives(
     goals = written(chosen.groupBy("anchor_id").agg(F.collect_list(F.struct(F.col("positive_id").alias("id"), "score")).alias("positives")), "positives")  # at most ``positives`` an anchor
 
     def second_floor(batches):
-        x, labels, _ = sent.value
+        x, labels, _ = shared.value
         for batch in batches:
             if batch.num_rows:
                 scores = _pair_scores(_matrix(batch.column("x")), x)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ._bytes import LOWER, NOT_SPACE, column_bytes, word_hashes
 from ._labels import checksum_is, labelled_sample
+from ._store import sent
 
 #: Labelled rows that are broadcast, at most; dimensions of counts and of the latent space; voters.
 SAMPLE, BUCKETS, LATENT, VOTERS = 4000, 2048, 64, 15
@@ -127,7 +128,7 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1
 
 def score_documents(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1, voters: int = VOTERS, **params) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of docs."""
-    space = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, modulus, remainder, **params))
+    space = sent(docs.sparkSession, fit(docs, labels, modulus, remainder, **params))
 
     def score(batches):
         for batch in batches:

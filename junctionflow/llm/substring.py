@@ -18,9 +18,12 @@ which may occur twice; only their segments are shuffled, as digests:
 Removed spans of a document are then applied to its text in one join.
 
 Cases: null texts are empty; texts under ``length`` bytes lose nothing; rows
-without an id are neither compared nor cut; rows that share an id are taken as
-repeats of one text (a span is cut from each of them); an empty table gives an
-empty result; only doc_id and text are read, other columns are ignored.
+without an id are neither compared nor cut; rows that share an id and a text are
+one text, so that a span is cut from each of them; rows that share an id with
+different texts are cut each by its own spans (strings that start at one place
+in several of them all stay); very long texts are hashed and cut in regions; an
+empty table gives an empty result; only doc_id and text are read, other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -45,6 +48,7 @@ LOG2 = 27
 MANY = 4096
 #: Segments that a task orders together (always whole anchors).
 TOGETHER = 20_000
+SPAN = "doc_id long, lo int, hi int, off int, g long"
 SEGMENT = "h long, g long, doc_id long, s int, off int, n int"
 _INDEX = U64((1 << 22) - 1)
 
@@ -75,7 +79,7 @@ def _segments(buf: np.ndarray, cuts: np.ndarray, length: int) -> tuple[np.ndarra
     a = anchor[p]
     new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (p[1:] != p[:-1] + 1)])
     first, last, a = p[new], p[np.r_[new[1:] - 1, len(p) - 1]], a[new]
-    digest = mix(range_hash(prefix, first, last + length) + (a - first).astype(U64) * MULT[50])
+    digest = _digest(range_hash(prefix, first, last + length), a - first)
     return np.searchsorted(cuts, first, "right") - 1, first, last, a, x[a], digest
 
 
@@ -94,12 +98,17 @@ def segments(col, length: int) -> Iterator[tuple[np.ndarray, ...]]:
                 yield doc + lo, first + shift, last + shift, a + shift, h, g
 
 
+def _digest(h: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """What tells a segment: the hash of its bytes and the place of its anchor."""
+    return mix(h + np.asarray(off).astype(U64) * MULT[50])
+
+
 def _spans_of(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Intervals (doc_id, lo, hi) of windows of repeated segments: all but the first of each class."""
+    """SPAN rows of windows of repeated segments: all but the first of each class."""
     # Written, so that the join has a plain shuffle on both sides and a hot segment's partition can be split.
     c = written(classes.filter("times > 1").select(F.col("h").alias("ch"), F.col("g").alias("cg"), "first"), "repeated-segments")
     later = rows.join(c, (F.col("h") == F.col("ch")) & (F.col("g") == F.col("cg"))).filter(F.struct("doc_id", "s") > F.col("first"))
-    return later.select("doc_id", F.col("s").alias("lo"), (F.col("s") + F.col("n")).alias("hi"))
+    return later.select("doc_id", F.col("s").alias("lo"), (F.col("s") + F.col("n")).alias("hi"), rows["off"], rows["g"])
 
 
 def _fetched(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -117,10 +126,10 @@ def _fetched(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 done = set()
                 for w in wants.as_py():
                     # Rows that share an id repeat each other's wishes; the digest tells whether this text is meant.
-                    if (w["s"], w["g"]) in done or w["s"] + w["n"] + length - 1 > len(text):
+                    part = text[w["s"] : w["s"] + w["n"] + length - 1]
+                    if (w["s"], w["g"]) in done or len(part) < w["n"] + length - 1 or not _same(part, w["off"], w["g"]):
                         continue
                     done.add((w["s"], w["g"]))
-                    part = text[w["s"] : w["s"] + w["n"] + length - 1]
                     for o, v in zip(out, (w["h"], doc.as_py(), w["s"], w["off"], w["n"], w["k"], part)):
                         o.append(v)
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
@@ -129,6 +138,15 @@ def _fetched(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(cut, schema).dropDuplicates(["h", "doc_id", "s", "off", "n"])
 
 
+def _hash_of(part: bytes) -> np.ndarray:
+    return range_hash(prefix_hash(np.frombuffer(part, np.uint8)), np.zeros(1, np.int64), np.array([len(part)]))
+
+
+def _same(part: bytes, off: int, g: int) -> bool:
+    """Whether these are the bytes of the segment with digest g."""
+    return int(_digest(_hash_of(part), np.array([off])).view(np.int64)[0]) == g
+
+
 def packed_texts(docs: DataFrame) -> DataFrame:
     """(doc_id, body): texts compressed for the shuffle."""
 
@@ -178,13 +196,16 @@ def shared_windows(h, doc, s, off, n, body, length: int) -> tuple[np.ndarray, np
     return (np.concatenate(rows), np.concatenate(windows)) if rows else (np.empty(0, np.int64),) * 2
 
 
-def _as_spans(rows: np.ndarray, windows: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+def _as_spans(rows: np.ndarray, windows: np.ndarray, doc: np.ndarray, s: np.ndarray, body: list[bytes], length: int) -> pa.RecordBatch:
     order = np.lexsort((windows, rows))
     r, w = rows[order], windows[order]
     new = np.flatnonzero(np.r_[True, (r[1:] != r[:-1]) | (w[1:] != w[:-1] + 1)]) if len(r) else np.empty(0, np.int64)
     last = np.r_[new[1:] - 1, len(r) - 1] if len(r) else new
-    cols = [pa.array(doc[r[new]], pa.int64()), pa.array(w[new], pa.int32()), pa.array(w[last] + 1, pa.int32())]
-    return pa.record_batch(cols, names=["doc_id", "lo", "hi"])
+    own, lo, hi = r[new], w[new], w[last] + 1
+    parts = (body[k][a - o : b - o + length - 1] for k, a, b, o in zip(own.tolist(), lo.tolist(), hi.tolist(), s[own].tolist()))
+    marks = [int(_digest(_hash_of(p), np.zeros(1, np.int64)).view(np.int64)[0]) for p in parts]
+    cols = [pa.array(doc[own], pa.int64()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), pa.array([0] * len(own), pa.int32()), pa.array(marks, pa.int64())]
+    return pa.record_batch(cols, names=["doc_id", "lo", "hi", "off", "g"])
 
 
 def _sorted_spans(fetched: DataFrame, length: int) -> DataFrame:
@@ -193,7 +214,8 @@ def _sorted_spans(fetched: DataFrame, length: int) -> DataFrame:
 
         def run(table: pa.Table):
             h, doc, s, off, n = (table.column(i).to_numpy() for i in range(5))
-            return _as_spans(*shared_windows(h, doc, s, off, n, table.column(6).to_pylist(), length), doc)
+            body = table.column(6).to_pylist()
+            return _as_spans(*shared_windows(h, doc, s, off, n, body, length), doc, s, body, length)
 
         for batch in batches:
             held.append(batch)
@@ -208,7 +230,7 @@ def _sorted_spans(fetched: DataFrame, length: int) -> DataFrame:
             yield run(pa.Table.from_batches(held))
 
     rows = fetched.repartition("h").sortWithinPartitions("h")
-    return rows.mapInArrow(order, "doc_id long, lo int, hi int")
+    return rows.mapInArrow(order, SPAN)
 
 
 def _grouped_spans(fetched: DataFrame, length: int) -> DataFrame:
@@ -221,18 +243,22 @@ def _grouped_spans(fetched: DataFrame, length: int) -> DataFrame:
                 at = np.arange(n)
                 a = range_hash(prefix, at, at + length)
                 b = mix(range_hash(prefix, at, at + length // 2) + MULT[51])
-                cols = a.view(np.int64), b.view(np.int64), np.full(n, doc), (s + at).astype(np.int32)
-                yield pa.record_batch([pa.array(c) for c in cols], names=["a", "b", "doc_id", "p"])
+                w = _digest(a, np.zeros(n, np.int64))
+                cols = a.view(np.int64), b.view(np.int64), np.full(n, doc), (s + at).astype(np.int32), w.view(np.int64)
+                yield pa.record_batch([pa.array(c) for c in cols], names=["a", "b", "doc_id", "p", "w"])
 
-    windows = written(fetched.mapInArrow(explode, "a long, b long, doc_id long, p int"), "windows")
+    windows = written(fetched.mapInArrow(explode, "a long, b long, doc_id long, p int, w long"), "windows")
     first = windows.groupBy("a", "b").agg(F.min(F.struct("doc_id", "p")).alias("first"), F.count("*").alias("times")).filter("times > 1")
     f = written(first.toDF("fa", "fb", "first", "times"), "repeated-windows")
     late = windows.join(f, (F.col("a") == F.col("fa")) & (F.col("b") == F.col("fb"))).filter(F.struct("doc_id", "p") > F.col("first"))
-    return late.select("doc_id", F.col("p").alias("lo"), (F.col("p") + 1).alias("hi"))
+    return late.select("doc_id", F.col("p").alias("lo"), (F.col("p") + 1).alias("hi"), F.lit(0).alias("off"), F.col("w").alias("g"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, log2: int = LOG2, many: int = MANY) -> DataFrame:
-    """(doc_id, lo, hi): starts lo <= p < hi of windows that also start earlier; not merged."""
+    """SPAN rows: starts lo <= p < hi of windows that also start earlier; not merged.
+
+    ``g`` tells the bytes from lo to the end of the last window (with ``off``, see :func:`_digest`): rows may share an id.
+    """
     slim = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     levels = broadcast(docs, count_levels(slim, lambda b: (x[4] for x in segments(b.column(1), length)), log2=log2, probes=2))
 
@@ -258,6 +284,22 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, log2: int = LOG2, many
     return spans.unionByName(_grouped_spans(fetched.filter(F.col("k") > many), length))
 
 
+def own_spans(text: bytes, start: np.ndarray, end: np.ndarray, off: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """Positions of the spans whose bytes stand in this text (rows that share an id get each other's spans)."""
+    order = np.argsort(start, kind="stable")
+    order = order[end[order] <= len(text)]
+    buf, out, k = np.frombuffer(text, np.uint8), [], 0
+    while k < len(order):  # hashed a region at a time, however long the text
+        at = int(start[order[k]])
+        m = max(k + 1, int(np.searchsorted(start[order], at + PIECE)))
+        some = order[k:m]
+        prefix = prefix_hash(buf[at : int(end[some].max())])
+        h = range_hash(prefix, (start[some] - at).astype(np.int64), (end[some] - at).astype(np.int64))
+        out.append(some[_digest(h, off[some]) == g[some].view(U64)])
+        k = m
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
 def dedup_substrings(docs: DataFrame, length: int = LENGTH, **params) -> DataFrame:
     """(doc_id, n_bytes, spans, kept): removed byte spans [start, end) and the remaining bytes of every row.
 
@@ -266,7 +308,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, **params) -> DataFra
     """
     # Dealt by document right after the joins, so that a hot segment's join partition can be split.
     spans = repeated_spans(docs, length, **params).repartition("doc_id")
-    lists = spans.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("lo", "hi")).alias("cuts"))
+    lists = spans.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("lo", "hi", "off", "g")).alias("cuts"))
     rows = packed_texts(docs).join(lists, F.col("doc_id") == F.col("id"), "left").select("doc_id", "body", "cuts")
     schema = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
@@ -280,14 +322,14 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, **params) -> DataFra
                 sizes.append(len(text))
                 gone: list[list[int]] = []
                 if cuts.is_valid:
-                    v = cuts.values
-                    lo = v.field(0).to_numpy()
+                    lo, hi, off, g = (cuts.values.field(k).to_numpy() for k in range(4))
+                    mine = own_spans(text, lo, hi + (length - 1), off, g)
+                    lo, hi = lo[mine], hi[mine] + (length - 1)
                     order = np.argsort(lo, kind="stable")
-                    for a, b in zip(lo[order].tolist(), (v.field(1).to_numpy()[order] + (length - 1)).tolist()):
-                        b = min(b, len(text))
+                    for a, b in zip(lo[order].tolist(), hi[order].tolist()):
                         if gone and a <= gone[-1][1]:
                             gone[-1][1] = max(gone[-1][1], b)
-                        elif a < b:
+                        else:
                             gone.append([a, b])
                 spans.append([{"start": a, "end": b} for a, b in gone])
                 edges = [0, *(x for g in gone for x in g), len(text)]

@@ -69,7 +69,7 @@ WITH d AS (
 b AS (
   SELECT item_id,
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
-  FROM {items} WHERE item_id IS NOT NULL),
+  FROM {items}),
 win AS (
   SELECT DISTINCT item_id, least(len(ws), 10) AS width, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS w
   FROM (SELECT *, unnest(range(1, greatest(len(ws) - 8, 2))) AS i FROM b WHERE len(ws) > 0)),

@@ -18,7 +18,7 @@ from junctionflow.llm._components import components
 from junctionflow.llm._labels import labelled_sample
 from junctionflow.llm._deepshallow import deep_shallow_order
 
-from .conftest import duck, frame, plain
+from .conftest import duck, frame, plain, prose
 
 LOG2 = 20
 
@@ -320,6 +320,27 @@ def test_neighbours_recall(spark):
     assert hit >= 0.9 * 10 * len(got)
 
 
+def test_nearest_of_vectors_far_from_the_origin(spark):
+    """A common offset of 1e5 with a spread of 1e-3: the expanded square alone would be off by more than the distances."""
+    rng = np.random.default_rng(8)
+    x = 1e5 + rng.normal(size=(400, 8)) * 1e-3
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = plain(ann.nearest(df, recall=1.01).select("query_id", "rank", "vec_id"))
+    want = []
+    for q in range(0, 400, 100):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        near = sorted((i for i in range(400) if i != q), key=lambda i: (d[i], i))[:10]
+        want += [(q, r, i) for r, i in enumerate(near, 1)]
+    assert got == sorted(want, key=repr)
+
+
+def test_items_of_null_id_mark_their_words(spark):
+    passage = "one two three four five six seven eight nine ten eleven"
+    items = spark.createDataFrame([(None, passage)], "item_id long, text string")
+    got = decontam.contamination(frame(spark, [(1, f"before {passage} after", "s"), (2, "clean", "s")]), items)
+    assert sorted((r.doc_id, r.n_hit, list(r["items"]), r.contaminated) for r in got.collect()) == [(1, 11, [], True), (2, 0, [], False)]
+
+
 # 8. substring dedup
 
 
@@ -376,6 +397,42 @@ def test_deep_shallow_order():
 # 9. line hashing
 
 
+def removed_by_hand(rows, length=100):
+    """Kept bytes of each row, as the contract says; rows of one id share their ranks."""
+    first, texts = {}, [(i, (t or "").encode()) for i, t, _ in rows]
+    for i, t in texts:
+        for p in range(len(t) - length + 1) if i is not None else ():
+            w = t[p : p + length]
+            first[w] = min(first.get(w, (i, p)), (i, p))
+    out = []
+    for i, t in texts:
+        gone = np.zeros(len(t), bool)
+        for p in range(len(t) - length + 1) if i is not None else ():
+            if first[t[p : p + length]] < (i, p):
+                gone[p : p + length] = True
+        out.append((i, bytes(np.frombuffer(t, np.uint8)[~gone])))
+    return sorted(out, key=repr)
+
+
+def test_substrings_of_texts_that_share_an_id(spark):
+    rng = random.Random(21)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    rows = [(1, a, "s"), (2, a, "s"), (2, b, "s"), (2, b, "s"), (3, c + a[10:180], "s"), (3, a[:150] + c, "s"), (4, b[20:] + c, "s"), (4, "x" + c, "s")]
+    got = sorted(((r.doc_id, bytes(r.kept)) for r in substring.dedup_substrings(frame(spark, rows), log2=LOG2).collect()), key=repr)
+    assert got == removed_by_hand(rows) and (2, b.encode()) in got
+    few = substring.dedup_substrings(frame(spark, rows), log2=LOG2, many=1)
+    assert sorted(((r.doc_id, bytes(r.kept)) for r in few.collect()), key=repr) == got
+
+
+def test_substrings_of_a_text_longer_than_a_piece(spark):
+    rng = np.random.default_rng(5)
+    long = "".join(map(chr, rng.integers(97, 123, 1_300_000)))
+    part = long[524_200:524_600]  # across the border of the first piece
+    rows = [(1, long, "s"), (2, "head " + part + " tail", "s"), (3, long[:1000] + long, "s"), (4, long[700_000:1_250_000], "s")]
+    got = {r.doc_id: bytes(r.kept).decode() for r in substring.dedup_substrings(frame(spark, rows), log2=LOG2).collect()}
+    assert got == {1: long, 2: "head  tail", 3: "", 4: ""}
+
+
 def digested(found):
     return found.select(
         "doc_id", F.size("removed").cast("long").alias("n_removed"),
