@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +70,9 @@ def discard(*tables: DataFrame) -> None:
 def _tidy(spark: SparkSession) -> None:
     """Let the driver's cleaner drop the shuffles of frames that nothing refers to (else they stay until memory is short)."""
     gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only: freed memory goes back to the system
+    if trim is not None:
+        trim(0)
     spark.sparkContext._jvm.System.gc()
 
 

@@ -224,6 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0
     for i, r in enumerate(got):
         x[i, r.ids] = True
     y = np.array([r.y > 0 for r in got])
+    del got
     if y.all() or not y.any():
         return Model(bias=4.0 if y.all() else -4.0, weights=np.zeros(k + len(PATTERNS)), term_ids=probe.value.term_ids)
     votes = votes_of(x, best, int(y.sum()), int((~y).sum()))
