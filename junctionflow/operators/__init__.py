@@ -21,7 +21,7 @@ from .frames import (
     volume_profile,
 )
 from .hourly import alert_counts, congestion_avg, hourly_report, hourly_traffic
-from .ingest import critical_alerts, critical_filter, raw_events
+from .ingest import critical_alerts, critical_filter, distinct_readings, raw_events
 from .lines import alert_lines, peak_lines, window_lines
 from .monitor import (
     alert_tally,
@@ -36,7 +36,7 @@ from .monitor import (
     table_row_counts,
     top_congestion_windows,
 )
-from .rollup import day_rollup, night_rollup, rollup_alerts, rollup_congestion, rollup_hourly
+from .rollup import day_rollup, night_rollup, rollup_alerts, rollup_congestion, rollup_congestion_all, rollup_hourly
 from .windows import congestion_windows, readings_for_windows_since
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -50,3 +50,19 @@ def critical_alerts(
         F.lit(alert_message(max_speed)).alias("alert_message"),
         alerted_at.alias("alerted_at"),
     )
+
+
+#: What makes two readings one: a sensor that sends again, or a topic that delivers twice.
+SAME_READING = ("sensor_id", "event_time", "vehicle_count", "avg_speed")
+
+
+def distinct_readings(readings: DataFrame, watermark: str = params.WATERMARK) -> DataFrame:
+    """Readings without repeats that come within ``watermark`` of event time of the first one.
+
+    On a stream the state holds one key a reading for as long as the watermark
+    needs to pass it by ``watermark``, whatever the stream's length. A repeat
+    after that time counts as new; a batch frame drops all repeats.
+    """
+    if not readings.isStreaming:
+        return readings.dropDuplicates(list(SAME_READING))
+    return readings.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(list(SAME_READING))

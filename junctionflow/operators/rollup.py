@@ -83,3 +83,9 @@ def rollup_congestion(rollup: DataFrame) -> DataFrame:
     """All-history mean congestion index by sensor and hour from rollup rows."""
     mean = F.try_divide(F.sum("idx_sum"), F.sum("idx_windows"))
     return rollup.filter("idx_windows is not null").groupBy("sensor_id", "hour").agg(mean.alias("avg_idx"))
+
+
+def rollup_congestion_all(rollup: DataFrame) -> DataFrame:
+    """All-history :func:`congestion_avg` by sensor from rollup rows: one row a (day, sensor, hour) instead of all windows."""
+    mean = F.try_divide(F.sum("idx_sum"), F.sum("idx_windows"))
+    return rollup.filter("idx_windows is not null").groupBy("sensor_id").agg(mean.alias("avg_congestion"))

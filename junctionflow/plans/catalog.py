@@ -37,6 +37,7 @@ from ..operators import (
     critical_alerts,
     daily_peak_rows,
     day_rollup,
+    distinct_readings,
     dense_hour_grid,
     dense_peak_hour,
     first_n_alerts,
@@ -54,6 +55,7 @@ from ..operators import (
     retain,
     rollup_alerts,
     rollup_congestion,
+    rollup_congestion_all,
     rollup_hourly,
     sensor_profile_check,
     table_row_counts,
@@ -64,8 +66,10 @@ from ..session import scratch_path
 from ..sources import events as ev
 from ..sources.parse import parse
 from ..streaming.pipeline import await_all, speed_layer_frames, start_tables
-from ..sources.tables import read_range, read_table, table_path
-from ..streaming.sinks import read_sink, read_state, start, state_writer, table_writer
+from ..sources.footers import newest_days, stored_row_counts, top_days
+from ..sources.tables import partition_days, read_days, read_range, read_table, table_path
+from ..streaming.progress import ProgressTable, query_totals, read_progress
+from ..streaming.sinks import delta_writer, read_deltas, read_sink, start, table_writer
 from .corrections import correct_windows
 from .nightly import nightly_frames
 from .report import deployment_report_lines, hourly_csv_rows
@@ -495,7 +499,7 @@ def q_alert_tally_stream(spark, sf_dir):
     readings = ev.readings(ev.stream_events(spark, sf_dir))
     q = start(
         sensor_tally(readings),
-        state_writer(f"{base}/tally", ["sensor_id"]),
+        delta_writer(f"{base}/tally", ["sensor_id"]),
         name="alert_tally_" + base.rsplit("/", 1)[-1],
         checkpoint=f"{base}/checkpoint",
         available_now=True,
@@ -504,7 +508,7 @@ def q_alert_tally_stream(spark, sf_dir):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
-    return read_state(spark, f"{base}/tally", str(q.id))
+    return read_deltas(spark, f"{base}/tally", str(q.id), ["sensor_id"])
 
 
 def q_raw_stream(spark, sf_dir):
@@ -539,6 +543,65 @@ def q_congestion_corrected(spark, sf_dir):
     return ntz(read_table(spark, "congestion_index", f"{base}/tables").drop("run", "batch_id", "window_date", "created_at"))
 
 
+def q_raw_stream_distinct(spark, sf_dir):
+    """Raw readings of a source that delivers every file twice, each stored once."""
+    base = scratch_path(spark, "raw_stream_distinct")
+    events = ev.load_events(spark, sf_dir)
+    for _ in range(2):
+        events.write.mode("append").parquet(f"{base}/in/events.parquet")
+    raw = raw_events(distinct_readings(ev.readings(ev.stream_events(spark, f"{base}/in"))))
+    await_all(start_tables({"traffic_events": raw}, f"{base}/tables", f"{base}/checkpoints", available_now=True, name_suffix="_" + base.rsplit("/", 1)[-1]))
+    return ntz(read_table(spark, "traffic_events", f"{base}/tables").drop("run", "batch_id", "event_date"))
+
+
+def q_batch_counts_stream(spark, sf_dir):
+    """Rows and late rows of a stream of several micro-batches, from the durable progress table."""
+    base, events = _shuffled_stream(spark, sf_dir, "batch_counts_stream")
+    listener = ProgressTable(spark, f"{base}/progress", every=3)
+    spark.streams.addListener(listener)
+    try:
+        await_all(start_tables({"traffic_events": raw_events(ev.readings(events))}, f"{base}/tables", f"{base}/checkpoints", available_now=True, name_suffix="_" + base.rsplit("/", 1)[-1]))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(listener)
+    totals = query_totals(read_progress(spark, f"{base}/progress"))
+    return totals.select(F.regexp_replace("query", "_[0-9a-f]+$", "").alias("tbl"), F.col("rows").alias("row_count"), "late_rows")
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, tables: tuple[str, ...]) -> str:
+    """A scratch folder with these tables, stored as the streams store them."""
+    base, t = scratch_path(spark, name), EventTables(spark, sf_dir)
+    for table in tables:
+        table_writer(table_path(base, table), table)(getattr(t, table), 0)
+    return base
+
+
+def q_stored_row_counts(spark, sf_dir):
+    """Row counts of the stored tables from their file footers."""
+    names = ("traffic_events", "critical_traffic", "congestion_index")
+    return stored_row_counts(spark, _stored(spark, sf_dir, "stored_row_counts", names), names)
+
+
+def q_latest_alerts_stored(spark, sf_dir):
+    """The newest alerts from only the newest date folders that hold enough of them."""
+    base = _stored(spark, sf_dir, "latest_alerts_stored", ("critical_traffic",))
+    days = newest_days(spark, base, "critical_traffic", partition_days(spark, table_path(base, "critical_traffic"), "alert_date"), 5)
+    alerts = read_days(spark, "critical_traffic", base, days)
+    return ntz(latest_alerts(alerts, n=5))
+
+
+def q_top_congestion_windows_stored(spark, sf_dir):
+    """The worst windows from only the date folders whose maxima can reach them."""
+    base = _stored(spark, sf_dir, "top_congestion_windows_stored", ("congestion_index",))
+    return ntz(top_congestion_windows(top_days(spark, base, "congestion_index", "congestion_idx", 4), n=4))
+
+
+def q_congestion_avg_all_rollup(spark, sf_dir):
+    """The all-history mean index from the rollup's sums, without reading a window."""
+    means = rollup_congestion_all(_rollup(spark, sf_dir))
+    return means.select("sensor_id", r6("avg_congestion").alias("avg_congestion"))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -204,6 +204,8 @@ FROM events ORDER BY event_id LIMIT 5"""
     q["critical_alerts"] = with_(b) + "SELECT * FROM alerts"
     q["congestion_windows"] = with_(b) + "SELECT * FROM windows"
     q["congestion_corrected"] = q["congestion_windows"]
+    q["raw_stream_distinct"] = with_(b) + "SELECT DISTINCT * FROM traffic"
+    q["batch_counts_stream"] = "SELECT 'traffic_events' AS tbl, COUNT(*) AS row_count, CAST(0 AS BIGINT) AS late_rows FROM events"
 
     q["hourly_traffic_24h"] = with_(b, hourly_cte("h", AS_OF)) + f"""
 SELECT sensor_id, hour, total_vehicles, {rnd('avg_speed', 6)} AS avg_speed, reading_count FROM h"""
@@ -354,4 +356,11 @@ SELECT sensor_id, event_timestamp, vehicle_count, avg_speed, alert_rank FROM (
     q["congestion_stream"] = with_(b) + """
 SELECT * FROM windows
 WHERE window_end <= (SELECT MAX(event_time) FROM readings) - INTERVAL 10 MINUTE"""
+    for stored, plain in (
+        ("stored_row_counts", "table_row_counts"),
+        ("latest_alerts_stored", "latest_alerts"),
+        ("top_congestion_windows_stored", "top_congestion_windows"),
+        ("congestion_avg_all_rollup", "congestion_avg_all"),
+    ):
+        q[stored] = q[plain]
     return q

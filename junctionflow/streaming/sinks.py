@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -159,6 +160,70 @@ def read_state(spark: SparkSession, path: str, run: str) -> DataFrame:
     return spark.read.parquet(f"{root}/version={state_versions(spark, root)[-1]}")
 
 
+#: Deltas of a keyed state that are folded into one when there are more.
+FOLD_AFTER = 16
+
+
+def delta_writer(path: str, keys: list[str], fold_after: int = FOLD_AFTER) -> BatchFn:
+    """A ``foreachBatch`` function that keeps the newest row of each key of an update-mode stream as deltas.
+
+    A batch writes only the keys it changed, as ``run=R/delta=A-B`` (batches A to
+    B; A = B at first), so its bytes follow the changed keys and not the state.
+    After ``fold_after`` deltas the finished ones before this batch are folded
+    into one. A reader (:func:`read_deltas`) takes, of deltas that overlap, the
+    widest, so it sees each batch once whether or not the folded ones are gone
+    yet. A replayed batch replaces its own delta.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        root = f"{path}/run={run_key(spark)}"
+        df.write.mode("overwrite").parquet(f"{root}/delta={batch_id}-{batch_id}")
+        spans = _delta_spans(spark, root)
+        if len([s for s in spans if s[1] < batch_id]) >= fold_after:
+            _fold_deltas(spark, root, keys, df, [s for s in spans if s[1] < batch_id])
+
+    return write
+
+
+def _delta_spans(spark: SparkSession, root: str, covered: bool = False) -> list[tuple[int, int]]:
+    """Finished deltas (first, last batch) in order: those that no other holds, or those that another does (``covered``)."""
+    fs, p = file_system(spark, root)
+    if not fs.exists(p):
+        return []
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    names = [st.getPath() for st in fs.listStatus(p) if st.isDirectory() and st.getPath().getName().startswith("delta=")]
+    spans = sorted(tuple(map(int, n.getName()[6:].split("-"))) for n in names if fs.exists(path(n, "_SUCCESS")))
+    held = {s for s in spans if any(o != s and o[0] <= s[0] and s[1] <= o[1] for o in spans)}
+    return sorted(held) if covered else [s for s in spans if s not in held]
+
+
+def _newest(spark: SparkSession, root: str, keys: list[str], schema, spans: list[tuple[int, int]]) -> DataFrame:
+    """The newest row of each key over some deltas, which hold a key once each."""
+    parts = [spark.read.schema(schema).parquet(f"{root}/delta={a}-{b}").withColumn("__last", F.lit(b)) for a, b in spans]
+    whole = reduce(DataFrame.unionByName, parts)
+    rest = [c for c in whole.columns if c not in keys and c != "__last"]
+    newest = whole.groupBy(*keys).agg(F.max_by(F.struct(*rest), "__last").alias("__row"))
+    return newest.select(*keys, "__row.*").select(*[c for c in whole.columns if c != "__last"])
+
+
+def _fold_deltas(spark: SparkSession, root: str, keys: list[str], like: DataFrame, spans: list[tuple[int, int]]) -> None:
+    folded = f"{root}/delta={spans[0][0]}-{spans[-1][1]}"
+    _newest(spark, root, keys, like.schema, spans).write.mode("overwrite").parquet(folded)
+    for a, b in _delta_spans(spark, root, covered=True):
+        fs, p = file_system(spark, f"{root}/delta={a}-{b}")
+        fs.delete(p, True)
+
+
+def read_deltas(spark: SparkSession, path: str, run: str, keys: list[str]) -> DataFrame:
+    """The state that a :func:`delta_writer` keeps for one streaming query: each key's newest row."""
+    root = f"{path}/run={run}"
+    spans = _delta_spans(spark, root)
+    if not spans:
+        raise FileNotFoundError(f"no state in {root}")
+    return _newest(spark, root, keys, spark.read.parquet(f"{root}/delta={spans[0][0]}-{spans[0][1]}").schema, spans)
+
+
 def fan_out_writer(outputs: Mapping[str, tuple[Callable[[DataFrame], DataFrame], BatchFn]]) -> BatchFn:
     """One ``foreachBatch`` function that fills several tables from one micro-batch.
 
