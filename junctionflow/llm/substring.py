@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from ._bytes import MULT, PIECE, U64, column_bytes, doc_groups, mix, prefix_hash, range_hash
 from ._deepshallow import common_prefix, deep_shallow_order
 from ._sketch import broadcast, count_levels, using
-from ._store import written
+from ._store import Scratch, written
 
 LENGTH, SEED = 100, 32
 #: Slots of the sketch, as a power of 2.
@@ -306,8 +306,13 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, **params) -> DataFra
     Removes each byte covered by a string of ``length`` bytes that also starts
     earlier: in a document with a smaller id, or earlier in the same document.
     """
-    # Dealt by document right after the joins, so that a hot segment's join partition can be split.
-    spans = repeated_spans(docs, length, **params).repartition("doc_id")
+    # Written, so that segments and their bytes can go before the texts are shuffled; dealt by document
+    # only afterwards, so that a hot segment's join partition can be split.
+    with Scratch() as made:
+        found = repeated_spans(docs, length, **params)
+    found = written(found, "spans")
+    made.release(docs.sparkSession)
+    spans = found.repartition("doc_id")
     lists = spans.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("lo", "hi", "off", "g")).alias("cuts"))
     rows = packed_texts(docs).join(lists, F.col("doc_id") == F.col("id"), "left").select("doc_id", "body", "cuts")
     schema = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
