@@ -65,11 +65,13 @@ from ..operators import (
 from ..session import scratch_path
 from ..sources import events as ev
 from ..sources.parse import parse
+from ..streaming.first_alerts import first_alerts_stream, rocksdb_state
 from ..streaming.pipeline import await_all, speed_layer_frames, start_tables
 from ..sources.footers import newest_days, stored_row_counts, top_days
 from ..sources.tables import partition_days, read_days, read_range, read_table, table_path
 from ..streaming.progress import ProgressTable, query_totals, read_progress
 from ..streaming.sinks import delta_writer, read_deltas, read_sink, start, table_writer
+from .colocated import colocated_decision, store_hours
 from .corrections import correct_windows
 from .nightly import nightly_frames
 from .report import deployment_report_lines, hourly_csv_rows
@@ -92,6 +94,8 @@ PROFILE = [
 ]
 # Alerts per sensor in the report of first alerts.
 FIRST_ALERTS = 5
+# How far behind the newest alert the stream of first alerts waits for late ones.
+FIRST_ALERTS_DELAY = "4 days"
 # Thresholds that no junction reaches: a night without any deployment.
 QUIET_RULE = params.PoliceRule(index_gt=1e12, alerts_ge=10**12, speed_lt=-1.0)
 # A partial earlier run saved tonight's rows of sensors peaking before noon.
@@ -596,6 +600,33 @@ def q_top_congestion_windows_stored(spark, sf_dir):
     return ntz(top_congestion_windows(top_days(spark, base, "congestion_index", "congestion_idx", 4), n=4))
 
 
+def q_police_decision_colocated(spark, sf_dir):
+    """The decision from hourly sums bucketed by sensor: no exchange below or between its joins."""
+    base, t = scratch_path(spark, "police_decision_colocated"), EventTables(spark, sf_dir)
+    prefix = "hours_" + base.rsplit("/", 1)[-1]
+    store_hours(spark, {n: getattr(t, n) for n in ("traffic_events", "critical_traffic", "congestion_index")}, prefix, base, buckets=8)
+    return _decision_out(colocated_decision(spark, prefix, AS_OF))
+
+
+def q_first_n_alerts_stream(spark, sf_dir):
+    """Each sensor's first alerts from a stream in three batches, in which a tenth of the readings comes three days late."""
+    base = scratch_path(spark, "first_n_alerts_stream")
+    sent = F.col("ts") + F.when(F.col("event_id") % 10 == 0, F.expr("INTERVAL 3 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    rows = ev.load_events(spark, sf_dir).withColumn("sent", F.unix_timestamp(sent.cast("timestamp")))
+    cuts = [None, *rows.approxQuantile("sent", [1 / 3, 2 / 3], 0.01), None]
+    for lo, hi in zip(cuts[:-1], cuts[1:]):  # one after the other: a file source takes the older files first
+        part = rows if lo is None else rows.filter(F.col("sent") > lo)
+        part = part if hi is None else part.filter(F.col("sent") <= hi)
+        part.drop("sent").coalesce(1).write.mode("append").parquet(f"{base}/in/events.parquet")
+    readings = ev.readings(ev.stream_events(spark, f"{base}/in", max_files_per_trigger=1))
+    first = first_alerts_stream(critical_alerts(readings, at=F.col("event_time")), FIRST_ALERTS, FIRST_ALERTS_DELAY)
+    name = "first_alerts_" + base.rsplit("/", 1)[-1]
+    with rocksdb_state(spark):
+        q = start(first, table_writer(f"{base}/first_alerts", "first_alerts"), name, f"{base}/checkpoint", available_now=True)
+        await_all({"first_alerts": q})
+    return ntz(read_sink(spark, f"{base}/first_alerts").drop("run", "batch_id"))
+
+
 def q_congestion_avg_all_rollup(spark, sf_dir):
     """The all-history mean index from the rollup's sums, without reading a window."""
     means = rollup_congestion_all(_rollup(spark, sf_dir))

@@ -347,6 +347,10 @@ SELECT sensor_id, event_timestamp, vehicle_count, avg_speed, alert_rank FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY sensor_id ORDER BY event_timestamp, vehicle_count, avg_speed) AS INTEGER) AS alert_rank
   FROM alerts) WHERE alert_rank <= {C.FIRST_ALERTS}"""
 
+    # A rank is known once the watermark has passed the alert.
+    q["first_n_alerts_stream"] = f"""{q["first_n_alerts"]}
+AND event_timestamp <= (SELECT MAX(event_timestamp) FROM alerts) - INTERVAL {C.FIRST_ALERTS_DELAY.upper()}"""
+
     # Streams: raw and alerts keep every row; windows are emitted once the
     # watermark (max event time - 10 min) has passed their end.
     q["hourly_all_time_rollup"] = q["hourly_all_time"]
@@ -361,6 +365,7 @@ WHERE window_end <= (SELECT MAX(event_time) FROM readings) - INTERVAL 10 MINUTE"
         ("latest_alerts_stored", "latest_alerts"),
         ("top_congestion_windows_stored", "top_congestion_windows"),
         ("congestion_avg_all_rollup", "congestion_avg_all"),
+        ("police_decision_colocated", "police_decision"),
     ):
         q[stored] = q[plain]
     return q
