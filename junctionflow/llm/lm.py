@@ -24,7 +24,8 @@ meets its count and likelihood in a join, so the vocabulary may be of any size.
 Cases: null and empty texts have one token, the end; rows without an id are
 training rows (their checksum is null) and are scored; repeated rows are counted
 and scored each; an empty corpus has no words and an empty result; other columns
-are ignored. A word too long for one lattice sweep is scored as any other word.
+are ignored. Very long texts are scored whole, and so is a word of many megabytes:
+its cost is in proportion to its bytes, and the arcs of one section are held at a time.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ from ._store import written
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Most frequent words whose scores are broadcast.
 HEAD = 1 << 17
+#: Bytes of a word from which on it is swept alone, and bytes of such a word whose arcs are held at a time.
+LONG, SECTION = 65, 1 << 16
 LOG10 = math.log(10)
 
 
@@ -65,13 +68,16 @@ class Lattice:
     """Arc log probabilities and the recursions over words, many words of one length at a time.
 
     Arcs are the 256 bytes and the vocabulary's pieces, found by hash in a table
-    of two probes; a word ends with an end arc.
+    of two probes; a word ends with an end arc. Long words, of which few share a
+    length, are swept one by one: their arcs are found for all places of a section
+    at once, and the forward values are carried from section to section.
     """
 
     def __init__(self, pieces: list[bytes], weights: np.ndarray, end: float):
         self.pieces, self.log_end = pieces, math.log(end)
         self.logs = np.log(weights / weights.sum() * (1 - end))
         self.longest = max(map(len, pieces), default=1)
+        self.sizes = sorted({len(p) for p in pieces})
         self._place(self._hash(pieces).tolist())
 
     def _place(self, hashes: list[int]) -> None:
@@ -102,6 +108,12 @@ class Lattice:
         ends = np.cumsum([len(w) for w in words]).astype(np.int64)
         return range_hash(prefix_hash(buf), np.r_[0, ends[:-1]].astype(np.int64), ends) if words else np.empty(0, U64)
 
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """The arc of each hash, -1 where there is none."""
+        size = U64(len(self.keys) - 1)
+        one, two = (h & size).astype(np.int64), ((h >> U64(32)) & size).astype(np.int64)
+        return np.where(self.keys[one] == h, self.ids[one], np.where(self.keys[two] == h, self.ids[two], -1))
+
     def _arcs(self, text: np.ndarray) -> list[list[tuple[int, np.ndarray, np.ndarray]]]:
         """By end position: (start, which words, arc) of all arcs, the byte arc first."""
         m, n = text.shape
@@ -109,14 +121,12 @@ class Lattice:
         prefix = np.zeros((n + 1, m), U64)
         np.cumsum(BYTE_VALUE[text.T] * power[:n, None], axis=0, out=prefix[1:])
         everyone = np.arange(m)
-        size = U64(len(self.keys) - 1)
         out = []
         for j in range(1, n + 1):
             arcs = [(j - 1, everyone, text[:, j - 1].astype(np.int64))]
             for i in range(max(0, j - self.longest), j):
                 h = mix((prefix[j] - prefix[i]) * inv[i] + U64((j - i) * int(MULT[63]) % (1 << 64)))
-                one, two = (h & size).astype(np.int64), ((h >> U64(32)) & size).astype(np.int64)
-                found = np.where(self.keys[one] == h, self.ids[one], np.where(self.keys[two] == h, self.ids[two], -1))
+                found = self._find(h)
                 who = np.flatnonzero(found >= 0)
                 if len(who):
                     arcs.append((i, who, found[who].astype(np.int64)))
@@ -143,11 +153,70 @@ class Lattice:
                 who = order[k : min(hi, k + step)]
                 yield who, np.frombuffer(b"".join(words[w] for w in who), np.uint8).reshape(len(who), n)
 
+    def _section(self, word: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, arcs, first arc by end) of all arcs of one word that end in lo + 1 .. hi, by their end."""
+        base = max(0, lo + 1 - self.longest)
+        prefix = prefix_hash(word[base:hi])
+        start, end, arc = [np.arange(lo, hi)], [np.arange(lo + 1, hi + 1)], [word[lo:hi].astype(np.int64)]
+        for size in self.sizes:
+            at = np.arange(max(0, lo + 1 - size), hi - size + 1)
+            if len(at):
+                found = self._find(range_hash(prefix, at - base, at - base + size))
+                k = np.flatnonzero(found >= 0)
+                start.append(at[k])
+                end.append(at[k] + size)
+                arc.append(found[k].astype(np.int64))
+        ends = np.concatenate(end)
+        order = np.argsort(ends, kind="stable")
+        first = np.searchsorted(ends[order], np.arange(lo + 1, hi + 2))
+        return np.concatenate(start)[order], np.concatenate(arc)[order], first
+
+    def _forward_long(self, word: np.ndarray) -> list[float]:
+        """:meth:`_forward` of one word."""
+        exp, log = math.exp, math.log
+        a = [0.0] * (len(word) + 1)
+        for lo in range(0, len(word), SECTION):
+            start, arc, first = self._section(word, lo, min(len(word), lo + SECTION))
+            i, w, first = start.tolist(), self.logs[arc].tolist(), first.tolist()
+            for j, (k, m) in enumerate(zip(first, first[1:]), lo + 1):
+                if m == k + 1:
+                    a[j] = a[i[k]] + w[k]
+                else:
+                    into = [a[x] + y for x, y in zip(i[k:m], w[k:m])]
+                    top = max(into)
+                    a[j] = top + log(sum([exp(t - top) for t in into]))
+        return a
+
+    def _expected_long(self, word: np.ndarray) -> np.ndarray:
+        """:meth:`expected` of one word: the sections again, from the last to the first."""
+        exp, log1p = math.exp, math.log1p
+        n = len(word)
+        a, b = np.array(self._forward_long(word)), [-math.inf] * n + [0.0]
+        total = np.zeros(len(self.logs))
+        for lo in reversed(range(0, n, SECTION)):
+            hi = min(n, lo + SECTION)
+            start, arc, first = self._section(word, lo, hi)
+            i, w, at = start.tolist(), self.logs[arc].tolist(), first.tolist()
+            for j in range(hi, lo, -1):
+                bj = b[j]
+                for k in range(at[j - lo - 1], at[j - lo]):
+                    x, y = b[i[k]], w[k] + bj
+                    if x < y:
+                        x, y = y, x
+                    b[i[k]] = x + log1p(exp(y - x))
+            ends = np.repeat(np.arange(lo + 1, hi + 1), np.diff(first))
+            share = a[start] + self.logs[arc] + np.array(b[lo + 1 : hi + 1])[ends - lo - 1] - a[n]
+            total += np.bincount(arc, np.exp(share), len(total))
+        return total
+
     def likelihoods(self, words: list[bytes]) -> np.ndarray:
         """Natural log of the marginal probability of each word."""
         out = np.empty(len(words))
         for who, text in self._by_length(words):
-            out[who] = self._forward(self._arcs(text), len(who))[-1] + self.log_end
+            if text.shape[1] >= LONG:
+                out[who] = [self._forward_long(word)[-1] + self.log_end for word in text]
+            else:
+                out[who] = self._forward(self._arcs(text), len(who))[-1] + self.log_end
         return out
 
     def expected(self, words: list[bytes]) -> np.ndarray:
@@ -155,6 +224,9 @@ class Lattice:
         total = np.zeros(len(self.logs))
         for _, text in self._by_length(words):
             m, n = text.shape
+            if n >= LONG:
+                total += sum(map(self._expected_long, text))
+                continue
             arcs = self._arcs(text)
             a = self._forward(arcs, m)
             b = np.full((n + 1, m), -np.inf)
@@ -240,8 +312,8 @@ def word_counts(docs: DataFrame, held: int = 400_000) -> DataFrame:
 class Scores:
     """log10 probabilities of a token under the add-one unigram and under the lattice model."""
 
-    def __init__(self, lattice: Lattice, tokens: int, distinct: int, ends: int):
-        self.lattice, self.n, self.v, self.ends = lattice, tokens, distinct, ends
+    def __init__(self, lattice: Lattice, tokens: int, distinct: int, ends: int, word_arcs: bool = True):
+        self.lattice, self.n, self.v, self.ends, self.word_arcs = lattice, tokens, distinct, ends, word_arcs
         self.d = tokens + distinct + 2.0
 
     def base(self, c):
@@ -251,17 +323,24 @@ class Scores:
         return math.log10((self.ends + 1) / self.d)
 
     def words(self, words: list[bytes], c: np.ndarray) -> np.ndarray:
-        sub = math.log((self.v + 1) / self.d) + self.lattice.likelihoods(words)
+        marginal = self.lattice.likelihoods(words)
+        if not self.word_arcs:
+            return (math.log1p(-(self.ends + 1) / self.d) + marginal) / LOG10
+        sub = math.log((self.v + 1) / self.d) + marginal
         with np.errstate(divide="ignore"):
             return np.logaddexp(np.log(c / self.d), sub) / LOG10
 
 
-def score_documents(docs: DataFrame, path: str = VOCABULARY, modulus: int = 7, remainder: int = 2, head: int = HEAD, rounds: int = 2) -> DataFrame:
+def score_documents(
+    docs: DataFrame, path: str = VOCABULARY, modulus: int = 7, remainder: int = 2, head: int = HEAD, rounds: int = 2, word_arcs: bool = True
+) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of docs.
 
     Training rows are those whose crc32(doc_id as text) mod ``modulus`` is not
     ``remainder``. ``base_score`` is the add-one unigram over the words and one end,
-    ``score`` the lattice model's log10 probability of the same tokens.
+    ``score`` the lattice model's log10 probability of the same tokens. Without
+    ``word_arcs`` whole training words are no arcs, and with 0 ``rounds`` the
+    vocabulary's scores weigh the segmentations as they are.
     """
     sc = docs.sparkSession.sparkContext
     slim = docs.select("doc_id", "text", held_out(modulus, remainder).alias("held_out"))
@@ -270,7 +349,7 @@ def score_documents(docs: DataFrame, path: str = VOCABULARY, modulus: int = 7, r
     known, tokens = counts.filter("c > 0").agg(F.count("*"), F.sum("c")).first()
     n = int(tokens or 0) + ends
     lattice = adapted(counts, first_lattice(path), rounds)
-    scores = sc.broadcast(Scores(lattice, n, int(known) + (ends > 0), ends))
+    scores = sc.broadcast(Scores(lattice, n, int(known) + (ends > 0), ends, word_arcs))
 
     def likelihoods(batches):
         m = scores.value
