@@ -5,8 +5,9 @@
    many lexicons; each lexicon votes when a document holds one of its terms.
    Surface patterns (capitals, exclamation marks, ...) vote as well.
 2. Label model. Each voter is a noisy channel of the unknown label: class prior and
-   vote probabilities are estimated by expectation maximisation over the sample's
-   votes, started from the labelled rates. Correlations between voters that remain
+   vote probabilities are estimated by expectation maximisation over the votes of
+   the sample and of further rows without a label, started from the labelled rates.
+   The given labels only start it: they are no voter. Correlations between voters that remain
    when the label is known are estimated from the residuals; a voter's evidence
    is divided by how much of it other voters repeat.
 3. Classifier. A logistic regression on term presence learns the label model's
@@ -34,13 +35,13 @@ from ._bytes import LOWER_BYTES
 from ._labels import checksum_is, labelled_sample
 from ._store import sent
 
-#: Labelled rows that the model is fitted on, at most.
-SAMPLE = 12_000
+#: Labelled rows, and rows without a label, that the model is fitted on, at most.
+SAMPLE, UNLABELLED = 12_000, 6_000
 #: Terms that are kept, and lexicons that each side's terms are dealt into.
 TERMS, LEXICONS = 512, 24
 #: Documents of the sample that a term must occur in, and the standard errors that its rates must differ by.
 LEAST_DOCS, LEAST_Z = 4, 4.0
-#: How often the labels of the sample, a voter like the others, are taken to be wrong.
+#: How often given labels are taken to be wrong: where the estimates start, and their noise where they are to vote.
 LABEL_NOISE = 0.02
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 EDGES = b".,;:!?\"'()[]{}<>|*#$%&-_"
@@ -159,27 +160,34 @@ def votes_of(x: np.ndarray, terms: list[tuple[str, int, int]], pos: int, neg: in
     return np.array(votes).T.astype(float)
 
 
-def label_model(votes: np.ndarray, y: np.ndarray, rounds: int = 20) -> np.ndarray:
+def label_model(
+    votes: np.ndarray, y: np.ndarray, rounds: int = 20, noise: float | None = LABEL_NOISE, known: np.ndarray | None = None
+) -> np.ndarray:
     """Posterior probability of label 1 for each row of votes (rows x voters, 0 or 1).
 
-    y, the given labels, starts the estimates and stays one voter of known noise;
-    all other rates are estimated. Evidence of a voter is divided by 1 + the sum
-    of its absolute correlations, given the label, with the other voters.
+    y, the given labels of the ``known`` rows (default: all), starts the estimates;
+    with a ``noise`` it stays one voter that is wrong that often, with None it has
+    no say after the start. All other rates are estimated on all rows. Evidence of
+    a voter is divided by 1 + the sum of its absolute correlations, given the
+    label, with the other voters.
     """
+    known = np.ones(len(y), bool) if known is None else known
     post = np.clip(y.astype(float), LABEL_NOISE, 1 - LABEL_NOISE)
-    given = np.where(y, 1, -1) * np.log((1 - LABEL_NOISE) / LABEL_NOISE)
+    given = np.where(y, 1, -1) * known * (np.log((1 - noise) / noise) if noise else 0.0)
+    counted = known.astype(float)  # rows without a label count from the second round on
     for _ in range(rounds):
-        weight = post.sum() + 1, (1 - post).sum() + 1
+        ones, zeros = post * counted, (1 - post) * counted
+        weight = ones.sum() + 1, zeros.sum() + 1
         prior = weight[0] / sum(weight)
-        on = [(votes * q[:, None]).sum(0) for q in (post, 1 - post)]
-        p1, p0 = (on[0] + 0.1) / (weight[0] + 0.2), (on[1] + 0.1) / (weight[1] + 0.2)
-        residual = votes - (post[:, None] * p1 + (1 - post)[:, None] * p0)
-        spread = np.sqrt((residual**2).mean(0)) + 1e-9
-        rho = np.abs((residual / spread).T @ (residual / spread)) / len(votes)
+        p1, p0 = ((q @ votes + 0.1) / (w + 0.2) for q, w in zip((ones, zeros), weight))
+        residual = (votes - (post[:, None] * p1 + (1 - post)[:, None] * p0)) * counted[:, None]
+        spread = np.sqrt((residual**2).sum(0) / counted.sum()) + 1e-9
+        rho = np.abs((residual / spread).T @ (residual / spread)) / counted.sum()
         shared = 1 + np.where(rho > 0.1, rho, 0).sum(0) - np.minimum(1, np.diag(rho))
         evidence = votes * np.log(p1 / p0) + (1 - votes) * np.log((1 - p1) / (1 - p0))
         z = np.log(prior / (1 - prior)) + given + (evidence / shared).sum(1)
         post = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        counted = np.ones(len(y))
     return post
 
 
@@ -187,11 +195,12 @@ def logistic(x: np.ndarray, target: np.ndarray, rounds: int = 300, ridge: float
     """Weights and bias of a logistic regression on soft targets (Nesterov's gradient steps, classes weighed evenly)."""
     w = np.zeros(x.shape[1] + 1)
     look, step = w.copy(), 0.0
-    x1 = np.hstack([x, np.ones((len(x), 1))]).astype(np.float32)
+    x1 = np.ones((len(x), x.shape[1] + 1), np.float32)
+    x1[:, :-1] = x
     share = np.clip(target.mean(), 0.01, 0.99)
     each = (np.where(target > 0.5, 0.5 / share, 0.5 / (1 - share)) / len(x)).astype(np.float32)
-    rate = 4.0 / max(1.0, float((each[:, None] * x1**2).sum(0).max() * 4))
-    rate = min(rate, 4.0 / max(1e-9, float((each * (x1**2).sum(1)).sum())))
+    rate = 4.0 / max(1.0, float(np.einsum("i,ij,ij->j", each, x1, x1).max() * 4))
+    rate = min(rate, 4.0 / max(1e-9, float(each @ np.einsum("ij,ij->i", x1, x1))))
     for t in range(rounds):
         z = 1 / (1 + np.exp(-np.clip(x1 @ look.astype(np.float32), -30, 30)))
         grad = x1.T @ ((z - target) * each) + ridge * np.r_[look[:-1], 0.0]
@@ -201,34 +210,51 @@ def logistic(x: np.ndarray, target: np.ndarray, rounds: int = 300, ridge: float
     return w[:-1], float(w[-1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0, sample: int = SAMPLE, terms: int = TERMS) -> Model:
-    """The classifier, learned from labelled rows whose checksum mod ``modulus`` is not ``remainder``."""
-    rows = labelled_sample(docs, labels, "toxic", modulus, remainder, sample)
-    best = mined_terms(rows, terms)
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    modulus: int = 5,
+    remainder: int = 0,
+    sample: int = SAMPLE,
+    terms: int = TERMS,
+    unlabelled: int = UNLABELLED,
+    label_noise: float | None = None,
+) -> Model:
+    """The classifier, learned from rows whose checksum mod ``modulus`` is not ``remainder``.
+
+    With a ``label_noise`` the given labels also vote (see :func:`label_model`).
+    """
+    rows = labelled_sample(docs, labels, "toxic", modulus, remainder, sample, unlabelled)
+    best = mined_terms(rows.filter("y is not null"), terms)
     probe = sent(rows.sparkSession, Model({t: i for i, (t, _, _) in enumerate(best)}))
     k = len(best)
 
     def features(batches):
         try:
             for batch in batches:
-                ids = [probe.value.ids(t) + [k + int(j) for j in np.flatnonzero(patterns_of(t))] for t in batch.column(0)]
-                yield pa.record_batch([pa.array(ids, pa.list_(pa.int32())), batch.column(1)], names=["ids", "y"])
+                out = []
+                for t in batch.column(0):
+                    bits = np.zeros(k + len(PATTERNS), bool)
+                    bits[probe.value.ids(t)] = True
+                    bits[k:] = patterns_of(t)
+                    out.append(np.packbits(bits).tobytes())
+                yield pa.record_batch([pa.array(out, pa.binary()), batch.column(1)], names=["bits", "y"])
         finally:
             probe.value.free()
 
-    got = rows.mapInArrow(features, "ids array<int>, y int").collect()  # at most sample rows of at most k + len(PATTERNS) ids
-    if not got:
+    # At most sample + unlabelled rows of k + len(PATTERNS) bits; the order of rows does not show in the weights.
+    got = sorted((-1 if r.y is None else int(r.y > 0), bytes(r.bits)) for r in rows.mapInArrow(features, "bits binary, y int").collect())
+    y, known = np.array([g[0] > 0 for g in got], bool), np.array([g[0] >= 0 for g in got], bool)
+    if not known.any():
         return Model()
-    got = sorted(got, key=lambda r: (r.y, r.ids))  # the order of rows does not show in the weights
-    x = np.zeros((len(got), k + len(PATTERNS)), bool)
-    for i, r in enumerate(got):
-        x[i, r.ids] = True
-    y = np.array([r.y > 0 for r in got])
+    width = k + len(PATTERNS)
+    x = np.unpackbits(np.frombuffer(b"".join(g[1] for g in got), np.uint8).reshape(len(got), -1), axis=1)[:, :width].astype(bool)
     del got
-    if y.all() or not y.any():
-        return Model(bias=4.0 if y.all() else -4.0, weights=np.zeros(k + len(PATTERNS)), term_ids=probe.value.term_ids)
-    votes = votes_of(x, best, int(y.sum()), int((~y).sum()))
-    weights, bias = logistic(x.astype(np.float32), label_model(votes, y))
+    pos, neg = int(y.sum()), int((known & ~y).sum())
+    if not pos or not neg:
+        return Model(bias=4.0 if pos else -4.0, weights=np.zeros(width), term_ids=probe.value.term_ids)
+    posterior = label_model(votes_of(x, best, pos, neg), y, noise=label_noise, known=known)
+    weights, bias = logistic(x, posterior)
     return Model(probe.value.term_ids, weights, bias)
 
 

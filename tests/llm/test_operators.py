@@ -6,6 +6,7 @@ import itertools
 import math
 import pickle
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -153,6 +154,31 @@ def test_label_model_trusts_agreement():
     assert np.mean((post > 0.5) == y) >= 0.985
 
 
+def test_given_labels_only_start_the_label_model():
+    """Labels turned over on a tenth of the rows: without a say of their own, the posterior follows the voters."""
+    rng = np.random.default_rng(2)
+    y = rng.random(3000) < 0.3
+    votes = np.array([np.where(rng.random(3000) < acc, y, ~y) for acc in (0.93, 0.9, 0.9, 0.88, 0.9, 0.6)]).T.astype(float)
+    wrong = np.where(rng.random(3000) < 0.1, ~y, y)
+    post = toxicity.label_model(votes, wrong, noise=None)
+    assert np.mean((post > 0.5) == y) >= 0.97 and np.mean((post > 0.5) != wrong) >= 0.08
+    known = np.arange(3000) < 400  # the rest has no label
+    some = toxicity.label_model(votes, wrong & known, noise=None, known=known)
+    assert np.mean((some > 0.5) == y) >= 0.97
+
+
+def test_rows_without_a_label_are_sampled_too(spark):
+    rows = [(k, f"text {k}", "s") for k in range(40)] + [(7, "a 7", "s"), (None, "x", "s")]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(10)] + [(10, None)], "doc_id long, toxic int")
+    got = labelled_sample(frame(spark, rows), labels, "toxic", 1, 1, 100, unlabelled=100)
+    assert sorted(((r.text, r.y) for r in got.collect()), key=repr) == sorted(
+        [("a 7" if k == 7 else f"text {k}", k % 2 if k < 10 else None) for k in range(40)], key=repr
+    )
+    few = labelled_sample(frame(spark, rows), labels, "toxic", 1, 1, 3, unlabelled=5).collect()
+    assert len(few) == 8 and sum(r.y is None for r in few) == 5
+    assert labelled_sample(frame(spark, rows), labels.limit(0), "toxic", 1, 1, 3, unlabelled=5).count() == 5
+
+
 # 4. line dedup
 
 
@@ -217,6 +243,63 @@ def test_lm_matches_brute_force(spark, docs, edges, head, no_docs):
         assert lm.score_documents(no_docs).count() == 0
 
 
+def test_long_words_are_swept_in_sections(monkeypatch):
+    """Words swept alone, in sections shorter than a piece too, have the likelihood and the expected counts of the sweep by length."""
+    rng = random.Random(6)
+    lattice = lm.Lattice([b"a", b"ab", b"b", b"abcabc", b"cab"], np.r_[np.full(256, 0.001), [3.0, 2.0, 1.0, 1.0, 2.0]], 0.2)
+    words = [bytes(rng.choice(b"abcx") for _ in range(n)) for n in (1, 64, 65, 65, 66, 200, 700)]
+    monkeypatch.setattr(lm, "LONG", 10**9)
+    whole, counts = lattice.likelihoods(words), lattice.expected(words)
+    for long, section in ((65, 1 << 16), (1, 1 << 16), (1, 7), (1, 3)):
+        monkeypatch.setattr(lm, "LONG", long)
+        monkeypatch.setattr(lm, "SECTION", section)
+        assert np.allclose(lattice.likelihoods(words), whole, rtol=1e-12) and np.allclose(lattice.expected(words), counts, rtol=1e-9)
+
+
+def test_a_word_of_a_megabyte_takes_seconds(spark):
+    rng = random.Random(7)
+    word = "".join(rng.choice("etaoinshrdluABC0123456789+/") for _ in range(1 << 20))
+    lattice = lm.first_lattice(lm.VOCABULARY)
+    began = time.monotonic()
+    assert lattice.likelihoods([word.lower().encode()])[0] < -1e6
+    assert time.monotonic() - began < 30
+    got = lm.score_documents(frame(spark, [(1, f"some words and {word}", "s"), (9, f"{word} again", "s")]), rounds=1).collect()
+    assert all(r.score < r.base_score < 0 and math.isfinite(r.score) for r in got) and [r.n_tokens for r in got] == [5, 3]
+
+
+@pytest.mark.parametrize("word_arcs", [True, False])
+def test_document_marginal_by_hand(spark, word_arcs):
+    """The score of a document is the sum over all segmentations of its whole text, end included."""
+    rows = [(1, "the cat sat", "s"), (2, "the hat", "s"), (3, "a cathat", "s"), (4, None, "s"), (9, "Cat hats 9", "s"), (9, "the the", "s")]
+    lattice = lm.first_lattice(lm.VOCABULARY)
+    held = {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 7 == 2}
+    split = [(i, (t or "").lower().split()) for i, t, _ in rows]
+    c = Counter(w for i, ws in split if i not in held for w in [*ws, None])
+    n, v = sum(c.values()), len(c)
+    d = n + v + 2
+
+    def lattice_sum(w):  # over all cuts of the word
+        total = 0.0
+        for cuts in itertools.product((0, 1), repeat=len(w) - 1):
+            edges = [0, *(k + 1 for k, x in enumerate(cuts) if x), len(w)]
+            p = math.exp(lattice.log_end)
+            for x in (w[a:b] for a, b in zip(edges, edges[1:])):
+                piece = math.exp(lattice.logs[256 + lattice.pieces.index(x)]) if x in lattice.pieces else 0.0
+                p *= piece + (math.exp(lattice.logs[x[0]]) if len(x) == 1 else 0.0)
+            total += p
+        return total
+
+    def score(ws):
+        out = math.log10((c[None] + 1) / d)
+        for w in ws:
+            p = lattice_sum(w.encode())
+            out += math.log10(c[w] / d + (v + 1) / d * p if word_arcs else (1 - (c[None] + 1) / d) * p)
+        return out
+
+    got = lm.score_documents(frame(spark, rows), rounds=0, head=2, word_arcs=word_arcs).collect()
+    assert np.allclose(sorted(r.score for r in got), sorted(round(score(ws), 6) for _, ws in split), atol=2e-6)
+
+
 # 6. decontamination
 
 ITEMS = [(1, "The quick brown fox jumps over the lazy dog again and again"), (2, "short item"), (10, "Short, ITEM!"), (3, "x1"), (4, None), (5, " ,. "), (None, "a b c")]
