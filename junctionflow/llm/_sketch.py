@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from ._bytes import MULT, U64, mix
-from ._store import sent
+from ._store import give_back, sent
 
 RANGES = 64
 #: Hashes that a map task holds before it sends them on.
@@ -131,6 +131,7 @@ def count_levels(
                     n = 0
         if n:
             yield flush()
+        give_back()
 
     def reap(last: bool):
         def run(batches):
@@ -166,15 +167,19 @@ def count_levels(
 
 
 def using(shared, fn):
-    """The mapInArrow function ``fn(levels, batches)`` with a broadcast sketch, freed when the task ends."""
+    """The mapInArrow function ``fn(levels, batches)`` with a broadcast sketch, freed when the task ends.
+
+    What earlier tasks of the worker have freed goes back before the sketch is unpacked, too.
+    """
 
     def run(batches):
         levels = shared.value
+        give_back()
         try:
             yield from fn(levels, batches)
         finally:
             levels.packed = None
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return run
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from junctionflow.session import scratch_path
@@ -69,11 +70,17 @@ def discard(*tables: DataFrame) -> None:
 
 def _tidy(spark: SparkSession) -> None:
     """Let the driver's cleaner drop the shuffles of frames that nothing refers to (else they stay until memory is short)."""
+    give_back()
+    spark.sparkContext._jvm.System.gc()
+
+
+def give_back() -> None:
+    """Let this process (the driver's Python or a worker) return the memory that it has freed to the system."""
     gc.collect()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only: freed memory goes back to the system
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
     if trim is not None:
         trim(0)
-    spark.sparkContext._jvm.System.gc()
 
 
 def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ._bytes import LOWER_BYTES
 from ._labels import checksum_is, labelled_sample
-from ._store import sent
+from ._store import give_back, sent
 
 #: Labelled rows, and rows without a label, that the model is fitted on, at most.
 SAMPLE, UNLABELLED = 12_000, 6_000
@@ -94,6 +94,7 @@ def mined_terms(sample: DataFrame, terms: int = TERMS) -> list[tuple[str, int, i
                 if len(seen[0]) + len(seen[1]) > HELD:
                     yield flush()
         yield flush()
+        give_back()
 
     total = sample.agg(F.sum("y"), F.count("*")).first()
     pos, neg = int(total[0] or 0), int(total[1]) - int(total[0] or 0)
@@ -131,7 +132,7 @@ class Model:
     def free(self) -> None:
         """Forget the words: a worker that idles after its task holds the terms only."""
         self.memory.clear()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     def score(self, value) -> float:
         if self.bias == -np.inf:
