@@ -57,6 +57,24 @@ class Levels:
             out = lv if out is None else np.minimum(out, lv)
         return out
 
+    def of_many(self, h: np.ndarray) -> np.ndarray:
+        """The same, of many hashes at once: only one part is unpacked at a time, so no task holds the whole sketch."""
+        out, unzip = None, zstandard.ZstdDecompressor()
+        for k in range(self.probes):
+            slot = _slots(h, k, self.log2)
+            part = (slot >> U64(self.log2 - 6)).astype(np.uint8)
+            order = np.argsort(part, kind="stable")
+            at = np.searchsorted(part[order], np.arange(RANGES + 1))
+            lv = np.zeros(len(h), np.uint8)
+            for r, body in self.parts.items():
+                some = order[at[r] : at[r + 1]]
+                if len(some):
+                    packed, own = np.frombuffer(unzip.decompress(body), np.uint8), slot[some]
+                    byte = packed[(own & U64((1 << (self.log2 - 6)) - 1)) >> U64(2)]
+                    lv[some] = (byte >> ((own & U64(3)) << U64(1)).astype(np.uint8)) & np.uint8(3)
+            out = lv if out is None else np.minimum(out, lv)
+        return out
+
 
 def _slots(h: np.ndarray, probe: int, log2: int) -> np.ndarray:
     return (mix(h ^ MULT[32 + probe]) if probe else h) >> U64(64 - log2)

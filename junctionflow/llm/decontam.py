@@ -208,11 +208,8 @@ def gathered(batches, most: int):
         yield some
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """docs with ``__n_words``, ``__n_hit``, ``__items`` (ids, sorted) and ``__hits`` (a byte a word, 1 where hit; null if none is).
-
-    Items of null id mark their words like any other; there is no id to report for them.
-    """
+def _marking(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_words: int = BLOCK_WORDS):
+    """The function on batches of docs that adds the columns of :func:`find_hits`."""
     blocks, table = automata(benchmark, width, block_words)
     # One at a time through the driver, which keeps them in files as the executors do.
     found_models = (table.filter(F.col("block") == k).select("model").first() for k in range(blocks))
@@ -253,8 +250,16 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_w
                     names=names,
                 )
 
+    return rows
+
+
+def find_hits(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
+    """docs with ``__n_words``, ``__n_hit``, ``__items`` (ids, sorted) and ``__hits`` (a byte a word, 1 where hit; null if none is).
+
+    Items of null id mark their words like any other; there is no id to report for them.
+    """
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(rows, f"{kinds}, __n_words long, __n_hit long, __items array<string>, __hits binary")
+    return docs.mapInArrow(_marking(docs, benchmark, **params), f"{kinds}, __n_words long, __n_hit long, __items array<string>, __hits binary")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
@@ -304,4 +309,6 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, max_coverage: float =
             cols[at] = pa.array(texts, pa.string())
             yield pa.record_batch(cols, names=names).filter(pa.array(keep))
 
-    return find_hits(docs, benchmark, **params).drop("__n_words", "__n_hit", "__items").mapInArrow(cut, kinds)
+    mark = _marking(docs, benchmark, **params)
+    # One Python function: a second one in the same task would take a second worker, which stays with the executor.
+    return docs.mapInArrow(lambda batches: cut(mark(batches)), kinds)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._bytes import MULT, NOT_SPACE, U64, combine, mix, word_hashes
+from ._bytes import MULT, NOT_SPACE, U64, column_bytes, combine, doc_groups, mix, word_hashes
 from ._components import components
 from ._sketch import broadcast, count_levels, using
 from ._store import discard, written
@@ -45,8 +45,8 @@ PERCENT = 75
 LOG2 = 29
 #: Buckets of the suffix filter.
 BUCKETS = 64
-#: Documents of one batch of a task's output.
-TOGETHER = 1000
+#: Bytes of texts whose shingles are looked up together and make one batch of a task's output (a longer text alone).
+TOGETHER = 1 << 22
 ROW = "doc_id long, n long, set binary, free int, l1 int, l2 int, grams array<long>, counts array<short>"
 #: What a posting says of its set: size, shingles proven unique, shingles of levels 1 and 2.
 SHAPE = ("n", "free", "l1", "l2")
@@ -69,14 +69,20 @@ def _sets(docs: DataFrame, width: int, percent: int, log2: int) -> DataFrame:
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     levels = broadcast(docs, count_levels(slim, lambda b: shingle_sets(b.column(1), width), log2=log2))
 
+    def pieces(batches):
+        for batch in batches:
+            for lo, hi in doc_groups(column_bytes(batch.column(1))[1], TOGETHER):
+                yield batch.slice(lo, hi - lo)
+
     def rows(seen, batches):
-        for batch in (b.slice(k, TOGETHER) for b in batches for k in range(0, b.num_rows, TOGETHER)):
+        for batch in pieces(batches):
             n, key, levels_of, grams, counts = [], [], [], [], []
-            for s in shingle_sets(batch.column(1), width):
+            sets = list(shingle_sets(batch.column(1), width))
+            levels_in = np.split(seen.of_many(np.concatenate(sets)), np.cumsum([len(s) for s in sets])[:-1])
+            for s, lv in zip(sets, levels_in):
                 n.append(len(s))
                 marks = np.array([np.sum(s), np.sum(mix(s ^ MULT[40]))], U64)
                 key.append(marks.tobytes())
-                lv = seen.of(s) if len(s) else s
                 by_level = np.bincount(lv, minlength=4).tolist() if len(s) else [0] * 4
                 alone = by_level[0]
                 levels_of.append(by_level)

@@ -7,14 +7,16 @@ import math
 import pickle
 import random
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
-from junctionflow.llm import ann, decontam, linededup, lm, mixing, ngram_join, quality, substring, toxicity, twins, units
+from junctionflow.llm import _sketch, ann, decontam, linededup, lm, mixing, ngram_join, quality, substring, toxicity, twins, units
 from junctionflow.llm._components import components
 from junctionflow.llm._labels import labelled_sample
 from junctionflow.llm._deepshallow import deep_shallow_order
@@ -37,6 +39,22 @@ def test_groups_with_a_full_sketch(docs, edges):
     assert plain(ngram_join.similar_groups(docs, log2=10)) == duck(twins.GROUPS, docs=edges)
 
 
+@pytest.mark.parametrize("probes", [1, 2])
+def test_levels_of_many_hashes_unpack_a_part_at_a_time(probes):
+    rng, log2 = np.random.default_rng(3), 26
+    slots = np.where(rng.random((_sketch.RANGES, 1 << (log2 - 8))) < 0.02, 27, 0).astype(np.uint8)
+    parts = {r: zstandard.ZstdCompressor(level=1).compress(slots[r].tobytes()) for r in range(_sketch.RANGES) if r != 7}
+    levels = _sketch.Levels(parts, log2, probes)
+    h = rng.integers(0, 1 << 64, 20_000, dtype=np.uint64)
+    tracemalloc.start()
+    got = levels.of_many(h)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < slots.size // 4 and levels.packed is None
+    assert set(got) == ({0, 1, 2, 3} if probes == 1 else set(got)) and np.array_equal(got, levels.of(h))
+    assert len(levels.of_many(h[:0])) == 0
+
+
 def test_groups_through_chains_and_hubs(spark):
     """Near copies that drift apart: links between neighbours only, found in the second round too."""
     rng = random.Random(3)
@@ -334,6 +352,11 @@ def test_decontaminated_texts(spark, docs, no_docs):
     assert decontam.contamination(docs, items.limit(0)).filter("contaminated").count() == 0
 
 
+def test_decontamination_takes_one_worker_a_task(spark, docs):
+    cut = decontam.decontaminated(docs, spark.createDataFrame([("i", "one two three")], "item_id string, text string"))
+    assert cut._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_long_items_are_cut_and_models_held_one_at_a_time(spark):
     """An item of many blocks' words: no automaton passes a block, each task holds one, and the result is that of one block."""
     rng = random.Random(11)
