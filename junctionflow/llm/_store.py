@@ -45,7 +45,7 @@ class Scratch:
         for b in self.sent:
             b.destroy()
         self.paths, self.sent = [], []
-        _tidy(spark)
+        tidy(spark)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -65,10 +65,10 @@ def discard(*tables: DataFrame) -> None:
     """Delete tables made by :func:`written` that nothing reads any more: all that was made of them is written, too."""
     for t in tables:
         _delete(t.sparkSession, t._scratch)
-    _tidy(tables[0].sparkSession)
+    tidy(tables[0].sparkSession)
 
 
-def _tidy(spark: SparkSession) -> None:
+def tidy(spark: SparkSession) -> None:
     """Let the driver's cleaner drop the shuffles of frames that nothing refers to (else they stay until memory is short)."""
     give_back()
     spark.sparkContext._jvm.System.gc()

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from ._bytes import MULT, PIECE, U64, column_bytes, doc_groups, mix, prefix_hash, range_hash
 from ._deepshallow import common_prefix, deep_shallow_order
 from ._sketch import broadcast, count_levels, using
-from ._store import Scratch, written
+from ._store import Scratch, discard, tidy, written
 
 LENGTH, SEED = 100, 32
 #: Slots of the sketch, as a power of 2.
@@ -104,9 +104,11 @@ def _digest(h: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def _spans_of(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """SPAN rows of windows of repeated segments: all but the first of each class."""
-    # Written, so that the join has a plain shuffle on both sides and a hot segment's partition can be split.
-    c = written(classes.filter("times > 1").select(F.col("h").alias("ch"), F.col("g").alias("cg"), "first"), "repeated-segments")
+    """SPAN rows of windows of repeated segments: all but the first of each class.
+
+    Both sides are stored tables, so that the join has a plain shuffle on both sides and a hot segment's partition can be split.
+    """
+    c = classes.filter("times > 1").select(F.col("h").alias("ch"), F.col("g").alias("cg"), "first")
     later = rows.join(c, (F.col("h") == F.col("ch")) & (F.col("g") == F.col("cg"))).filter(F.struct("doc_id", "s") > F.col("first"))
     return later.select("doc_id", F.col("s").alias("lo"), (F.col("s") + F.col("n")).alias("hi"), rows["off"], rows["g"])
 
@@ -251,7 +253,9 @@ def _grouped_spans(fetched: DataFrame, length: int) -> DataFrame:
     first = windows.groupBy("a", "b").agg(F.min(F.struct("doc_id", "p")).alias("first"), F.count("*").alias("times")).filter("times > 1")
     f = written(first.toDF("fa", "fb", "first", "times"), "repeated-windows")
     late = windows.join(f, (F.col("a") == F.col("fa")) & (F.col("b") == F.col("fb"))).filter(F.struct("doc_id", "p") > F.col("first"))
-    return late.select("doc_id", F.col("p").alias("lo"), (F.col("p") + 1).alias("hi"), F.lit(0).alias("off"), F.col("w").alias("g"))
+    spans = written(late.select("doc_id", F.col("p").alias("lo"), (F.col("p") + 1).alias("hi"), F.lit(0).alias("off"), F.col("w").alias("g")), "grouped-spans")
+    discard(windows, f)
+    return spans
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, log2: int = LOG2, many: int = MANY) -> DataFrame:
@@ -260,7 +264,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, log2: int = LOG2, many
     ``g`` tells the bytes from lo to the end of the last window (with ``off``, see :func:`_digest`): rows may share an id.
     """
     slim = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    levels = broadcast(docs, count_levels(slim, lambda b: (x[4] for x in segments(b.column(1), length)), log2=log2, probes=2))
+    with Scratch() as sketch:
+        levels = broadcast(docs, count_levels(slim, lambda b: (x[4] for x in segments(b.column(1), length)), log2=log2, probes=2))
 
     def suspects(seen, batches):
         for batch in batches:
@@ -273,15 +278,26 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, log2: int = LOG2, many
                 )
                 yield pa.record_batch([pa.array(c) for c in cols], names=["h", "g", "doc_id", "s", "off", "n"])
 
+    # Each table goes when it is read, and with it the shuffles it was made by: segments before their bytes are fetched.
     rows = written(slim.mapInArrow(using(levels, suspects), SEGMENT), "segments")
-    classes = rows.groupBy("h", "g").agg(
-        F.min(F.struct("doc_id", "s")).alias("first"), F.first("off").alias("off"), F.first("n").alias("n"), F.count("*").alias("times")
+    sketch.release(docs.sparkSession)
+    classes = written(
+        rows.groupBy("h", "g").agg(
+            F.min(F.struct("doc_id", "s")).alias("first"), F.first("off").alias("off"), F.first("n").alias("n"), F.count("*").alias("times")
+        ),
+        "segment-classes",
     )
-    anchors = rows.select("h", "g").distinct().groupBy("h").agg(F.count("*").alias("k")).filter("k > 1")
+    tidy(docs.sparkSession)
+    whole = written(_spans_of(rows, classes), "repeated-spans")
+    discard(rows)
+    anchors = classes.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1")
     wanted = classes.join(anchors, "h").select("h", "g", "first.doc_id", "first.s", "off", "n", "k")
     fetched = written(_fetched(docs, wanted, length), "segment-bytes")
-    spans = _spans_of(rows, classes).unionByName(_sorted_spans(fetched.filter(F.col("k") <= many), length))
-    return spans.unionByName(_grouped_spans(fetched.filter(F.col("k") > many), length))
+    discard(classes)
+    ordered = written(_sorted_spans(fetched.filter(F.col("k") <= many), length), "ordered-spans")
+    grouped = _grouped_spans(fetched.filter(F.col("k") > many), length)
+    discard(fetched)
+    return whole.unionByName(ordered).unionByName(grouped)
 
 
 def own_spans(text: bytes, start: np.ndarray, end: np.ndarray, off: np.ndarray, g: np.ndarray) -> np.ndarray:
@@ -306,13 +322,8 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, **params) -> DataFra
     Removes each byte covered by a string of ``length`` bytes that also starts
     earlier: in a document with a smaller id, or earlier in the same document.
     """
-    # Written, so that segments and their bytes can go before the texts are shuffled; dealt by document
-    # only afterwards, so that a hot segment's join partition can be split.
-    with Scratch() as made:
-        found = repeated_spans(docs, length, **params)
-    found = written(found, "spans")
-    made.release(docs.sparkSession)
-    spans = found.repartition("doc_id")
+    # Dealt by document only here, so that a hot segment's join partition can be split.
+    spans = repeated_spans(docs, length, **params).repartition("doc_id")
     lists = spans.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("lo", "hi", "off", "g")).alias("cuts"))
     rows = packed_texts(docs).join(lists, F.col("doc_id") == F.col("id"), "left").select("doc_id", "body", "cuts")
     schema = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import itertools
 import math
+import os
 import pickle
 import random
+import tempfile
 import time
 import tracemalloc
+import uuid
 import zlib
 from collections import Counter
 
@@ -488,6 +491,24 @@ def test_substrings_match_brute_force(spark, many, log2, edges):
         assert sum(s["end"] - s["start"] for s in r.spans) == sum(c)
 
 
+def test_substring_tables_go_when_they_are_read(spark, edges, monkeypatch):
+    """Segments are gone before their bytes are fetched, and only spans stay for the last join."""
+    root, there = tempfile.mkdtemp(prefix="jf-test-"), {}
+    write = substring.written
+
+    def written(df, name, rows=None):
+        there[name] = {k for k in os.listdir(root) if os.listdir(f"{root}/{k}")}
+        return write(df, name, rows)
+
+    monkeypatch.setattr("junctionflow.llm._store.scratch_path", lambda _, *parts: f"{root}/{parts[-1]}/{uuid.uuid4().hex}")
+    monkeypatch.setattr(substring, "written", written)
+    docs = frame(spark, [(i, t, s) for i, t, s in edges])
+    want = plain(substring.dedup_substrings(docs, log2=LOG2, many=2))
+    assert there["segment-bytes"] <= {"segment-classes", "repeated-spans"}
+    assert {k for k in os.listdir(root) if os.listdir(f"{root}/{k}")} == {"repeated-spans", "ordered-spans", "grouped-spans"}
+    assert want == plain(substring.dedup_substrings(docs, log2=LOG2))
+
+
 def test_substrings_of_nothing(no_docs):
     assert substring.dedup_substrings(no_docs, log2=LOG2).count() == 0
 
