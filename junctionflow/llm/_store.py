@@ -6,6 +6,7 @@ import ctypes
 import gc
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from junctionflow.session import scratch_path
@@ -69,9 +70,33 @@ def discard(*tables: DataFrame) -> None:
 
 
 def tidy(spark: SparkSession) -> None:
-    """Let the driver's cleaner drop the shuffles of frames that nothing refers to (else they stay until memory is short)."""
+    """Let the driver's cleaner drop the shuffles of frames that nothing refers to (else they stay until memory is short).
+
+    What the driver's Python and JVM have freed goes back to the system.
+    """
     give_back()
     spark.sparkContext._jvm.System.gc()
+    trim_jvm(spark)
+
+
+def trim_jvm(spark: SparkSession) -> str | None:
+    """Let the driver's JVM return the memory that it has freed outside its heap (compiled plans and code take and leave much).
+
+    What the JVM says of it; None where it knows no such command (before JDK 17.0.9, other systems than Linux).
+    """
+    jvm, new_array = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array
+    beans = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+    of_name = jvm.java.lang.Class.forName
+    # The beans' own class is not open to callers, their interface is.
+    kinds = new_array(jvm.java.lang.Class, 4)
+    for k, name in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+        kinds[k] = of_name(name)
+    given = new_array(jvm.java.lang.Object, 4)
+    given[0], given[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+    try:
+        return of_name("javax.management.MBeanServer").getMethod("invoke", kinds).invoke(beans, given)
+    except Py4JJavaError:
+        return None
 
 
 def give_back() -> None:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ._bytes import LOWER_BYTES
 from ._labels import checksum_is, labelled_sample
-from ._store import give_back, sent
+from ._store import give_back, sent, tidy
 
 #: Labelled rows, and rows without a label, that the model is fitted on, at most.
 SAMPLE, UNLABELLED = 12_000, 6_000
@@ -49,6 +49,8 @@ EDGES = b".,;:!?\"'()[]{}<>|*#$%&-_"
 REMEMBERED = 30_000
 #: Terms that a task counts before it passes them on.
 HELD = 100_000
+#: Rows whose part of the gradient is found together.
+ROWS = 2048
 PATTERNS = ("capitals", "exclamations", "questions", "digits", "symbols", "short")
 
 
@@ -193,7 +195,10 @@ def label_model(
 
 
 def logistic(x: np.ndarray, target: np.ndarray, rounds: int = 300, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic regression on soft targets (Nesterov's gradient steps, classes weighed evenly)."""
+    """Weights and bias of a logistic regression on soft targets (Nesterov's gradient steps, classes weighed evenly).
+
+    Gradients are summed in double precision, some rows at a time: the matrix is never held as doubles.
+    """
     w = np.zeros(x.shape[1] + 1)
     look, step = w.copy(), 0.0
     x1 = np.ones((len(x), x.shape[1] + 1), np.float32)
@@ -204,7 +209,8 @@ def logistic(x: np.ndarray, target: np.ndarray, rounds: int = 300, ridge: float
     rate = min(rate, 4.0 / max(1e-9, float(each @ np.einsum("ij,ij->i", x1, x1))))
     for t in range(rounds):
         z = 1 / (1 + np.exp(-np.clip(x1 @ look.astype(np.float32), -30, 30)))
-        grad = x1.T @ ((z - target) * each) + ridge * np.r_[look[:-1], 0.0]
+        off = (z - target) * each
+        grad = sum(off[i : i + ROWS] @ x1[i : i + ROWS].astype(float) for i in range(0, len(x1), ROWS)) + ridge * np.r_[look[:-1], 0.0]
         new = look - rate * grad
         look = new + t / (t + 3) * (new - w)
         w = new
@@ -251,6 +257,7 @@ def fit(
     width = k + len(PATTERNS)
     x = np.unpackbits(np.frombuffer(b"".join(g[1] for g in got), np.uint8).reshape(len(got), -1), axis=1)[:, :width].astype(bool)
     del got
+    tidy(rows.sparkSession)  # the fit's matrices are the most that the driver's Python holds
     pos, neg = int(y.sum()), int((known & ~y).sum())
     if not pos or not neg:
         return Model(bias=4.0 if pos else -4.0, weights=np.zeros(width), term_ids=probe.value.term_ids)

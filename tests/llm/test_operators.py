@@ -19,7 +19,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from junctionflow.llm import _sketch, ann, decontam, linededup, lm, mixing, ngram_join, quality, substring, toxicity, twins, units
+from junctionflow.llm import _sketch, _store, ann, decontam, linededup, lm, mixing, ngram_join, quality, substring, toxicity, twins, units
 from junctionflow.llm._components import components
 from junctionflow.llm._labels import labelled_sample
 from junctionflow.llm._deepshallow import deep_shallow_order
@@ -188,6 +188,27 @@ def test_given_labels_only_start_the_label_model():
     assert np.mean((some > 0.5) == y) >= 0.97
 
 
+def test_the_fit_holds_no_doubles_of_its_matrix():
+    rng = np.random.default_rng(4)
+    x, target = rng.random((9000, 200)) < 0.1, rng.random(9000)
+    tracemalloc.start()
+    weights, bias = toxicity.logistic(x, target, rounds=3)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 2 * x.size * 4  # the matrix of single floats, and less than that again
+    w, b = toxicity.logistic(np.repeat(x, 2, axis=0), np.repeat(target, 2), rounds=3)
+    assert np.allclose(weights, w, atol=1e-6) and abs(bias - b) < 1e-6
+
+
+def test_freed_memory_of_the_jvm_goes_back(spark, monkeypatch):
+    said = _store.trim_jvm(spark)
+    assert said is None or "trim" in said.lower()
+    calls = []
+    monkeypatch.setattr(_store, "trim_jvm", calls.append)
+    _store.tidy(spark)
+    assert calls == [spark]
+
+
 def test_rows_without_a_label_are_sampled_too(spark):
     rows = [(k, f"text {k}", "s") for k in range(40)] + [(7, "a 7", "s"), (None, "x", "s")]
     labels = spark.createDataFrame([(k, k % 2) for k in range(10)] + [(10, None)], "doc_id long, toxic int")
