@@ -6,6 +6,11 @@ gaps (about a byte each), merge tasks add them up range by range, in two rounds
 so that no merge task reads from all map tasks. A slot's level never understates
 how often a hash occurs: level 0 proves that it occurs at most once, which is
 all that callers rely on for whole results; a fuller sketch only prunes less.
+
+Where most hashes of a corpus occur once (:func:`shared_levels`), they are
+counted in far more slots than a sketch could have, range by range, and only
+slots met more than once enter the sketch. Then it fills with what documents
+share, not with all they hold.
 """
 
 from __future__ import annotations
@@ -25,8 +30,12 @@ RANGES = 64
 #: Hashes that a map task holds before it sends them on.
 HELD = 1 << 22
 FULL = 15
+#: Slots that :func:`shared_levels` counts in and the cells that it counts one after the other, as powers of 2.
+FINE, CELLS = 37, 10
 ROW = "part int, fan int, dense boolean, payload binary"
 _ROW = pa.schema([("part", pa.int32()), ("fan", pa.int32()), ("dense", pa.bool_()), ("payload", pa.binary())])
+CELL_ROW = "part int, cell int, wide boolean, payload binary"
+_CELL_ROW = pa.schema([("part", pa.int32()), ("cell", pa.int32()), ("wide", pa.bool_()), ("payload", pa.binary())])
 
 
 class Levels:
@@ -94,6 +103,25 @@ def _slots_of(payload: bytes) -> np.ndarray:
     return np.cumsum(b, dtype=np.int64)[b != 255]
 
 
+def _cell_gaps(slots: np.ndarray) -> tuple[bool, bytes]:
+    """Sorted slots (uint32) as 16-bit gaps in base 65535, 65535 carries on; as they are (True) where that takes no more."""
+    d = np.diff(slots, prepend=slots[:1] * 0)
+    over = d // 65535
+    n = int(over.sum(dtype=np.int64)) + len(d)
+    if n >= 2 * len(d):
+        return True, slots.tobytes()
+    out = np.full(n, 65535, np.uint16)
+    out[np.cumsum(over + 1, dtype=np.int64) - 1] = d % 65535
+    return False, out.tobytes()
+
+
+def _cell_slots(wide: bool, payload: bytes) -> np.ndarray:
+    if wide:
+        return np.frombuffer(payload, np.uint32)
+    b = np.frombuffer(payload, np.uint16)
+    return np.cumsum(b, dtype=np.uint32)[b != 65535]
+
+
 def _add(counts: np.ndarray, dense: bool, payload: bytes) -> None:
     if dense:
         b = np.frombuffer(payload, np.uint8)
@@ -184,6 +212,82 @@ def count_levels(
     return Levels({row.part: bytes(row.payload) for row in whole.collect()}, log2, probes)
 
 
+def shared_levels(df: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], log2: int = 28) -> Levels:
+    """As :func:`count_levels` with one probe, of a sketch that holds only what 2**FINE slots met more than once.
+
+    A slot has the highest level of the finer ones in it. Tasks send their fine
+    slots as gaps (2 to 4 bytes each); one merge task counts a range, cell by cell.
+    """
+    width, inner = 1 << (log2 - 6), FINE - CELLS
+
+    def sow(batches):
+        held: list[np.ndarray] = []
+
+        def flush():
+            slots = np.concatenate(held)
+            held.clear()
+            slots.sort()
+            at = np.searchsorted(slots, np.arange((1 << CELLS) + 1, dtype=U64) << U64(inner))
+            np.bitwise_and(slots, U64((1 << inner) - 1), out=slots)
+            slots = slots.astype(np.uint32)
+            cells = np.flatnonzero(np.diff(at))
+            wide, payload = zip(*(_cell_gaps(slots[at[c] : at[c + 1]]) for c in cells))
+            return pa.record_batch([pa.array(c, f.type) for c, f in zip((cells >> (CELLS - 6), cells, wide, payload), _CELL_ROW)], schema=_CELL_ROW)
+
+        n = 0
+        for batch in batches:
+            for h in hashes_of(batch):
+                held.append(_slots(h, 0, FINE))
+                n += len(h)
+                if n >= HELD:
+                    yield flush()
+                    n = 0
+        if n:
+            yield flush()
+        give_back()
+
+    def reap(batches):
+        key, held, levels = None, [], np.zeros(width, np.uint8)
+
+        def count():
+            slots = np.concatenate(held)
+            held.clear()
+            slots.sort()
+            first = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]]))
+            times = np.diff(first, append=len(slots))
+            more = np.flatnonzero(times > 1)
+            times = times[more]
+            at = ((slots[first[more]].astype(np.int64) + (key[1] << inner)) >> (FINE - log2)) & (width - 1)
+            for level, some in ((1, times > 1), (2, times > 3), (3, times >= FULL)):
+                levels[at[some]] = np.maximum(levels[at[some]], level)
+
+        def out():
+            lv = levels.reshape(-1, 4)
+            packed = (lv[:, 0] | (lv[:, 1] << 2) | (lv[:, 2] << 4) | (lv[:, 3] << 6)).tobytes()
+            levels[:] = 0
+            return pa.record_batch([pa.array([key[0]], pa.int32()), pa.array([zstandard.ZstdCompressor(level=1).compress(packed)], pa.binary())], names=["part", "payload"])
+
+        for batch in batches:  # sorted: one cell is counted at a time
+            for r, c, wide, payload in zip(*(batch.column(i) for i in range(4))):
+                now = r.as_py(), c.as_py()
+                if now != key:
+                    if key is not None:
+                        count()
+                        if now[0] != key[0]:
+                            yield out()
+                    key = now
+                held.append(_cell_slots(wide.as_py(), payload.as_buffer()))
+        if key is not None:
+            count()
+            yield out()
+        give_back()
+
+    cells = df.mapInArrow(sow, CELL_ROW).repartition(RANGES, "part").sortWithinPartitions("part", "cell")
+    whole = cells.mapInArrow(reap, "part int, payload binary")
+    # RANGES rows, at most 2**(log2 - 2) bytes together.
+    return Levels({row.part: bytes(row.payload) for row in whole.collect()}, log2, 1)
+
+
 def using(shared, fn):
     """The mapInArrow function ``fn(levels, batches)`` with a broadcast sketch, freed when the task ends.
 

@@ -2,9 +2,9 @@
 
 A document is the set of its distinct 5-word shingles (64-bit hashes). Exact
 copies of a set become one class first. Shingles are ranked rare first by a
-counting sketch of the whole corpus (ties by hash), so two sets with a
-similarity of 0.75 or more share a shingle among the first n - ceil(0.75 n) + 1
-of each. Shingles that the sketch proves unique can be shared with nobody and
+counting sketch of what the whole corpus shares (ties by hash), so two sets with
+a similarity of 0.75 or more share a shingle among the first
+n - ceil(0.75 n) + 1 of each. Shingles that the sketch proves unique can be shared with nobody and
 are not indexed; most documents therefore index nothing.
 
 Pairs come from joins on indexed shingles, in two rounds. First every class
@@ -17,8 +17,9 @@ few members and its pairs are never all emitted. The join condition holds the
 length filter, the positional filter (only shingles not proven unique can match
 before a position), a bound by levels of the sketch (a shingle has one level in
 all sets), and in the second round the suffix filter, which bounds the overlap
-bucket by bucket of the hash. What is left is verified once by the exact
-intersection.
+bucket by bucket of the hash. The second round compares the rows of a shingle in
+numpy, blocks of pairs at a time, with the positional filter of the first shared
+shingle. What is left is verified once by the exact intersection.
 
 Cases: null, empty or wordless texts have an empty set and link with nothing;
 rows without an id take part (their component is the least id of the group, null
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ._bytes import MULT, NOT_SPACE, U64, column_bytes, combine, doc_groups, mix, word_hashes
 from ._components import components
-from ._sketch import broadcast, count_levels, using
+from ._sketch import broadcast, shared_levels, using
 from ._store import discard, written
 
 WIDTH = 5
@@ -47,6 +48,8 @@ LOG2 = 29
 BUCKETS = 64
 #: Bytes of texts whose shingles are looked up together and make one batch of a task's output (a longer text alone).
 TOGETHER = 1 << 22
+#: Pairs compared at a time, rows of a task compared together (more of one shingle), and rows of a shingle that one task compares with all of them.
+MEET, HELD, CHUNK = 1 << 18, 20_000, 8192
 ROW = "doc_id long, n long, set binary, free int, l1 int, l2 int, grams array<long>, counts array<short>"
 #: What a posting says of its set: size, shingles proven unique, shingles of levels 1 and 2.
 SHAPE = ("n", "free", "l1", "l2")
@@ -67,7 +70,7 @@ def shingle_sets(col, width: int = WIDTH):
 def _sets(docs: DataFrame, width: int, percent: int, log2: int) -> DataFrame:
     """ROW of every document; grams (ranked rare first) only where some indexed shingle may be shared."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    levels = broadcast(docs, count_levels(slim, lambda b: shingle_sets(b.column(1), width), log2=log2))
+    levels = broadcast(docs, shared_levels(slim, lambda b: shingle_sets(b.column(1), width), log2=log2))
 
     def pieces(batches):
         for batch in batches:
@@ -147,6 +150,84 @@ def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * F.col("same") >= percent * (F.col("na") + F.col("nb") - F.col("same"))).select("a", "b")
 
 
+def _pairs_of_rows(first: np.ndarray, size: np.ndarray, xs: np.ndarray):
+    """(x, y): rows xs, each with every row of its group, about MEET pairs at a time; a row's group are ``size`` rows from ``first`` on."""
+    ends = np.cumsum(size[xs])
+    lo = 0
+    while lo < len(xs):
+        before = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + MEET, "right")))
+        own = xs[lo:hi]
+        x = np.repeat(own, size[own])
+        yield x, np.arange(len(x)) + np.repeat(first[own] - (ends[lo:hi] - size[own] - before), size[own])
+        lo = hi
+
+
+def _met(rows: pa.Table, percent: int):
+    """(x, y) of the rows' pairs in the same group and of different parts that may link, as row numbers.
+
+    One of two is not of the group's main part. A pair that links does so at the
+    first shingle they share, too, where nothing before it is shared.
+    """
+    n, free, l1, l2 = (np.asarray(rows[c]).astype(np.int32) for c in SHAPE)
+    behind, l3 = n - np.asarray(rows["pos"]).astype(np.int32), n - free - l1 - l2
+    part = np.asarray(rows["part"].combine_chunks().dictionary_encode().indices)
+    main, own = np.asarray(rows["is_main"]), np.asarray(rows["own"])
+    counts = np.asarray(rows["counts"].combine_chunks().flatten()).reshape(len(n), BUCKETS)
+    gram, chunk = np.asarray(rows["gram"]), np.asarray(rows["chunk"])
+    starts = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (chunk[1:] != chunk[:-1])]))
+    sizes = np.diff(starts, append=len(n))
+    for x, y in _pairs_of_rows(np.repeat(starts, sizes), np.repeat(sizes, sizes), np.flatnonzero(own & ~main)):
+        nx, ny = n[x], n[y]
+        need = -(-percent * (nx + ny).astype(np.int64) // (100 + percent))
+        ok = np.flatnonzero(np.minimum(behind[x], behind[y]) >= need)
+        x, y, nx, ny, need = x[ok], y[ok], nx[ok], ny[ok], need[ok]
+        ok = (part[x] != part[y]) & (100 * np.minimum(nx, ny).astype(np.int64) >= percent * np.maximum(nx, ny).astype(np.int64))
+        ok &= np.minimum(l1[x], l1[y]) + np.minimum(l2[x], l2[y]) + np.minimum(l3[x], l3[y]) >= need
+        x, y, need, big = x[ok], y[ok], need[ok], np.maximum(nx, ny)[ok] > 32767  # counts are cut at 32767
+        for lo in range(0, len(x), 1 << 14):
+            a, b = x[lo : lo + (1 << 14)], y[lo : lo + (1 << 14)]
+            ok = big[lo : lo + (1 << 14)] | (np.minimum(counts[a], counts[b]).sum(axis=1, dtype=np.int64) >= need[lo : lo + (1 << 14)])
+            yield a[ok], b[ok]
+
+
+def _meetings(left: DataFrame, percent: int) -> DataFrame:
+    """(x, y): sets of the same shingle but different parts that may link; a pair may come more than once.
+
+    Rows of a shingle stand together in a task. In a shingle of many rows each
+    part of them, CHUNK rows, meets all of them in a task of its own.
+    """
+    chunks = F.ceil(F.col("members") / CHUNK).cast("int")
+    dealt = left.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).select(
+        "gram", "chunk", "set", *SHAPE, "pos", "part", "counts",
+        (F.col("part") == F.col("main")).alias("is_main"), (F.pmod(F.xxhash64("set"), chunks) == F.col("chunk")).alias("own"),
+    )
+
+    def meet(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < HELD:
+                continue
+            rows = pa.Table.from_batches(held)
+            key = np.asarray(rows["gram"]), np.asarray(rows["chunk"])
+            last = np.flatnonzero((key[0] != key[0][-1]) | (key[1] != key[1][-1]))
+            if len(last):  # the last group may go on
+                at = int(last[-1]) + 1
+                yield from found(rows.slice(0, at))
+                held = rows.slice(at).to_batches()
+        if held:
+            yield from found(pa.Table.from_batches(held))
+
+    def found(rows):
+        sets = rows["set"].combine_chunks()
+        for x, y in _met(rows, percent):
+            if len(x):
+                yield pa.record_batch([sets.take(pa.array(x)), sets.take(pa.array(y))], names=["x", "y"])
+
+    return dealt.repartition("gram", "chunk").sortWithinPartitions("gram", "chunk").mapInArrow(meet, "x binary, y binary")
+
+
 def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, log2: int = LOG2) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs."""
     sets = _sets(docs, width, percent, log2)
@@ -188,19 +269,13 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     labelled = written(labelled, "labelled-index", size)
     discard(index)
     parts = labelled.groupBy("gram", "part").agg(F.count("*").alias("c"))
-    open_ = parts.groupBy("gram").agg(F.max(F.struct("c", "part")).alias("top"), F.count("*").alias("k")).filter("k > 1")
-    open_ = written(open_.select("gram", F.col("top.part").alias("main")), "open-shingles", size // 2)
+    open_ = parts.groupBy("gram").agg(F.max(F.struct("c", "part")).alias("top"), F.count("*").alias("k"), F.sum("c").alias("members")).filter("k > 1")
+    open_ = written(open_.select("gram", F.col("top.part").alias("main"), "members"), "open-shingles", size // 2)
     left = labelled.join(open_, "gram").join(classes.select(F.col("set").alias("key"), "counts"), F.col("set") == F.col("key"))
     left = written(left.drop("key"), "open-index", size)
     discard(labelled, open_)
-    x, y = left.filter("part <> main").alias("x"), left.alias("y")
-    rest = x.join(y, F.col("x.gram") == F.col("y.gram")).filter(
-        (F.col("x.part") != F.col("y.part"))
-        & ((F.col("y.part") == F.col("y.main")) | (F.col("x.set") < F.col("y.set")))
-        & _may_link("x", "y", percent)
-        & _buckets_allow(F.col("x.n"), F.col("y.n"), F.col("x.counts"), F.col("y.counts"), percent)
-    )
-    rest = rest.select(*_ordered("x", "y")).distinct().join(star, ["a", "b"], "left_anti")
+    rest = _meetings(left, percent)
+    rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
     more = written(_verified(rest, classes, percent), "more-links")
     discard(left, star)
     # The second round's links join whole components of the first: only these are nodes now.

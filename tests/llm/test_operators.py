@@ -15,6 +15,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -71,6 +72,76 @@ def test_groups_through_chains_and_hubs(spark):
     assert plain(ngram_join.similar_groups(frame(spark, rows), log2=LOG2)) == duck(twins.GROUPS, docs=rows)
 
 
+def test_a_sketch_is_filled_by_shared_shingles_only(spark):
+    """22,400 shingles in 1,024 slots: texts of their own are still proven unique and not indexed, near copies are."""
+    rng = random.Random(11)
+    texts = [[f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(400)]
+    rows = [(k, " ".join(t), "s") for k, t in enumerate(texts)] + [(1000, " ".join([*texts[7][:-1], "other"]), "s")]
+    sets = ngram_join._sets(frame(spark, rows), ngram_join.WIDTH, ngram_join.PERCENT, 10)
+    assert {7, 1000} <= (indexed := {r.doc_id for r in sets.filter("grams is not null").collect()}) and len(indexed) < 40
+    assert plain(ngram_join.similar_groups(frame(spark, rows), log2=10)) == duck(twins.GROUPS, docs=rows)
+
+
+def test_levels_of_shared_hashes(spark):
+    rng = np.random.default_rng(4)
+    times = dict(zip(rng.integers(0, 1 << 63, 600, dtype=np.int64).tolist(), [1] * 400 + [2, 3, 4, 14, 15, 40] * 33 + [9, 9]))
+    hashes = spark.createDataFrame([(h,) for h, n in times.items() for _ in range(n)], "h long").repartition(7)
+    levels = _sketch.shared_levels(hashes, lambda b: iter([np.asarray(b.column(0)).view(np.uint64)]), log2=26)
+    got = levels.of_many(np.array(list(times), np.int64).view(np.uint64)).tolist()
+    assert got == [0 if n < 2 else 1 if n < 4 else 2 if n < 15 else 3 for n in times.values()]
+
+
+def test_cell_gaps_of_any_density():
+    rng = np.random.default_rng(5)
+    for n, top in ((1, 1 << 27), (3, 5), (5000, 1 << 27), (200_000, 1 << 27), (200_000, 1 << 10)):
+        slots = np.sort(rng.integers(0, top, n, dtype=np.uint32))
+        wide, payload = _sketch._cell_gaps(slots)
+        assert len(payload) <= 4 * n and np.array_equal(_sketch._cell_slots(wide, payload), slots)
+
+
+@pytest.mark.parametrize("meet", [1, 7, 1 << 18])
+def test_pairs_of_rows_are_those_of_two_loops(monkeypatch, meet):
+    monkeypatch.setattr(ngram_join, "MEET", meet)
+    rng = np.random.default_rng(6)
+    k = 300
+    n = rng.integers(20, 30, k)
+    free, l1, l2 = rng.integers(0, 4, k), rng.integers(0, 9, k), rng.integers(0, 4, k)
+    counts = rng.integers(0, 2, (k, ngram_join.BUCKETS)).astype(np.int16)
+    cols = {
+        "gram": np.sort(rng.integers(0, 12, k)), "chunk": np.zeros(k, np.int32), "n": n, "free": free, "l1": l1, "l2": l2, "pos": free + rng.integers(0, 4, k),
+        "part": [bytes([p]) for p in rng.integers(0, 4, k)], "counts": counts.tolist(), "own": rng.random(k) < 0.8,
+    }
+    cols["is_main"] = np.array([p == b"\x01" for p in cols["part"]])
+    rows = pa.table({**cols, "part": pa.array(cols["part"], pa.binary()), "counts": pa.array(cols["counts"], pa.list_(pa.int16()))})
+    want = set()
+    for x, y in itertools.product(range(k), repeat=2):
+        if not cols["own"][x] or cols["is_main"][x] or cols["gram"][x] != cols["gram"][y] or cols["part"][x] == cols["part"][y]:
+            continue
+        need = -(-75 * (n[x] + n[y]) // 175)
+        levels = min(l1[x], l1[y]) + min(l2[x], l2[y]) + min((n - free - l1 - l2)[x], (n - free - l1 - l2)[y])
+        here, shared = min((n - cols["pos"])[x], (n - cols["pos"])[y]), np.minimum(counts[x], counts[y]).sum()
+        if 100 * min(n[x], n[y]) >= 75 * max(n[x], n[y]) and min(here, levels, shared) >= need:
+            want.add((x, y))
+    got = [(x, y) for a, b in ngram_join._met(rows, 75) for x, y in zip(a.tolist(), b.tolist())]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
+
+
+def test_a_hot_shingle_is_met_in_parts(spark, monkeypatch):
+    """Many variants of one text that are no copies of the first: each meets all others, whatever the size of the parts."""
+    rng = random.Random(8)
+    origin = [f"o{k}" for k in range(80)]
+    rows = []
+    for k in range(60):
+        words = list(origin)
+        for at in rng.sample(range(80), 3):
+            words[at] = f"v{k % 25}x{at}"
+        rows.append((k, " ".join(words), "s"))
+    want = duck(twins.GROUPS, docs=rows)
+    for chunk in (1, 16, 8192):
+        monkeypatch.setattr(ngram_join, "CHUNK", chunk)
+        assert plain(ngram_join.similar_groups(frame(spark, rows), log2=LOG2)) == want
+
+
 def test_one_of_each_group(docs, no_docs):
     kept = ngram_join.one_of_each_group(docs, log2=LOG2)
     assert kept.columns == docs.columns
