@@ -334,7 +334,7 @@ class Scores:
 def score_documents(
     docs: DataFrame, path: str = VOCABULARY, modulus: int = 7, remainder: int = 2, head: int = HEAD, rounds: int = 2, word_arcs: bool = True
 ) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of docs.
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of docs, in the order of doc_id.
 
     Training rows are those whose crc32(doc_id as text) mod ``modulus`` is not
     ``remainder``. ``base_score`` is the add-one unigram over the words and one end,
@@ -402,7 +402,7 @@ def score_documents(
     per = met.groupBy(F.col("row").alias("r")).agg(F.sum("k2").alias("k2"), F.sum("b2").alias("b2"), F.sum("s2").alias("s2"))
     out = rows.drop("words", "times").join(per, F.col("row") == F.col("r"), "left")
     plus = lambda x, y: F.col(x) + F.coalesce(F.col(y), F.lit(0))
-    return out.select(
+    return out.orderBy("doc_id", "row").select(
         "doc_id",
         "held_out",
         F.col("tokens").alias("n_tokens"),
