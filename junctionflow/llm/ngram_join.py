@@ -167,10 +167,12 @@ def _met(rows: pa.Table, percent: int):
     """(x, y) of the rows' pairs in the same group and of different parts that may link, as row numbers.
 
     One of two is not of the group's main part. A pair that links does so at the
-    first shingle they share, too, where nothing before it is shared.
+    first shingle they share, too, where nothing before it is shared: two that
+    share the indexed shingle before, ``prev``, are left to an earlier group.
     """
     n, free, l1, l2 = (np.asarray(rows[c]).astype(np.int32) for c in SHAPE)
     behind, l3 = n - np.asarray(rows["pos"]).astype(np.int32), n - free - l1 - l2
+    prev, later = np.asarray(rows["prev"]), behind < n - free
     part = np.asarray(rows["part"].combine_chunks().dictionary_encode().indices)
     main, own = np.asarray(rows["is_main"]), np.asarray(rows["own"])
     counts = np.asarray(rows["counts"].combine_chunks().flatten()).reshape(len(n), BUCKETS)
@@ -180,7 +182,7 @@ def _met(rows: pa.Table, percent: int):
     for x, y in _pairs_of_rows(np.repeat(starts, sizes), np.repeat(sizes, sizes), np.flatnonzero(own & ~main)):
         nx, ny = n[x], n[y]
         need = -(-percent * (nx + ny).astype(np.int64) // (100 + percent))
-        ok = np.flatnonzero(np.minimum(behind[x], behind[y]) >= need)
+        ok = np.flatnonzero((np.minimum(behind[x], behind[y]) >= need) & ~(later[x] & later[y] & (prev[x] == prev[y])))
         x, y, nx, ny, need = x[ok], y[ok], nx[ok], ny[ok], need[ok]
         ok = (part[x] != part[y]) & (100 * np.minimum(nx, ny).astype(np.int64) >= percent * np.maximum(nx, ny).astype(np.int64))
         ok &= np.minimum(l1[x], l1[y]) + np.minimum(l2[x], l2[y]) + np.minimum(l3[x], l3[y]) >= need
@@ -199,7 +201,7 @@ def _meetings(left: DataFrame, percent: int) -> DataFrame:
     """
     chunks = F.ceil(F.col("members") / CHUNK).cast("int")
     dealt = left.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).select(
-        "gram", "chunk", "set", *SHAPE, "pos", "part", "counts",
+        "gram", "chunk", "set", *SHAPE, "pos", "prev", "part", "counts",
         (F.col("part") == F.col("main")).alias("is_main"), (F.pmod(F.xxhash64("set"), chunks) == F.col("chunk")).alias("own"),
     )
 
@@ -243,8 +245,8 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     rows = classes.withColumn("part", F.slice("grams", F.col("free") + 1, (prefix - F.col("free")).cast("int")))
     index = written(
-        rows.select("set", *SHAPE, F.posexplode("part").alias("k", "gram")).select(
-            "gram", "set", *SHAPE, (F.col("k") + F.col("free")).alias("pos")
+        rows.select("set", *SHAPE, "part", F.posexplode("part").alias("k", "gram")).select(
+            "gram", "set", *SHAPE, (F.col("k") + F.col("free")).alias("pos"), F.coalesce(F.get("part", F.col("k") - 1), F.lit(0)).alias("prev")
         ),
         "shingle-index",
     )
@@ -265,7 +267,7 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
 
     # Shingles whose members are still in several components: all of them but the
     # largest component's meet the whole list.
-    labelled = index.join(label, index["set"] == label["node"], "left").select("gram", "set", *SHAPE, "pos", F.coalesce("component", "set").alias("part"))
+    labelled = index.join(label, index["set"] == label["node"], "left").select("gram", "set", *SHAPE, "pos", "prev", F.coalesce("component", "set").alias("part"))
     labelled = written(labelled, "labelled-index", size)
     discard(index)
     parts = labelled.groupBy("gram", "part").agg(F.count("*").alias("c"))
